@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .packing import op2_packing
 from .token_files import op1_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
+    "op2_packing": op2_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {}

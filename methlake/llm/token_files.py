@@ -9,7 +9,6 @@ its sizes; the base of a shard (the ids before it) is a prefix sum over the mani
 
 from __future__ import annotations
 
-import os
 import struct
 import uuid
 import zlib
@@ -162,5 +161,5 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as P
 
     folder = new_path(spark, "tokens")
-    write_tokens(spark.read.parquet(os.path.join(sf_dir, "documents.parquet")), folder, P.path("byte_bpe_50k.json"), 2)
+    write_tokens(spark.read.parquet(f"{sf_dir}/documents.parquet"), folder, P.path("byte_bpe_50k.json"), 2)
     return read_tokens(spark, folder)
