@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from .common import partitions, written
-from .wordcache import Encoder
+from .wordcache import encoder
 
 DIMS, BITS, BUCKETS, TIE_BITS = 4, 12, 256, 15
 ENCODED = "doc_id long, key long, n int, ids binary"
@@ -84,13 +84,13 @@ def encoded(docs: DataFrame, tokenizer_path: str, end_id: int | None, id_col: st
     """doc_id, curve key, number of ids, ids (16-bit) of every row of docs; null text counts as empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, projection = Encoder(tokenizer_path, words), _projection()
+        ids_of, projection = encoder(tokenizer_path, words).encode, _projection()
         tail = b"" if end_id is None else int(end_id).to_bytes(2, "little")
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 ids = part.column(0).to_pylist()
-                payloads = [p + tail for p in encoder.encode(part.column(1).to_pylist())]
+                payloads = [p + tail for p in ids_of(part.column(1).to_pylist())]
                 n = pa.array([len(p) // 2 for p in payloads], pa.int32())
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(_keys(payloads, ids, "<u2", projection)), n, pa.array(payloads, pa.binary())], ["doc_id", "key", "n", "ids"])
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import new_path, partitions
-from .wordcache import Encoder
+from .wordcache import encoder
 
 MAGIC = b"TOKIDX01"
 MANIFEST = "shard int, name string, documents long, ids long, width int"
@@ -93,13 +93,13 @@ class Shard:
 
 def _task_writer(folder: str, path: str, end: int | None, words: bool, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path, words, f"<u{width}")
+        ids_of = encoder(path, words, f"<u{width}").encode
         tail = b"" if end is None else int(end).to_bytes(width, "little")
         writer = None
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1)
             for at in range(0, len(ids), 256):
-                for i, payload in zip(ids[at : at + 256], encoder.encode(texts.slice(at, 256).to_pylist())):
+                for i, payload in zip(ids[at : at + 256], ids_of(texts.slice(at, 256).to_pylist())):
                     writer = writer or ShardWriter(folder, width)
                     writer.add(i, payload + tail)
         if writer:

@@ -1,8 +1,9 @@
 """Tokenizers applied once to each distinct piece of text that a worker meets.
 
-The pre-tokenizers of the vocabulary files cut a text into pieces that are encoded alone. A worker cuts
-a text with the same pattern, looks each piece up, and asks the tokenizers library only for new ones. Texts with
-characters outside a safe range (where two Unicode tables or the normalizer might differ) go to the library whole.
+The pre-tokenizers of the vocabulary files never join what stands before a space with what stands after it, so a text is cut at its spaces, each
+piece is looked up, and the tokenizers library is asked only for new ones. Texts that don't allow this go to the library whole: those with
+characters outside a safe range (where two Unicode tables or the normalizer might differ), and, for the byte-level vocabulary, those
+with runs of spaces.
 """
 
 from __future__ import annotations
@@ -11,62 +12,112 @@ import os
 import re
 
 import numpy as np
-import regex
 
-#: fixed values: the pre-tokenizer patterns of the two vocabulary files
-BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-WORD_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"""
 SAFE = re.compile("[\t\n\r -~¡-įĲ-ɏ]*").fullmatch
 
 
+class _Cache(dict):
+    """word -> id bytes; a word that is new is listed and stands for itself until it is encoded."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> str:
+        self[word] = word
+        self.new.append(word)
+        return word
+
+
 class Encoder:
     """Encodes texts to id bytes of the given dtype ('<u2' or '<u4').
 
-    cache: pieces kept; beyond that the cache is emptied, so memory is bounded.
+    words: the vocabulary drops white space and marks word ends (else it is byte-level and keeps a space with the word after it).
+    limit: pieces kept; beyond that the cache is emptied, so memory is bounded.
     """
 
-    def __init__(self, path: str, words: bool, dtype: str = "<u2", cache: int = 600_000):
+    def __init__(self, path: str, words: bool, dtype: str = "<u2", limit: int = 700_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
-        self.words, self.dtype, self.limit = words, dtype, cache
-        if dtype == "<u2" and self.tok.get_vocab_size() > 65536:
+        self.words, self.dtype, self.limit = words, dtype, limit
+        size = self.tok.get_vocab_size()
+        if dtype == "<u2" and size > 65536:
             raise ValueError("the vocabulary needs 32-bit ids")
-        self.find = regex.compile(WORD_LEVEL if words else BYTE_LEVEL).findall
-        self.cache: dict[str, bytes] = {}
+        # in a text of many new words, an id that ends a word or stands between two
+        self.stop = np.array([words and (self.tok.id_to_token(i) or "").endswith("</w>") for i in range(size)])
+        if not words:
+            (line,) = self.tok.encode("\n", add_special_tokens=False).ids
+            self.stop[line] = True
+        self.cache = _Cache()
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, self.dtype).tobytes() for x in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _learn(self, new: list[str]) -> None:
+        """new: words, which for the byte-level vocabulary all follow a space."""
+        plain = [w for w in new if w and (self.words or not w.isspace() and "\n" not in w)]
+        rest = [w for w in new if not w or not (self.words or not w.isspace() and "\n" not in w)]
+        self.cache.update(zip(rest, self._whole(rest if self.words else [" " + w for w in rest])))
+        for at in range(0, len(plain), 2000):
+            part = plain[at : at + 2000]
+            if self.words:
+                self.cache.update(zip(part, self._split_words(part)))
+                continue
+            text = " " + "\n ".join(part) + "\n"
+            ids = np.array(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
+            ends = np.flatnonzero(self.stop[ids])
+            if len(ends) != len(part):
+                raise ValueError("the vocabulary does not keep line ends apart")
+            starts = [0, *(ends[:-1] + 1).tolist()]
+            self.cache.update((w, ids[a:b].tobytes()) for w, a, b in zip(part, starts, ends.tolist()))
+
+    def _split_words(self, part: list[str]) -> list[bytes]:
+        """Words of letters alone are one piece each and are told apart by their word ends; others are encoded one by one."""
+        single = [w for w in part if w.isalpha()]
+        other = [w for w in part if not w.isalpha()]
+        found = dict(zip(other, self._whole(other)))
+        if single:
+            ids = np.array(self.tok.encode_batch_fast([" ".join(single)], add_special_tokens=False)[0].ids, self.dtype)
+            ends = (np.flatnonzero(self.stop[ids]) + 1).tolist()
+            if len(ends) != len(single):
+                raise ValueError("the vocabulary does not mark word ends")
+            found.update((w, ids[a:b].tobytes()) for w, a, b in zip(single, [0, *ends], ends))
+        return [found[w] for w in part]
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """One bytes object of ids for each text; null is the empty text."""
         out: list = [b""] * len(texts)
-        group: list = []
-        size = 0
+        if len(self.cache) > self.limit:
+            self.cache.clear()
+        get, new, kept = self.cache.__getitem__, self.cache.new, []
         for i, t in enumerate(texts):
             if not t:
                 continue
-            if not SAFE(t):
+            if not SAFE(t) or not self.words and "  " in t:
                 out[i] = self._whole([t])[0]
                 continue
-            group.append((i, self.find(t.lower() if self.words else t)))
-            size += len(t)
-            if size > 2_000_000:
-                self._pieces(group, out)
-                group, size = [], 0
-        self._pieces(group, out)
+            if self.words:
+                kept.append((i, b"", list(map(get, t.lower().split()))))
+            else:
+                first, *rest = t.split(" ")
+                kept.append((i, self._whole([first])[0] if first else b"", list(map(get, rest))))
+        if new:
+            self._learn(new)
+            new.clear()
+        for i, head, found in kept:
+            out[i] = head + b"".join([x if x.__class__ is bytes else get(x) for x in found])
         return out
 
-    def _pieces(self, group: list, out: list) -> None:
-        cache = self.cache
-        new = list({w for _, p in group for w in p if w not in cache})
-        if len(cache) + len(new) > self.limit:
-            cache.clear()
-            new = list({w for _, p in group for w in p})
-        if new:
-            cache.update(zip(new, self._whole(new)))
-        get = cache.__getitem__
-        for i, p in group:
-            out[i] = b"".join(map(get, p))
+
+_encoders: dict[tuple[str, bool, str], Encoder] = {}
+
+
+def encoder(path: str, words: bool, dtype: str = "<u2") -> Encoder:
+    """One encoder for each vocabulary in a Python worker, kept over its tasks."""
+    key = (path, words, dtype)
+    if key not in _encoders:
+        _encoders[key] = Encoder(*key)
+    return _encoders[key]
