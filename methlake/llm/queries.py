@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .bagminhash import op10_bagminhash
 from .bpe import op9_byte_bpe
+from .langid import op3_langid
 from .matroska import op5_matroska
 from .packing import op2_packing
 from .token_files import op1_token_files
@@ -14,8 +16,10 @@ from .token_files import op1_token_files
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_packing": op2_packing,
+    "op3_langid": op3_langid,
     "op5_matroska": op5_matroska,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_bagminhash": op10_bagminhash,
 }
 
 ORACLE_SQL: dict[str, str] = {}
