@@ -87,10 +87,10 @@ def encoded(docs: DataFrame, tokenizer_path: str, end_id: int | None, id_col: st
         ids_of, projection = encoder(tokenizer_path, words).encode, _projection()
         tail = b"" if end_id is None else int(end_id).to_bytes(2, "little")
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
                 ids = part.column(0).to_pylist()
-                payloads = [p + tail for p in ids_of(part.column(1).to_pylist())]
+                payloads = [x.tobytes() + tail for x in ids_of(part.column(1).to_pylist())]
                 n = pa.array([len(p) // 2 for p in payloads], pa.int32())
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(_keys(payloads, ids, "<u2", projection)), n, pa.array(payloads, pa.binary())], ["doc_id", "key", "n", "ids"])
 

@@ -98,10 +98,10 @@ def _task_writer(folder: str, path: str, end: int | None, words: bool, width: in
         writer = None
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1)
-            for at in range(0, len(ids), 256):
-                for i, payload in zip(ids[at : at + 256], ids_of(texts.slice(at, 256).to_pylist())):
+            for at in range(0, len(ids), 1000):
+                for i, found in zip(ids[at : at + 1000], ids_of(texts.slice(at, 1000).to_pylist())):
                     writer = writer or ShardWriter(folder, width)
-                    writer.add(i, payload + tail)
+                    writer.add(i, found.tobytes() + tail)
         if writer:
             name, n, total = writer.close()
             shard = TaskContext.get().partitionId()

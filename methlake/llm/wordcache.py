@@ -1,9 +1,9 @@
 """Tokenizers applied once to each distinct piece of text that a worker meets.
 
-The pre-tokenizers of the vocabulary files never join what stands before a space with what stands after it, so a text is cut at its spaces, each
-piece is looked up, and the tokenizers library is asked only for new ones. Texts that don't allow this go to the library whole: those with
-characters outside a safe range (where two Unicode tables or the normalizer might differ), and, for the byte-level vocabulary, those
-with runs of spaces.
+The pre-tokenizers of the vocabulary files never join what stands before a space with what stands after it, so a batch of texts is cut at
+its spaces in array form, every piece is looked up by a 64-bit hash, and the tokenizers library is asked only for new ones. Texts that
+don't allow this go to the library whole: those with characters outside a safe range (where two Unicode tables or the
+normalizer might differ), and, for the byte-level vocabulary, those with runs of spaces.
 """
 
 from __future__ import annotations
@@ -13,30 +13,73 @@ import re
 
 import numpy as np
 
+from .shingles import mix, powers
+
 SAFE = re.compile("[\t\n\r -~¡-įĲ-ɏ]*").fullmatch
+_BLANK = np.zeros(256, bool)
+_BLANK[[9, 10, 13, 32]] = True
+
+
+class WordTable:
+    """Hash -> ids of a piece. Two sorted arrays (the large one is merged with the recent one now and then) and flat ids."""
 
+    def __init__(self, dtype: str):
+        self.dtype = dtype
+        self.clear()
 
-class _Cache(dict):
-    """word -> id bytes; a word that is new is listed and stands for itself until it is encoded."""
+    def clear(self) -> None:
+        self.levels = [(np.empty(0, np.uint64), np.empty(0, np.int32))] * 2
+        self.start, self.length, self.ids = np.empty(0, np.int64), np.empty(0, np.int64), [np.empty(0, self.dtype)]
+        self.total = 0
 
-    def __init__(self) -> None:
-        super().__init__()
-        self.new: list[str] = []
+    def __len__(self) -> int:
+        return len(self.length)
 
-    def __missing__(self, word: str) -> str:
-        self[word] = word
-        self.new.append(word)
-        return word
+    def find(self, h: np.ndarray) -> np.ndarray:
+        out = np.full(len(h), -1, np.int32)
+        for keys, entries in self.levels:
+            if len(keys):
+                at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+                hit = keys[at] == h
+                out[hit] = entries[at[hit]]
+        return out
+
+    def add(self, h: np.ndarray, lengths: np.ndarray, ids: np.ndarray) -> None:
+        entries = np.arange(len(self.length), len(self.length) + len(h), dtype=np.int32)
+        self.start = np.concatenate([self.start, self.total + np.cumsum(lengths) - lengths])
+        self.length = np.concatenate([self.length, lengths])
+        self.ids.append(ids)
+        self.total += len(ids)
+        (big, big_entries), (recent, recent_entries) = self.levels
+        recent, recent_entries = np.concatenate([recent, h]), np.concatenate([recent_entries, entries])
+        if len(recent) > max(50_000, len(big) // 4):
+            big, big_entries = np.concatenate([big, recent]), np.concatenate([big_entries, recent_entries])
+            order = np.argsort(big)
+            big, big_entries = big[order], big_entries[order]
+            recent, recent_entries = recent[:0], recent_entries[:0]
+            self.ids = [np.concatenate(self.ids)]
+        else:
+            order = np.argsort(recent)
+            recent, recent_entries = recent[order], recent_entries[order]
+        self.levels = [(big, big_entries), (recent, recent_entries)]
+
+    def gather(self, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all entries one after another, the length of each)."""
+        if len(self.ids) > 1:
+            self.ids = [np.concatenate(self.ids)]
+        n = self.length[entries]
+        ends = np.cumsum(n)
+        return self.ids[0][np.repeat(self.start[entries] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)], n
 
 
 class Encoder:
-    """Encodes texts to id bytes of the given dtype ('<u2' or '<u4').
+    """Encodes texts to ids of the given dtype ('<u2' or '<u4').
 
     words: the vocabulary drops white space and marks word ends (else it is byte-level and keeps a space with the word after it).
-    limit: pieces kept; beyond that the cache is emptied, so memory is bounded.
+    limit: pieces kept; beyond that the table is emptied, so memory is bounded.
     """
 
-    def __init__(self, path: str, words: bool, dtype: str = "<u2", limit: int = 700_000):
+    def __init__(self, path: str, words: bool, dtype: str = "<u2", limit: int = 2_500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -46,71 +89,96 @@ class Encoder:
         size = self.tok.get_vocab_size()
         if dtype == "<u2" and size > 65536:
             raise ValueError("the vocabulary needs 32-bit ids")
-        # in a text of many new words, an id that ends a word or stands between two
+        # in a text of many new words: the ids that end a word, or the id that stands between two
         self.stop = np.array([words and (self.tok.id_to_token(i) or "").endswith("</w>") for i in range(size)])
         if not words:
             (line,) = self.tok.encode("\n", add_special_tokens=False).ids
             self.stop[line] = True
-        self.cache = _Cache()
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(x.ids, self.dtype).tobytes() for x in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, new: list[str]) -> None:
-        """new: words, which for the byte-level vocabulary all follow a space."""
-        plain = [w for w in new if w and (self.words or not w.isspace() and "\n" not in w)]
-        rest = [w for w in new if not w or not (self.words or not w.isspace() and "\n" not in w)]
-        self.cache.update(zip(rest, self._whole(rest if self.words else [" " + w for w in rest])))
-        for at in range(0, len(plain), 2000):
-            part = plain[at : at + 2000]
-            if self.words:
-                self.cache.update(zip(part, self._split_words(part)))
-                continue
-            text = " " + "\n ".join(part) + "\n"
+        self.table = WordTable(dtype)
+
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(x.ids, self.dtype) for x in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, h: np.ndarray, new: list[str]) -> None:
+        """Encodes new pieces. Many go to the library as one text where its ids can be told apart: letters alone with word ends, or lines."""
+        alone = np.array([not w.isalpha() if self.words else "\n" in w or w.isspace() for w in new], bool)
+        many = np.flatnonzero(~alone)
+        for at in range(0, len(many), 2000):
+            part = many[at : at + 2000]
+            text = (" " if self.words else "\n").join([new[i] for i in part.tolist()]) + ("" if self.words else "\n")
             ids = np.array(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
             ends = np.flatnonzero(self.stop[ids])
             if len(ends) != len(part):
-                raise ValueError("the vocabulary does not keep line ends apart")
-            starts = [0, *(ends[:-1] + 1).tolist()]
-            self.cache.update((w, ids[a:b].tobytes()) for w, a, b in zip(part, starts, ends.tolist()))
-
-    def _split_words(self, part: list[str]) -> list[bytes]:
-        """Words of letters alone are one piece each and are told apart by their word ends; others are encoded one by one."""
-        single = [w for w in part if w.isalpha()]
-        other = [w for w in part if not w.isalpha()]
-        found = dict(zip(other, self._whole(other)))
-        if single:
-            ids = np.array(self.tok.encode_batch_fast([" ".join(single)], add_special_tokens=False)[0].ids, self.dtype)
-            ends = (np.flatnonzero(self.stop[ids]) + 1).tolist()
-            if len(ends) != len(single):
-                raise ValueError("the vocabulary does not mark word ends")
-            found.update((w, ids[a:b].tobytes()) for w, a, b in zip(single, [0, *ends], ends))
-        return [found[w] for w in part]
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """One bytes object of ids for each text; null is the empty text."""
-        out: list = [b""] * len(texts)
-        if len(self.cache) > self.limit:
-            self.cache.clear()
-        get, new, kept = self.cache.__getitem__, self.cache.new, []
+                raise ValueError("the vocabulary does not tell words apart")
+            if self.words:
+                self.table.add(h[part], np.diff(ends, prepend=-1), ids)
+            else:
+                self.table.add(h[part], np.diff(ends, prepend=-1) - 1, np.delete(ids, ends))
+        rest = np.flatnonzero(alone)
+        if len(rest):
+            found = self._whole([new[i] for i in rest.tolist()])
+            self.table.add(h[rest], np.array([len(x) for x in found]), np.concatenate(found))
+
+    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+        """The ids of each text; null is the empty text."""
+        out: list = [np.empty(0, self.dtype)] * len(texts)
+        if len(self.table) > self.limit:
+            self.table.clear()
+        group: list[tuple[int, bytes]] = []
+        size = 0
         for i, t in enumerate(texts):
             if not t:
                 continue
             if not SAFE(t) or not self.words and "  " in t:
                 out[i] = self._whole([t])[0]
                 continue
-            if self.words:
-                kept.append((i, b"", list(map(get, t.lower().split()))))
-            else:
-                first, *rest = t.split(" ")
-                kept.append((i, self._whole([first])[0] if first else b"", list(map(get, rest))))
-        if new:
-            self._learn(new)
-            new.clear()
-        for i, head, found in kept:
-            out[i] = head + b"".join([x if x.__class__ is bytes else get(x) for x in found])
+            group.append((i, (t.lower() if self.words else t).encode()))
+            size += len(group[-1][1])
+            if size > 4_000_000:
+                self._group(group, out)
+                group, size = [], 0
+        self._group(group, out)
         return out
 
+    def _group(self, group: list[tuple[int, bytes]], out: list) -> None:
+        if not group:
+            return
+        raw = b"".join([r for _, r in group])
+        data = np.frombuffer(raw, "u1")
+        ends = np.cumsum([len(r) for _, r in group])
+        begins = ends - [len(r) for _, r in group]
+        if self.words:
+            inside = ~_BLANK[data]
+            first = inside.copy()
+            first[1:] &= ~inside[:-1]
+            first[begins] = inside[begins]
+            last = inside.copy()
+            last[:-1] &= ~inside[1:]
+            last[ends - 1] = inside[ends - 1]
+            a, b = np.flatnonzero(first), np.flatnonzero(last) + 1
+        else:
+            first = data == 32
+            first[begins] = True
+            a = np.flatnonzero(first)
+            b = np.append(a[1:], len(data))
+        if not len(a):
+            return
+        up, down = powers(len(data) + 1)
+        run = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:-1], out=run[1:])
+        h = mix((run[b] - run[a]) * down[a] + (b - a).astype(np.uint64))
+        keys, place, back = np.unique(h, return_index=True, return_inverse=True)
+        entries = self.table.find(keys)
+        new = np.flatnonzero(entries < 0)
+        if len(new):
+            self._learn(keys[new], [raw[x:y].decode() for x, y in zip(a[place[new]].tolist(), b[place[new]].tolist())])
+            entries[new] = self.table.find(keys[new])
+        ids, n = self.table.gather(entries[back])
+        after = np.concatenate([[0], np.cumsum(n)])
+        cut = after[np.searchsorted(a, np.concatenate([begins, ends[-1:]]))].tolist()
+        for (i, _), x, y in zip(group, cut, cut[1:]):
+            out[i] = ids[x:y]
+
 
 _encoders: dict[tuple[str, bool, str], Encoder] = {}
 
