@@ -8,16 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bagminhash import op10_bagminhash
 from .bpe import op9_byte_bpe
+from .embeddings import op4_embeddings
 from .langid import op3_langid
 from .matroska import op5_matroska
 from .packing import op2_packing
 from .token_files import op1_token_files
+from .toxicity import op6_toxicity
+from .wrappers import op7_wrappers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_packing": op2_packing,
     "op3_langid": op3_langid,
+    "op4_embeddings": op4_embeddings,
     "op5_matroska": op5_matroska,
+    "op6_toxicity": op6_toxicity,
+    "op7_wrappers": op7_wrappers,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_bagminhash": op10_bagminhash,
 }

@@ -28,7 +28,7 @@ from .shingles import mix, shingles
 SAMPLE = 3000
 TERMS, NEIGHBOURS, BLOCK, BEGINNINGS = 1024, 15, 64, (4, 5, 6)
 #: log-likelihood ratio (twice the log) and fewest examples of a term
-STRENGTH, LEAST = 30.0, 6
+STRENGTH, LEAST = 24.0, 5
 
 _words = re.compile(r"[^\W\d_]+").findall
 
