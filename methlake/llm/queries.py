@@ -12,6 +12,7 @@ from .embeddings import op4_embeddings
 from .langid import op3_langid
 from .matroska import op5_matroska
 from .packing import op2_packing
+from .substrings import op8_run_length_index
 from .token_files import op1_token_files
 from .toxicity import op6_toxicity
 from .wrappers import op7_wrappers
@@ -24,6 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_matroska": op5_matroska,
     "op6_toxicity": op6_toxicity,
     "op7_wrappers": op7_wrappers,
+    "op8_run_length_index": op8_run_length_index,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_bagminhash": op10_bagminhash,
 }

@@ -143,7 +143,11 @@ def _halved(contexts: DataFrame, length: int) -> DataFrame:
         done = spans if done is None else done.unionByName(spans)
         if size == 1:
             return done
-        nodes = live.where("hit is null").select("text_id", "x", "a", "lo", "hi", "bytes", F.explode(F.array(F.col("b"), F.col("b") + size // 2)).alias("b"))
+        # of halves with the same bytes that are marked now, one stays as the other place of what remains
+        left = live.where("hit is null").select("text_id", "x", "a", "lo", "hi", "bytes", "b")
+        stay = live.where("hit").groupBy("x", "b", "whole").agg(F.first(F.struct("text_id", "a", "lo", "hi", "bytes")).alias("r"))
+        left = left.unionByName(stay.select("r.text_id", "x", "r.a", "r.lo", "r.hi", "r.bytes", "b"))
+        nodes = left.select("text_id", "x", "a", "lo", "hi", "bytes", F.explode(F.array(F.col("b"), F.col("b") + size // 2)).alias("b"))
         size //= 2
         nodes = nodes.where(F.expr(f"a - b >= lo and a - b - {size - 1} <= hi"))
 
