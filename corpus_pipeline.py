@@ -1,18 +1,65 @@
-"""A corpus pipeline of five stages over documents."""
+"""A corpus pipeline of five stages over documents: toxicity, language, near duplicates, repeated strings, packing."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-STAGES: list = []
+from methlake.llm import bagminhash, langid, packing, substrings, toxicity
+
+
+def _columns(df: DataFrame, like: DataFrame) -> DataFrame:
+    return df.select(*(df[f"`{c}`"] for c in like.columns))
+
+
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not predicted toxic. Null and empty texts stay."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    judged = toxicity.judge(docs, toxicity.fit(docs, labels, F.lit(True)), name="__toxicity")
+    return _columns(judged.where(F.col("__toxicity.score") < 0.5), docs)
+
+
+def spoken(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in one of the corpus's languages. Null texts, texts without a letter and implausible ones go."""
+    judged = langid.identify(docs, langid.fit(docs, F.lit(True)), name="__langid")
+    return _columns(judged.where("__langid.accepted"), docs)
+
+
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that with the least id, of each class of near duplicates. Rows that repeat an id are one document; rows with a null id stay."""
+    kept = bagminhash.near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
+    ids = docs.where("doc_id is not null")
+    if not ids.groupBy("doc_id").count().where("count > 1").isEmpty():
+        ids = ids.dropDuplicates(["doc_id"])
+    return _columns(ids.join(kept, "doc_id", "left_semi"), docs).unionByName(docs.where("doc_id is null"))
+
+
+def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the strings of 400 bytes that occur at another place too; n_chars is that of the new text."""
+    cut = substrings.without_repeats(docs)
+    return cut.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else cut
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row for each piece of a packed sequence of 4096 tokens."""
+    import public_tokenizers as P
+
+    return packing.piece_digests(packing.pack(docs, P.path("word_bpe_49k.json")))
+
+
+STAGES = [("toxicity", clean), ("language", spoken), ("near_duplicates", distinct), ("repeated_strings", unrepeated), ("packing", packed)]
 
 #: The stages can't be expressed in SQL; tests/llm holds each against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents."""
+    """All stages over documents, each written in the shared folder for the next."""
+    from methlake.llm.common import written
+
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for name, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
+        if name != STAGES[-1][0]:
+            docs = written(docs, name)
     return docs

@@ -278,8 +278,8 @@ def _calibrate(model: Model, held: DataFrame, spark: SparkSession) -> None:
 PREDICTED = "lang_pred string, score double, cross_entropy double, accepted boolean"
 
 
-def identify(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The columns ``keep`` of docs (all by default) with the struct column ``langid``: lang_pred, score (0 to 1), cross_entropy, accepted.
+def identify(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None, name: str = "langid") -> DataFrame:
+    """The columns ``keep`` of docs (all by default) with the struct column ``name``: lang_pred, score (0 to 1), cross_entropy, accepted.
 
     Null texts and texts without a letter are ``und`` with score 0 and not accepted. Each row is judged alone, by its text only.
     """
@@ -298,7 +298,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", keep: list[s
         return pa.concat_arrays(parts)
 
     columns = [docs[f"`{c}`"] for c in (keep if keep is not None else docs.columns)]
-    return docs.select(*columns, judge(docs[f"`{text_col}`"].cast("string")).alias("langid"))
+    return docs.select(*columns, judge(docs[f"`{text_col}`"].cast("string")).alias(name))
 
 
 def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:

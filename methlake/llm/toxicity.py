@@ -230,8 +230,8 @@ def _isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray,
 JUDGED = "score double, examples array<long>, cosines array<double>"
 
 
-def judge(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The columns ``keep`` of docs (all by default) with the struct ``toxicity``: score, and as evidence the nearest examples' ids and cosines.
+def judge(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None, name: str = "toxicity") -> DataFrame:
+    """The columns ``keep`` of docs (all by default) with the struct ``name``: score, and as evidence the nearest examples' ids and cosines.
 
     Null and empty texts and texts without a term of the model get the model's score for such texts and no evidence.
     """
@@ -244,7 +244,7 @@ def judge(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str]
         return pa.StructArray.from_arrays([pa.array(score, pa.float64()), pa.array(ids, pa.list_(pa.int64())), pa.array(cosines, pa.list_(pa.float64()))], ["score", "examples", "cosines"])
 
     columns = [docs[f"`{c}`"] for c in (keep if keep is not None else docs.columns)]
-    return docs.select(*columns, run(docs[f"`{text_col}`"].cast("string")).alias("toxicity"))
+    return docs.select(*columns, run(docs[f"`{text_col}`"].cast("string")).alias(name))
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
