@@ -6,7 +6,7 @@ A text keeps, for each slot, the least time among the points that lie below the
 their weighted Jaccard similarity (sum of minima over sum of maxima). Points are made in time order, only while they can be
 under the text's greatest slot, so that most intervals stop after their first point.
 
-Signatures are banded; texts that share a band are candidates and their multisets are compared exactly.
+Signatures are banded; texts that share a band, directly or over others, are candidates and their multisets are compared exactly.
 """
 
 from __future__ import annotations
@@ -18,12 +18,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import partitions, written
 from .components import components
 from .shingles import counted, mix, shingles
 
 #: 24 bands of 4 slots: a pair at similarity 0.8 shares no band with probability (1 - 0.8**4)**24 = 3e-6
 BANDS, ROWS, SIZE, THRESHOLD = 24, 4, 5, 0.8
+#: nodes of a block that is compared with another in one task
+BLOCK = 512
 
 
 def signatures(h: np.ndarray, of: np.ndarray, count: np.ndarray, texts: int, m: int) -> tuple[np.ndarray, np.ndarray]:
@@ -109,83 +111,115 @@ def _chunks(texts: pa.Array, size: int) -> Iterator[tuple[int, int]]:
         yield at, len(lengths) - at
 
 
-def verified(pairs: DataFrame, texts: DataFrame, size: int, threshold: float) -> DataFrame:
-    """The pairs (a, b) of node ids whose texts' multisets are that similar. texts: node, text."""
-    left = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("s")), "a")
-    both = left.join(texts.select(F.col("node").alias("b"), F.col("text").alias("t")), "b").select("a", "b", "s", "t")
+def links_of_block(x: list[tuple[int, str]], y: list[tuple[int, str]] | None, size: int, threshold: float) -> list[tuple[int, int]]:
+    """Edges of a spanning forest of the links between two blocks of (node, text), or inside one.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 400):
-                part = batch.slice(at, 400)
-                a, b, s, t = (part.column(k).to_pylist() for k in range(4))
-                distinct = {x: i for i, x in enumerate(dict.fromkeys([*s, *t]))}
-                h, of, count = counted(*shingles(list(distinct), size))
-                cut = np.searchsorted(of, np.arange(len(distinct) + 1)).tolist()
-                sets = [(h[i:j], count[i:j]) for i, j in zip(cut, cut[1:])]
-                keep = [similarity(sets[distinct[x]], sets[distinct[y]]) >= threshold for x, y in zip(s, t)]
-                yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+    A multiset is the set of its (shingle, i-th occurrence) pairs; the sizes of all intersections are one product of 0/1 matrices over the
+    pairs that two texts or more have.
+    """
+    both = [*x, *(y or ())]
+    h, of, count = counted(*shingles([t for _, t in both], size))
+    total = np.bincount(of, count, len(both))
+    n = len(x)
+    if len(both) < 4:
+        cut = np.searchsorted(of, np.arange(len(both) + 1)).tolist()
+        sets = [(h[i:j], count[i:j]) for i, j in zip(cut, cut[1:])]
+        found = [(i, j) for i in range(n) for j in range(i + 1 if y is None else n, len(both)) if similarity(sets[i], sets[j]) >= threshold]
+        return _forest(found, [i for i, _ in both])
+    of = np.repeat(of, count)
+    feature = np.repeat(h, count)
+    nth = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
+    feature = mix(feature + nth.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    _, feature, df = np.unique(feature, return_inverse=True, return_counts=True)
+    keep = df[feature] > 1
+    of, feature = of[keep], np.unique(feature[keep], return_inverse=True)[1]
+    order = np.argsort(feature, kind="stable")
+    of, feature = of[order], feature[order]
+    width = 8192
+    right = slice(0, n) if y is None else slice(n, len(both))
+    common = np.zeros((n, right.stop - right.start), np.float32)
+    for at in range(0, int(feature[-1]) + 1 if len(feature) else 0, width):
+        i, j = np.searchsorted(feature, (at, at + width))
+        part = np.zeros((len(both), width), np.float32)
+        part[of[i:j], feature[i:j] - at] = 1
+        common += part[:n] @ part[right].T
+    union = total[:n, None] + total[None, right] - common
+    i, j = np.nonzero((union > 0) & (common >= threshold * union - 1e-6))
+    if y is None:
+        i, j = i[i < j], j[i < j]
+    else:
+        j = j + n
+    # the matrices hold whole numbers, so the quotient decides exactly
+    c, u = common[i, j - right.start].astype(float), union[i, j - right.start].astype(float)
+    good = c / u >= threshold
+    return _forest(list(zip(i[good].tolist(), j[good].tolist())), [k for k, _ in both])
+
+
+def _forest(pairs: list[tuple[int, int]], nodes: list[int]) -> list[tuple[int, int]]:
+    parent = list(range(len(nodes)))
+
+    def root(k: int) -> int:
+        while parent[k] != k:
+            parent[k] = parent[parent[k]]
+            k = parent[k]
+        return k
 
-    return both.mapInArrow(run, "a long, b long")
+    out = []
+    for a, b in pairs:
+        a_, b_ = root(a), root(b)
+        if a_ != b_:
+            parent[max(a_, b_)] = min(a_, b_)
+            out.append((nodes[a], nodes[b]))
+    return out
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, small: int = 12, max_rounds: int = 20) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, block: int = BLOCK) -> DataFrame:
     """doc_id, class_id, n_distinct, kept: each document with the least id of its class of near duplicates.
 
     A class is a connected component over the links, pairs of texts with similarity >= threshold; n_distinct counts its distinct
     shingle multisets; kept marks one document of each class (doc_id = class_id). Documents without a word (null, empty) and documents with a null id are classes of their own; rows that
-    repeat an id are one document per id for links and come back once each. Other columns of docs are not read.
+    repeat an id are one document for links and come back each. Other columns of docs are not read.
 
-    Documents with one shingle multiset are one node. In a bucket (band value) of up to ``small`` nodes every pair is compared; in a larger one
-    every node is compared with the bucket's least node, and then, round by round, the classes that still meet in a bucket: first by their
-    least members; when that finds no link any more, every pair of nodes of two classes in the bucket. No pair of a bucket
-    that could join two classes is left out.
+    Documents with one shingle multiset are one node. Nodes that share a band are joined into candidate groups; inside a group every pair is
+    compared exactly, in tiles of two blocks of about ``block`` nodes, and a tile gives back the edges of a spanning forest of its
+    links. So no pair of a group is left out, no task holds more than two blocks, and what leaves the tiles is linear in their blocks.
     """
     spark = docs.sparkSession
     rows_ = written(signed(docs, id_col, text_col, size, bands, rows), "signed")
     member = rows_.where(F.col("print").isNotNull() & F.col("doc_id").isNotNull())
     nodes = member.groupBy("print").agg(F.min("doc_id").alias("node"))
     members = written(member.select("doc_id", "print").join(nodes, "print").select("doc_id", "node"), "members")
-    # a node stands in for its copies; repeated rows of one id may give it more than one set of bands
+    # a node stands in for its copies
     heads = members.where("doc_id = node").select("node").distinct()
-    banded = member.select(F.col("doc_id").alias("node"), F.posexplode("bands").alias("k", "v")).join(heads, "node", "left_semi")
-    buckets = banded.select("node", F.xxhash64("k", "v").alias("bucket")).distinct()
-    shared = buckets.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("hub")).where("n > 1")
-    buckets = written(buckets.join(shared, "bucket"), "buckets")
-    near = buckets.select("node").distinct()
-    texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).cast("string").alias("text")).join(near, "node", "left_semi")
-    texts = written(texts.dropDuplicates(["node"]) if _repeats(member) else texts, "texts")
-
-    few = buckets.where(F.col("n") <= small).select("bucket", "node")
-    pairs = few.select("bucket", F.col("node").alias("a")).join(few.select("bucket", F.col("node").alias("b")), "bucket").where("a < b").select("a", "b")
-    star = buckets.where((F.col("n") > small) & (F.col("hub") < F.col("node"))).select(F.col("hub").alias("a"), F.col("node").alias("b"))
-    tried = written(pairs.unionByName(star).distinct(), "pairs")
-    links = written(verified(tried, texts, size, threshold), "links")
-    large = buckets.where(F.col("n") > small).select("bucket", "node")
-    classes = written(components(links), "classes")
-    full = large.isEmpty()
-    for _ in range(max_rounds):
-        if full:
-            break
-        placed = large.join(classes, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("c"))
-        meets = placed.groupBy("bucket", "c").agg(F.min("node").alias("node"))
-        hubs = meets.groupBy("bucket").agg(F.min_by("node", "c").alias("hub"), F.count("*").alias("k")).where("k > 1")
-        todo = meets.join(hubs, "bucket").where("node <> hub").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-        todo = written(todo, "pairs")
-        if todo.isEmpty():
-            split = placed.join(hubs.select("bucket"), "bucket", "left_semi")
-            todo = split.select("bucket", F.col("node").alias("a"), F.col("c").alias("p")).join(split.select("bucket", F.col("node").alias("b"), F.col("c").alias("q")), "bucket").where("p < q")
-            todo = written(todo.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
-            full = True
-        found = written(verified(todo, texts, size, threshold), "links")
-        tried = tried.unionByName(todo)
-        if not found.isEmpty():
-            links = links.unionByName(found)
-            classes = written(components(links), "classes")
-        elif full:
-            break
-    else:
-        raise RuntimeError("near-duplicate classes did not settle")
+    banded = member.select(F.col("doc_id").alias("node"), "bands").join(heads, "node", "left_semi")
+    buckets = banded.select("node", F.posexplode("bands").alias("k", "v")).select("node", F.xxhash64("k", "v").alias("bucket"))
+    hubs = buckets.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub < last").select("bucket", "hub")
+    groups = components(buckets.join(hubs, "bucket"), "node", "hub").withColumnRenamed("component", "grp")
+    sizes = groups.groupBy("grp").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    groups = groups.join(sizes, "grp").withColumn("b", F.pmod(F.hash("node"), "blocks"))
+    texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).cast("string").alias("text"))
+    blocked = texts.join(groups, "node").groupBy("grp", "blocks", "b").agg(F.collect_list(F.struct("node", "text")).alias("m"))
+    blocked = written(blocked, "blocks")
+    # block b meets itself and the half of the ring after it: each pair of blocks once, every block as often
+    own = blocked.select(F.col("m").alias("x"), F.lit(None).cast(blocked.schema["m"].dataType).alias("y"))
+    many = blocked.where("blocks > 1")
+    reach = F.floor(F.col("blocks") / 2).cast("int")
+    left = many.withColumn("step", F.explode(F.sequence(F.lit(1), reach))).where(~((F.col("step") * 2 == F.col("blocks")) & (F.col("b") * 2 >= F.col("blocks"))))
+    left = left.select("grp", F.pmod(F.col("b") + F.col("step"), "blocks").alias("b"), F.col("m").alias("x"))
+    tiles = own.unionByName(left.join(many.select("grp", "b", F.col("m").alias("y")), ["grp", "b"]).select("x", "y"))
+    tiles = tiles.repartition(4 * partitions(spark))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            edges: list[tuple[int, int]] = []
+            for k in range(batch.num_rows):
+                x, y = ([(r["node"], r["text"]) for r in c[k].as_py()] if c[k].is_valid else None for c in batch.columns)
+                if y is not None or len(x) > 1:
+                    edges += links_of_block(x, y, size, threshold)
+            a, b = zip(*edges) if edges else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    classes = components(tiles.mapInArrow(run, "a long, b long"))
     placed = members.join(classes, "node", "left").select("doc_id", "node", F.coalesce("component", "node").alias("class_id"))
     sizes = placed.groupBy("class_id").agg(F.countDistinct("node").alias("n_distinct"))
     placed = placed.join(sizes, "class_id").select("doc_id", "class_id", "n_distinct")
@@ -193,11 +227,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return placed.unionByName(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)))
 
 
-def _repeats(member: DataFrame) -> bool:
-    """Whether an id stands in more than one row."""
-    return not member.groupBy("doc_id").count().where("count > 1").isEmpty()
-
-
 def op10_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents -> class of near duplicates of each document."""
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
