@@ -198,7 +198,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sizes = groups.groupBy("grp").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
     groups = groups.join(sizes, "grp").withColumn("b", F.pmod(F.hash("node"), "blocks"))
     texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).cast("string").alias("text"))
-    blocked = texts.join(groups, "node").groupBy("grp", "blocks", "b").agg(F.collect_list(F.struct("node", "text")).alias("m"))
+    # the groups grow with the corpus: no size at which they would be broadcast
+    blocked = texts.join(groups.hint("merge"), "node").groupBy("grp", "blocks", "b").agg(F.collect_list(F.struct("node", "text")).alias("m"))
     blocked = written(blocked, "blocks")
     # block b meets itself and the half of the ring after it: each pair of blocks once, every block as often
     own = blocked.select(F.col("m").alias("x"), F.lit(None).cast(blocked.schema["m"].dataType).alias("y"))
