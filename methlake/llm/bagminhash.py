@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import partitions, written
+from .common import partitions, tidy, written
 from .components import components
 from .shingles import counted, mix, shingles
 
@@ -93,7 +93,7 @@ def signed(docs: DataFrame, id_col: str, text_col: str, size: int, bands: int, r
                 values = pa.ListArray.from_arrays(pa.array(np.arange(0, n * bands + 1, bands), pa.int32()), pa.array(band.view(np.int64).ravel()))
                 yield pa.RecordBatch.from_arrays([ids.slice(at, n), pa.array(prints, pa.binary()), values], ["doc_id", "print", "bands"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("t")).mapInArrow(run, SIGNED)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("t")).mapInArrow(tidy(run), SIGNED)
 
 
 def _chunks(texts: pa.Array, size: int) -> Iterator[tuple[int, int]]:
@@ -220,7 +220,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             a, b = zip(*edges) if edges else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    classes = components(tiles.mapInArrow(run, "a long, b long"))
+    classes = components(tiles.mapInArrow(tidy(run), "a long, b long"))
     placed = members.join(classes, "node", "left").select("doc_id", "node", F.coalesce("component", "node").alias("class_id"))
     sizes = placed.groupBy("class_id").agg(F.countDistinct("node").alias("n_distinct"))
     placed = placed.join(sizes, "class_id").select("doc_id", "class_id", "n_distinct")

@@ -21,6 +21,8 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import tidy
+
 NONE = np.int32(2**31 - 1)
 
 
@@ -214,7 +216,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
                 ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(found)))
                 yield pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), ids], ["doc_id", "ids"])
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, "doc_id long, ids array<int>")
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(tidy(run), "doc_id long, ids array<int>")
 
 
 def decode(tokens: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -225,7 +227,7 @@ def decode(tokens: DataFrame, path: str, pattern: str) -> DataFrame:
             raw = [None if x is None else codec(path, pattern).decode(x) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(raw, pa.binary())], ["doc_id", "bytes"])
 
-    return tokens.select("doc_id", "ids").mapInArrow(run, "doc_id long, bytes binary")
+    return tokens.select("doc_id", "ids").mapInArrow(tidy(run), "doc_id long, bytes binary")
 
 
 ROUND_TRIP = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -241,7 +243,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
                 n, a, b = zip(*out)
                 yield pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), pa.array(n, pa.int64()), pa.array(a), pa.array(b)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, ROUND_TRIP)
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(tidy(run), ROUND_TRIP)
 
 
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

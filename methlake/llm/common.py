@@ -52,3 +52,29 @@ def spread(df: DataFrame, *cols: str) -> DataFrame:
 def id_bucket(col, n: int):
     """crc32 of the id as decimal text, modulo n."""
     return F.crc32(F.col(col).cast("string").cast("binary")) % n
+
+
+def tidy(run):
+    """run (for mapInArrow), after which the worker gives the memory it no longer uses back to the system: workers live on over many tasks."""
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            released()
+
+    return wrapped
+
+
+def released() -> None:
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import partitions, written
+from .common import partitions, tidy, written
 from .components import components
 
 THRESHOLD, BLOCK = 0.98, 1024
@@ -103,7 +103,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
             for k in range(batch.num_rows):
                 yield _compared(_members(batch.column(0), k), _members(batch.column(1), k), threshold)
 
-    out = written(tiles.mapInArrow(run, "node long, links long, other long"), "tiles")
+    out = written(tiles.mapInArrow(tidy(run), "node long, links long, other long"), "tiles")
     counts = out.groupBy("node").agg(F.sum("links").alias("links"))
     classes = components(out.where("other is not null"), "node", "other")
     linked = counts.join(classes, "node", "left")

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import id_bucket, written
+from .common import id_bucket, released, tidy, written
 from .shingles import mix
 
 ORDER, PAD, SPACE = 4, 1, 32
@@ -204,7 +204,7 @@ def _counted(sample: DataFrame) -> DataFrame:
                 key, n = np.unique(grams(c)[c != PAD], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array([x] * len(key), pa.string()), pa.array(key.view(np.int64)), pa.array(n)], ["lang", "key", "n"])
 
-    return sample.select("lang", "text").mapInArrow(run, "lang string, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("n"))
+    return sample.select("lang", "text").mapInArrow(tidy(run), "lang string, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("n"))
 
 
 def fit(docs: DataFrame, train, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> Model:
@@ -253,7 +253,7 @@ def _calibrate(model: Model, held: DataFrame, spark: SparkSession) -> None:
             h, n, _ = shared.value.entropies(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(h.tolist(), pa.list_(pa.float64()))], ["lang", "n", "h"])
 
-    seen = held.select("lang", "text").mapInArrow(run, "lang string, n long, h array<double>").where("n > 0").toPandas()
+    seen = held.select("lang", "text").mapInArrow(tidy(run), "lang string, n long, h array<double>").where("n > 0").toPandas()
     model.limits = np.tile([3.0, 0.5, 3.0], (width, 1))
     if not len(seen):
         return
@@ -291,10 +291,11 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", keep: list[s
     @arrow_udf(PREDICTED)
     def judge(texts: pa.Array) -> pa.Array:
         parts = []
-        for at in range(0, max(1, len(texts)), 500):
-            part = texts.slice(at, 500).to_pylist()
+        for at in range(0, max(1, len(texts)), 250):
+            part = texts.slice(at, 250).to_pylist()
             names, score, h, ok = shared.value.predict(part)
             parts.append(pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(score, pa.float64()), pa.array(h, pa.float64()), pa.array(ok, pa.bool_())], fields=list(kind)))
+        released()
         return pa.concat_arrays(parts)
 
     columns = [docs[f"`{c}`"] for c in (keep if keep is not None else docs.columns)]

@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import tidy
+
 # fixed values: element ids
 EBML, VERSION, READ_VERSION, MAX_ID, MAX_SIZE, DOC_TYPE, DOC_VERSION, DOC_READ = 0x1A45DFA3, 0x4286, 0x42F7, 0x42F2, 0x42F3, 0x4282, 0x4287, 0x4285
 SEGMENT, INFO, SCALE, DURATION, MUXER, WRITER = 0x18538067, 0x1549A966, 0x2AD7B1, 0x4489, 0x4D80, 0x5741
@@ -261,7 +263,7 @@ def media_column(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 both = [padded(t) for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([n for n, _ in both], pa.int64()), pa.array([mux(p) for _, p in both], pa.binary())], ["doc_id", "n_bytes", "media"])
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, MEDIA)
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(tidy(run), MEDIA)
 
 
 def packets(media: DataFrame) -> DataFrame:
@@ -276,7 +278,7 @@ def packets(media: DataFrame) -> DataFrame:
                     kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_()]
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
-    return media.select("doc_id", "media").mapInArrow(run, PACKETS)
+    return media.select("doc_id", "media").mapInArrow(tidy(run), PACKETS)
 
 
 DIGEST = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, packets long, clusters long, cues long, feature string"
@@ -305,7 +307,7 @@ def media_digests(media: DataFrame) -> DataFrame:
             columns = list(zip(*out)) if out else [()] * len(fields)
             yield pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields)], [n for n, _ in fields])
 
-    return media.mapInArrow(run, DIGEST)
+    return media.mapInArrow(tidy(run), DIGEST)
 
 
 def op5_matroska(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from .common import partitions, written
+from .common import partitions, tidy, written
 from .wordcache import encoder
 
 DIMS, BITS, BUCKETS, TIE_BITS = 4, 12, 256, 15
@@ -94,7 +94,7 @@ def encoded(docs: DataFrame, tokenizer_path: str, end_id: int | None, id_col: st
                 n = pa.array([len(p) // 2 for p in payloads], pa.int32())
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(_keys(payloads, ids, "<u2", projection)), n, pa.array(payloads, pa.binary())], ["doc_id", "key", "n", "ids"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("t")).mapInArrow(run, ENCODED)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("t")).mapInArrow(tidy(run), ENCODED)
 
 
 def pack(docs: DataFrame, tokenizer_path: str, end_id: int | None = 2, length: int = 4096, id_col: str = "doc_id", text_col: str = "text", words: bool = True) -> DataFrame:
@@ -140,7 +140,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int | None = 2, length: i
             yield _batch(out)
 
     dealt = rows.select("doc_id", "part", "ids", "key").repartition(parts, "part").sortWithinPartitions("part", "key", "doc_id", "ids")
-    return dealt.select("doc_id", "part", "ids").mapInArrow(run, PIECES)
+    return dealt.select("doc_id", "part", "ids").mapInArrow(tidy(run), PIECES)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:

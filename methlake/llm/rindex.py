@@ -1,6 +1,6 @@
 """A run-length index of a repetitive collection of strings.
 
-The strings are sorted by suffix (prefix tripling on integer ranks), which gives the Burrows-Wheeler transform; only its runs are kept, with the text place of
+The strings are sorted by suffix (seven characters at first, then prefix tripling on ranks), which gives the Burrows-Wheeler transform; only its runs are kept, with the text place of
 each run's first suffix (a sample), the place of the suffix sorted before it, and their common prefix length. Between two samples q < q' of the text the
 rest follows: the suffix before p's in sorted order is at before(q) + (p - q), and their common prefix has length lcp(q) - (p - q). So the matching
 statistics of the collection against itself are streamed from the samples, a few numbers per run.
@@ -11,7 +11,7 @@ from __future__ import annotations
 import numpy as np
 
 #: texts of one index, in characters, at most (three ranks must fit one 64-bit key)
-MAX_TEXT = (1 << 21) - 1
+MAX_TEXT = (1 << 20) - 1
 
 
 class RunIndex:
@@ -53,32 +53,42 @@ class RunIndex:
 
 
 def _suffix_order(text: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """The suffixes' places in sorted order; separators sort before all characters, each differs from the others."""
+    """The suffixes' places in sorted order; separators sort before all characters, and a suffix that reaches one equals no other."""
     n = len(text)
-    rank = text.astype(np.int64) + len(ends)
-    rank[ends] = np.arange(len(ends))
-    rank = np.unique(rank, return_inverse=True)[1].astype(np.int64)
     bits = max(1, int(n).bit_length())
-    order, slots, step = None, None, 1
+    # the first key is the next seven characters, up to a separator (characters count from 1)
+    wide = text.astype(np.uint64) + np.uint64(1)
+    wide[ends] = 0
+    wide = np.concatenate([wide, np.zeros(6, np.uint64)])
+    to_end = ends[np.searchsorted(ends, np.arange(n))] - np.arange(n)
+    key = np.zeros(n, np.uint64)
+    for k in range(7):
+        key = (key << np.uint64(9)) | np.where(to_end > k, wide[k : k + n], np.uint64(0))
+    order = np.argsort(key)
+    # suffixes that reach a separator: equal ones by place, which is the order of their separators
+    near = np.flatnonzero(to_end[order] < 7)
+    order[near] = order[near][np.lexsort((order[near], key[order[near]]))]
+    fresh = np.ones(n, bool)
+    fresh[1:] = (key[order][1:] != key[order][:-1]) | (to_end[order][1:] < 7)
+    slots = np.arange(n)
+    rank = np.empty(n, np.int64)
+    rank[order] = np.maximum.accumulate(np.where(fresh, slots, 0))
+    step = 7
     while True:
+        tied = ~fresh
+        tied[:-1] |= ~fresh[1:]
+        if not tied.any():
+            return order
+        slots = slots[tied]
         padded = np.concatenate([rank + 1, np.zeros(2 * step, np.int64)])
-        at = np.arange(n) if order is None else order[slots]
+        at = order[slots]
         key = (padded[at] << (2 * bits)) | (padded[at + step] << bits) | padded[at + 2 * step]
         by = np.argsort(key)
         at, key = at[by], key[by]
         fresh = np.concatenate([[True], key[1:] != key[:-1]])
-        if order is None:
-            order, slots = at, np.arange(n)
-        else:
-            order[slots] = at
+        order[slots] = at
         # a group's rank is the slot of its first member
-        first = np.maximum.accumulate(np.where(fresh, slots, 0))
-        rank[at] = first
-        tied = ~fresh
-        tied[:-1] |= ~fresh[1:]
-        if not tied.any():
-            return order
-        slots = slots[tied]
+        rank[at] = np.maximum.accumulate(np.where(fresh, slots, 0))
         step *= 3
 
 

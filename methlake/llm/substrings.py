@@ -23,13 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import new_path, partitions, written
+from .common import new_path, partitions, tidy, written
 from .rindex import MAX_TEXT, RunIndex
 from .shingles import mix, powers
 
-LENGTH, ANCHOR = 400, 32
+LENGTH, ANCHOR = 400, 96
 #: runs of one anchor that one index takes
-CROWD = 1500
+CROWD = 600
 #: bytes of a text that are looked at together
 SLAB = 1 << 23
 
@@ -73,7 +73,7 @@ def _runs(texts: DataFrame, length: int, gram: int) -> DataFrame:
                 columns = [np.concatenate([f[k] for f in found]) if found else np.empty(0, np.int64) for k in range(4)]
                 yield pa.RecordBatch.from_arrays([ids.take(owner), *(pa.array(c) for c in columns)], ["text_id", "x", "a", "lo", "hi"])
 
-    return texts.select("text_id", "bytes").where(F.length("bytes") >= length).mapInArrow(run, RUNS)
+    return texts.select("text_id", "bytes").where(F.length("bytes") >= length).mapInArrow(tidy(run), RUNS)
 
 
 SPANS = "text_id binary, b long, e long"
@@ -82,40 +82,52 @@ SPANS = "text_id binary, b long, e long"
 def _indexed(contexts: DataFrame, length: int) -> DataFrame:
     """Spans of repeated strings of runs (text_id, x, lo, bytes); the runs of one x stand together in a partition."""
 
-    def found(group: list[tuple[bytes, int, bytes]]) -> pa.RecordBatch:
+    def found(group: list[list[tuple[bytes, int, bytes]]]) -> pa.RecordBatch:
+        """group: the anchors' runs. Runs with the same bytes are marked at once, and one of them is indexed."""
         ids, b, e = [], [], []
-        if len(group) > 1:
-            index = RunIndex([g[2] for g in group])
+        chosen: list[tuple[bytes, int, bytes]] = []
+        for runs in group:
+            if len(runs) < 2:
+                continue
+            alike: dict[bytes, list[tuple[bytes, int, bytes]]] = {}
+            for r in runs:
+                alike.setdefault(r[2], []).append(r)
+            for data, same in alike.items():
+                if len(same) > 1:
+                    for i, lo, _ in same:
+                        ids.append(i)
+                        b.append(lo)
+                        e.append(lo + len(data))
+            if len(alike) > 1:
+                chosen += [same[0] for same in alike.values()]
+        if chosen:
+            index = RunIndex([g[2] for g in chosen])
             hit = index.repeated(length)
             edge = np.flatnonzero(np.diff(np.concatenate([[0], hit.view("i1"), [0]])))
             owner = np.searchsorted(index.begin, edge[::2], "right") - 1
             for k, s, t in zip(owner.tolist(), edge[::2].tolist(), edge[1::2].tolist()):
-                base = group[k][1] - int(index.begin[k])
-                ids.append(group[k][0])
+                base = chosen[k][1] - int(index.begin[k])
+                ids.append(chosen[k][0])
                 b.append(base + s)
                 e.append(base + t - 1 + length)
         return pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), pa.array(b, pa.int64()), pa.array(e, pa.int64())], ["text_id", "b", "e"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group: list[tuple[bytes, int, bytes]] = []
-        size, own, now = 0, 0, None  # own: what of the group belongs to the anchor at hand
+        group: list[list[tuple[bytes, int, bytes]]] = []
+        size, now = 0, None
         for batch in batches:
             for i, x, lo, data in zip(*(batch.column(k).to_pylist() for k in range(4))):
                 if x != now:
-                    now, own = x, 0
-                if size + len(data) + 1 > MAX_TEXT:
-                    if own == 0 or len(group) == own:
+                    if size > MAX_TEXT // 2:
                         yield found(group)
-                        group, size = ([], 0)
-                    else:
-                        rest = group[len(group) - own :]
-                        yield found(group[: len(group) - own])
-                        group, size = rest, sum(len(g[2]) + 1 for g in rest)
-                group.append((i, lo, data))
-                size, own = size + len(data) + 1, own + 1
+                        group, size = [], 0
+                    now = x
+                    group.append([])
+                group[-1].append((i, lo, data))
+                size += len(data) + 1
         yield found(group)
 
-    return contexts.select("text_id", "x", "lo", "bytes").mapInArrow(run, SPANS)
+    return contexts.select("text_id", "x", "lo", "bytes").mapInArrow(tidy(run), SPANS)
 
 
 def _halved(contexts: DataFrame, length: int) -> DataFrame:
@@ -183,7 +195,7 @@ def repeated_strings(docs: DataFrame, text_col: str = "text", length: int = LENG
         spans = spans.unionByName(_halved(crowded, length))
     per_text = spans.groupBy("text_id").agg(F.collect_list(F.struct("b", "e")).alias("spans"))
     joined = texts.join(per_text, "text_id", "left")
-    return joined.select("text_id", "bytes", "copies", "spans").mapInArrow(_cutter(length), CUT)
+    return joined.select("text_id", "bytes", "copies", "spans").mapInArrow(tidy(_cutter(length)), CUT)
 
 
 CUT = "text_id binary, n_bytes long, spans array<struct<start: long, end: long>>, kept binary"

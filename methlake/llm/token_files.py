@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import new_path, partitions
+from .common import new_path, partitions, tidy
 from .wordcache import encoder
 
 MAGIC = b"TOKIDX01"
@@ -124,7 +124,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).cast("string").alias("t"))
     rows = rows.repartitionByRange(2 * partitions(spark), "i").sortWithinPartitions("i", "t")
-    manifest = rows.mapInArrow(_task_writer(f"{folder}/shards", tokenizer_path, end_id, words, width), MANIFEST)
+    manifest = rows.mapInArrow(tidy(_task_writer(f"{folder}/shards", tokenizer_path, end_id, words, width)), MANIFEST)
     manifest.write.parquet(f"{folder}/manifest")
     return spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
 
@@ -153,7 +153,7 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
                         ["doc_id", "start", "n_tokens", "ids_crc32"],
                     )
 
-    return shards.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return shards.mapInArrow(tidy(run), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from .common import id_bucket, written
+from .common import id_bucket, released, tidy, written
 from .shingles import mix, shingles
 
 #: labelled texts of each label, at most about, that the terms and the examples come from
@@ -156,7 +156,7 @@ def fit(docs: DataFrame, labels: DataFrame, train, id_col: str = "doc_id", text_
     known = known.where(place < cut * (1 << 20))
     # the sample is bounded by the parameter, so it can go to every task
     rows = docs.select(F.col(id_col).alias("i"), F.col(text_col).cast("string").alias("t")).join(F.broadcast(known), "i")
-    rows = written(rows.mapInArrow(_least_shingle, "i long, y int, t string, s long"), "toxsample")
+    rows = written(rows.mapInArrow(tidy(_least_shingle), "i long, y int, t string, s long"), "toxsample")
     rows = rows.join(rows.groupBy("s", "y").agg(F.min("i").alias("i")), ["i", "s", "y"], "left_semi")
     rows = written(rows.dropDuplicates(["i"]).select("i", "y", "t"), "toxexamples")
     total = {r["y"]: r["count"] for r in rows.groupBy("y").count().collect()}
@@ -167,13 +167,15 @@ def fit(docs: DataFrame, labels: DataFrame, train, id_col: str = "doc_id", text_
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen: dict[str, list[int]] = {}
-            for y, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for x in terms(t):
-                    seen.setdefault(x, [0, 0])[y > 0] += 1
-            yield pa.RecordBatch.from_arrays([pa.array(seen, pa.string()), pa.array([v[0] for v in seen.values()], pa.int64()), pa.array([v[1] for v in seen.values()], pa.int64())], ["term", "good", "bad"])
-
-    found = rows.select("y", "t").mapInArrow(count, "term string, good long, bad long").groupBy("term").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).where(F.col("good") + F.col("bad") >= LEAST)
+            for at in range(0, batch.num_rows, 250):
+                part = batch.slice(at, 250)
+                seen: dict[str, list[int]] = {}
+                for y, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    for x in terms(t):
+                        seen.setdefault(x, [0, 0])[y > 0] += 1
+                yield pa.RecordBatch.from_arrays([pa.array(seen, pa.string()), pa.array([v[0] for v in seen.values()], pa.int64()), pa.array([v[1] for v in seen.values()], pa.int64())], ["term", "good", "bad"])
+
+    found = rows.select("y", "t").mapInArrow(tidy(count), "term string, good long, bad long").groupBy("term").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).where(F.col("good") + F.col("bad") >= LEAST)
     share = F.col("bad") / F.lit(bad)
     other = F.col("good") / F.lit(good)
     n = F.lit(bad + good)
@@ -239,7 +241,8 @@ def judge(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str]
 
     @arrow_udf(JUDGED)
     def run(texts: pa.Array) -> pa.Array:
-        out = [shared.value.score(t) for t in texts.to_pylist()]
+        out = [shared.value.score(t) for at in range(0, len(texts), 500) for t in texts.slice(at, 500).to_pylist()]
+        released()
         score, ids, cosines = zip(*out) if out else ((), (), ())
         return pa.StructArray.from_arrays([pa.array(score, pa.float64()), pa.array(ids, pa.list_(pa.int64())), pa.array(cosines, pa.list_(pa.float64()))], ["score", "examples", "cosines"])
 

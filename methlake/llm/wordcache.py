@@ -79,7 +79,7 @@ class Encoder:
     limit: pieces kept; beyond that the table is emptied, so memory is bounded.
     """
 
-    def __init__(self, path: str, words: bool, dtype: str = "<u2", limit: int = 2_500_000):
+    def __init__(self, path: str, words: bool, dtype: str = "<u2", limit: int = 1_200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -134,7 +134,7 @@ class Encoder:
                 continue
             group.append((i, (t.lower() if self.words else t).encode()))
             size += len(group[-1][1])
-            if size > 4_000_000:
+            if size > 2_000_000:
                 self._group(group, out)
                 group, size = [], 0
         self._group(group, out)
