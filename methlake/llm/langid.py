@@ -171,8 +171,8 @@ class Model:
         keys, of = keys[real], of[real]
         n = np.bincount(of, minlength=len(texts))
         out = np.zeros((len(texts), len(self.languages)))
-        for at in range(0, len(keys), 1 << 20):
-            logs, o = self.log_probabilities(keys[at : at + (1 << 20)]), of[at : at + (1 << 20)]
+        for at in range(0, len(keys), 1 << 18):
+            logs, o = self.log_probabilities(keys[at : at + (1 << 18)]), of[at : at + (1 << 18)]
             start = np.flatnonzero(np.concatenate([[True], o[1:] != o[:-1]]))
             out[o[start]] -= np.add.reduceat(logs, start, axis=0, dtype=float)
         return out / np.maximum(n, 1)[:, None], n, letter

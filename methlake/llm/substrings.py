@@ -164,11 +164,12 @@ def _halved(contexts: DataFrame, length: int) -> DataFrame:
         nodes = nodes.where(F.expr(f"a - b >= lo and a - b - {size - 1} <= hi"))
 
 
-def repeated_strings(docs: DataFrame, text_col: str = "text", length: int = LENGTH, gram: int = ANCHOR, crowd: int = CROWD) -> DataFrame:
+def repeated_strings(docs: DataFrame, text_col: str = "text", length: int = LENGTH, gram: int = ANCHOR, crowd: int = CROWD, as_text: bool = False) -> DataFrame:
     """text_id, n_bytes, spans, kept of every distinct text of docs.
 
     text_id: the first 16 bytes of the SHA-256 of the text (UTF-8; null is the empty text). spans: the maximal runs of bytes covered by strings of
-    ``length`` bytes that start at another place of the corpus too, in this or another row, as an array of (start, end). kept: the other bytes.
+    ``length`` bytes that start at another place of the corpus too, in this or another row, as an array of (start, end). kept: the other bytes; with as_text
+    as a string (a character that loses some of its bytes goes whole).
     Texts shorter than ``length`` have no span. An empty table gives no rows.
     """
     spark = docs.sparkSession
@@ -195,13 +196,13 @@ def repeated_strings(docs: DataFrame, text_col: str = "text", length: int = LENG
         spans = spans.unionByName(_halved(crowded, length))
     per_text = spans.groupBy("text_id").agg(F.collect_list(F.struct("b", "e")).alias("spans"))
     joined = texts.join(per_text, "text_id", "left")
-    return joined.select("text_id", "bytes", "copies", "spans").mapInArrow(tidy(_cutter(length)), CUT)
+    return joined.select("text_id", "bytes", "copies", "spans").mapInArrow(tidy(_cutter(length, as_text)), CUT.replace("kept binary", "kept string") if as_text else CUT)
 
 
 CUT = "text_id binary, n_bytes long, spans array<struct<start: long, end: long>>, kept binary"
 
 
-def _cutter(length: int):
+def _cutter(length: int, as_text: bool):
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,18 +223,19 @@ def _cutter(length: int):
                     kept.append(data[at:b])
                     at = e
                 kept.append(data[at:])
-                out.append((i, len(data), [{"start": b, "end": e} for b, e in merged], b"".join(kept)))
+                left = b"".join(kept)
+                out.append((i, len(data), [{"start": b, "end": e} for b, e in merged], left.decode("utf-8", "ignore") if as_text else left))
                 if len(out) == 500:
-                    yield _cut_batch(out, kind)
+                    yield _cut_batch(out, kind, as_text)
                     out = []
-            yield _cut_batch(out, kind)
+            yield _cut_batch(out, kind, as_text)
 
     return run
 
 
-def _cut_batch(out: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
+def _cut_batch(out: list[tuple], kind: pa.DataType, as_text: bool) -> pa.RecordBatch:
     i, n, spans, kept = zip(*out) if out else ((), (), (), ())
-    return pa.RecordBatch.from_arrays([pa.array(i, pa.binary()), pa.array(n, pa.int64()), pa.array(spans, kind), pa.array(kept, pa.binary())], ["text_id", "n_bytes", "spans", "kept"])
+    return pa.RecordBatch.from_arrays([pa.array(i, pa.binary()), pa.array(n, pa.int64()), pa.array(spans, kind), pa.array(kept, pa.string() if as_text else pa.binary())], ["text_id", "n_bytes", "spans", "kept"])
 
 
 def text_bytes(text_col: str):
@@ -246,15 +248,7 @@ def text_id(bytes_col):
 
 def without_repeats(docs: DataFrame, text_col: str = "text", length: int = LENGTH) -> DataFrame:
     """All columns and rows of docs with the repeated strings cut out of the text (a character that loses some of its bytes goes whole); null stays null."""
-    found = repeated_strings(docs, text_col, length).select(F.col("text_id").alias("__text_id"), F.col("kept").alias("__kept"), (F.size("spans") > 0).alias("__cut"))
-
-    from pyspark.sql.functions import arrow_udf
-
-    @arrow_udf("string")
-    def decoded(kept: pa.Array) -> pa.Array:
-        return pa.array([None if k is None else k.decode("utf-8", "ignore") for k in kept.to_pylist()], pa.string())
-
-    found = found.where("__cut").select("__text_id", decoded("__kept").alias("__kept"))
+    found = repeated_strings(docs, text_col, length, as_text=True).where(F.size("spans") > 0).select(F.col("text_id").alias("__text_id"), F.col("kept").alias("__kept"))
     joined = docs.withColumn("__text_id", text_id(text_bytes(text_col))).join(found, "__text_id", "left")
     text = F.when(F.col("__kept").isNotNull(), F.col("__kept")).otherwise(F.col(f"`{text_col}`"))
     return joined.select(*(text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns))
