@@ -118,12 +118,28 @@ def last_by(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 
 def dependency_closure(edges: DataFrame, roots: DataFrame, max_rounds: int = 50) -> DataFrame:
-    """name of everything the roots reach over edges (source, target), the roots included; one join a round until nothing new is found."""
-    seen = roots.select("name").distinct()
-    front = seen
+    """name of everything the roots reach over edges (source, target), the roots included; one join a round until nothing new is found.
+
+    Each round's rows are checkpointed (in the session's checkpoint folder), so that plans stay short.
+    """
+    edges = _cut(edges.select("source", "target"))
+    seen = front = _cut(roots.select("name").distinct())
     for _ in range(max_rounds):
-        front = front.join(edges, F.col("name") == F.col("source")).select(F.col("target").alias("name")).distinct().join(seen, "name", "left_anti")
+        front = _cut(front.join(edges, F.col("name") == F.col("source")).select(F.col("target").alias("name")).distinct().join(seen, "name", "left_anti"))
         if front.isEmpty():
             return seen
         seen = seen.unionByName(front)
     raise RuntimeError("the closure did not settle")
+
+
+def _cut(df: DataFrame) -> DataFrame:
+    """df, checkpointed. The folder is the session's spark.checkpoint.dir; a local session without one gets a temporary folder."""
+    import tempfile
+
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if folder is None and not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="methlake-"))
+    return df.checkpoint()

@@ -126,6 +126,8 @@ def oracle(names: str, body: str) -> str:
     """DuckDB SQL: body over the named shims (space separated)."""
     clause = with_shims(names.split(), braces=False) if names else ""
     body = body.strip()
+    if body.lower().startswith("with recursive "):
+        return f"with recursive {clause[5:]}, {body[15:]}" if clause else body
     if body.lower().startswith("with "):
         return f"{clause}, {body[5:]}" if clause else body
     return f"{clause} {body}"
