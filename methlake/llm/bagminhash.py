@@ -187,13 +187,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     rows_ = written(signed(docs, id_col, text_col, size, bands, rows), "signed")
     member = rows_.where(F.col("print").isNotNull() & F.col("doc_id").isNotNull())
-    nodes = member.groupBy("print").agg(F.min("doc_id").alias("node"))
+    # what is joined back is written first: with an exchange on both sides a join can split a frequent key
+    nodes = written(member.groupBy("print").agg(F.min("doc_id").alias("node")), "nodes")
     members = written(member.select("doc_id", "print").join(nodes, "print").select("doc_id", "node"), "members")
     # a node stands in for its copies
     heads = members.where("doc_id = node").select("node").distinct()
     banded = member.select(F.col("doc_id").alias("node"), "bands").join(heads, "node", "left_semi")
     buckets = banded.select("node", F.posexplode("bands").alias("k", "v")).select("node", F.xxhash64("k", "v").alias("bucket"))
     hubs = buckets.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub < last").select("bucket", "hub")
+    hubs = written(hubs, "hubs")
     groups = components(buckets.join(hubs, "bucket"), "node", "hub").withColumnRenamed("component", "grp")
     sizes = groups.groupBy("grp").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
     groups = groups.join(sizes, "grp").withColumn("b", F.pmod(F.hash("node"), "blocks"))
@@ -222,7 +224,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     classes = components(tiles.mapInArrow(tidy(run), "a long, b long"))
     placed = members.join(classes, "node", "left").select("doc_id", "node", F.coalesce("component", "node").alias("class_id"))
-    sizes = placed.groupBy("class_id").agg(F.countDistinct("node").alias("n_distinct"))
+    sizes = written(placed.groupBy("class_id").agg(F.countDistinct("node").alias("n_distinct")), "sizes")
     placed = placed.join(sizes, "class_id").select("doc_id", "class_id", "n_distinct")
     alone = rows_.where(F.col("print").isNull() | F.col("doc_id").isNull()).select("doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("n_distinct"))
     return placed.unionByName(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)))

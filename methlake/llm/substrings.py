@@ -182,18 +182,21 @@ def repeated_strings(docs: DataFrame, text_col: str = "text", length: int = LENG
     one.repartition(n, "text_id").write.bucketBy(n, "text_id").sortBy("text_id").option("path", path).option("compression", "zstd").saveAsTable(name)
     texts = spark.table(name)
     runs = written(_runs(texts, length, gram), "runs")
-    shared = runs.groupBy("x").agg(F.count("*").alias("n")).where("n > 1")
-    shared = runs.join(shared, "x")
-    per_text = shared.groupBy("text_id").agg(F.collect_list(F.struct("x", "a", "lo", "hi", "n")).alias("runs"))
-    cut = texts.select("text_id", "bytes").join(per_text, "text_id").select("text_id", "bytes", F.explode("runs").alias("r"))
-    piece = F.expr(f"substring(bytes, cast(r.lo + 1 as int), cast(r.hi - r.lo + {length} as int))")
-    contexts = cut.select("text_id", "r.x", "r.a", "r.lo", "r.hi", "r.n", piece.alias("bytes"))
-    contexts = written(contexts, "contexts")
-    common = contexts.where(F.col("n") <= crowd).repartition(4 * n, "x").sortWithinPartitions("x")
+    # the counts are written, so that the join has an exchange on both sides and a crowded anchor can be split
+    counts = written(runs.groupBy("x").agg(F.count("*").alias("n")).where("n > 1"), "anchors")
+    shared = written(runs.join(counts, "x"), "shared")
+
+    def contexts(chosen: DataFrame) -> DataFrame:
+        """The chosen runs with the bytes that their strings cover."""
+        per_text = chosen.groupBy("text_id").agg(F.collect_list(F.struct("x", "a", "lo", "hi")).alias("runs"))
+        cut = texts.select("text_id", "bytes").join(per_text, "text_id").select("text_id", "bytes", F.explode("runs").alias("r"))
+        piece = F.expr(f"substring(bytes, cast(r.lo + 1 as int), cast(r.hi - r.lo + {length} as int))")
+        return cut.select("text_id", "r.x", "r.a", "r.lo", "r.hi", piece.alias("bytes"))
+
+    common = contexts(shared.where(F.col("n") <= crowd)).select("text_id", "x", "lo", "bytes").repartition(4 * n, "x").sortWithinPartitions("x")
     spans = _indexed(common, length)
-    crowded = contexts.where(F.col("n") > crowd).drop("n")
-    if not crowded.isEmpty():
-        spans = spans.unionByName(_halved(crowded, length))
+    if not counts.where(F.col("n") > crowd).isEmpty():
+        spans = spans.unionByName(_halved(contexts(shared.where(F.col("n") > crowd)), length))
     per_text = spans.groupBy("text_id").agg(F.collect_list(F.struct("b", "e")).alias("spans"))
     joined = texts.join(per_text, "text_id", "left")
     return joined.select("text_id", "bytes", "copies", "spans").mapInArrow(tidy(_cutter(length, as_text)), CUT.replace("kept binary", "kept string") if as_text else CUT)
