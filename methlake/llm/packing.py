@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from .common import partitions, tidy, written
+from .shingles import mix
 from .wordcache import encoder
 
 DIMS, BITS, BUCKETS, TIE_BITS = 4, 12, 256, 15
@@ -54,29 +55,21 @@ def hilbert(points: np.ndarray, bits: int) -> np.ndarray:
     return out
 
 
-def _mixed(a: np.ndarray) -> np.ndarray:
-    """64-bit finalizer (murmur3's)."""
-    a = np.asarray(a).astype(np.uint64)
-    for shift, by in ((33, 0xFF51AFD7ED558CCD), (33, 0xC4CEB9FE1A85EC53)):
-        a = (a ^ (a >> np.uint64(shift))) * np.uint64(by)
-    return a ^ (a >> np.uint64(33))
-
-
 def _projection() -> np.ndarray:
     """BUCKETS x DIMS with orthonormal columns, from hashes."""
-    raw = (_mixed(np.arange(1, BUCKETS * DIMS + 1)) >> np.uint64(11)).astype(float) / 2**53 - 0.5
+    raw = (mix(np.arange(1, BUCKETS * DIMS + 1, dtype=np.uint64)) >> np.uint64(11)).astype(float) / 2**53 - 0.5
     return np.linalg.qr(raw.reshape(BUCKETS, DIMS))[0]
 
 
 def _keys(payloads: list[bytes], ids: list, dtype: str, projection: np.ndarray) -> np.ndarray:
     lengths = np.array([len(p) for p in payloads]) // np.dtype(dtype).itemsize
     tokens = np.frombuffer(b"".join(payloads), dtype)
-    bucket = (_mixed(np.arange(1 << 16)) % np.uint64(BUCKETS)).astype(np.int64)[tokens & 0xFFFF]
+    bucket = (mix(np.arange(1 << 16, dtype=np.uint64)) % np.uint64(BUCKETS)).astype(np.int64)[tokens & 0xFFFF]
     row = np.repeat(np.arange(len(payloads)), lengths)
     vectors = np.sqrt(np.bincount(row * BUCKETS + bucket, minlength=len(payloads) * BUCKETS).reshape(-1, BUCKETS))
     vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
     places = np.clip(np.round((vectors @ projection + 1) / 2 * (2**BITS - 1)), 0, 2**BITS - 1)
-    tie = _mixed(np.array([0 if i is None else i for i in ids], np.int64).view(np.uint64)) & np.uint64(2**TIE_BITS - 1)
+    tie = mix(np.array([0 if i is None else i for i in ids], np.int64).view(np.uint64)) & np.uint64(2**TIE_BITS - 1)
     return (hilbert(places, BITS) << TIE_BITS) | tie.astype(np.int64)
 
 
