@@ -110,9 +110,10 @@ def _(counts):
     return R.droplet_replay(counts.where("c_custkey < 200").select(F.lit(1).alias("lane"), F.col("c_custkey").alias("ordinal"), "barcode"), called, called)
 
 
-@query("E11_barcode_counts", "reads", "select barcode, count, list(low order by j) below_q20, list(high order by j) q30 from (select barcode, j, max(c) count, count_if(q < 34) low, count_if(q >= 38) high from (select substr(seq, 1, 4) barcode, j, ascii(substr(seq, j + 4, 1)) - 33 q, count(*) over (partition by substr(seq, 1, 4), j) c from reads, (select cast(unnest(generate_series(1, 5)) as int) j) s) x group by 1, 2) y group by 1, 2".replace("q < 34", "q < 20").replace("q >= 38", "q >= 30"))
+@query("E11_barcode_counts", "reads", "select barcode, count, string_agg(cast(low as string), ',' order by j) below_q20, string_agg(cast(high as string), ',' order by j) q30 from (select barcode, j, max(c) count, count_if(q < 34) low, count_if(q >= 38) high from (select substr(seq, 1, 4) barcode, j, ascii(substr(seq, j + 4, 1)) - 33 q, count(*) over (partition by substr(seq, 1, 4), j) c from reads, (select cast(unnest(generate_series(1, 5)) as int) j) s) x group by 1, 2) y group by 1, 2".replace("q < 34", "q < 20").replace("q >= 38", "q >= 30"))
 def _(reads):
-    return R.barcode_counts(reads.select(F.substring("seq", 1, 4).alias("barcode"), F.substring("seq", 5, 5).alias("qual")))
+    out = R.barcode_counts(reads.select(F.substring("seq", 1, 4).alias("barcode"), F.substring("seq", 5, 5).alias("qual")))
+    return out.withColumns({c: F.concat_ws(",", F.col(c).cast("array<string>")) for c in ("below_q20", "q30")})
 
 
 @query("E34_molecule_sample", "reads", "select substr(seq, 1, 2) barcode, substr(seq, 1, 12) || substr(seq, 13, 32) key from reads where length(seq) >= 44 and regexp_full_match(substr(seq, 1, 44), '[ACGT]+') group by 1, 2")
@@ -355,7 +356,7 @@ def _streams():
     QUERIES["K6_incremental_counts"] = totals
     ORACLE_SQL["K6_incremental_counts"] = "select 'S' || cast(user_id % 20 as string) sample_id, event_type chrom, count(*) \"rows\", cast(sum(event_id % 5) as bigint) methyl, cast(sum(event_id % 3) as bigint) unmethyl from events group by 1, 2"
     QUERIES["K1_log_events"] = lambda spark, sf_dir: T.latest_states(T.log_events(spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr("concat('[', lpad(cast(event_id as string), 9, '0'), '] rule r', cast(user_id % 10 as string), ': ', case when event_id % 3 = 0 then 'warning' else 'started' end) value")))
-    ORACLE_SQL["K1_log_events"] = "select 'r' || cast(user_id % 10 as string) job, max_by(case when event_id % 3 = 0 then 'warning' else 'started' end, event_id) state, count_if(event_id % 3 = 0) warnings from events group by 1"
+    ORACLE_SQL["K1_log_events"] = "select 'r' || cast(user_id % 10 as string) job, max_by(case when event_id % 3 = 0 then 'warning' else 'started' end, event_id) state, count(case when event_id % 3 = 0 then 1 end) warnings from events group by 1"
     QUERIES["K_windowed_events"] = windows
     ORACLE_SQL["K_windowed_events"] = "select date_trunc('hour', ts) \"start\", event_type, count(*) n, cast(count(*) as double) \"value\" from events group by 1, 2"
 
