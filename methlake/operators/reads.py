@@ -59,7 +59,7 @@ def plate_demux(reads: DataFrame, barcodes: DataFrame, bisulfite: bool = True, l
     tries = [(0, length, 0, length), (1, length - 1, 0, length - 1), (2, length + 1, 1, length + 1)]
     attempts = F.array(*[
         F.struct(F.lit(k).alias("k"), F.substring("seq", b + 1, e - b).alias("observed"), F.lit(a + n + GAP).alias("trim"),
-                 F.when(F.length("seq") >= a + n, S.folded_distance(F.lit(PLATE_ANCHOR), F.substring("seq", a + 1, n), bisulfite)).alias("d"))
+                 S.anchor_distance("seq", a, PLATE_ANCHOR, bisulfite).alias("d"))
         for k, a, b, e in tries
     ])
     base = reads.select("lane", "ordinal", "seq").withColumn("short", F.length("seq") < SHORTEST)
