@@ -29,7 +29,7 @@ from .shingles import mix, powers
 
 LENGTH, ANCHOR = 400, 96
 #: runs of one anchor that one index takes
-CROWD = 600
+CROWD = 2000
 #: bytes of a text that are looked at together
 SLAB = 1 << 23
 
@@ -79,8 +79,12 @@ def _runs(texts: DataFrame, length: int, gram: int) -> DataFrame:
 SPANS = "text_id binary, b long, e long"
 
 
-def _indexed(contexts: DataFrame, length: int) -> DataFrame:
-    """Spans of repeated strings of runs (text_id, x, lo, bytes); the runs of one x stand together in a partition."""
+def _indexed(contexts: DataFrame, length: int, gram: int, crowd: int) -> DataFrame:
+    """Spans of repeated strings of runs (text_id, x, lo, bytes); the runs of one x, ``crowd`` at most, stand together in a partition."""
+    # a run covers 2 * length - gram bytes at most; an index takes what came before and one more anchor
+    room = MAX_TEXT - crowd * (2 * length - gram + 1)
+    if room < 0:
+        raise ValueError("crowd is too large for one index")
 
     def found(group: list[list[tuple[bytes, int, bytes]]]) -> pa.RecordBatch:
         """group: the anchors' runs. Runs with the same bytes are marked at once, and one of them is indexed."""
@@ -118,7 +122,7 @@ def _indexed(contexts: DataFrame, length: int) -> DataFrame:
         for batch in batches:
             for i, x, lo, data in zip(*(batch.column(k).to_pylist() for k in range(4))):
                 if x != now:
-                    if size > MAX_TEXT // 2:
+                    if size > room:
                         yield found(group)
                         group, size = [], 0
                     now = x
@@ -194,7 +198,7 @@ def repeated_strings(docs: DataFrame, text_col: str = "text", length: int = LENG
         return cut.select("text_id", "r.x", "r.a", "r.lo", "r.hi", piece.alias("bytes"))
 
     common = contexts(shared.where(F.col("n") <= crowd)).select("text_id", "x", "lo", "bytes").repartition(4 * n, "x").sortWithinPartitions("x")
-    spans = _indexed(common, length)
+    spans = _indexed(common, length, gram, crowd)
     if not counts.where(F.col("n") > crowd).isEmpty():
         spans = spans.unionByName(_halved(contexts(shared.where(F.col("n") > crowd)), length))
     per_text = spans.groupBy("text_id").agg(F.collect_list(F.struct("b", "e")).alias("spans"))
