@@ -149,9 +149,11 @@ def _halved(contexts: DataFrame, length: int) -> DataFrame:
         whole = (first >= F.col("lo")) & (last <= F.col("hi"))
         union = F.when(whole, F.expr(f"md5(substring(bytes, cast(a - b - {size - 1} - lo + 1 as int), {length - 1 + size}))"))
         t = written(nodes.withColumn("core", core).withColumn("whole", union), "halves")
-        cores = t.groupBy("x", "b", "core").agg(F.count("*").alias("n")).where("n > 1").select("x", "b", "core")
+        # the counts are written: a join back with an exchange on both sides can split what one passage brings
+        cores = written(t.groupBy("x", "b", "core").agg(F.count("*").alias("n")).where("n > 1").select("x", "b", "core"), "cores")
         live = t.join(cores, ["x", "b", "core"], "left_semi")
         unions = t.where("whole is not null").groupBy("x", "b", "whole").agg(F.count("*").alias("n")).where("n > 1").select("x", "b", "whole", F.lit(True).alias("hit"))
+        unions = written(unions, "unions")
         live = live.join(unions, ["x", "b", "whole"], "left")
         hit = live.where("hit") if size > 1 else live
         spans = hit.select("text_id", F.greatest(first, "lo").alias("b"), (F.least(last, "hi") + length).alias("e"))
