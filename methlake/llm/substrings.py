@@ -29,7 +29,7 @@ from .shingles import mix, powers
 
 LENGTH, ANCHOR = 400, 96
 #: runs of one anchor that one index takes
-CROWD = 2000
+CROWD = 600
 #: bytes of a text that are looked at together
 SLAB = 1 << 23
 
