@@ -22,6 +22,10 @@ from .shingles import mix
 ORDER, PAD, SPACE = 4, 1, 32
 #: texts per language, at most, that models are fitted on (seven eighths) and calibrated on (one eighth)
 SAMPLE = 1200
+#: share of the held-out texts of a length class that the rejection limit accepts, and the classes' bounds in characters
+QUANTILE, LENGTHS = 0.995, (64, 256, 1024)
+#: no limit is tighter than FLOOR[0] + FLOOR[1] / sqrt(characters) nats a character above the mean: a class may have few held-out texts
+FLOOR = (0.25, 4.0)
 
 _table: list[np.ndarray] = []
 
@@ -137,7 +141,10 @@ class _Counts:
 
 @dataclass
 class Model:
-    """Shared hash arrays of all languages. limits: mean, spread and per-character spread of each language's cross-entropy."""
+    """Shared hash arrays of all languages. means: each language's cross-entropy on held-out texts; margins: the greatest excess accepted, by length class.
+
+    Without held-out texts only what is worse than a uniform distribution over the letters is rejected.
+    """
 
     languages: list[str]
     arrays: dict[int, HashArray]
@@ -146,7 +153,12 @@ class Model:
     logb: dict[int, np.ndarray]
     floor: float
     sharpness: float = 1.0
-    limits: np.ndarray | None = None
+    means: np.ndarray | None = None
+    margins: np.ndarray | None = None
+
+    def allowed(self, n: np.ndarray) -> np.ndarray:
+        """Nats per character above the language's mean up to which a text of n characters is accepted."""
+        return np.maximum(self.margins[np.searchsorted(LENGTHS, n, side="right")], FLOOR[0] + FLOOR[1] / np.sqrt(np.maximum(n, 1)))
 
     def log_probabilities(self, keys: np.ndarray, n: int = ORDER) -> np.ndarray:
         """Natural log of the probability of each n-gram's last character in each language."""
@@ -186,11 +198,10 @@ class Model:
         best = h.argmin(1)
         own = h[np.arange(len(h)), best]
         share = 1 / np.exp(-self.sharpness * np.minimum(n, 200)[:, None] * (h - own[:, None])).sum(1)
-        mean, spread, per_char = (self.limits[best, k] for k in range(3))
-        over = (own - mean) / np.sqrt(spread**2 + per_char**2 / np.maximum(n, 1))
-        score = np.where(letter, share * np.exp(-np.maximum(over - 4, 0) / 4), 0.0)
+        over = (own - self.means[best]) / self.allowed(n)
+        score = np.where(letter, share * np.exp(-3 * np.maximum(over - 1 / 3, 0)), 0.0)
         names = [self.languages[b] if ok else "und" for b, ok in zip(best.tolist(), letter.tolist())]
-        return names, score, own, letter & (over <= 12)
+        return names, score, own, letter & (over <= 1)
 
 
 def _counted(sample: DataFrame) -> DataFrame:
@@ -254,19 +265,19 @@ def _calibrate(model: Model, held: DataFrame, spark: SparkSession) -> None:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(h.tolist(), pa.list_(pa.float64()))], ["lang", "n", "h"])
 
     seen = held.select("lang", "text").mapInArrow(tidy(run), "lang string, n long, h array<double>").where("n > 0").toPandas()
-    model.limits = np.tile([3.0, 0.5, 3.0], (width, 1))
+    model.means, model.margins = np.zeros(width), np.full(len(LENGTHS) + 1, -model.floor)
     if not len(seen):
         return
     h = np.array(seen["h"].tolist())
     index = {x: i for i, x in enumerate(model.languages)}
     known = seen["lang"].isin(index)
     h, n, y = h[known], seen["n"].to_numpy()[known], seen["lang"][known].map(index).to_numpy()
-    for k in range(width):
-        own, size = h[y == k, k], n[y == k]
-        if len(own) >= 8:
-            mean = np.average(own, weights=np.minimum(size, 2000))
-            dev = np.abs(own - mean)
-            model.limits[k] = mean, max(0.05, 1.5 * np.quantile(dev[size >= np.median(size)], 0.9)), max(1.0, 1.5 * np.quantile(dev * np.sqrt(size), 0.9))
+    if len(y):
+        own = h[np.arange(len(y)), y]
+        mean = [np.average(own[y == k], weights=np.minimum(n[y == k], 2000)) if (y == k).any() else np.nan for k in range(width)]
+        model.means = np.where(np.isnan(mean), np.nanmax(mean), mean)
+        over, group = own - model.means[y], np.searchsorted(LENGTHS, n, side="right")
+        model.margins = np.array([np.quantile(over[group == k], QUANTILE, method="higher") if (group == k).any() else 0.0 for k in range(len(LENGTHS) + 1)])
     best = (np.inf, 1.0)
     for s in np.geomspace(0.01, 1, 13):
         z = -s * np.minimum(n, 200)[:, None] * (h - h.min(1, keepdims=True))

@@ -91,6 +91,22 @@ def test_langid_rejects_noise(spark):
     assert not ok[0] or score[0] < 0.6
 
 
+def test_langid_limits(spark):
+    """Noise and an unlearned language are rejected at all lengths, held-out texts stay."""
+    docs = spark.read.parquet(f"{SF2}/documents.parquet")
+    train = F.crc32(F.col("doc_id").cast("string")) % 3 != 1
+    held = docs.where(~train).select("lang", "text").toPandas()
+    noise = "qzxjvk wqxzkj vvqzx kjqwx" * 40
+    for lost in ("es", "fr"):
+        model = langid.fit(docs.where(F.col("lang") != lost), train)
+        assert lost not in model.languages
+        assert not model.predict([noise, noise[:200], noise[:50], noise[:20]])[3].any()
+        foreign = [t for t in held.text[held.lang == lost] if t and len(t) >= 20]
+        assert len(foreign) >= 25 and model.predict(foreign)[3].mean() < 0.05
+        known = held.text[held.lang != lost].tolist()
+        assert model.predict(known)[3].mean() > 0.98
+
+
 def test_block_max_is_exact():
     rng = np.random.default_rng(3)
     dense = rng.random((400, 30)) * (rng.random((400, 30)) < 0.15)
