@@ -184,6 +184,33 @@ def test_wrappers(spark):
     assert table.count() >= 4 and wrappers.extract(pages.limit(0)).count() == 0
 
 
+def test_wrapper_template_is_confirmed(spark):
+    """A lead line that only the sampled pages share stays, on them and on all others; the template's own line goes; an article wins on its page."""
+    ids = spark.range(40).selectExpr("id page_id", "concat('https://one.example/', id) url")
+    least = {}
+    for r in ids.selectExpr("page_id", "xxhash64(page_id, url) h", f"pmod(xxhash64(page_id, url), {wrappers.SAMPLE}) slot").collect():
+        least[r.slot] = min(least.get(r.slot, (r.h, r.page_id)), (r.h, r.page_id))
+    sampled = {i for _, i in least.values()}
+    assert 4 <= len(sampled) < 20
+    other = max(set(range(40)) - sampled)
+    rows, want = [], {}
+    for k in range(40):
+        lead = "The usual lead" if k in sampled else f"Lead {k}"
+        body = f"<div class='content'><h1>T{k}</h1><p>{lead}</p><p>A{k}</p><p>B{k}</p><p>C{k}</p><p>D{k}</p><p>All rights reserved</p></div>"
+        want[k] = "\n".join([f"T{k}", lead, f"A{k}", f"B{k}", f"C{k}", f"D{k}"])
+        if k == other:
+            body = f"<article><p>Own {k}</p></article><div class='content'><p>teaser</p></div>"
+            want[k] = f"Own {k}"
+        rows.append((k, f"https://one.example/{k}", f"<html><body><nav>menu</nav>{body}</body></html>"))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in wrappers.extract(pages).collect()} == want
+    keep, wrappers.BROADCAST = wrappers.BROADCAST, 0
+    try:
+        assert {r.page_id: r.text for r in wrappers.extract(pages).collect()} == want
+    finally:
+        wrappers.BROADCAST = keep
+
+
 def test_wrapper_groups():
     a, b = wrappers.tokens("<ul><li>a</li><li>b</li></ul><p>x</p>"), wrappers.tokens("<ul><li>a</li><li>b</li><li>c</li></ul><i>o</i><p>y</p>")
     w = wrappers.align(wrappers._as_nodes(a), b)
