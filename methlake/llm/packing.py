@@ -20,7 +20,7 @@ from pyspark.sql.functions import arrow_udf
 
 from .common import partitions, tidy, written
 from .shingles import mix
-from .wordcache import encoder
+from .wordcache import encoder, forget
 
 DIMS, BITS, BUCKETS, TIE_BITS = 4, 12, 256, 15
 ENCODED = "doc_id long, key long, n int, ids binary"
@@ -80,8 +80,8 @@ def encoded(docs: DataFrame, tokenizer_path: str, end_id: int | None, id_col: st
         ids_of, projection = encoder(tokenizer_path, words).encode, _projection()
         tail = b"" if end_id is None else int(end_id).to_bytes(2, "little")
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
                 ids = part.column(0).to_pylist()
                 payloads = [x.tobytes() + tail for x in ids_of(part.column(1).to_pylist())]
                 n = pa.array([len(p) // 2 for p in payloads], pa.int32())
@@ -114,23 +114,25 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int | None = 2, length: i
         before += r["n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()  # the encoders of the stage before
         at, now = 0, None
+        out: list[tuple] = []
+        size = 0
         for batch in batches:
-            out: list[tuple] = []
-            size = 0
-            for doc_id, p, payload in zip(*(batch.column(k).to_pylist() for k in range(3))):
-                if p != now:
-                    now, at = p, base[p]
-                ids = np.frombuffer(payload, "<u2").astype("<u4")
-                start = 0
-                while start < len(ids):
-                    n = min(length - at % length, len(ids) - start)
-                    out.append((doc_id, start, n, len(ids), at // length, at % length, ids[start : start + n].tobytes()))
-                    start, at, size = start + n, at + n, size + n
-                if size > 2_000_000:
-                    yield _batch(out)
-                    out, size = [], 0
-            yield _batch(out)
+            for first in range(0, batch.num_rows, 200):
+                for doc_id, p, payload in zip(*(c.to_pylist() for c in batch.slice(first, 200).columns)):
+                    if p != now:
+                        now, at = p, base[p]
+                    ids = np.frombuffer(payload, "<u2")
+                    start = 0
+                    while start < len(ids):
+                        n = min(length - at % length, len(ids) - start)
+                        out.append((doc_id, start, n, len(ids), at // length, at % length, ids[start : start + n].astype("<u4").tobytes()))
+                        start, at, size = start + n, at + n, size + n
+                        if size > 500_000:
+                            yield _batch(out)
+                            out, size = [], 0
+        yield _batch(out)
 
     dealt = rows.select("doc_id", "part", "ids", "key").repartition(parts, "part").sortWithinPartitions("part", "key", "doc_id", "ids")
     return dealt.select("doc_id", "part", "ids").mapInArrow(tidy(run), PIECES)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import new_path, partitions, tidy
-from .wordcache import encoder
+from .wordcache import encoder, forget
 
 MAGIC = b"TOKIDX01"
 MANIFEST = "shard int, name string, documents long, ids long, width int"
@@ -44,11 +44,11 @@ class ShardWriter:
         self.ids: list[int] = []
         self.valid = bytearray()
 
-    def add(self, doc_id: int | None, payload: bytes) -> None:
-        self.sink.write(payload)
-        self.lengths.append(len(payload) // self.width)
-        self.ids.append(0 if doc_id is None else doc_id)
-        self.valid.append(doc_id is not None)
+    def add(self, doc_ids: list[int | None], payloads: list[bytes]) -> None:
+        self.sink.write(b"".join(payloads))
+        self.lengths += [len(p) // self.width for p in payloads]
+        self.ids += [i or 0 for i in doc_ids]
+        self.valid += bytes(i is not None for i in doc_ids)
 
     def close(self) -> tuple[str, int, int]:
         self.sink.close()
@@ -97,11 +97,10 @@ def _task_writer(folder: str, path: str, end: int | None, words: bool, width: in
         tail = b"" if end is None else int(end).to_bytes(width, "little")
         writer = None
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1)
-            for at in range(0, len(ids), 1000):
-                for i, found in zip(ids[at : at + 1000], ids_of(texts.slice(at, 1000).to_pylist())):
-                    writer = writer or ShardWriter(folder, width)
-                    writer.add(i, found.tobytes() + tail)
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                writer = writer or ShardWriter(folder, width)
+                writer.add(part.column(0).to_pylist(), [x.tobytes() + tail for x in ids_of(part.column(1).to_pylist())])
         if writer:
             name, n, total = writer.close()
             shard = TaskContext.get().partitionId()
@@ -141,13 +140,14 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
     shards = spark.createDataFrame(listed or [], "name string, base long").repartition(max(1, len(listed)), "name")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             for name, first in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 s = Shard(f"{folder}/shards", name)
                 for at in range(0, len(s), 20_000):
                     to = min(len(s), at + 20_000)
-                    crc = [zlib.crc32(s.document(i).astype("<u4").tobytes()) for i in range(at, to)]
                     o = s.offsets[at : to + 1].astype(np.int64)
+                    crc = [zlib.crc32(s.tokens[x:y].astype("<u4")) for x, y in zip(o.tolist(), o[1:].tolist())]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(s.ids[at:to], mask=s.valid[at:to] == 0), pa.array(o[:-1] + first), pa.array(np.diff(o)), pa.array(crc, pa.int64())],
                         ["doc_id", "start", "n_tokens", "ids_crc32"],

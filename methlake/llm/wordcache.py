@@ -1,13 +1,14 @@
 """Tokenizers applied once to each distinct piece of text that a worker meets.
 
-The pre-tokenizers of the vocabulary files never join what stands before a space with what stands after it, so a batch of texts is cut at
-its spaces in array form, every piece is looked up by a 64-bit hash, and the tokenizers library is asked only for new ones. Texts that
-don't allow this go to the library whole: those with characters outside a safe range (where two Unicode tables or the
-normalizer might differ), and, for the byte-level vocabulary, those with runs of spaces.
+The pre-tokenizers of the vocabulary files never join what stands before a space with what stands after it, nor an ASCII letter with
+an ASCII character after it that is none. So a batch of texts is cut at these places in array form, every piece is looked up by a 64-bit hash, and the tokenizers
+library is asked only for new ones. Texts that don't allow this go to the library whole: those with characters outside a safe range (where
+two Unicode tables or the normalizer might differ), with the string of an added token, or with a piece of more than LONG bytes.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 
@@ -16,79 +17,119 @@ import numpy as np
 from .shingles import mix, powers
 
 SAFE = re.compile("[\t\n\r -~¡-įĲ-ɏ]*").fullmatch
+#: bytes of a piece, at most, and of texts that are cut together
+LONG, GROUP = 160, 500_000
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 13, 32]] = True
 
 
+def _pairs(words: bool) -> np.ndarray:
+    """For two bytes in a row (first * 256 + second): 1 if they are cut apart, 2 if both are blank."""
+    letter = np.zeros(256, bool)
+    letter[[*range(65, 91), *range(97, 123)]] = True
+    other = ~letter
+    other[128:] = False
+    cut = letter[:, None] & other | ~_BLANK[:, None] & _BLANK
+    parts = _BLANK.copy()
+    parts[32] = words  # else a space stays with what follows it
+    cut |= parts[:, None] & ~_BLANK
+    return np.where(_BLANK[:, None] & _BLANK, 2, cut).astype("u1").ravel()
+
+
+_PAIRS = {words: _pairs(words) for words in (False, True)}
+_PLAIN = re.compile(" ?[A-Za-z]+").fullmatch
+
+
 class WordTable:
-    """Hash -> ids of a piece. Two sorted arrays (the large one is merged with the recent one now and then) and flat ids."""
+    """Hash -> ids of a piece: an open hash table in arrays, kept at most half full, and flat ids."""
 
     def __init__(self, dtype: str):
         self.dtype = dtype
         self.clear()
 
     def clear(self) -> None:
-        self.levels = [(np.empty(0, np.uint64), np.empty(0, np.int32))] * 2
-        self.start, self.length, self.ids = np.empty(0, np.int64), np.empty(0, np.int64), [np.empty(0, self.dtype)]
-        self.total = 0
+        self.keys, self.entries = np.zeros(1 << 16, np.uint64), np.zeros(1 << 16, np.int32)
+        self.start, self.length, self.ids = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int32), np.empty(1 << 14, self.dtype)
+        self.size = self.total = 0
 
     def __len__(self) -> int:
-        return len(self.length)
+        return self.size
+
+    def _slots(self, h: np.ndarray) -> np.ndarray:
+        return (h >> np.uint64(65 - len(self.keys).bit_length())).astype(np.int64)
 
     def find(self, h: np.ndarray) -> np.ndarray:
-        out = np.full(len(h), -1, np.int32)
-        for keys, entries in self.levels:
-            if len(keys):
-                at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
-                hit = keys[at] == h
-                out[hit] = entries[at[hit]]
+        """Entries of the hashes (none is 0), -1 where absent."""
+        slot = self._slots(h)
+        got = self.keys[slot]
+        out = np.where(got == h, self.entries[slot], np.int32(-1))
+        live = np.flatnonzero((got != h) & (got != 0))
+        while len(live):
+            slot[live] = (slot[live] + 1) & (len(self.keys) - 1)
+            got = self.keys[slot[live]]
+            hit = got == h[live]
+            out[live[hit]] = self.entries[slot[live[hit]]]
+            live = live[~hit & (got != 0)]
         return out
 
+    def _place(self, h: np.ndarray, entries: np.ndarray) -> None:
+        slot = self._slots(h)
+        while len(h):
+            free = np.flatnonzero(self.keys[slot] == 0)
+            self.keys[slot[free]] = h[free]
+            won = self.keys[slot] == h
+            self.entries[slot[won]] = entries[won]
+            h, entries, slot = h[~won], entries[~won], (slot[~won] + 1) & (len(self.keys) - 1)
+
     def add(self, h: np.ndarray, lengths: np.ndarray, ids: np.ndarray) -> None:
-        entries = np.arange(len(self.length), len(self.length) + len(h), dtype=np.int32)
-        self.start = np.concatenate([self.start, self.total + np.cumsum(lengths) - lengths])
-        self.length = np.concatenate([self.length, lengths])
-        self.ids.append(ids)
-        self.total += len(ids)
-        (big, big_entries), (recent, recent_entries) = self.levels
-        recent, recent_entries = np.concatenate([recent, h]), np.concatenate([recent_entries, entries])
-        if len(recent) > max(50_000, len(big) // 4):
-            big, big_entries = np.concatenate([big, recent]), np.concatenate([big_entries, recent_entries])
-            order = np.argsort(big)
-            big, big_entries = big[order], big_entries[order]
-            recent, recent_entries = recent[:0], recent_entries[:0]
-            self.ids = [np.concatenate(self.ids)]
-        else:
-            order = np.argsort(recent)
-            recent, recent_entries = recent[order], recent_entries[order]
-        self.levels = [(big, big_entries), (recent, recent_entries)]
+        """New hashes, each once, with the ids of all one after another."""
+        size, total = self.size + len(h), self.total + len(ids)
+        if 2 * size > len(self.keys):
+            old, entries = self.keys, self.entries
+            bits = (2 * size).bit_length()
+            self.keys, self.entries = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, np.int32)
+            self._place(old[old != 0], entries[old != 0])
+        if size > len(self.start):
+            self.start, self.length = _grown(self.start, size), _grown(self.length, size)
+        if total > len(self.ids):
+            self.ids = _grown(self.ids, total)
+        self.start[self.size : size] = self.total + np.cumsum(lengths) - lengths
+        self.length[self.size : size] = lengths
+        self.ids[self.total : total] = ids
+        self._place(h, np.arange(self.size, size, dtype=np.int32))
+        self.size, self.total = size, total
 
     def gather(self, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all entries one after another, the length of each)."""
-        if len(self.ids) > 1:
-            self.ids = [np.concatenate(self.ids)]
-        n = self.length[entries]
+        n = self.length[entries].astype(np.int64)
         ends = np.cumsum(n)
-        return self.ids[0][np.repeat(self.start[entries] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)], n
+        return self.ids[np.repeat(self.start[entries] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)], n
+
+
+def _grown(a: np.ndarray, size: int) -> np.ndarray:
+    out = np.zeros(1 << size.bit_length(), a.dtype)
+    out[: len(a)] = a
+    return out
 
 
 class Encoder:
-    """Encodes texts to ids of the given dtype ('<u2' or '<u4').
+    """Encodes texts to ids of the given dtype ('<u2' or '<u4'), as the library does with add_special_tokens=False.
 
     words: the vocabulary drops white space and marks word ends (else it is byte-level and keeps a space with the word after it).
     limit: pieces kept; beyond that the table is emptied, so memory is bounded.
     """
 
-    def __init__(self, path: str, words: bool, dtype: str = "<u2", limit: int = 1_200_000):
+    def __init__(self, path: str, words: bool, dtype: str = "<u2", limit: int = 800_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
         self.words, self.dtype, self.limit = words, dtype, limit
         size = self.tok.get_vocab_size()
         if dtype == "<u2" and size > 65536:
             raise ValueError("the vocabulary needs 32-bit ids")
+        self.added = [re.escape(x["content"].lower()) for x in json.loads(self.tok.to_str())["added_tokens"]]
+        self.special = re.compile("|".join(self.added)).search if self.added else None
         # in a text of many new words: the ids that end a word, or the id that stands between two
         self.stop = np.array([words and (self.tok.id_to_token(i) or "").endswith("</w>") for i in range(size)])
         if not words:
@@ -100,12 +141,24 @@ class Encoder:
         return [np.array(x.ids, self.dtype) for x in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, h: np.ndarray, new: list[str]) -> None:
-        """Encodes new pieces. Many go to the library as one text where its ids can be told apart: letters alone with word ends, or lines."""
-        alone = np.array([not w.isalpha() if self.words else "\n" in w or w.isspace() for w in new], bool)
-        many = np.flatnonzero(~alone)
-        for at in range(0, len(many), 2000):
-            part = many[at : at + 2000]
-            text = (" " if self.words else "\n").join([new[i] for i in part.tolist()]) + ("" if self.words else "\n")
+        """Encodes new pieces. Plain words are one pre-token each and go to the library's model; other words go to the library many in one
+        text, where their ids can be told apart; the rest goes to it piece by piece."""
+        plain, many, alone = [], [], []
+        for i, w in enumerate(new):
+            if _PLAIN(w):
+                plain.append(i)
+            elif not w.isalpha() if self.words else "\n" in w or w.isspace():
+                alone.append(i)
+            else:
+                many.append(i)
+        if plain:
+            model = self.tok.model.tokenize
+            # the byte-level form of a space
+            found = [[x.id for x in model(w if self.words else w.replace(" ", "Ġ"))] for w in (new[i] for i in plain)]
+            self.table.add(h[plain], np.array([len(x) for x in found]), np.array([x for f in found for x in f], self.dtype))
+        for at in range(0, len(many), 200):
+            part = many[at : at + 200]
+            text = (" " if self.words else "\n").join([new[i] for i in part]) + ("" if self.words else "\n")
             ids = np.array(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
             ends = np.flatnonzero(self.stop[ids])
             if len(ends) != len(part):
@@ -114,69 +167,81 @@ class Encoder:
                 self.table.add(h[part], np.diff(ends, prepend=-1), ids)
             else:
                 self.table.add(h[part], np.diff(ends, prepend=-1) - 1, np.delete(ids, ends))
-        rest = np.flatnonzero(alone)
-        if len(rest):
-            found = self._whole([new[i] for i in rest.tolist()])
-            self.table.add(h[rest], np.array([len(x) for x in found]), np.concatenate(found))
+        if alone:
+            found = self._whole([new[i] for i in alone])
+            self.table.add(h[alone], np.array([len(x) for x in found]), np.concatenate(found))
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text; null is the empty text."""
         out: list = [np.empty(0, self.dtype)] * len(texts)
         if len(self.table) > self.limit:
             self.table.clear()
-        group: list[tuple[int, bytes]] = []
+        group: list[tuple[int, str, bytes]] = []
         size = 0
         for i, t in enumerate(texts):
             if not t:
                 continue
-            if not SAFE(t) or not self.words and "  " in t:
+            low = t.lower()
+            if not SAFE(t) or self.special and self.special(low):
                 out[i] = self._whole([t])[0]
                 continue
-            group.append((i, (t.lower() if self.words else t).encode()))
-            size += len(group[-1][1])
-            if size > 2_000_000:
+            group.append((i, t, (low if self.words else t).encode()))
+            size += len(group[-1][2])
+            if size > GROUP:
                 self._group(group, out)
                 group, size = [], 0
         self._group(group, out)
         return out
 
-    def _group(self, group: list[tuple[int, bytes]], out: list) -> None:
+    def _cuts(self, data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(first, end) of the pieces. Without ``words`` they cover the texts."""
+        pair = _PAIRS[self.words][(data[:-1].astype(np.uint16) << 8) | data[1:]]
+        inner = np.flatnonzero(pair == 2) + 1
+        first = np.concatenate([[True], pair == 1, [True]])
+        first[begins] = True
+        if len(inner):
+            # inside a run of blanks: before its last one, if a character follows
+            blank = _BLANK[data]
+            last = np.isin(inner + 1, ends) | blank[np.minimum(inner + 1, len(data) - 1)]
+            first[inner[~last]] = True
+        a = np.flatnonzero(first)
+        a, b = a[:-1], a[1:]
+        if self.words:
+            keep = ~_BLANK[data[a]]
+            a, b = a[keep], b[keep]
+        return a, b
+
+    def _group(self, group: list[tuple[int, str, bytes]], out: list) -> None:
         if not group:
             return
-        raw = b"".join([r for _, r in group])
+        raw = b"".join([r for _, _, r in group])
         data = np.frombuffer(raw, "u1")
-        ends = np.cumsum([len(r) for _, r in group])
-        begins = ends - [len(r) for _, r in group]
-        if self.words:
-            inside = ~_BLANK[data]
-            first = inside.copy()
-            first[1:] &= ~inside[:-1]
-            first[begins] = inside[begins]
-            last = inside.copy()
-            last[:-1] &= ~inside[1:]
-            last[ends - 1] = inside[ends - 1]
-            a, b = np.flatnonzero(first), np.flatnonzero(last) + 1
-        else:
-            first = data == 32
-            first[begins] = True
-            a = np.flatnonzero(first)
-            b = np.append(a[1:], len(data))
+        ends = np.cumsum([len(r) for _, _, r in group])
+        begins = ends - [len(r) for _, _, r in group]
+        a, b = self._cuts(data, begins, ends)
         if not len(a):
             return
+        if (b - a).max() > LONG:
+            far = set((np.searchsorted(ends, a[b - a > LONG], "right")).tolist())
+            for k in far:
+                out[group[k][0]] = self._whole([group[k][1]])[0]
+            self._group([g for k, g in enumerate(group) if k not in far], out)
+            return
         up, down = powers(len(data) + 1)
         run = np.zeros(len(data) + 1, np.uint64)
         np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:-1], out=run[1:])
-        h = mix((run[b] - run[a]) * down[a] + (b - a).astype(np.uint64))
-        keys, place, back = np.unique(h, return_index=True, return_inverse=True)
-        entries = self.table.find(keys)
-        new = np.flatnonzero(entries < 0)
-        if len(new):
-            self._learn(keys[new], [raw[x:y].decode() for x, y in zip(a[place[new]].tolist(), b[place[new]].tolist())])
-            entries[new] = self.table.find(keys[new])
-        ids, n = self.table.gather(entries[back])
+        h = np.maximum(mix((run[b] - run[a]) * down[a] + (b - a).astype(np.uint64)), np.uint64(1))
+        entries = self.table.find(h)
+        absent = np.flatnonzero(entries < 0)
+        if len(absent):
+            keys, place = np.unique(h[absent], return_index=True)
+            place = absent[place]
+            self._learn(keys, [raw[x:y].decode() for x, y in zip(a[place].tolist(), b[place].tolist())])
+            entries[absent] = self.table.find(h[absent])
+        ids, n = self.table.gather(entries)
         after = np.concatenate([[0], np.cumsum(n)])
         cut = after[np.searchsorted(a, np.concatenate([begins, ends[-1:]]))].tolist()
-        for (i, _), x, y in zip(group, cut, cut[1:]):
+        for (i, _, _), x, y in zip(group, cut, cut[1:]):
             out[i] = ids[x:y]
 
 
@@ -189,3 +254,8 @@ def encoder(path: str, words: bool, dtype: str = "<u2") -> Encoder:
     if key not in _encoders:
         _encoders[key] = Encoder(*key)
     return _encoders[key]
+
+
+def forget() -> None:
+    """Frees the encoders of this worker: for workers whose next tasks need none."""
+    _encoders.clear()

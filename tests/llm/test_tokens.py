@@ -32,7 +32,6 @@ def docs():
 
 def want_ids(name, texts):
     t = Tokenizer.from_file(P.path(name))
-    t.encode_special_tokens = True
     return [x.ids for x in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
 
 
@@ -48,6 +47,29 @@ def test_encoder_equals_library(name, words):
     check()
 
 
+@pytest.mark.parametrize("name,words", [("byte_bpe_50k.json", False), ("word_bpe_49k.json", True)])
+def test_added_tokens_are_the_librarys(name, words):
+    added = [x.content for x in Tokenizer.from_file(P.path(name)).get_added_tokens_decoder().values()]
+    texts = [f"a {x} b{x.upper()}c{x}" for x in added] + ["<|endoftext", "|>", "don't 'tis it's, 1st\t\n x" + "y" * 400 + ". z", "  a", "a  ", "\n\na", "café, naïve×2÷3"]
+    assert [x.tolist() for x in Encoder(P.path(name), words).encode(texts)] == want_ids(name, texts)
+
+
+def test_word_table_grows_and_finds():
+    from methlake.llm.wordcache import WordTable
+
+    t, rnd = WordTable("<u2"), np.random.default_rng(5)
+    h = np.unique(rnd.integers(1, 2**63, 200_000).astype(np.uint64))
+    h = np.concatenate([h, np.arange(1, 300, dtype=np.uint64)])  # 299 that want one slot
+    rnd.shuffle(h)
+    for at in range(0, len(h), 9000):
+        part = h[at : at + 9000]
+        t.add(part, np.full(len(part), 2), np.repeat(part.astype("<u2"), 2))
+    entries = t.find(h)
+    ids, n = t.gather(entries)
+    assert (n == 2).all() and (ids == np.repeat(h.astype("<u2"), 2)).all()
+    assert (t.find(np.array([2**63 + 5, 400], np.uint64)) < 0).all()
+
+
 def test_token_files(spark, docs):
     got = token_files.op1_token_files(spark, SF).orderBy("doc_id").collect()
     start = 0
