@@ -103,3 +103,20 @@ def lacks_flags(flag, bits: int) -> Column:
 
 def any_of(*conditions: Column) -> Column:
     return reduce(lambda a, b: a | b, conditions)
+
+
+def fnv1a_shard(x, shards: int) -> Column:
+    """64-bit FNV-1a of an ASCII text, modulo a number of shards. The hash is kept as two halves of 32 bits, so that no product leaves 64 bits."""
+    # fixed values: offset basis and prime (2^40 + 435) of the hash
+    basis, low_prime = 0xCBF29CE484222325, 435
+    mask, low = F.lit(0xFFFFFFFF), F.lit(1 << 32)
+
+    def step(h: Column, byte: Column) -> Column:
+        xored = h["lo"].bitwiseXOR(byte)
+        product = xored * low_prime
+        carry = F.floor(product / low)
+        return F.struct(product.bitwiseAND(mask).alias("lo"), (h["hi"] * low_prime + carry + xored * 256).bitwiseAND(mask).alias("hi"))
+
+    codes = F.transform(letters(x), lambda c: F.ascii(c).cast("long"))
+    start = F.struct(F.lit(basis & 0xFFFFFFFF).cast("long").alias("lo"), F.lit(basis >> 32).cast("long").alias("hi"))
+    return F.aggregate(codes, start, step, lambda h: ((h["hi"] % shards) * ((1 << 32) % shards) + h["lo"]) % shards)

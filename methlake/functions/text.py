@@ -53,23 +53,6 @@ def file_safe(x) -> Column:
     return F.regexp_replace(_c(x), r"[/\\:*?\"<>| ]", "_")
 
 
-def id_set_digest(ids) -> Column:
-    """SHA-256 of sorted ids, a line each (an aggregate)."""
-    return F.sha2(F.concat(F.concat_ws("\n", F.array_sort(F.collect_list(ids))), F.lit("\n")), 256)
-
-
 def sampling_digest(seed: int, x) -> Column:
     """SHA-256 of the JSON list of a seed and an id."""
     return F.sha2(F.concat(F.lit(f'[{seed}, "'), _c(x), F.lit('"]')), 256)
-
-
-def shortened(labels: list[str]) -> list[str]:
-    """Labels without the prefix and suffix that all have in common, if something of each is left (driver side, for plots)."""
-    if len(set(labels)) < 2:
-        return labels
-    import os
-
-    head = len(os.path.commonprefix(labels))
-    tail = len(os.path.commonprefix([x[::-1] for x in labels]))
-    cut = [x[head : len(x) - tail] if head + tail < len(x) else "" for x in labels]
-    return cut if all(cut) and len(set(cut)) == len(set(labels)) else labels

@@ -161,15 +161,14 @@ def read_groups(alignments: DataFrame, groups: DataFrame) -> DataFrame:
     return alignments.join(groups.select("sample_id", "rg"), ["sample_id", "rg"], "left_anti").select(F.lit("read_group").alias("rule"), F.col("qname").alias("key"), F.col("rg").alias("detail"))
 
 
-def config_errors(config: dict) -> list[str]:
-    """Semantic errors of a project's settings (driver side)."""
-    out = []
-    if config.get("coordinate_base", 1) not in (0, 1):
-        out.append("coordinate_base must be 0 or 1")
-    if not 0 < config.get("tss_fraction", 0.1) <= 1:
-        out.append("tss_fraction must be in (0, 1]")
-    if config.get("protocol") not in (None, "cabernet", "taps", "droplet", "bismark"):
-        out.append("unknown protocol")
-    if not 0 <= config.get("high_cph_threshold", 0.0) <= 1:
-        out.append("high_cph_threshold must be in [0, 1]")
-    return out
+def config_rows(settings: DataFrame) -> DataFrame:
+    """Settings of projects (project, coordinate_base, tss_fraction, protocol, high_cph_threshold) outside their domain; null means the default."""
+    key = F.col("project")
+
+    def outside(rule: str, bad: Column, detail: Column | None = None) -> DataFrame:
+        return violations(settings, rule, F.coalesce(bad, F.lit(False)), key, detail)
+
+    return together(
+        outside("coordinate_base", ~F.col("coordinate_base").isin(0, 1), F.col("coordinate_base")), outside("tss_fraction", (F.col("tss_fraction") <= 0) | (F.col("tss_fraction") > 1)),
+        outside("protocol", ~F.col("protocol").isin("cabernet", "taps", "droplet", "bismark"), F.col("protocol")), outside("high_cph_threshold", ~F.col("high_cph_threshold").between(0, 1)),
+    )

@@ -128,17 +128,3 @@ def chr1_share(cpg: DataFrame) -> DataFrame:
 def pivot_by_chromosome(stats: DataFrame, value: str, names: list[str]) -> DataFrame:
     """A cell's value by contig, a column for each name."""
     return stats.groupBy("sample_id").pivot("chrom", names).agg(F.first(value))
-
-
-def cpg_intervals(sequences: DataFrame) -> DataFrame:
-    """Every CG of (chrom, seq) as [start, start+2); sequences are whole, so sites across line ends are found."""
-    upper = F.upper("seq")
-    places = F.filter(F.sequence(F.lit(1), F.greatest(F.length("seq") - 1, F.lit(1))), lambda i: F.substring(upper, i, F.lit(2)) == "CG")
-    return sequences.select("chrom", F.explode(places).alias("p")).select("chrom", (F.col("p") - 1).cast("long").alias("start"), (F.col("p") + 1).cast("long").alias("stop"))
-
-
-def masked(sequences: DataFrame, intervals: DataFrame) -> DataFrame:
-    """Sequences with N over the intervals of their contig."""
-    spans = intervals.groupBy("chrom").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
-    cut = F.aggregate(F.coalesce("spans", F.array()), F.col("seq"), lambda s, x: F.overlay(s, F.repeat(F.lit("N"), (x["stop"] - x["start"]).cast("int")), (x["start"] + 1).cast("int"), (x["stop"] - x["start"]).cast("int")))
-    return sequences.join(spans, "chrom", "left").select("chrom", cut.alias("seq"))

@@ -100,15 +100,94 @@ def report_sample(cells: DataFrame, n: int = 1000) -> DataFrame:
 
 
 def report_section(rows: DataFrame, ident: str, key: str, columns: list[str]) -> DataFrame:
-    """One row: id and the JSON object of key -> columns. Reports hold a bounded sample of cells (see report_sample)."""
-    entries = F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col(key).alias("key"), F.struct(*columns).alias("value")))))
-    return rows.agg(F.lit(ident).alias("id"), F.to_json(entries).alias("data"))
+    """A report's section as a table: id, key, value (the JSON object of the columns), a row for each key."""
+    return rows.select(F.lit(ident).alias("id"), F.col(key).alias("key"), F.to_json(F.struct(*columns)).alias("value"))
 
 
-def restrict_section(sections: DataFrame, cells: DataFrame) -> DataFrame:
-    """Sections (id, data map) with the sampled cells only."""
-    kept = cells.agg(F.collect_set("sample_id").alias("_kept"))
-    return sections.crossJoin(F.broadcast(kept)).withColumn("data", F.map_filter("data", lambda k, v: F.array_contains("_kept", k))).drop("_kept")
+def restrict_section(section: DataFrame, cells: DataFrame) -> DataFrame:
+    """The rows of a section (id, key, value) whose key is among the sampled cells."""
+    return section.join(cells.select(F.col("sample_id").alias("key")).distinct(), "key", "left_semi").select("id", "key", "value")
+
+
+def section_json(section: DataFrame, most: int = 1000) -> DataFrame:
+    """id, data: each section as one JSON object, keys in order. For restricted sections: more than ``most`` rows fail before anything is gathered."""
+    if section.limit(most + 1).count() > most:
+        raise ValueError(f"a report shows {most} cells at most")
+    entries = F.array_sort(F.collect_list(F.struct("key", "value")))
+    lines = F.transform(entries, lambda e: F.concat(F.lit('"'), e["key"], F.lit('":'), e["value"]))
+    return section.groupBy("id").agg(F.concat(F.lit("{"), F.array_join(lines, ","), F.lit("}")).alias("data"))
+
+
+def attach_metrics(cells: DataFrame, metrics: DataFrame, key: str = "sample_id") -> DataFrame:
+    """cells with the metrics of their row, if they have one: a metric that is there replaces the cell's own value, others stay."""
+    new = [c for c in metrics.columns if c != key]
+    j = cells.join(metrics.withColumnsRenamed({c: f"__{c}" for c in new}), key, "left")
+    kept = [F.coalesce(f"__{c}", c).alias(c) if c in new else F.col(c) for c in cells.columns]
+    return j.select(*kept, *[F.col(f"__{c}").alias(c) for c in new if c not in cells.columns])
+
+
+def set_differences(expected: DataFrame, found: DataFrame, key: str) -> DataFrame:
+    """key, side of what only one of two tables has: ``missing`` (expected, not found) or ``extra``."""
+    a, b = expected.select(key).distinct(), found.select(key).distinct()
+    j = a.withColumn("a", F.lit(True)).join(b.withColumn("b", F.lit(True)), key, "full_outer")
+    return j.where("a is null or b is null").select(key, F.when(F.col("b").isNull(), "missing").otherwise("extra").alias("side"))
+
+
+def numbered(rows: DataFrame, *order, name: str = "place") -> DataFrame:
+    """rows with their place (from 0) in the given order. The order is by ranges, each sorted in its own task; a place is a prefix sum over one row for each range."""
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # the identifier holds the range in its upper bits and the place in it in the lower 33
+    s = _cut(rows.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("__m", F.monotonically_increasing_id()))
+    part = F.shiftright("__m", 33)
+    sizes = s.groupBy(part.alias("__p")).agg(F.count("*").alias("__n"))
+    base = sizes.select("__p", F.coalesce(F.sum("__n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__base"))
+    j = s.withColumn("__p", part).join(F.broadcast(base), "__p")
+    return j.withColumn(name, F.col("__base") + F.col("__m").bitwiseAND((1 << 33) - 1)).drop("__p", "__m", "__base")
+
+
+def id_set_digests(rows: DataFrame, group: str, key: str) -> DataFrame:
+    """group, digest: SHA-256 of a group's ids in order, a line each. The ids stream through the hash (a chain, so one task reads a group, but holds one id at a time)."""
+    import hashlib
+
+    import pyarrow as pa
+
+    def run(batches):
+        now, h, some = None, None, False
+        for batch in batches:
+            out = []
+            for g, i in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if not some or g != now:
+                    if some:
+                        out.append((now, h.hexdigest()))
+                    now, h, some = g, hashlib.sha256(), True
+                h.update(i.encode() + b"\n")
+            if out:
+                yield pa.RecordBatch.from_pylist([{group: a, "digest": d} for a, d in out], schema)
+        if some:
+            yield pa.RecordBatch.from_pylist([{group: now, "digest": h.hexdigest()}], schema)
+
+    schema = pa.schema([(group, pa.string()), ("digest", pa.string())])
+    slim = rows.where(F.col(key).isNotNull()).select(F.col(group).cast("string").alias(group), F.col(key).cast("string").alias(key))
+    return slim.repartition(group).sortWithinPartitions(group, key).mapInArrow(run, f"`{group}` string, digest string")
+
+
+def short_labels(rows: DataFrame, column: str) -> DataFrame:
+    """rows with ``label``: the column without the prefix and suffix that all its values have in common, or as it is unless something of each is left.
+
+    The least and the greatest text share what all texts share, so four texts are enough: those of the column and of its reversal.
+    """
+    x = F.col(column)
+
+    def common(a: str, b: str):
+        n = F.least(F.length(a), F.length(b))
+        differ = F.expr(f"array_position(transform(sequence(1, greatest(least(length({a}), length({b})), 1)), i -> substring({a}, i, 1) <> substring({b}, i, 1)), true)")
+        return F.when(n == 0, 0).when(differ > 0, differ - 1).otherwise(n).cast("int")
+
+    ends = rows.agg(F.min(x).alias("a"), F.max(x).alias("b"), F.min(F.reverse(x)).alias("c"), F.max(F.reverse(x)).alias("d"), F.min(F.length(x)).alias("n"))
+    cut = ends.select("a", "b", "n", common("a", "b").alias("head"), common("c", "d").alias("tail"))
+    cut = cut.select(F.when((F.col("a") != F.col("b")) & (F.col("head") + F.col("tail") < F.col("n")), F.struct("head", "tail")).alias("__cut"))
+    j = rows.join(F.broadcast(cut))
+    return j.withColumn("label", F.when(F.col("__cut").isNull(), x).otherwise(F.expr(f"substring({column}, __cut.head + 1, length({column}) - __cut.head - __cut.tail)"))).drop("__cut")
 
 
 def last_by(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

@@ -14,6 +14,10 @@ from methlake.functions import sequence as S
 PLATE_ANCHOR = "AGATGTGTATAAGAGACAG"
 DROPLET_ANCHOR = "TTTCTTATATGGGCGTCCGTCGTTGCTCGTAGATGTGTATAAGAGACAG"
 GAP, SHORTEST = 9, 20
+#: bins of the histogram of barcode counts
+BINS = 200
+#: rows of a barcode index (some 50 for each barcode) up to which it is broadcast
+SMALL = 200_000
 
 
 def mate_join(r1: DataFrame, r2: DataFrame) -> DataFrame:
@@ -35,7 +39,7 @@ def barcode_index(barcodes: DataFrame, alphabet: str = "ACGT", protected: DataFr
     full = own.select("id", F.col("id").alias("key"), F.lit(0).alias("d")).unionByName(own.select("id", F.explode(S.neighbours("id", alphabet)).alias("key"), F.lit(1).alias("d")))
     if protected is not None:
         design = protected.select(F.col("barcode").alias("key")).distinct()
-        full = full.where("d = 0").unionByName(full.where("d > 0").join(F.broadcast(design), "key", "left_anti").select("id", "key", "d"))
+        full = full.where("d = 0").unionByName(full.where("d > 0").join(design, "key", "left_anti").select("id", "key", "d"))
     if shifted:
         full = full.unionByName(own.select("id", F.substring("id", F.lit(2), F.length("id")).alias("key"), F.lit(0).alias("d")))
     best = full.groupBy("key").agg(F.min(F.struct("d", "id")).alias("low"), F.collect_set(F.struct("d", "id")).alias("all"))
@@ -43,9 +47,14 @@ def barcode_index(barcodes: DataFrame, alphabet: str = "ACGT", protected: DataFr
     return best.select("key", F.when(ties == 1, F.col("low.id")).alias("id"), (ties > 1).alias("ambiguous"))
 
 
+def bounded(rows: DataFrame, most: int = SMALL) -> DataFrame:
+    """rows, marked for broadcast if there are ``most`` at most; otherwise the join is planned by size."""
+    return F.broadcast(rows) if rows.limit(most + 1).count() <= most else rows
+
+
 def barcode_lookup(observed: DataFrame, index: DataFrame, column: str = "observed") -> DataFrame:
     """observed with id, ambiguous (both null where nothing matches; N never matches)."""
-    return observed.join(F.broadcast(index.withColumnRenamed("key", column)), column, "left")
+    return observed.join(bounded(index).withColumnRenamed("key", column), column, "left")
 
 
 def plate_demux(reads: DataFrame, barcodes: DataFrame, bisulfite: bool = True, length: int = 8) -> DataFrame:
@@ -56,50 +65,52 @@ def plate_demux(reads: DataFrame, barcodes: DataFrame, bisulfite: bool = True, l
     first 60 bases. An ambiguous barcode in any attempt makes an unassigned read ambiguous.
     """
     n = len(PLATE_ANCHOR)
-    tries = [(0, length, 0, length), (1, length - 1, 0, length - 1), (2, length + 1, 1, length + 1)]
-    attempts = F.array(*[
-        F.struct(F.lit(k).alias("k"), F.substring("seq", b + 1, e - b).alias("observed"), F.lit(a + n + GAP).alias("trim"),
-                 S.anchor_distance("seq", a, PLATE_ANCHOR, bisulfite).alias("d"))
-        for k, a, b, e in tries
-    ])
-    base = reads.select("lane", "ordinal", "seq").withColumn("short", F.length("seq") < SHORTEST)
-    exact = base.where("not short").withColumn("t", F.explode(attempts)).where("t.d <= 2").select("lane", "ordinal", "t.k", "t.observed", "t.trim", F.length("seq").alias("n"))
-    index = barcode_index(barcodes)
-
-    def judged(tried: DataFrame) -> DataFrame:
-        j = barcode_lookup(tried, index).withColumn("good", F.col("id").isNotNull() & (F.col("trim") < F.col("n")))
-        return j.groupBy("lane", "ordinal").agg(F.min(F.when(F.col("good"), F.struct("k", "id", "trim"))).alias("hit"), F.coalesce(F.bool_or("ambiguous"), F.lit(False)).alias("amb"))
-
-    first = judged(exact)
-    rest = base.where("not short").join(first.where("hit is not null").select("lane", "ordinal"), ["lane", "ordinal"], "left_anti")
-    found = rest.withColumn("al", anchor_alignment(F.substring("seq", 1, 60), bisulfite)).where("al is not null")
-    found = found.where((F.col("al.start") >= length - 1) & (F.col("al.start") <= length + 1))
-    loose = found.select("lane", "ordinal", F.lit(3).alias("k"), F.expr("substring(seq, greatest(al.start - %d, 0) + 1, al.start - greatest(al.start - %d, 0))" % (length, length)).alias("observed"), (F.col("al.stop") + GAP).alias("trim"), F.length("seq").alias("n"))
-    both = base.join(first, ["lane", "ordinal"], "left").join(judged(loose).select("lane", "ordinal", F.col("hit").alias("hit2"), F.col("amb").alias("amb2")), ["lane", "ordinal"], "left")
-    hit = F.coalesce("hit", "hit2")
-    fate = F.when(F.col("short"), "short").when(hit.isNotNull(), "dna_assigned").when(F.coalesce("amb", F.lit(False)) | F.coalesce("amb2", F.lit(False)), "ambiguous").otherwise("unmatched")
-    return both.select("lane", "ordinal", fate.alias("fate"), hit["id"].alias("barcode"), hit["trim"].alias("trim_start"))
-
-
-def _padded(texts: list[str | None], width: int) -> tuple[np.ndarray, np.ndarray]:
-    n = np.array([min(len(t or ""), width) for t in texts])
-    out = np.zeros((len(texts), width), "u1")
-    for i, t in enumerate(texts):
-        if t:
-            out[i, : n[i]] = np.frombuffer(t[:width].encode("latin-1", "replace"), "u1")
-    return out, n
-
-
-def align(texts: list[str | None], anchor: str = PLATE_ANCHOR, bisulfite: bool = True, most: int = 3, width: int = 60) -> list[dict | None]:
-    """Best alignment (start, stop, edits) of anchor anywhere in each text, the earliest end among equals; None beyond ``most`` edits.
+    tries = [(length, 0, length), (length - 1, 0, length - 1), (length + 1, 1, length + 1)]
+    index = bounded(barcode_index(barcodes))
+    out = reads.select("lane", "ordinal", "seq")
+
+    def looked_up(df: DataFrame, k: int, observed: Column, trim: Column) -> DataFrame:
+        """df with hit{k} (barcode and place of the payload, if there is one) and amb{k}."""
+        found = index.select(F.col("key").alias("__key"), F.col("id").alias("__id"), F.col("ambiguous").alias("__amb"))
+        j = df.join(found, observed == F.col("__key"), "left")
+        hit = F.when(F.col("__id").isNotNull() & (trim < F.length("seq")), F.struct(F.col("__id").alias("id"), trim.cast("int").alias("trim")))
+        return j.select(*df.columns, hit.alias(f"hit{k}"), F.coalesce("__amb", F.lit(False)).alias(f"amb{k}"))
+
+    long = F.length("seq") >= SHORTEST
+    for k, (at, b, e) in enumerate(tries):
+        near = long & (S.anchor_distance("seq", at, PLATE_ANCHOR, bisulfite) <= 2)
+        out = looked_up(out, k, F.when(near, F.substring("seq", b + 1, e - b)), F.lit(at + n + GAP))
+    # the alignment sees only what is still undecided: it gets null for the rest
+    out = out.withColumn("al", anchor_alignment(F.when(long & F.coalesce("hit0", "hit1", "hit2").isNull(), F.substring("seq", 1, 60)), bisulfite))
+    placed = F.col("al.start").between(length - 1, length + 1)
+    out = looked_up(out, 3, F.when(placed, F.expr(f"substring(seq, greatest(al.start - {length}, 0) + 1, al.start - greatest(al.start - {length}, 0))")), F.col("al.stop") + GAP)
+    hit = F.coalesce(*[f"hit{k}" for k in range(4)])
+    fate = F.when(~long, "short").when(hit.isNotNull(), "dna_assigned").when(S.any_of(*[F.col(f"amb{k}") for k in range(4)]), "ambiguous").otherwise("unmatched")
+    return out.select("lane", "ordinal", fate.alias("fate"), hit["id"].alias("barcode"), hit["trim"].alias("trim_start"))
+
+
+def _padded(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(the first ``width`` bytes of each text, 0 beyond its end; its length); null is empty."""
+    import pyarrow.compute as pc
+
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    offsets = np.frombuffer(texts.buffers()[1], "<i8")[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"\0", "u1") if len(texts) else np.zeros(1, "u1")
+    at = offsets[:-1, None] + np.arange(width)
+    return np.where(at < offsets[1:, None], data[np.minimum(at, len(data) - 1)] if len(data) else 0, 0).astype("u1"), np.diff(offsets)
+
+
+def align(texts: pa.Array, anchor: str = PLATE_ANCHOR, bisulfite: bool = True, most: int = 3, width: int = 60) -> pa.StructArray:
+    """Best alignment (start, stop, edits) of anchor anywhere in each text, the earliest end among equals; null beyond ``most`` edits.
 
     Semi-global edit distance, one column of all texts at a time; a path keeps its start, and among equal paths the one that pairs letters.
     """
-    data, n = _padded(texts, width)
+    some = texts.is_valid().to_numpy(zero_copy_only=False)
+    data, n = _padded(texts.filter(pa.array(some)), width)
     if bisulfite:
         data = np.where((data == ord("G")) | (data == ord("g")), ord("A"), data)
         anchor = anchor.replace("G", "A")
-    rows = len(texts)
+    rows = len(data)
     cost = np.tile(np.arange(len(anchor) + 1), (rows, 1))
     start = np.zeros_like(cost)
     best = np.full(rows, most + 1)
@@ -117,15 +128,15 @@ def align(texts: list[str | None], anchor: str = PLATE_ANCHOR, bisulfite: bool =
         better = (cost[:, -1] < best) & (j < n)
         best = np.where(better, cost[:, -1], best)
         found[better, 0], found[better, 1] = start[better, -1], j + 1
-    return [{"start": int(s), "stop": int(e), "edits": int(k)} if k <= most else None for (s, e), k in zip(found, best)]
+    out = np.full((len(texts), 3), most + 1, np.int32)
+    out[some] = np.column_stack([found, best])
+    return pa.StructArray.from_arrays([pa.array(c) for c in out.T], ["start", "stop", "edits"], mask=pa.array(out[:, 2] > most))
 
 
 def anchor_alignment(column: Column, bisulfite: bool = True) -> Column:
-    kind = pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("edits", pa.int32())])
-
     @arrow_udf("start int, stop int, edits int")
     def run(texts: pa.Array) -> pa.Array:
-        return pa.array(align(texts.to_pylist(), bisulfite=bisulfite), kind)
+        return align(texts, bisulfite=bisulfite)
 
     return run(column)
 
@@ -151,50 +162,34 @@ def _droplet_distance(data: np.ndarray, start: int, length: int, ct: bool) -> np
     return 1 + (before + after).min(1)
 
 
-def droplet_layouts(texts: list[str | None]) -> list[dict]:
-    """fate and, where it is ``assigned``, barcode (17), umi (12) and trim_start of each read; two best boundaries are ambiguous."""
-    width = 90
-    data, _ = _padded(texts, width)
-    full = np.array([len(t or "") for t in texts])
-    best = np.full(len(texts), 3)
-    where = np.full((len(texts), 2), -1)
-    tied = np.zeros(len(texts), bool)
-    for start in (28, 29, 30):
-        for length in (48, 49, 50):
-            score = np.minimum(_droplet_distance(data, start, length, True), _droplet_distance(data, start, length, False))
-            score = np.where(start + length <= full, score, 9)
-            better, equal = (score < best) & (score <= 2), (score == best) & (score <= 2)
-            tied = np.where(better, False, tied | equal)
-            where[better] = start, start + length
-            best = np.where(better, score, best)
-    out = []
-    for t, n, (a, b), amb in zip(texts, full.tolist(), where.tolist(), tied.tolist()):
-        row: dict = {"fate": "assigned", "barcode": None, "umi": None, "trim_start": None}
-        if n < 28 + len(DROPLET_ANCHOR) - 1:
-            row["fate"] = "short"
-        elif amb:
-            row["fate"] = "ambiguous"
-        elif a < 0:
-            row["fate"] = "unmatched"
-        elif a < 29 or b + GAP >= n:
-            row["fate"] = "short"
-        elif set(t[a - 29 : a - 12]) - set("ACGT") or set(t[a - 12 : a]) - set("ACGTN"):
-            row["fate"] = "unmatched"
-        else:
-            row |= {"barcode": t[a - 29 : a - 12], "umi": t[a - 12 : a], "trim_start": b + GAP}
-        out.append(row)
-    return out
+def _droplet_boundaries(texts: pa.Array) -> pa.StructArray:
+    """start and stop of the anchor in each text (-1 if it is nowhere within two mismatches), and whether two boundaries are as good."""
+    data, full = _padded(texts, 90)
+    places = [(start, length) for start in (28, 29, 30) for length in (48, 49, 50)]
+    scores = np.stack([np.where(a + n <= full, np.minimum(_droplet_distance(data, a, n, True), _droplet_distance(data, a, n, False)), 9) for a, n in places], 1)
+    best = scores.min(1)
+    where = np.array(places)[scores.argmin(1)]
+    some = best <= 2
+    start = np.where(some, where[:, 0], -1).astype(np.int32)
+    return pa.StructArray.from_arrays([pa.array(start), pa.array(np.where(some, where.sum(1), -1).astype(np.int32)), pa.array(some & ((scores == best[:, None]).sum(1) > 1))], ["start", "stop", "tied"])
 
 
 def droplet_extract(reads: DataFrame) -> DataFrame:
-    """reads with the struct ``layout`` (fate, barcode, umi, trim_start)."""
-    kind = pa.struct([("fate", pa.string()), ("barcode", pa.string()), ("umi", pa.string()), ("trim_start", pa.int32())])
+    """reads with the struct ``layout``: fate and, where it is ``assigned``, barcode (17), umi (12) and trim_start. Two best boundaries are ambiguous."""
 
-    @arrow_udf("fate string, barcode string, umi string, trim_start int")
+    @arrow_udf("start int, stop int, tied boolean")
     def run(texts: pa.Array) -> pa.Array:
-        return pa.array(droplet_layouts(texts.to_pylist()), kind)
+        return _droplet_boundaries(texts)
 
-    return reads.withColumn("layout", run("seq"))
+    n, a, b = F.coalesce(F.length("seq"), F.lit(0)), F.col("__b.start"), F.col("__b.stop")
+    barcode, umi = F.expr("substring(seq, __b.start - 28, 17)"), F.expr("substring(seq, __b.start - 11, 12)")
+    fate = (
+        F.when(n < 28 + len(DROPLET_ANCHOR) - 1, "short").when(F.col("__b.tied"), "ambiguous").when(a < 0, "unmatched").when((a < 29) | (b + GAP >= n), "short")
+        .when(~barcode.rlike("^[ACGT]{17}$") | ~umi.rlike("^[ACGTN]{12}$"), "unmatched").otherwise("assigned")
+    )
+    good = F.col("__fate") == "assigned"
+    layout = F.struct(F.col("__fate").alias("fate"), F.when(good, barcode).alias("barcode"), F.when(good, umi).alias("umi"), F.when(good, b + GAP).alias("trim_start"))
+    return reads.withColumn("__b", run("seq")).withColumn("__fate", fate).select(*[F.col(f"`{c}`") for c in reads.columns], layout.alias("layout"))
 
 
 def barcode_counts(reads: DataFrame) -> DataFrame:
@@ -220,66 +215,60 @@ def cell_counts(cells: DataFrame, assigned: DataFrame, key: str = "sample_id") -
     return cells.select(key).distinct().join(assigned.groupBy(key).agg(F.count("*").alias("reads")), key, "left").fillna(0, ["reads"])
 
 
-def log_histogram(counts: DataFrame, bins: int = 200) -> tuple[list[int], float, float]:
-    """(bin counts, lower, width) of log10(count + 1): one aggregate for the range, one for at most ``bins`` rows."""
+def log_histogram(counts: DataFrame, bins: int = BINS) -> DataFrame:
+    """b, n, low, width: every bin of log10(count + 1) between the least and the greatest value with its barcodes. No rows without two different counts."""
     v = counts.select(F.log10(F.col("count") + 1).alias("v"))
-    low, high = v.agg(F.min("v"), F.max("v")).first()
-    if low is None or low == high:
-        return [], low or 0.0, 0.0
-    width = (high - low) / bins
-    rows = v.groupBy(F.least(F.lit(bins - 1), F.floor((F.col("v") - low) / width)).alias("b")).count().collect()
-    out = [0] * bins
-    for b, n in rows:
-        out[b] = n
-    return out, low, width
-
-
-def moving_mean(values: list[float], reach: int = 11) -> list[float]:
-    """Sums over +-reach divided by the full window, also at the ends."""
-    return [sum(values[max(0, i - reach) : i + reach + 1]) / (2 * reach + 1) for i in range(len(values))]
-
-
-def peaks(values: list[float], apart: int = 20) -> list[int]:
-    """Strict local maxima (a plateau at its middle), highest first, none within ``apart`` of a higher one."""
-    found, i, n = [], 1, len(values) - 1
-    while i < n:
-        j = i
-        while j < n and abs(values[j + 1] - values[i]) <= 1e-12:
-            j += 1
-        if j < n and values[i] > values[i - 1] + 1e-12 and values[j] > values[j + 1] + 1e-12:
-            found.append((i + j) // 2)
-        i = j + 1
-    kept: list[int] = []
-    for p in sorted(found, key=lambda k: (-values[k], k)):
-        if all(abs(p - o) >= apart for o in kept):
-            kept.append(p)
-    return kept
-
-
-def valley_threshold(histogram: list[int], low: float, width: float) -> float | None:
-    """Count at the valley between the two highest peaks; None without two peaks or a valley below both."""
-    if not histogram:
-        return None
-    s = moving_mean(histogram)
-    top = peaks(s)
-    if len(top) < 2:
-        return None
-    a, b = sorted(top[:2])
-    least = min(s[a + 1 : b])
-    if least >= min(s[a], s[b]) - 1e-12:
-        return None
-    first = next(i for i in range(a + 1, b) if abs(s[i] - least) <= 1e-12)
-    last = first
-    while last + 1 < b and abs(s[last + 1] - least) <= 1e-12:
-        last += 1
-    return 10 ** (low + ((first + last) // 2 + 0.5) * width) - 1
-
-
-def call_cells(counts: DataFrame, least: int = 100) -> tuple[DataFrame, float | None]:
-    """(called barcodes with their counts, threshold). The driver sees at most 200 histogram rows."""
+    ends = v.agg(F.min("v").alias("low"), ((F.max("v") - F.min("v")) / bins).alias("width")).where("width > 0")
+    # one row on the broadcast side
+    n = v.join(F.broadcast(ends)).groupBy(F.least(F.lit(bins - 1), F.floor((F.col("v") - F.col("low")) / F.col("width"))).alias("b")).agg(F.count("*").alias("n"))
+    every = ends.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(bins - 1).cast("long"))).alias("b"), "low", "width")
+    return every.join(n, "b", "left").select("b", F.coalesce("n", F.lit(0)).alias("n"), "low", "width")
+
+
+def moving_mean(histogram: DataFrame, reach: int = 11) -> DataFrame:
+    """histogram with m: the sum over +-reach bins divided by the full window, also at the ends. The window has the histogram's rows, BINS at most."""
+    w = Window.partitionBy().orderBy("b").rowsBetween(-reach, reach)
+    return histogram.withColumn("m", F.sum("n").over(w) / (2 * reach + 1))
+
+
+def _plateaus(smooth: DataFrame) -> DataFrame:
+    """Islands of bins in a row with one value (within 1e-12): first, last, m, and the values before and after (null at the ends)."""
+    w = Window.partitionBy().orderBy("b")
+    new = F.coalesce((F.abs(F.col("m") - F.lag("m").over(w)) > 1e-12).cast("int"), F.lit(1))
+    rows = smooth.withColumn("new", new).withColumn("island", F.sum("new").over(w))
+    islands = rows.groupBy("island").agg(F.min("b").alias("first"), F.max("b").alias("last"), F.min_by("m", "b").alias("m"))
+    v = Window.partitionBy().orderBy("first")
+    return islands.withColumn("before", F.lag("m").over(v)).withColumn("after", F.lead("m").over(v))
+
+
+def peaks(smooth: DataFrame, apart: int = 20) -> DataFrame:
+    """place, b, m of the strict local maxima of (b, m), highest first, a plateau at its middle; none lies within ``apart`` of one before it."""
+    top = _plateaus(smooth).where("m > before and m > after").select(F.floor((F.col("first") + F.col("last")) / 2).alias("b"), "m")
+    ranked = top.agg(F.array_sort(F.collect_list(F.struct((-F.col("m")).alias("h"), "b"))).alias("x"))
+    kept = F.expr(f"aggregate(x, cast(array() as array<struct<h: double, b: bigint>>), (s, p) -> if(exists(s, o -> abs(o.b - p.b) < {apart}), s, concat(s, array(p))))")
+    return ranked.select(F.posexplode(kept).alias("place", "p")).select(F.col("place").cast("long").alias("place"), F.col("p.b").alias("b"), (-F.col("p.h")).alias("m"))
+
+
+def valley(smooth: DataFrame, tops: DataFrame) -> DataFrame:
+    """threshold (one row): the count at the middle of the lowest stretch between the two highest peaks; null without two, or if the stretch isn't below both."""
+    two = tops.where("place < 2").agg(F.min("b").alias("lo"), F.max("b").alias("hi"), F.min("m").alias("lower"), F.count("*").alias("tops"))
+    between = smooth.join(F.broadcast(two)).where("tops = 2 and b > lo and b < hi")
+    least = between.agg(F.min("m").alias("least"))
+    low = between.join(F.broadcast(least)).where("m <= least + 1e-12")
+    # the first stretch of such bins
+    w = Window.partitionBy().orderBy("b")
+    first = low.withColumn("k", F.col("b") - F.row_number().over(w)).withColumn("k0", F.min("k").over(Window.partitionBy())).where("k = k0")
+    mid = first.agg(F.min("b").alias("a"), F.max("b").alias("z"), F.min("m").alias("m"), F.min("lower").alias("lower"), F.min("low").alias("low"), F.min("width").alias("width"))
+    value = F.pow(F.lit(10.0), F.col("low") + (F.floor((F.col("a") + F.col("z")) / 2) + 0.5) * F.col("width")) - 1
+    return mid.select(F.when(F.col("m") < F.col("lower") - 1e-12, value).alias("threshold"))
+
+
+def call_cells(counts: DataFrame, least: int = 100) -> tuple[DataFrame, DataFrame]:
+    """(called barcodes with their counts, the one row of their threshold, which is null if none can be told). Nothing but rows of the histogram is gathered in one task."""
     e = eligible_barcodes(counts, least)
-    t = valley_threshold(*log_histogram(e))
-    return e.where(F.lit(False) if t is None else F.col("count") >= t), t
+    smooth = moving_mean(log_histogram(e))
+    limit = valley(smooth, peaks(smooth))
+    return e.join(F.broadcast(limit)).where("count >= threshold").drop("threshold"), limit
 
 
 def higher_neighbours(called: DataFrame, alphabet: str = "AGT") -> DataFrame:
@@ -297,12 +286,8 @@ def molecules(reads: DataFrame, cap: int = 4096) -> DataFrame:
     return keys.withColumn("rank", rank).where(F.col("rank") <= cap).drop("rank")
 
 
-def error_screen(called: DataFrame, qualities: DataFrame, reads: DataFrame, threshold: float) -> DataFrame:
-    """barcode, decision, reason of the called barcodes with a higher neighbour: probable sequencing errors of it are removed.
-
-    An error has one higher neighbour, at least five times as frequent, little high-quality support at the differing base, clearly more low-quality bases there than
-    the neighbour, and shares at least three UMIs and three inserts with it; not if the neighbour is itself such an error.
-    """
+def error_candidates(called: DataFrame, qualities: DataFrame, threshold: float) -> DataFrame:
+    """Called barcodes with a higher neighbour (barcode, count, parent, parent_count) and the reason for which one is no error of it, null if none shows in counts and qualities."""
     pairs = higher_neighbours(called)
     ups = pairs.groupBy("barcode").agg(F.count("*").alias("ups"))
     q = qualities.select("barcode", "below_q20", "q30")
@@ -314,11 +299,26 @@ def error_screen(called: DataFrame, qualities: DataFrame, reads: DataFrame, thre
         .when(high >= threshold, "independent_q30_support")
         .when((low < 0.2 * F.col("count")) | (low * F.col("parent_count") < 5 * plow * F.col("count")), "insufficient_quality_evidence")
     )
-    at = at.withColumn("reason", reason)
+    return at.select("barcode", "count", "parent", "parent_count", reason.alias("reason"))
+
+
+def shared_molecules(pairs: DataFrame, reads: DataFrame) -> DataFrame:
+    """pairs (barcode, parent) with the UMIs and inserts of the molecules (see molecules()) that both have; pairs without any are left out."""
+    pairs = pairs.select("barcode", "parent").distinct()
+    parents = reads.select(F.col("barcode").alias("parent"), S.molecule_key("umi", "insert").alias("key")).where("key is not null").distinct()
+    both = molecules(reads).join(pairs, "barcode").join(parents, ["parent", "key"])
+    return both.groupBy("barcode", "parent").agg(F.countDistinct(F.substring("key", 1, 12)).alias("umis"), F.countDistinct(F.substring("key", 13, 32)).alias("inserts"))
+
+
+def error_screen(called: DataFrame, qualities: DataFrame, reads: DataFrame, threshold: float) -> DataFrame:
+    """barcode, decision, reason of the called barcodes with a higher neighbour: probable sequencing errors of it are removed.
+
+    An error has one higher neighbour, at least five times as frequent, little high-quality support at the differing base, clearly more low-quality bases there than
+    the neighbour, and shares at least three UMIs and three inserts with it; not if the neighbour is itself such an error.
+    """
+    at = error_candidates(called, qualities, threshold)
     pending = at.where("reason is null").select("barcode", "parent")
-    all_keys = reads.select(F.col("barcode").alias("parent"), S.molecule_key("umi", "insert").alias("key")).where("key is not null").distinct()
-    shared = molecules(reads).join(pending, "barcode").join(all_keys, ["parent", "key"])
-    evidence = shared.groupBy("barcode", "parent").agg(F.countDistinct(F.substring("key", 1, 12)).alias("umis"), F.countDistinct(F.substring("key", 13, 32)).alias("inserts"))
+    evidence = shared_molecules(pending, reads)
     judged = pending.join(evidence, ["barcode", "parent"], "left").withColumn("proposed", F.coalesce((F.col("umis") >= 3) & (F.col("inserts") >= 3), F.lit(False)))
     chained = judged.where("proposed").select(F.col("barcode").alias("parent"), F.lit(True).alias("parent_proposed"))
     judged = judged.join(chained, "parent", "left")
@@ -328,7 +328,7 @@ def error_screen(called: DataFrame, qualities: DataFrame, reads: DataFrame, thre
 
 
 def in_design(called: DataFrame, design: DataFrame) -> DataFrame:
-    return called.join(F.broadcast(design.select("barcode").distinct()), "barcode", "left_semi")
+    return called.join(design.select("barcode").distinct(), "barcode", "left_semi")
 
 
 def droplet_replay(reads: DataFrame, called: DataFrame, design: DataFrame) -> DataFrame:
@@ -337,14 +337,6 @@ def droplet_replay(reads: DataFrame, called: DataFrame, design: DataFrame) -> Da
     return barcode_lookup(reads, index, "barcode").select("lane", "ordinal", "barcode", F.col("id").alias("cell_barcode"), F.when(F.col("id").isNotNull(), "dna_assigned").when(F.col("ambiguous"), "ambiguous").otherwise("unmatched").alias("fate"))
 
 
-def fnv1a(x: str) -> int:
-    """64-bit FNV-1a of a text (driver side; Spark shards by its own hash)."""
-    h = 0xCBF29CE484222325
-    for b in x.encode():
-        h = (h ^ b) * 0x100000001B3 % 2**64
-    return h
-
-
 def sampled_pairs(reads: DataFrame, n: int = 10_000) -> DataFrame:
     """The first n reads by lane and ordinal (a probe)."""
     return reads.orderBy("lane", "ordinal").limit(n)

@@ -156,9 +156,12 @@ def _(genes, contigs):
     return C.tss_regions(C.tss_bins(genes), contigs).groupBy("chrom", "start", "stop").agg(F.count("*").alias("members"), F.countDistinct("gene").alias("genes"))
 
 
-@query("E10_tss_profile", "cpg genes contigs", f"""with t as ({TSS}), r as (select distinct chrom, start, stop from t where chrom in {HOST}),
+TSS_PROFILE = f"""with t as ({TSS}), r as (select distinct chrom, start, stop from t where chrom in {HOST}),
     m as (select sample_id, c.chrom, start, stop, cast(avg({FRAC}) as float) f, sum(methyl) methyl from cpg c join r on c.chrom = r.chrom and pos - 1 >= start and pos - 1 < stop group by 1, 2, 3, 4)
-    select sample_id, "offset", {q6('avg(cast(f as double))')} meth_frac, cast(sum(methyl) as bigint) methyl, count(*) members from m join t on m.chrom = t.chrom and m.start = t.start and m.stop = t.stop group by 1, 2""")
+    select sample_id, "offset", {q6('avg(cast(f as double))')} meth_frac, cast(sum(methyl) as bigint) methyl, count(*) members from m join t on m.chrom = t.chrom and m.start = t.start and m.stop = t.stop group by 1, 2"""
+
+
+@query("E10_tss_profile", "cpg genes contigs", TSS_PROFILE)
 def _(cpg, genes, contigs):
     return rounded(C.tss_profile(cpg, C.tss_regions(C.tss_bins(genes), contigs)))
 
@@ -190,34 +193,6 @@ def _(cpg):
     return C.pivot_by_chromosome(stats, "n", [f"chr{k}" for k in range(1, 23)])
 
 
-SEQ = "select concat('c', cast(doc_id as string)) chrom, regexp_replace(translate(lower(text), 'abcdefghijklmnopqrstuvwxyz .,', 'ACGTACGTACGTACGTACGTACGTACGCG'), '[^ACGT]', 'N', 'g') seq from documents where n_chars < 400"
-
-
-def _seq(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").where("n_chars < 400").selectExpr("concat('c', cast(doc_id as string)) chrom", "regexp_replace(translate(lower(text), 'abcdefghijklmnopqrstuvwxyz .,', 'ACGTACGTACGTACGTACGTACGTACGCG'), '[^ACGT]', 'N') seq")
-
-
-def _register_sequences():
-    from methlake.plans.registry import ORACLE_SQL, QUERIES
-
-    QUERIES["J14_cpg_intervals"] = lambda s, d: C.cpg_intervals(_seq(s, d))
-    ORACLE_SQL["J14_cpg_intervals"] = f"select chrom, cast(i - 1 as bigint) start, cast(i + 1 as bigint) stop from (select chrom, seq, unnest(generate_series(1, length(seq) - 1)) i from ({SEQ}) s) x where upper(substr(seq, i, 2)) = 'CG'"
-    QUERIES["J15_mask_reference"] = lambda s, d: C.masked(_seq(s, d), _seq(s, d).selectExpr("chrom", "2L start", "5L stop").where("length(chrom) % 2 = 0"))
-    ORACLE_SQL["J15_mask_reference"] = f"select chrom, case when length(chrom) % 2 = 0 then substr(seq, 1, 2) || 'NNN' || substr(seq, 6) else seq end seq from ({SEQ}) s"
-    QUERIES["D8_ref_lookup"] = lambda s, d: _lookup(s, d)
-    ORACLE_SQL["D8_ref_lookup"] = f"""select chrom, pos0, base, cast(case base when 'C' then pos0 when 'G' then pos0 - 1 end as bigint) cpg_start from (select chrom, pos0, upper(substr(seq, cast(pos0 + 1 as int), 1)) base from ({SEQ}) s, (values (0), (3), (7), (11)) t(pos0)) x"""
-
-
-def _lookup(s, d):
-    from methlake.operators.alignments import reference_base
-
-    seq = _seq(s, d)
-    sites = seq.select("chrom", F.explode(F.array(*[F.lit(k) for k in (0, 3, 7, 11)])).alias("pos0"))
-    return reference_base(sites, seq).withColumn("cpg_start", F.col("cpg_start").cast("long"))
-
-
-_register_sequences()
-
 PCT = lambda a, b: q6(f"coalesce(100.0 * cast({a} as double) / nullif({b}, 0), 0.0)")
 FUNNEL = f"""select sample_id, clone_id, plate_id, {q6('mapping_pct')} native_mapping_pct, {q6('cph_pct')} non_cpg_pct, {PCT('trimmed_pairs', 'input_pairs')} trim_retention_pct,
     case when protocol <> 'droplet' then {PCT('duplicate_pairs', 'accepted_pairs')} end duplicate_pct, {PCT('final_pairs', 'input_pairs')} final_yield_pct, case when protocol <> 'taps' then {PCT('flagged_pairs', 'assessed_pairs')} end high_cph_pct from pairs"""
@@ -346,10 +321,10 @@ def _(pairs):
     return rounded(T.gaussian_smooth(T.histogram(pairs, "input_pairs", "protocol"), "protocol"))
 
 
-@query("E31_pearson_matrix", "cpg", f"""with f as (select sample_id, chrom, avg({FRAC}) v from cpg where chrom in {AUTO} and cast(substr(sample_id, 2) as bigint) < 12 group by 1, 2)
+@query("E31_pearson_matrix", "cpg", f"""with f as (select sample_id, chrom, avg({FRAC}) v from cpg where chrom in {AUTO} group by 1, 2)
     select a.sample_id a, b.sample_id b, count(*) n, {q6('case when count(*) >= 2 and var_pop(a.v) > 0 and var_pop(b.v) > 0 then corr(a.v, b.v) end')} r from f a join f b on a.chrom = b.chrom where a.sample_id <= b.sample_id group by 1, 2""")
 def _(cpg):
-    f = cpg.where(G.is_autosome("chrom") & (F.substring("sample_id", 2, 10).cast("long") < 12)).groupBy("sample_id", "chrom").agg(F.avg(C.fraction()).alias("value"))
+    f = cpg.where(G.is_autosome("chrom")).groupBy("sample_id", "chrom").agg(F.avg(C.fraction()).alias("value"))
     return rounded(T.pearson(f))
 
 
@@ -373,12 +348,17 @@ def _(cells):
     return T.plate_map(cells, "s_acctbal")
 
 
-@query("N1_cpg_rows", "cpg contigs", "select 'position' rule, sample_id || ':' || c.chrom || ':' || cast(pos as string) key, '' detail from cpg c join contigs r on c.chrom = r.chrom where pos < 1 or pos >= len + 1 union all select 'coverage', sample_id || ':' || chrom || ':' || cast(pos as string), cast(methyl + unmethyl as string) from cpg where methyl + unmethyl < 1 or methyl + unmethyl > 20")
+#: sites with an unknown contig, a place before the first, too many reads, and sites that come twice
+SPOILT = "select sample_id, case when pos % 103 = 0 then 'nope' else chrom end chrom, case when pos % 101 = 0 then 0 else pos end pos, case when pos % 107 = 0 then 70000 else methyl end methyl, unmethyl from cpg"
+
+
+@query("N1_cpg_rows", "cpg contigs", f"""with m as (select * from ({SPOILT}) a union all select * from ({SPOILT}) b where pos % 109 = 0), k as (select *, sample_id || ':' || chrom || ':' || cast(pos as string) key from m)
+    select 'unknown_contig' rule, key, '' detail from k where chrom = 'nope' union all select 'position', key, '' from k left join contigs c on c.chrom = k.chrom where pos < 1 or pos >= coalesce(len, 4611686018427387904) + 1
+    union all select 'coverage', key, cast(methyl + unmethyl as string) from k where methyl + unmethyl > 65535
+    union all select 'repeated_site', sample_id || '|' || chrom || '|' || cast(pos as string), cast(count(*) as string) from m group by sample_id, chrom, pos having count(*) > 1""")
 def _(cpg, contigs):
-    bad = K.cpg_rows(cpg, contigs).where("rule <> 'coverage'")
-    wide = cpg.where("methyl + unmethyl > 20 or methyl + unmethyl < 1")
-    key = F.concat_ws(":", "sample_id", "chrom", F.col("pos").cast("string"))
-    return bad.unionByName(K.violations(wide, "coverage", F.lit(True), key, F.col("methyl") + F.col("unmethyl")))
+    m = cpg.selectExpr("sample_id", "case when pos % 103 = 0 then 'nope' else chrom end chrom", "case when pos % 101 = 0 then 0L else pos end pos", "case when pos % 107 = 0 then 70000L else methyl end methyl", "unmethyl")
+    return K.cpg_rows(m.unionByName(m.where("pos % 109 = 0")), contigs)
 
 
 @query("F1_order_check", "cpg", "select sample_id, chrom, methyl line, pos, before from (select sample_id, chrom, methyl, pos, lag(pos) over (partition by sample_id, chrom order by methyl, pos desc) before from cpg where chrom in ('lambda', 'pUC19')) x where pos <= before")
@@ -390,9 +370,9 @@ def _(cpg):
     return rows.withColumn("before", F.lag("pos").over(w)).where("pos <= before").select("sample_id", "chrom", F.col("methyl").alias("line"), "pos", "before")
 
 
-@query("N3_contigs", "contigs", "select 'contig_length' rule, chrom key, '' detail from contigs where len <= 0")
+@query("N3_contigs", "contigs", "with m as (select chrom, case when i % 9 = 0 then 0 else len end len from contigs union all select chrom, len from contigs where i % 10 = 3) select 'contig_length' rule, chrom key, '' detail from m where len <= 0 union all select 'repeated_contig', chrom, cast(count(*) as string) from m group by chrom having count(*) > 1")
 def _(contigs):
-    return K.contig_rows(contigs)
+    return K.contig_rows(contigs.selectExpr("chrom", "case when i % 9 = 0 then 0L else len end len").unionByName(contigs.where("i % 10 = 3").select("chrom", "len")))
 
 
 @query("N9_pair_funnel", "pairs", "select 'closure' rule, sample_id key, '' detail from pairs where accepted_pairs - duplicate_pairs - removed_pairs + input_pairs % 2 <> final_pairs")
@@ -400,9 +380,9 @@ def _(pairs):
     return K.pair_funnel(pairs.withColumn("removed_pairs", F.expr("removed_pairs - input_pairs % 2")))
 
 
-@query("N12_composition", "cpg", "select 'composition' rule, sample_id key, '' detail from cpg where false")
+@query("N12_composition", "cpg", f"select 'composition' rule, sample_id key, '' detail from ({SUMMARY}) s where total_sites % 2 = 1 and host_signals + lambda_signals + puc19_signals + mt_signals > 0")
 def _(cpg):
-    return K.composition_rows(C.cpg_summary(cpg))
+    return K.composition_rows(C.cpg_summary(cpg).withColumn("total_signals", F.expr("if(total_sites % 2 = 1, 0, total_signals)")))
 
 
 @query("N13_qc_domain", "cpg pairs", f"with q as ({QC}) select 'missing:high_cph_pct' rule, sample_id key, '' detail from q where high_cph_pct is null union all select 'missing:duplicate_pct', sample_id, '' from q where duplicate_pct is null")
@@ -410,19 +390,26 @@ def _(cpg, pairs):
     return K.qc_domain(Q.qc_table(cpg, pairs), ("cpg_rate_pct", "lambda_rate_pct", "puc19_rate_pct", "gini"))
 
 
-@query("N14_tss_table", "cpg genes contigs", "select 'fraction' rule, '' key, '' detail from cpg where false")
+@query("N14_tss_table", "cpg genes contigs", """select 'fraction' rule, sample_id || '|' || cast("offset" as string) key, '' detail from (TSSP) p where "offset" % 200 = 0 or "offset" % 300 = 0 and methyl > 0
+    union all select 'repeated_key', sample_id || '|' || cast("offset" as string), '2' from (TSSP) p where "offset" = 20""".replace("TSSP", TSS_PROFILE))
 def _(cpg, genes, contigs):
-    return K.tss_rows(C.tss_profile(cpg, C.tss_regions(C.tss_bins(genes), contigs)))
+    p = C.tss_profile(cpg, C.tss_regions(C.tss_bins(genes), contigs)).withColumn("meth_frac", F.expr("case when offset % 200 = 0 then meth_frac + 2 when offset % 300 = 0 then 0.0 else meth_frac end"))
+    return K.tss_rows(p.unionByName(p.where("offset = 20")))
 
 
-@query("N15_tss_bed", "genes", "select 'gene' rule, gene key, '' detail from genes where false")
+@query("N15_tss_bed", "genes", f"""with m as (select chrom, start, case when "offset" % 500 = 0 then start else stop end stop, case when "offset" % 400 = 0 then ' ' else gene end gene, "offset" o from ({TSS}) t), a as (select * from m union all select * from m where o = 40)
+    select 'gene' rule, ' ' key, '' detail from a where gene = ' ' union all select 'bounds', gene, '' from a where start >= stop
+    union all select 'repeated_bin', chrom || '|' || cast(cast(start as bigint) as string) || '|' || cast(cast(stop as bigint) as string) || '|' || gene, cast(count(*) as string) from a group by chrom, start, stop, gene having count(*) > 1""")
 def _(genes):
-    return K.tss_bed(C.tss_bins(genes))
+    m = C.tss_bins(genes).withColumn("stop", F.expr("if(offset % 500 = 0, start, stop)")).withColumn("gene", F.expr("if(offset % 400 = 0, ' ', gene)"))
+    return K.tss_bed(m.unionByName(m.where("offset = 40")))
 
 
-@query("N18_genes", "genes", "select 'bounds' rule, gene key, '' detail from genes where g_start < 0 or g_end <= g_start")
+@query("N18_genes", "genes", """with m as (select gene, g_start, case when g_start % 5 = 0 then g_start - 1 else g_end end g_end, case when g_start % 7 = 0 then '.' else strand end strand from genes), a as (select * from m union all select * from m where g_start % 11 = 0)
+    select 'bounds' rule, gene key, '' detail from a where g_end <= g_start union all select 'strand', gene, '' from a where strand = '.' union all select 'repeated_gene', gene, cast(count(*) as string) from a group by gene having count(*) > 1""")
 def _(genes):
-    return K.genes(genes)
+    m = genes.selectExpr("gene", "g_start", "if(g_start % 5 = 0, g_start - 1, g_end) g_end", "if(g_start % 7 = 0, '.', strand) strand")
+    return K.genes(m.unionByName(m.where("g_start % 11 = 0")))
 
 
 @query("N20_zero_mapped", "cells cpg", "select 'unmapped_with_sites' rule, sample_id key, '' detail from cells where s_suppkey % 5 = 0 and sample_id in (select sample_id from cpg)")

@@ -43,26 +43,39 @@ def table(df: DataFrame, header: bool = True, sep: str = "\t", **options) -> str
     return path
 
 
-@query("A2_scan_cpg_rows", "cpg", "select sample_id, chrom, pos, methyl, unmethyl from cpg where cast(substr(sample_id, 2) as bigint) < 5")
+@query("A2_scan_cpg_rows", "cpg", "select sample_id, chrom, pos, methyl, unmethyl from cpg")
 def _(cpg):
     path = place(cpg.sparkSession)
-    OUT.cpg_text(cpg.where("cast(substr(sample_id, 2) as bigint) < 5"), path)
+    OUT.cpg_text(cpg, path)
     return IN.cpg_tables(cpg.sparkSession, path)
 
 
-@query("A3_compressed_text", "cpg", "select sample_id, count(*) n from cpg where chrom = 'chr1' group by 1")
+@query("A3_compressed_text", "cpg", "select sample_id, count(*) n from cpg group by 1")
 def _(cpg):
     path = place(cpg.sparkSession)
-    cpg.where("chrom = 'chr1'").repartition(3).write.options(sep="\t", header=True, compression="bzip2").csv(path)
+    cpg.repartition(3).write.options(sep="\t", header=True, compression="bzip2").csv(path)
     return IN._csv(cpg.sparkSession, path, schemas.CPG).groupBy("sample_id").agg(F.count("*").alias("n"))
 
 
-@query("A4_scan_fastq", "reads", "select ordinal, id, seq from (select row_number() over (order by ordinal) - 1 ordinal, id, seq from reads where ordinal < 300) x")
-def _(reads):
+def fastq_file(reads: DataFrame, ident: str = "id", compressed: bool = True) -> str:
+    """reads in order of their ordinal as one FASTQ file."""
     path = place(reads.sparkSession)
-    one = reads.where("ordinal < 300").orderBy("ordinal").coalesce(1)
-    one.selectExpr("concat('@', id, '\n', seq, '\n+\n', repeat('I', length(seq))) value").write.option("compression", "gzip").text(path)
-    return IN.fastq(reads.sparkSession, [path], 1).select("ordinal", "id", "seq")
+    one = reads.repartition(1).sortWithinPartitions("ordinal").selectExpr(f"concat('@', {ident}, '\n', seq, '\n+\n', repeat('I', length(seq))) value")
+    one.write.option("compression", "gzip" if compressed else "none").text(path)
+    return path
+
+
+@query("A4_scan_fastq", "reads", "select row_number() over (order by ordinal) - 1 ordinal, id, seq from reads")
+def _(reads):
+    return IN.fastq(reads.sparkSession, [fastq_file(reads)], 1).select("ordinal", "id", "seq")
+
+
+@query("A5_fastq_pairs", "reads", "select cast(1 + ordinal % 2 as int) lane, row_number() over (partition by ordinal % 2 order by ordinal) - 1 ordinal, id, seq seq1, seq seq2, case when ordinal % 13 = 0 then 'ids_differ' end problem from reads")
+def _(reads):
+    lanes = [reads.where(f"ordinal % 2 = {k}") for k in range(2)]
+    first = [fastq_file(x, "concat(id, '/1 a')", compressed=False) for x in lanes]
+    second = [fastq_file(x, "concat(if(ordinal % 13 = 0, 'x', id), '/2 b')") for x in lanes]
+    return IN.fastq_pairs(reads.sparkSession, first, second).select("lane", "ordinal", "id", "seq1", "seq2", "problem")
 
 
 @query("A7_scan_barcode_map", "barcode_map", "select barcode, plate_id, cell_order from barcode_map")
@@ -131,17 +144,12 @@ def _(genes):
     return IN.gtf_genes(genes.sparkSession, path)
 
 
-@query("A21_scan_fasta", "barcode_map", "select plate_id chrom, barcode || barcode seq from barcode_map")
-def _(barcodes):
-    return IN.fasta(barcodes.sparkSession, lines(barcodes.coalesce(1), "concat('>', plate_id, ' x\n', lower(barcode), '\n', barcode)"))
-
-
-@query("A22_scan_packed", "cpg", "select sample_id, chrom, pos, methyl, methyl + unmethyl cov from cpg where sample_id = 'S3'")
+@query("A22_scan_packed", "cpg", "select sample_id, chrom, pos, methyl, methyl + unmethyl cov from cpg")
 def _(cpg):
     path = place(cpg.sparkSession)
     OUT.packed_counts(cpg, path)
     m, c = N.unpacked("packed")
-    return cpg.sparkSession.read.parquet(path).where("sample_id = 'S3'").select("sample_id", "chrom", "pos", m.alias("methyl"), c.alias("cov"))
+    return cpg.sparkSession.read.parquet(path).select("sample_id", "chrom", "pos", m.alias("methyl"), c.alias("cov"))
 
 
 @query("A23_scan_droplet_counts", "barcode_counts", "select barcode, n count, low_q20 l, high_q30 h from barcode_counts")
@@ -151,11 +159,42 @@ def _(counts):
     return IN.droplet_counts(counts.sparkSession, table(rows)).select("barcode", "count", F.col("below_q20")[16].alias("l"), F.col("q30")[0].alias("h"))
 
 
-@query("A24_scan_spool", "barcode_counts", "select barcode, count(*) n from barcode_counts group by 1")
+@query("A24_scan_spool", "barcode_counts", "select barcode, n, cast(list_reduce(list_prepend(14695981039346656037::hugeint, list_transform(string_split(barcode, ''), lambda c: ascii(c)::hugeint)), lambda h, b: (xor(h, b) * 1099511628211::hugeint) % 18446744073709551616::hugeint) % 8 as bigint) shard from barcode_counts")
+def _(counts):
+    path = place(counts.sparkSession)
+    OUT.write_spool(counts.select("barcode", "n"), path, shards=8)
+    return IN.spool(counts.sparkSession, path).select("barcode", "n", F.col("shard").cast("long").alias("shard"))
+
+
+@query("B5_write_spool", "barcode_counts", "select count(*) \"rows\", 8::bigint shards, 8::bigint sealed from barcode_counts")
 def _(counts):
     path = place(counts.sparkSession)
-    counts.select("barcode", "n").repartition(8, "barcode").write.parquet(path)
-    return counts.sparkSession.read.parquet(path).groupBy("barcode").agg(F.count("*").alias("n"))
+    OUT.write_spool(counts.select("barcode", "n"), path, shards=8)
+    seals = counts.sparkSession.read.schema("shard long, rows long, checksum long").json(f"{path}/manifest")
+    return seals.agg(F.sum("rows").alias("rows"), F.countDistinct("shard").alias("shards"), F.count("checksum").alias("sealed"))
+
+
+@query("A26_read_sealed", "cells", "select sample_id, s_suppkey from cells")
+def _(cells):
+    spark = cells.sparkSession
+    path = place(spark)
+    OUT.one_file(cells, path, ["sample_id", "s_suppkey"])
+    file = IN.file_digests(spark, path, "*.csv").first()
+    return IN.sealed(spark, file["path"], file["sha256"], "sample_id string, s_suppkey long")
+
+
+@query("B6_write_tsv", "cells", "select sample_id, clone_id from cells")
+def _(cells):
+    path = place(cells.sparkSession)
+    OUT.one_file(cells, path, ["sample_id", "clone_id"])
+    return IN._csv(cells.sparkSession, path, "sample_id string, clone_id string")
+
+
+@query("B10_write_json", "cells", "select sample_id, s_acctbal from cells")
+def _(cells):
+    path = place(cells.sparkSession)
+    OUT.one_file(cells, path, ["sample_id", "s_acctbal"], "json")
+    return cells.sparkSession.read.schema("sample_id string, s_acctbal double").json(path)
 
 
 @query("A25_scan_native_reports", "pairs", "select sum(input_pairs)::bigint total, count(*) n from pairs")
@@ -179,9 +218,11 @@ def _(cells):
     return cells.sparkSession.read.schema("project_sample_id string, reads long").json(path).groupBy("project_sample_id").agg(F.count("*").alias("n"), F.sum("reads").alias("reads"))
 
 
-@query("B4_counts_in_order", "barcode_counts", "select barcode, n from barcode_counts order by n desc, barcode limit 100")
+@query("B4_counts_in_order", "barcode_counts", "select barcode, n, row_number() over (order by n desc, barcode) - 1 place from barcode_counts")
 def _(counts):
-    return counts.orderBy(F.desc("n"), "barcode").limit(100).select("barcode", "n")
+    path = place(counts.sparkSession)
+    M.numbered(counts.select("barcode", "n"), F.desc("n"), "barcode").write.parquet(path)
+    return counts.sparkSession.read.parquet(path)
 
 
 @query("B7_write_single_cpg", "cpg intervals", f"select sample_id, c.chrom || ':' || cast(start + 1 as string) || '-' || cast(stop as string) feature, {q6('cast(f as double)')} mean_fraction from ({MEANS}) c")
@@ -229,20 +270,19 @@ def _(cpg, intervals):
     return cpg.sparkSession.read.parquet(f"{b}/x").select("sample_id", "feature")
 
 
-@query("B15_publish", "cells", "select count(*) n from cells")
+@query("B15_publish", "cells", "select sample_id, project_sample_id, plate_id from cells")
 def _(cells):
     staged, public = place(cells.sparkSession), place(cells.sparkSession)
-    cells.write.parquet(staged)
+    cells.select("sample_id", "project_sample_id", "plate_id").write.parquet(staged)
     OUT.publish(cells.sparkSession, staged, public)
-    return cells.sparkSession.read.parquet(public).agg(F.count("*").alias("n"))
+    return IN.published(cells.sparkSession, public)
 
 
-@query("B19_append_batches", "cpg", "select sample_id, 2 * count(*) n from cpg where chrom = 'chrY' group by 1")
+@query("B19_append_batches", "cpg", "select sample_id, 2 * count(*) n from cpg group by 1")
 def _(cpg):
     path = place(cpg.sparkSession)
-    rows = cpg.where("chrom = 'chrY'")
     for batch in ("1", "2", "2"):
-        OUT.append_batch(rows, path, batch)
+        OUT.append_batch(cpg, path, batch)
     return cpg.sparkSession.read.parquet(path).groupBy("sample_id").agg(F.count("*").alias("n"))
 
 
@@ -272,12 +312,6 @@ def _(pairs):
     return rounded(Q.funnel(pairs).select("sample_id", "trim_retention_pct", "final_yield_pct"))
 
 
-@query("F6_peaks", "barcode_counts", None)
-def _(counts):
-    hist, _, _ = R.log_histogram(R.eligible_barcodes(counts.select("barcode", F.col("n").alias("count"))))
-    return counts.sparkSession.createDataFrame(list(enumerate(R.peaks(R.moving_mean(hist)))), "rank long, bin long")
-
-
 @query("F10_leave_one_out", "pairs", f"select sample_id, {q6('(cast(sum(final_pairs) over (partition by protocol) - final_pairs as double)) / (sum(input_pairs) over (partition by protocol) - input_pairs)')} r from pairs")
 def _(pairs):
     from pyspark.sql import Window

@@ -34,9 +34,9 @@ def _(cells, barcodes):
     return M.expand_cells(cells.select("project_sample_id").distinct(), barcodes)
 
 
-@query("D1_expand_droplet_cells", "barcode_counts", "select project_sample_id, barcode, count, cast(row_number() over (partition by project_sample_id order by count desc, barcode) as string) cell_order, '' plate_id, project_sample_id || '_' || barcode sample_id from (select distinct 'P' || cast(c_custkey % 3 as string) project_sample_id, barcode, n count from barcode_counts where c_custkey < 300) x")
+@query("D1_expand_droplet_cells", "barcode_counts", "select project_sample_id, barcode, count, cast(row_number() over (partition by project_sample_id order by count desc, barcode) as string) cell_order, '' plate_id, project_sample_id || '_' || barcode sample_id from (select distinct 'P' || cast(c_custkey % 3 as string) project_sample_id, barcode, n count from barcode_counts) x")
 def _(counts):
-    called = counts.where("c_custkey < 300").select(F.concat(F.lit("P"), (F.col("c_custkey") % 3).cast("string")).alias("project_sample_id"), "barcode", F.col("n").alias("count")).distinct()
+    called = counts.select(F.concat(F.lit("P"), (F.col("c_custkey") % 3).cast("string")).alias("project_sample_id"), "barcode", F.col("n").alias("count")).distinct()
     return M.expand_droplet_cells(called.select("project_sample_id").distinct(), called)
 
 
@@ -67,9 +67,10 @@ def _(cells, demux, pairs):
     return M.final_manifest(base, d, metrics)
 
 
-@query("D16_cell_metrics", "cells pairs", "select c.sample_id, p.input_pairs, p.final_pairs from cells c left join pairs p on c.sample_id = p.sample_id and p.input_pairs % 2 = 0")
+@query("D16_cell_metrics", "cells pairs", "select c.sample_id, c.clone_id, case when p.input_pairs % 2 = 0 then coalesce(p.mapping_pct, c.s_acctbal) else c.s_acctbal end s_acctbal, case when p.input_pairs % 2 = 0 then p.input_pairs end input_pairs from cells c left join pairs p on c.sample_id = p.sample_id")
 def _(cells, pairs):
-    return cells.select("sample_id").join(pairs.where("input_pairs % 2 = 0").select("sample_id", "input_pairs", "final_pairs"), "sample_id", "left")
+    metrics = pairs.where("input_pairs % 2 = 0").select("sample_id", "input_pairs", F.col("mapping_pct").alias("s_acctbal"))
+    return M.attach_metrics(cells.select("sample_id", "clone_id", F.col("s_acctbal").cast("double").alias("s_acctbal")), metrics)
 
 
 @query("D17_map_fastq", "cells", "select sample_id, 'raw' || cast(s_suppkey as string) dna_raw_sample, 'f' || cast(s_suppkey as string) path from cells where s_suppkey % 4 <> 1")
@@ -126,12 +127,15 @@ def _(contigs):
     return rows.select("x", F.row_number().over(Window.orderBy(*X.natural_order("x"))).alias("place"))
 
 
-@query("G1_barcode_order", "barcode_counts", "select barcode, n, cast(row_number() over (order by n desc, barcode, c_custkey) as int) place from barcode_counts order by place limit 50")
+@query("G1_barcode_order", "barcode_counts", "select barcode, n, row_number() over (order by n desc, barcode, c_custkey) - 1 place from barcode_counts")
 def _(counts):
-    from pyspark.sql import Window
+    return M.numbered(counts, F.desc("n"), "barcode", "c_custkey").select("barcode", "n", "place")
+
 
-    top = counts.orderBy(F.desc("n"), "barcode", "c_custkey").limit(50)
-    return top.select("barcode", "n", F.row_number().over(Window.orderBy(F.desc("n"), "barcode", "c_custkey")).alias("place"))
+@query("G10_original_order", "reads", "select id, row_number() over (order by lane, ordinal) - 1 place from reads")
+def _(reads):
+    # rows come back from parallel work in any order; lane and ordinal, carried along, restore it
+    return M.numbered(reads.repartition(13, "seq"), "lane", "ordinal").select("id", "place")
 
 
 @query("G2_manifest_order", "demux_cells", "select sample_id from demux_cells order by project_sample_id, try_cast(cell_order as bigint), plate_id, sample_id")
@@ -154,9 +158,9 @@ def _(rows):
     return rows.select("sample_id").distinct()
 
 
-@query("H3_set_difference", "cells cpg", "select sample_id from cells where s_suppkey % 2 = 0 except select sample_id from cpg where pos % 40 = 0")
-def _(cells, cpg):
-    return cells.where("s_suppkey % 2 = 0").select("sample_id").subtract(cpg.where("pos % 40 = 0").select("sample_id"))
+@query("H3_set_difference", "cells", "select sample_id, case when s_suppkey % 2 = 0 then 'missing' else 'extra' end side from cells where (s_suppkey % 2 = 0) <> (s_suppkey % 3 = 0)")
+def _(cells):
+    return M.set_differences(cells.where("s_suppkey % 2 = 0"), cells.where("s_suppkey % 3 = 0"), "sample_id")
 
 
 @query("H4_whitelist", "barcode_counts", "select distinct barcode from barcode_counts where barcode in (select barcode from barcode_counts where c_custkey % 2 = 0)")
@@ -164,9 +168,9 @@ def _(counts):
     return R.in_design(counts.select("barcode").distinct(), counts.where("c_custkey % 2 = 0"))
 
 
-@query("H6_concat_frames", "cells", "select sample_id from cells where s_suppkey < 5 union all select sample_id from cells where s_suppkey < 3")
+@query("H6_concat_frames", "cells", "select sample_id from cells union all select sample_id from cells where s_suppkey % 2 = 0")
 def _(cells):
-    return cells.where("s_suppkey < 5").select("sample_id").unionByName(cells.where("s_suppkey < 3").select("sample_id"))
+    return cells.select("sample_id").unionByName(cells.where("s_suppkey % 2 = 0").select("sample_id"))
 
 
 @query("H7_column_union", "pairs", "select sample_id, case when protocol = 'taps' then cph_pct end cph_pct, case when protocol <> 'taps' then flagged_pairs end flagged_pairs from pairs")
@@ -181,24 +185,29 @@ def _(obs):
 
 @query("E35_cell_set_digest", "cells", "select project_sample_id, sha256(string_agg(sample_id, chr(10) order by sample_id) || chr(10)) digest from cells group by 1")
 def _(cells):
-    return cells.groupBy("project_sample_id").agg(X.id_set_digest("sample_id").alias("digest"))
+    return M.id_set_digests(cells, "project_sample_id", "sample_id")
+
+
+@query("I20_short_labels", "pairs", """with p as (select 'run_' || sample_id || '_x' v, * from pairs), k as (select unnest(generate_series(0, (select min(length(v)) from p))) k),
+    h as (select max(k) h from k where (select count(distinct substr(v, 1, k)) from p) = 1), t as (select max(k) t from k where (select count(distinct right(v, k)) from p) = 1)
+    select v, case when h + t < (select min(length(v)) from p) then substr(v, h + 1, length(v) - h - t) else v end label from p, h, t""")
+def _(pairs):
+    return M.short_labels(pairs.select(F.concat(F.lit("run_"), "sample_id", F.lit("_x")).alias("v")), "v")
 
 
-@query("B13_report_section", "pairs", "select 'funnel' id, count(*) n from pairs where input_pairs % 2 = 0")
+@query("B13_report_section", "pairs", "select 'funnel' id, sample_id key, cast(to_json({'input_pairs': input_pairs, 'final_pairs': final_pairs}) as varchar) \"value\" from pairs where input_pairs % 2 = 0")
 def _(pairs):
-    s = M.report_section(pairs.where("input_pairs % 2 = 0"), "funnel", "sample_id", ["input_pairs", "final_pairs"])
-    return s.select("id", F.size(F.map_keys(F.from_json("data", "map<string,struct<input_pairs: long, final_pairs: long>>"))).cast("long").alias("n"))
+    return M.report_section(pairs.where("input_pairs % 2 = 0"), "funnel", "sample_id", ["input_pairs", "final_pairs"])
 
 
-@query("J21_restrict_section", "pairs cells", "select count(*) n from pairs where sample_id in (select sample_id from cells order by sha256(sample_id), sample_id limit 15)")
+@query("J21_restrict_section", "pairs cells", "select 'funnel' id, '{' || string_agg('\"' || sample_id || '\":' || cast(to_json({'input_pairs': input_pairs}) as varchar), ',' order by sample_id) || '}' \"data\" from pairs where sample_id in (select sample_id from cells order by sha256(sample_id), sample_id limit 15)")
 def _(pairs, cells):
-    s = M.report_section(pairs, "funnel", "sample_id", ["input_pairs"]).select("id", F.from_json("data", "map<string,struct<input_pairs: long>>").alias("data"))
-    return M.restrict_section(s, M.report_sample(cells, 15)).select(F.size("data").cast("long").alias("n"))
+    return M.section_json(M.restrict_section(M.report_section(pairs, "funnel", "sample_id", ["input_pairs"]), M.report_sample(cells, 15)))
 
 
-@query("J22_append_plan", "reads", "select sample, mate, segment, path, cast(row_number() over (partition by sample, mate order by segment, path) as int) step, count(*) over (partition by sample, mate, digest) > 1 repeated from (select 's' || cast(ordinal % 40 as string) sample, cast(ordinal % 2 + 1 as string) mate, 'L' || cast(ordinal % 7 as string) segment, id path, substr(seq, 1, 8) digest from reads where ordinal < 600) x")
+@query("J22_append_plan", "reads", "select sample, mate, segment, path, cast(row_number() over (partition by sample, mate order by segment, path) as int) step, count(*) over (partition by sample, mate, digest) > 1 repeated from (select 's' || cast(ordinal % 40 as string) sample, cast(ordinal % 2 + 1 as string) mate, 'L' || cast(ordinal % 7 as string) segment, id path, substr(seq, 1, 8) digest from reads) x")
 def _(reads):
-    x = reads.where("ordinal < 600").selectExpr("concat('s', cast(ordinal % 40 as string)) sample", "cast(ordinal % 2 + 1 as string) mate", "concat('L', cast(ordinal % 7 as string)) segment", "id path", "substr(seq, 1, 8) sha256")
+    x = reads.selectExpr("concat('s', cast(ordinal % 40 as string)) sample", "cast(ordinal % 2 + 1 as string) mate", "concat('L', cast(ordinal % 7 as string)) segment", "id path", "substr(seq, 1, 8) sha256")
     return M.append_plan(x).drop("sha256")
 
 
@@ -270,3 +279,9 @@ def _(cells, demux):
 @query("N16_inventory", "cells", "select 'path' rule, case when s_suppkey % 5 = 0 then '../' else 'a/' end || sample_id key, '' detail from cells where s_suppkey % 5 = 0 union all select 'size', case when s_suppkey % 5 = 0 then '../' else 'a/' end || sample_id, '' from cells where s_suppkey % 7 = 0")
 def _(cells):
     return K.inventory(cells.selectExpr("concat(case when s_suppkey % 5 = 0 then '../' else 'a/' end, sample_id) path", "case when s_suppkey % 7 = 0 then -1L else 5L end size_bytes", "sha2(sample_id, 256) sha256"))
+
+
+@query("N19_config", "cells", """select 'coordinate_base' rule, sample_id key, cast(s_suppkey % 4 as string) detail from cells where s_suppkey % 4 > 1 union all select 'tss_fraction', sample_id, '' from cells where s_suppkey % 5 = 0 or s_suppkey % 5 > 2
+    union all select 'protocol', sample_id, 'other' from cells where s_suppkey % 7 = 0 union all select 'high_cph_threshold', sample_id, '' from cells where s_suppkey % 3 = 2""")
+def _(cells):
+    return K.config_rows(cells.selectExpr("sample_id project", "cast(s_suppkey % 4 as int) coordinate_base", "(s_suppkey % 5) / 2.0D tss_fraction", "if(s_suppkey % 7 = 0, 'other', 'taps') protocol", "(s_suppkey % 3) / 1.5D high_cph_threshold"))

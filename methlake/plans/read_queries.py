@@ -66,26 +66,45 @@ def _(counts):
     return R.eligible_barcodes(counts.select("barcode", F.col("n").alias("count")))
 
 
-@query("J3_droplet_call_cells", "barcode_counts", None)
+ELIGIBLE = "select barcode, n count from barcode_counts where barcode not like '%C%' and n > 100"
+HIST = f"with v as (select log10(count + 1) v from ({ELIGIBLE}) e), e as (select min(v) low, (max(v) - min(v)) / 200 width from v), h as (select cast(least(199, floor((v - low) / width)) as bigint) b, count(*) n from v, e group by 1) select s.b, coalesce(h.n, 0) n, low, width from (select cast(unnest(generate_series(0, 199)) as bigint) b) s cross join e left join h on h.b = s.b"
+SMOOTH = f"select b, n, low, width, sum(n) over (order by b rows between 11 preceding and 11 following) / 23.0::double m from ({HIST}) h"
+#: strict maxima of islands of equal values, then the greedy choice, highest first, at least 20 bins apart
+PEAKS = f"""with recursive s as ({SMOOTH}), i as (select b, m, sum(new) over (order by b) k from (select *, case when abs(m - lag(m) over (order by b)) <= 1e-12 then 0 else 1 end new from s) x),
+    g as (select k, min(b) f, max(b) l, min_by(m, b) m from i group by k), t as (select cast(floor((f + l) / 2.0) as bigint) b, m from (select *, lag(m) over (order by f) p, lead(m) over (order by f) q from g) y where m > p and m > q),
+    r as (select list(b order by m desc, b) x from t), c(k, x, kept) as (select 1, x, []::bigint[] from r union all select k + 1, x, case when len(list_filter(kept, lambda o: abs(o - x[k]) < 20)) > 0 then kept else list_append(kept, x[k]) end from c where k <= len(x)),
+    z as (select kept from c order by k desc limit 1) select cast(generate_subscripts(kept, 1) - 1 as bigint) place, unnest(kept) b from z"""
+
+
+def _eligible(counts):
+    return R.eligible_barcodes(counts.select("barcode", F.col("n").alias("count")))
+
+
+@query("J3_histogram", "barcode_counts", f"select b, n from ({HIST}) h")
 def _(counts):
-    called, _ = R.call_cells(counts.select("barcode", F.col("n").alias("count")))
-    return called
+    return R.log_histogram(_eligible(counts)).select("b", "n")
 
 
-HIST = "with v as (select log10(n + 1) v from barcode_counts where n > 100), e as (select min(v) lo, max(v) hi from v) select cast(least(199, floor((v - lo) / ((hi - lo) / 200))) as bigint) b, count(*) n from v, e group by 1"
+@query("F5_moving_average_23", "barcode_counts", f"select b, {q6('m')} m from ({SMOOTH}) s")
+def _(counts):
+    return rounded(R.moving_mean(R.log_histogram(_eligible(counts))).select("b", "m"))
 
 
-@query("J3_histogram", "barcode_counts", HIST)
+@query("F6_peaks", "barcode_counts", PEAKS)
 def _(counts):
-    e = R.eligible_barcodes(counts.select("barcode", F.col("n").alias("count")))
-    hist, _, _ = R.log_histogram(e)
-    return counts.sparkSession.createDataFrame([(b, n) for b, n in enumerate(hist) if n], "b long, n long")
+    return R.peaks(R.moving_mean(R.log_histogram(_eligible(counts)))).select("place", "b")
+
 
+CALLED = f"""with recursive p as materialized ({PEAKS.replace('with recursive ', 'with recursive ')}), s2 as ({SMOOTH}), two as (select min(p.b) lo, max(p.b) hi, min(s2.m) lower, count(*) n from p join s2 on s2.b = p.b where place < 2),
+    w as (select s2.*, lower from s2, two where two.n = 2 and b > lo and b < hi), low as (select * from w where m <= (select min(m) from w) + 1e-12),
+    st as (select *, b - row_number() over (order by b) k from low), f as (select * from st where k = (select min(k) from st)),
+    t as (select case when min(m) < min(lower) - 1e-12 then pow(10.0, min(low) + (floor((min(b) + max(b)) / 2.0) + 0.5) * min(width)) - 1 end threshold from f)
+    select barcode, count from ({ELIGIBLE}) e, t where count >= threshold"""
 
-@query("F5_moving_average_23", "barcode_counts", f"select s.b, cast(floor(sum(coalesce(h.n, 0)) / 23.0 * 1000000.0 + 0.50001) / 1000000.0 as double) m from (select unnest(generate_series(0, 199)) b) s, ({HIST}) h where h.b between s.b - 11 and s.b + 11 group by s.b")
+
+@query("J3_droplet_call_cells", "barcode_counts", CALLED)
 def _(counts):
-    hist, _, _ = R.log_histogram(R.eligible_barcodes(counts.select("barcode", F.col("n").alias("count"))))
-    return rounded(counts.sparkSession.createDataFrame([(b, float(m)) for b, m in enumerate(R.moving_mean(hist)) if m], "b long, m double"))
+    return R.call_cells(counts.select("barcode", F.col("n").alias("count")))[0]
 
 
 UP = "select distinct a.barcode, a.n count, b.barcode parent, b.n parent_count from barcode_counts a join barcode_counts b on hamming(a.barcode, b.barcode) = 1 and b.n > a.n"
@@ -96,18 +115,35 @@ def _(counts):
     return R.higher_neighbours(counts.select("barcode", F.col("n").alias("count")).distinct()).select("barcode", "count", "parent", "parent_count").distinct()
 
 
-@query("J4_barcode_error_screen", "barcode_counts", None)
+def _screened(counts):
+    """Called barcodes, their qualities and reads: below_q20 is high in the rarer ones, and two in three share molecules with their neighbour."""
+    called = counts.select("barcode", F.col("n").alias("count"))
+    low = F.expr("cast(if(n < 1000, floor(n / 2.0), floor(n / 50.0)) as bigint)")
+    q = counts.select("barcode", F.array_repeat(low, 17).alias("below_q20"), F.array_repeat(F.expr("if(c_custkey % 7 = 0, 10000L, 3L)"), 17).alias("q30"))
+    shared = F.expr("if(c_custkey % 3 = 0, 2, 4)")
+    reads = counts.select("barcode", F.explode(F.sequence(F.lit(1), shared)).alias("k")).select("barcode", F.concat(F.lit("ACGTACGTACG"), F.substring(F.lit("ACGT"), F.col("k"), F.lit(1))).alias("umi"), F.concat(F.repeat(F.lit("ACGT"), F.lit(7)), F.repeat(F.substring(F.lit("ACGT"), F.col("k"), F.lit(1)), F.lit(5))).alias("insert"))
+    return called, q, reads
+
+
+#: children with their one parent and the molecules they share (here: as many as the one with fewer reads has)
+SCREEN = f"""with up as ({UP}), j as (select up.*, a.c_custkey ck, b.c_custkey pk, count(*) over (partition by up.barcode) ups from up join barcode_counts a on a.barcode = up.barcode join barcode_counts b on b.barcode = up.parent),
+    f as (select *, cast(case when count < 1000 then floor(count / 2.0) else floor(count / 50.0) end as bigint) low, cast(case when parent_count < 1000 then floor(parent_count / 2.0) else floor(parent_count / 50.0) end as bigint) plow,
+        least(case when ck % 3 = 0 then 2 else 4 end, case when pk % 3 = 0 then 2 else 4 end) shared from j),
+    r as (select *, case when ups > 1 then 'multiple_higher_neighbors' when parent_count < 5 * count then 'insufficient_abundance_ratio' when ck % 7 = 0 then 'independent_q30_support'
+        when low < 0.2 * count or low * parent_count < 5 * plow * count then 'insufficient_quality_evidence' end reason from f)"""
+
+
+@query("J4_barcode_error_screen", "barcode_counts", f"""{SCREEN}, p as (select *, reason is null and shared >= 3 proposed from r),
+    d as (select barcode, coalesce(reason, case when not proposed then 'insufficient_shared_molecules' when parent in (select barcode from p where proposed) then 'parent_is_error_candidate' else 'quality_and_shared_molecules' end) reason from p)
+    select distinct barcode, case when reason = 'quality_and_shared_molecules' then 'remove' else 'retain' end decision, reason from d""")
 def _(counts):
-    called = counts.groupBy("barcode").agg(F.max("n").alias("count"), F.max("low_q20").alias("l"), F.max("high_q30").alias("h"))
-    q = called.select("barcode", F.array_repeat("l", 17).alias("below_q20"), F.array_repeat("h", 17).alias("q30"))
-    molecules = counts.select("barcode", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("k")).select("barcode", F.concat(F.lit("ACGTACGTACG"), F.substring(F.lit("ACGTA"), F.col("k") + 1, F.lit(1))).alias("umi"), F.concat(F.repeat(F.lit("ACGT"), F.lit(8)), F.lit("A")).alias("insert"))
-    return R.error_screen(called, q, molecules, 1e9)
+    return R.error_screen(*_screened(counts), 1000)
 
 
-@query("J5_droplet_replay", "barcode_counts", "select 1 lane, c_custkey ordinal, barcode, barcode cell_barcode, 'dna_assigned' fate from barcode_counts where c_custkey < 200")
+@query("J5_droplet_replay", "barcode_counts", "select 1 lane, c_custkey ordinal, barcode, barcode cell_barcode, 'dna_assigned' fate from barcode_counts")
 def _(counts):
-    called = counts.where("c_custkey < 200").select("barcode").distinct()
-    return R.droplet_replay(counts.where("c_custkey < 200").select(F.lit(1).alias("lane"), F.col("c_custkey").alias("ordinal"), "barcode"), called, called)
+    called = counts.select("barcode").distinct()
+    return R.droplet_replay(counts.select(F.lit(1).alias("lane"), F.col("c_custkey").alias("ordinal"), "barcode"), called, called)
 
 
 @query("E11_barcode_counts", "reads", "select barcode, count, string_agg(cast(low as string), ',' order by j) below_q20, string_agg(cast(high as string), ',' order by j) q30 from (select barcode, j, max(c) count, count_if(q < 34) low, count_if(q >= 38) high from (select substr(seq, 1, 4) barcode, j, ascii(substr(seq, j + 4, 1)) - 33 q, count(*) over (partition by substr(seq, 1, 4), j) c from reads, (select cast(unnest(generate_series(1, 5)) as int) j) s) x group by 1, 2) y group by 1, 2".replace("q < 34", "q < 20").replace("q >= 38", "q >= 30"))
@@ -126,10 +162,10 @@ def _(barcodes):
     return R.barcode_index(barcodes, protected=barcodes, shifted=False).agg(F.count("*").alias("n"))
 
 
-@query("D12_shared_molecules", "reads", "select distinct substr(a.seq, 9, 30) k from reads a join reads b on substr(a.seq, 9, 30) = substr(b.seq, 9, 30) where a.ordinal % 2 = 0 and b.ordinal % 2 = 1")
-def _(reads):
-    k = reads.select("ordinal", F.substring("seq", 9, 30).alias("k"))
-    return k.where("ordinal % 2 = 0").select("k").intersect(k.where("ordinal % 2 = 1").select("k"))
+@query("D12_shared_molecules", "barcode_counts", f"{SCREEN} select barcode, parent, shared umis, shared inserts from (select barcode, parent, cast(shared as bigint) shared from r where reason is null) x")
+def _(counts):
+    called, q, reads = _screened(counts)
+    return R.shared_molecules(R.error_candidates(called, q, 1000).where("reason is null"), reads).select("barcode", "parent", "umis", "inserts")
 
 
 FINE = "flag & 3 = 3 and flag & 3852 = 0 and mapq >= 20"
@@ -165,15 +201,19 @@ def _(b):
     return A.high_cph(b, 0.3).select("qname", "retained", "converted", "flagged")
 
 
-@query("J8_high_cph_extract", "bsconv alignments", """with b as (select qname, sample_id, r0 + r1 + r2 r, c0 + c1 + c2 c, qname in (select qname from alignments where rname = 'chr1') o from bsconv), m as (select *, not o and r + c > 0 k, not o and r + c > 0 and r / cast(nullif(r + c, 0) as double) > 0.3 h from b)
-    select sample_id, count(*) "rows", count_if(o) excluded_rows, count_if(not o and r + c = 0) missing_rows, count_if(k) metric_rows, count_if(h) high_rows, count(distinct case when k then qname end) assessed_reads, count(distinct case when h then qname end) flagged_reads from m group by 1""")
+HIGH_CPH = """with b as (select qname, sample_id, r0 + r1 + r2 r, c0 + c1 + c2 c, qname in (select qname from alignments where rname = 'chr1') o from bsconv), m as (select *, not o and r + c > 0 k, not o and r + c > 0 and r / cast(nullif(r + c, 0) as double) > 0.3 h from b)
+    select sample_id, count(*) "rows", count_if(o) excluded_rows, count_if(not o and r + c = 0) missing_rows, count_if(k) metric_rows, count_if(h) high_rows, count(distinct case when k then qname end) assessed_reads, count(distinct case when h then qname end) flagged_reads from m group by 1"""
+
+
+@query("J8_high_cph_extract", "bsconv alignments", HIGH_CPH)
 def _(b, a):
     return A.high_cph_summary(b, A.reads_on_contigs(a, ["chr1"]), 0.3)
 
 
-@query("N10_high_cph_accounting", "bsconv alignments", "select 'rows' rule, sample_id key, '' detail from bsconv where false")
+@query("N10_high_cph_accounting", "bsconv alignments", f"""with h as ({HIGH_CPH}) select 'rows' rule, sample_id key, '' detail from h where "rows" % 2 = 1 union all select 'flagged', sample_id, '' from h where "rows" % 3 = 0""")
 def _(b, a):
-    return K.high_cph_accounting(A.high_cph_summary(b, A.reads_on_contigs(a, ["chr1"]), 0.3))
+    s = A.high_cph_summary(b, A.reads_on_contigs(a, ["chr1"]), 0.3)
+    return K.high_cph_accounting(s.withColumn("excluded_rows", F.expr("excluded_rows + rows % 2")).withColumn("assessed_reads", F.expr("if(rows % 3 = 0, -1, assessed_reads)")))
 
 
 @query("E14_distinct_read_names", "bsconv", "select sample_id, count(distinct case when r0 = 2 then qname end) flagged, count(distinct qname) n from bsconv group by 1")
@@ -199,11 +239,24 @@ def _(a):
     return A.pair_accounting(a)
 
 
-@query("F8_markdup", "alignments", "select qname, flag, row_number() over (partition by sample_id, rname, pos, flag & 16 order by mapq desc, qname, flag) > 1 duplicate from alignments")
+@query("F8_markdup", "alignments", """with m as (select sample_id, qname, list((rname, pos, flag & 16 = 16) order by rname, pos, flag & 16) ends, sum(mapq) score from alignments where flag & 2308 = 0 group by 1, 2),
+    r as (select *, row_number() over (partition by sample_id, ends order by score desc, qname) k from m) select a.qname, a.flag, coalesce(k > 1, false) and a.flag & 2308 = 0 duplicate from alignments a left join r on r.sample_id = a.sample_id and r.qname = a.qname""")
 def _(a):
     return A.mark_duplicates(a).select("qname", "flag", "duplicate")
 
 
+@query("A12_paired", "alignments", "select qname, min(case when flag & 64 = 64 then flag end) first_flag, min(case when flag & 128 = 128 then pos end) second_pos from alignments group by 1")
+def _(a):
+    return A.paired(a).select("qname", F.col("first.flag").alias("first_flag"), F.col("second.pos").alias("second_pos"))
+
+
+@query("J12_insert_model", "cells", "select sample_id, cast(200 + s_suppkey % 90 as double) mean, 20.5 std, 1::bigint low, cast(greatest(1000, s_suppkey * 30) as bigint) high from cells where s_suppkey % 4 <> 0 and s_suppkey % 5 <> 0")
+def _(cells):
+    log = F.expr("""concat('analyzing insert size distribution for orientation FF...\n mean and std.dev: (9.9, 9.9)\nanalyzing insert size distribution for orientation F', if(s_suppkey % 4 = 0, 'F', 'R'),
+        '...\n[M] mean and std.dev: (', cast(200 + s_suppkey % 90 as string), if(s_suppkey % 5 = 0, ', nan)', ', 20.50)'), '\n low and high boundaries for proper pairs: (1, ', cast(s_suppkey * 30 as string), ')\nskip orientation RF')""")
+    return cells.select("sample_id", A.insert_model(log).alias("m")).where("m is not null").select("sample_id", "m.*")
+
+
 @query("E22_idxstats", "alignments", "select sample_id, count_if(flag & 4 = 0) mapped, count_if(flag & 4 = 4) unmapped from alignments group by 1")
 def _(a):
     return A.idxstats(a)
@@ -214,9 +267,9 @@ def _(a):
     return rounded(A.mapq_split(a))
 
 
-@query("N17_mates", "alignments", "select 'mates' rule, qname key, '' detail from alignments where false")
+@query("N17_mates", "alignments", "select 'mates' rule, qname key, '' detail from alignments where not (flag & 64 = 64 and pos % 11 = 0) group by qname having count(case when flag & 64 = 64 then 1 end) <> 1 or count(case when flag & 128 = 128 then 1 end) <> 1")
 def _(a):
-    return K.mates(a)
+    return K.mates(a.where("not (flag & 64 = 64 and pos % 11 = 0)"))
 
 
 @query("N21_read_groups", "alignments", "select 'read_group' rule, qname key, 'rg' || cast(mapq % 3 as string) detail from alignments where mapq % 3 = 2")
@@ -241,12 +294,22 @@ def _(obs):
     return A.pileup_observations(lines).select("chrom", "pos", F.col("umis").alias("umi"), F.col("quals").alias("qual"))
 
 
-@query("E8_umi_consensus", "umi_obs", None)
+#: a site's UMIs by reads, then letters; each joins the first centre before it with more reads (two at least) one substitution away, or becomes a centre
+CONSENSUS = """with u as (select sample_id, chrom, pos, context, umi, count_if(state = 0) m, count_if(state = 1) k, sum(case when state = 0 then qual else 0 end) qm, sum(case when state = 1 then qual else 0 end) qu from umi_obs group by all),
+    l as (select sample_id, chrom, pos, context, count(*) umis, cast(sum(m + k) as bigint) reads, list([{'u': umi, 'r': m + k, 'm': m, 'k': k, 'qm': cast(qm as bigint), 'qu': cast(qu as bigint)}] order by m + k desc, umi) x from u group by all),
+    c as (select *, list_reduce(x, lambda a, y: case when len(list_filter(a, lambda o: o.r > 1 and o.r > y[1].r and hamming(o.u, y[1].u) = 1)) = 0 then list_concat(a, y)
+        else list_transform(a, lambda o, i: case when i = list_position(list_transform(a, lambda z: z.r > 1 and z.r > y[1].r and hamming(z.u, y[1].u) = 1), true)
+            then {'u': o.u, 'r': o.r, 'm': o.m + y[1].m, 'k': o.k + y[1].k, 'qm': o.qm + y[1].qm, 'qu': o.qu + y[1].qu} else o end) end) centres from l),
+    s as (select *, list_transform(centres, lambda o: case when o.m <> o.k then sign(o.m - o.k) else sign(o.qm - o.qu) end) side from c)
+    select sample_id, chrom, pos, context, cast(len(list_filter(side, lambda v: v > 0)) as bigint) methyl, cast(len(list_filter(side, lambda v: v < 0)) as bigint) unmethyl, cast(umis - len(centres) as bigint) merged, cast(len(list_filter(side, lambda v: v = 0)) as bigint) ambiguous, umis, reads from s"""
+
+
+@query("E8_umi_consensus", "umi_obs", CONSENSUS)
 def _(obs):
     return A.umi_consensus(obs)
 
 
-@query("J6_droplet_cpg_call", "umi_obs", None)
+@query("J6_droplet_cpg_call", "umi_obs", f"select sample_id, chrom, pos, methyl, unmethyl from ({CONSENSUS}) c where context = 'CpG' and methyl + unmethyl > 0")
 def _(obs):
     return A.droplet_cpg(obs)
 
@@ -256,9 +319,10 @@ def _(obs):
     return A.context_totals(A.umi_consensus(obs)).select("context", "reads", "umis")
 
 
-@query("N11_umi_accounting", "umi_obs", "select 'umis' rule, sample_id key, '' detail from umi_obs where false")
+@query("N11_umi_accounting", "umi_obs", f"""with c as ({CONSENSUS}), k as (select *, sample_id || ':' || chrom || ':' || cast(pos as string) key from c) select 'umis' rule, key, '' detail from k where pos % 9 = 0 union all select 'order', key, '' from k where pos % 10 = 0""")
 def _(obs):
-    return K.umi_accounting(A.umi_consensus(obs))
+    c = A.umi_consensus(obs)
+    return K.umi_accounting(c.withColumn("merged", F.expr("if(pos % 9 = 0, merged + 1, merged)")).withColumn("reads", F.expr("if(pos % 10 = 0, 0, reads)")))
 
 
 @query("E18_base_conversion", "umi_obs", f"select umi context, case when count(*) < 300 then -1.0 else {q6('avg(cast(state as double))')} end beta, count(*) n from umi_obs group by 1")
@@ -318,7 +382,17 @@ def _(obs):
     return A.fragment_bases(_bases(obs))
 
 
-@query("E17_taps_non_cpg", "umi_obs", None)
+BASES = "with b as (select 'q' || cast(pos % 50 as string) qname, chrom rname, readpos rpos, case when state = 0 then 'T' else 'C' end base, cast(qual as int) qual from umi_obs), m as (select *, max(qual) over (partition by qname, rname, rpos) q from b), fb as (select qname, rname, rpos, case when count(distinct base) = 1 then min(base) else 'N' end base, q qual from m where qual = q group by 1, 2, 3, q)"
+REF = "substr(repeat('CGTCAGCCATCG', 8), cast(rpos + 4 + {} as int), 1)"
+NON_CPG = f"""{BASES}, j as (select *, {REF.format(0)} ref, {REF.format(-2)} b2, {REF.format(-1)} b1, {REF.format(1)} a1, {REF.format(2)} a2 from fb where qual >= 30),
+    p as (select *, ref = 'C' and a1 = 'G' cpg, base || case when lead(rpos) over w = rpos + 1 then lead(base) over w end pair from j window w as (partition by qname, rname order by rpos)),
+    s as (select qname, case when ot and not coalesce(ob, false) then 'OT' when ob and not coalesce(ot, false) then 'OB' end strand from (select qname, bool_or(cpg and pair = 'TG') ot, bool_or(cpg and pair = 'CA') ob from p group by 1) x),
+    k as (select p.*, strand, case when strand = 'OT' and ref = 'C' and a1 in ('A', 'C', 'T') then case when a2 = 'G' then 'CHG' when a2 in ('A', 'C', 'T') then 'CHH' end when strand = 'OB' and ref = 'G' and b1 in ('A', 'G', 'T') then case when b2 = 'C' then 'CHG' when b2 in ('A', 'G', 'T') then 'CHH' end end ctx,
+        case when strand = 'OT' then case base when 'T' then 'mod' when 'C' then 'unmod' end when strand = 'OB' then case base when 'A' then 'mod' when 'G' then 'unmod' end end st from p join s on s.qname = p.qname)
+    select count(distinct qname) candidate, count(distinct case when strand is not null then qname end) oriented, {', '.join(f"count(case when ctx = '{c}' and st = '{x}' then 1 end) {c.lower()}_{x}" for c in ('CHG', 'CHH') for x in ('mod', 'unmod'))} from k"""
+
+
+@query("E17_taps_non_cpg", "umi_obs", NON_CPG)
 def _(obs):
     b = A.fragment_bases(_bases(obs))
     seq = "CGTCAGCCATCG"
@@ -327,28 +401,34 @@ def _(obs):
     return A.oriented_non_cpg(b, ref)
 
 
-@query("I4_anchor_alignment", "reads", None)
+@query("I4_anchor_alignment", "reads", f"""select ordinal, edits, min(stop) stop, true at_start from (select *, min(edits) over (partition by ordinal) least from (select ordinal, b + n stop, levenshtein(substr(t, b + 1, n), translate('{ANCHOR}', 'G', 'A')) edits
+    from (select ordinal, translate(substr(seq, 1, 60), 'Gg', 'AA') t from reads) r, (select cast(unnest(generate_series(0, 44)) as int) b) s, (select cast(unnest(generate_series(16, 22)) as int) n) w where b + n <= length(t)) x) y where edits = least and edits <= 3 group by 1, 2""")
 def _(reads):
-    return reads.select("ordinal", R.anchor_alignment(F.substring("seq", 1, 60)).alias("a")).select("ordinal", "a.*")
+    # the start isn't unique: that it gives the edits is what counts
+    found = reads.select("ordinal", F.translate(F.substring("seq", 1, 60), "Gg", "AA").alias("t"), R.anchor_alignment(F.substring("seq", 1, 60)).alias("a")).where("a is not null")
+    part = F.expr("substring(t, a.start + 1, a.stop - a.start)")
+    return found.select("ordinal", "a.edits", "a.stop", (F.levenshtein(part, F.lit(ANCHOR.replace("G", "A"))) == F.col("a.edits")).alias("at_start"))
 
 
-@query("I10_shards", "reads", "select cast(sum(1) as bigint) n from reads")
+FNV = "list_reduce(list_prepend(14695981039346656037::hugeint, list_transform(string_split({0}, ''), lambda c: ascii(c)::hugeint)), lambda h, b: (xor(h, b) * 1099511628211::hugeint) % 18446744073709551616::hugeint)"
+
+
+@query("I10_shards", "reads", f"select cast({FNV.format('id')} % 48 as bigint) shard, count(*) n from reads group by 1")
 def _(reads):
-    return reads.repartition(8, "id").agg(F.count("*").alias("n"))
+    return reads.groupBy(S.fnv1a_shard("id", 48).alias("shard")).agg(F.count("*").alias("n"))
 
 
 def _streams():
-    import tempfile
-
+    from methlake.plans.io_queries import place
     from methlake.plans.registry import ORACLE_SQL, QUERIES
     from methlake.streaming import incremental as T
 
     def totals(spark, sf_dir):
-        folder = tempfile.mkdtemp(prefix="stream-")
+        folder = place(spark)
         src = spark.read.parquet(f"{sf_dir}/events.parquet")
         src.selectExpr("concat('S', cast(user_id % 20 as string)) sample_id", "event_type chrom", "event_id pos", "event_id % 5 methyl", "event_id % 3 unmethyl").repartition(3).write.mode("overwrite").parquet(f"{folder}/in")
         s = T.stream(spark, f"{folder}/in", "sample_id string, chrom string, pos long, methyl long, unmethyl long")
-        return T.run_available(T.cell_totals(s), "cell_totals", f"{folder}/checkpoint")
+        return T.totals_so_far(s, f"{folder}/totals", f"{folder}/checkpoint")
 
     def windows(spark, sf_dir):
         return T.windowed_counts(spark.read.parquet(f"{sf_dir}/events.parquet").select("ts", "event_type", F.lit(1.0).alias("value")))
@@ -357,6 +437,39 @@ def _streams():
     ORACLE_SQL["K6_incremental_counts"] = "select 'S' || cast(user_id % 20 as string) sample_id, event_type chrom, count(*) \"rows\", cast(sum(event_id % 5) as bigint) methyl, cast(sum(event_id % 3) as bigint) unmethyl from events group by 1, 2"
     QUERIES["K1_log_events"] = lambda spark, sf_dir: T.latest_states(T.log_events(spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr("concat('[', lpad(cast(event_id as string), 9, '0'), '] rule r', cast(user_id % 10 as string), ': ', case when event_id % 3 = 0 then 'warning' else 'started' end) value")))
     ORACLE_SQL["K1_log_events"] = "select 'r' || cast(user_id % 10 as string) job, max_by(case when event_id % 3 = 0 then 'warning' else 'started' end, event_id) state, count(case when event_id % 3 = 0 then 1 end) warnings from events group by 1"
+    LOG = "concat('[', lpad(cast(event_id as string), 9, '0'), '] rule r', cast(user_id % 10 as string), ': ', case when event_id % 3 = 0 then 'warning' else 'started' end)"
+
+    def streamed_states(spark, sf_dir):
+        folder = place(spark)
+        spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(f"{LOG} value").repartition(3).write.text(f"{folder}/in")
+        return T.states_so_far(T.stream(spark, f"{folder}/in", "value string", "text"), f"{folder}/states", f"{folder}/checkpoint")
+
+    QUERIES["K2_log_states"] = streamed_states
+    ORACLE_SQL["K2_log_states"] = ORACLE_SQL["K1_log_events"]
+
+    def tailed(spark, sf_dir):
+        """A log that grows by thirds (the second ends inside a line), is then replaced by a shorter one, and grows again."""
+        folder = place(spark)
+        fs, _ = T._fs(spark, folder)
+
+        def put(text: str) -> None:
+            out = fs.create(T._fs(spark, f"{folder}/logs/a.log")[1], True)
+            out.write(bytearray(text.encode()))
+            out.close()
+
+        rows = [r.value for r in spark.read.parquet(f"{sf_dir}/region.parquet").crossJoin(spark.read.parquet(f"{sf_dir}/nation.parquet")).orderBy("r_regionkey", "n_nationkey").selectExpr("concat(r_name, ' é ', n_name) value").collect()]
+        text, found = "".join(x + "\n" for x in rows), []
+        a, b = len(text) // 3, text.index("\n", 2 * len(text) // 3) + 1
+        for call, part in enumerate((text[:a], text[:b], text, text, "new\nstart", "new\nstart here\n")):
+            put(part)
+            found.append(T.tail_logs(spark, f"{folder}/logs", f"{folder}/state").select(F.lit(call).alias("call"), "place", "line"))
+        out = found[0]
+        for x in found[1:]:
+            out = out.unionByName(x)
+        return out.groupBy("line").agg(F.count("*").alias("times"))
+
+    QUERIES["K1_log_tail"] = tailed
+    ORACLE_SQL["K1_log_tail"] = "select r_name || ' é ' || n_name line, 1::bigint times from region, nation union all values ('new', 1), ('start here', 1)"
     QUERIES["K_windowed_events"] = windows
     ORACLE_SQL["K_windowed_events"] = "select date_trunc('hour', ts) \"start\", event_type, count(*) n, cast(count(*) as double) \"value\" from events group by 1, 2"
 

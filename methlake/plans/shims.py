@@ -95,7 +95,7 @@ SHIMS: dict[str, str] = {
         select sample_id, project_sample_id, plate_id, cast(s_suppkey as string) cell_order, case when s_suppkey % 10 = 0 then 0 else c end reads
         from cells left join (select l_suppkey, count(*) c from {lineitem} group by l_suppkey) l on s_suppkey = l_suppkey""",
     "barcode_counts": f"""
-        select {kmer('c_custkey * 31 + 7', 17, 'AGT')} barcode, c_custkey, n, cast(floor(n / 4.0) as bigint) low_q20, cast(floor(n / 2.0) as bigint) high_q30
+        select {kmer('cast(floor(c_custkey / 2.0) as bigint) * 93 + c_custkey % 2', 17, 'AGT')} barcode, c_custkey, n, cast(floor(n / 4.0) as bigint) low_q20, cast(floor(n / 2.0) as bigint) high_q30
         from (select c_custkey, 90 + c_custkey % 60 + 1000 * (c_custkey % 5) n from {{customer}}) x""",
 }
 

@@ -22,42 +22,39 @@ def cpg_tables(spark: SparkSession, path) -> DataFrame:
     return rows.withColumn("sample_id", F.coalesce(F.nullif(F.regexp_extract(name, "/sample_id=([^/]+)/", 1), F.lit("")), file)).select("sample_id", "chrom", "pos", "methyl", "unmethyl")
 
 
+def _lines(spark: SparkSession, path) -> DataFrame:
+    """Lines of text files: file, block (the place of the scan's part in the file), n (counts up inside a block), value."""
+    return spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("n"), "value")
+
+
 def fastq(spark: SparkSession, paths: list[str], mate: int) -> DataFrame:
-    """lane, ordinal, mate, id, seq, qual of FASTQ files, one lane each in the order given.
+    """lane, ordinal, mate, id, seq, qual of FASTQ files, one lane each in the order given; ordinals count from 0 in file order.
 
-    A compressed file can't be split, so a file is one task, which streams over its lines; ordinals count from 0 in file order. A record that breaks off, lacks its
-    marks, or whose qualities are of another length fails.
+    A plain file is read in blocks by many tasks, a compressed one by one. The number of a line is its place in its block plus the lines of the blocks before, one row
+    each. A record that breaks off, lacks its marks, or whose qualities are of another length fails.
     """
-    import pandas as pd
-
-    frames = []
-    for lane, path in enumerate(paths, 1):
-        lines = spark.read.option("wholetext", False).text(path)
-
-        def run(batches, lane=lane):
-            held: list[str] = []
-            n = 0
-            for batch in batches:
-                held += batch["value"].tolist()
-                whole = len(held) // 4 * 4
-                rows = []
-                for k in range(0, whole, 4):
-                    a, s, p, q = held[k : k + 4]
-                    if not a.startswith("@") or not p.startswith("+") or len(s) != len(q):
-                        raise ValueError(f"malformed FASTQ record {n} of lane {lane}")
-                    rows.append((lane, n, mate, a[1:], s.upper(), q))
-                    n += 1
-                held = held[whole:]
-                yield pd.DataFrame(rows, columns=["lane", "ordinal", "mate", "id", "seq", "qual"])
-            if held:
-                raise ValueError(f"lane {lane} ends inside a record")
-
-        # lines of one file must stay in one partition: coalesce keeps the file's order
-        frames.append(lines.coalesce(1).mapInPandas(run, "lane int, ordinal long, mate int, id string, seq string, qual string"))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    from functools import reduce
+
+    from pyspark.sql import Window
+
+    lines = reduce(DataFrame.unionByName, [_lines(spark, path).withColumn("lane", F.lit(lane)) for lane, path in enumerate(paths, 1)])
+    blocks = lines.groupBy("lane", "block").agg(F.min("n").alias("first"), F.count("*").alias("lines"))
+    before = F.coalesce(F.sum("lines").over(Window.partitionBy("lane").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    at = lines.join(blocks.withColumn("before", before), ["lane", "block"]).withColumn("line", F.col("n") - F.col("first") + F.col("before"))
+    part = [F.max(F.when(F.col("line") % 4 == k, F.col("value"))).alias(f"p{k}") for k in range(4)]
+    r = at.groupBy("lane", F.floor(F.col("line") / 4).alias("ordinal")).agg(F.count("*").alias("n"), *part)
+    whole = (F.col("n") == 4) & F.col("p0").startswith("@") & F.col("p2").startswith("+") & (F.length("p1") == F.length("p3"))
+    ident = F.when(whole, F.substr("p0", F.lit(2))).otherwise(F.raise_error(F.concat(F.lit("malformed FASTQ record "), F.col("ordinal").cast("string"), F.lit(" of lane "), F.col("lane").cast("string"))).cast("string"))
+    return r.select("lane", "ordinal", F.lit(mate).alias("mate"), ident.alias("id"), F.upper("p1").alias("seq"), F.col("p3").alias("qual"))
+
+
+def fastq_pairs(spark: SparkSession, r1: list[str], r2: list[str]) -> DataFrame:
+    """Both mates of paired files by lane and ordinal: lane, ordinal, id, seq1, seq2, problem. The scans are grouped by the keys of the join, which needs no further shuffle."""
+    from methlake.operators.reads import mate_join
+
+    if len(r1) != len(r2):
+        raise ValueError("every lane needs both files")
+    return mate_join(fastq(spark, r1, 1), fastq(spark, r2, 2))
 
 
 def file_listing(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
@@ -147,10 +144,10 @@ def gtf_genes(spark: SparkSession, path: str) -> DataFrame:
 
 
 def fasta(spark: SparkSession, path: str) -> DataFrame:
-    """chrom, seq (upper case) of each contig; a record is one contig, whatever its line breaks."""
-    rows = spark.read.option("lineSep", ">").text(path).where("trim(value) <> ''")
-    head = F.split(F.regexp_extract("value", r"^([^\r\n]*)", 1), r"\s")[0]
-    return rows.select(head.alias("chrom"), F.upper(F.regexp_replace(F.regexp_replace("value", r"^[^\r\n]*", ""), r"\s", "")).alias("seq"))
+    """Sequences in chunks (see operators.sequences), upper case, whatever the line breaks. A plain file is read in blocks by many tasks, a compressed one by one task."""
+    from methlake.operators.sequences import chunked, placed_lines
+
+    return chunked(placed_lines(_lines(spark, path)))
 
 
 def droplet_counts(spark: SparkSession, path: str) -> DataFrame:
@@ -190,9 +187,32 @@ def context_report(text: str) -> dict[str, float | None]:
 
 
 def sealed(spark: SparkSession, path: str, sha256: str, schema: str) -> DataFrame:
-    """A table whose file must have the given SHA-256; the rows come from the bytes that were hashed."""
-    row = spark.read.format("binaryFile").load(path).select("content", F.sha2("content", 256).alias("d")).first()
-    if row is None or row["d"] != sha256:
-        raise ValueError(f"{path} is not the sealed file")
-    lines = spark.createDataFrame([(x,) for x in bytes(row["content"]).decode().splitlines()[1:]], "value string")
+    """A tab-separated file with a header whose SHA-256 must be the given one; the rows are parsed from the very bytes that were hashed, where they were read."""
+    row = spark.read.format("binaryFile").load(path).select("content", F.sha2("content", 256).alias("d"))
+    fine = F.when(F.col("d") == sha256, F.decode("content", "UTF-8")).otherwise(F.raise_error(F.lit(f"{path} is not the sealed file")).cast("string"))
+    lines = row.select(F.explode(F.slice(F.split(fine, r"\r?\n"), 2, 2**31 - 1)).alias("value")).where("value <> ''")
     return lines.select(F.from_csv("value", schema, {"sep": "\t", "mode": "FAILFAST"}).alias("r")).select("r.*")
+
+
+def spool(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a spool (see sinks.write_spool) with their shard. A shard whose rows or checksum are not those of its manifest, or that only one of both has, fails."""
+    from methlake.sources.sinks import shard_seals
+
+    rows = spark.read.parquet(f"{path}/shards")
+    want = spark.read.schema("shard long, rows long, checksum long").json(f"{path}/manifest")
+    have = shard_seals(rows)
+    same = (F.col("h.rows") == F.col("w.rows")) & (F.col("h.checksum") == F.col("w.checksum"))
+    bad = have.alias("h").join(want.alias("w"), F.col("h.shard") == F.col("w.shard"), "full_outer").where(~F.coalesce(same, F.lit(False)))
+    checked = rows.join(F.broadcast(bad.agg(F.count("*").alias("__broken"))))
+    return checked.where(F.when(F.col("__broken") == 0, True).otherwise(F.raise_error(F.lit("a shard of the spool is not as it was written")).cast("boolean"))).drop("__broken")
+
+
+def published(spark: SparkSession, public: str) -> DataFrame:
+    """The rows of a delivery (see sinks.publish): only files that its inventory lists are read, and each must have its size and SHA-256."""
+    listed = spark.read.schema("path string, size_bytes long, sha256 string").json(f"{public}.inventory")
+    found = file_digests(spark, public, "*.parquet").withColumn("name", F.regexp_extract("path", r"([^/]+/[^/]+)$", 1))
+    j = listed.alias("l").join(found.alias("f"), F.col("l.path") == F.col("f.name"), "left")
+    same = (F.col("l.size_bytes") == F.col("f.size_bytes")) & (F.col("l.sha256") == F.col("f.sha256"))
+    if not j.where(~F.coalesce(same, F.lit(False))).isEmpty():
+        raise ValueError("the delivery is not what its inventory says")
+    return spark.read.parquet(public)

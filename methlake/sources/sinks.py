@@ -57,6 +57,21 @@ def one_file(rows: DataFrame, path: str, columns: list[str], kind: str = "csv")
     out.options(sep="\t", header=True).csv(path) if kind == "csv" else out.json(path)
 
 
+def shard_seals(rows: DataFrame) -> DataFrame:
+    """shard, rows, checksum (the exclusive or of the rows' hashes) of spooled rows."""
+    columns = [c for c in rows.columns if c != "shard"]
+    return rows.groupBy(F.col("shard").cast("long").alias("shard")).agg(F.count("*").alias("rows"), F.bit_xor(F.xxhash64(*columns)).alias("checksum"))
+
+
+def write_spool(rows: DataFrame, path: str, key: str = "barcode", shards: int = 64) -> None:
+    """rows in folders by shard (FNV-1a of the key), with a manifest of rows and checksum of each shard, written last. A shard may be many files, so a frequent key is no one task's work."""
+    from methlake.functions.sequence import fnv1a_shard
+
+    dealt = rows.withColumn("shard", fnv1a_shard(key, shards))
+    dealt.write.partitionBy("shard").option("compression", "zstd").parquet(f"{path}/shards")
+    shard_seals(rows.sparkSession.read.parquet(f"{path}/shards").select(*rows.columns, "shard")).write.json(f"{path}/manifest")
+
+
 def append_batch(rows: DataFrame, path: str, batch: str) -> bool:
     """Adds a batch of rows as its own partition; a batch that is there already is left alone (False). A broken append leaves no partition."""
     spark = rows.sparkSession

@@ -105,7 +105,7 @@ def test_scalar_functions(spark):
     assert tuple(r) == (1234567, None, 12, None, None, (3 << 16) | 8, 0.0, "1.2M", 1502)
     r = one(spark, X.gtf_attribute(F.lit('gene_id "G1"; gene_type "x y";'), "gene_type").alias("a"), X.gtf_attribute(F.lit('gene_id "G1"'), "level").alias("b"), X.base_counts(F.lit("C3Y12")).alias("c"), X.safe_identifier(F.lit("a.b-1")).alias("d"), X.safe_identifier(F.lit("..")).alias("e"))
     assert tuple(r) == ("x y", None, {"C": 3, "Y": 12}, True, False)
-    assert X.shortened(["p_a_x", "p_b_x"]) == ["a", "b"] and R.fnv1a("a") == 0xAF63DC4C8601EC8C
+    assert one(spark, *[S.fnv1a_shard(F.lit("a"), n).alias(f"s{n}") for n in (7, 64, 1 << 20)]) == tuple(0xAF63DC4C8601EC8C % n for n in (7, 64, 1 << 20))
 
 
 def plate(spark, seqs, barcodes=("ACGTACGT",), **kw):
@@ -136,11 +136,12 @@ def test_ambiguous_barcodes(spark):
     assert "AAAAAAAT" not in kept and "AAAAAAAC" in kept
 
 
-def test_droplet_layouts():
+def test_droplet_layouts(spark):
     cb, umi, end = "AGTAGTAGTAGTAGTAG", "ACGTNACGTACG", "A" * 9 + "C" * 20
-    got = R.droplet_layouts([cb + umi + DROP + end, "G" + cb + umi + DROP + end, cb + umi + DROP[:22] + "A" + DROP[22:] + end, cb + umi + DROP[:22] + DROP[23:] + end, (cb + umi + DROP)[:70], cb + umi + "T" * 49 + end, cb + umi + DROP.replace("C", "T") + end, None])
-    assert [(r["fate"], r["trim_start"]) for r in got] == [("assigned", 87), ("assigned", 88), ("assigned", 88), ("assigned", 86), ("short", None), ("unmatched", None), ("assigned", 87), ("short", None)]
-    assert got[0]["barcode"] == cb and got[1]["umi"] == umi
+    seqs = [cb + umi + DROP + end, "G" + cb + umi + DROP + end, cb + umi + DROP[:22] + "A" + DROP[22:] + end, cb + umi + DROP[:22] + DROP[23:] + end, (cb + umi + DROP)[:70], cb + umi + "T" * 49 + end, cb + umi + DROP.replace("C", "T") + end, None, "N" + cb[1:] + umi + DROP + end]
+    got = [r.layout for r in R.droplet_extract(spark.createDataFrame(list(enumerate(seqs)), "k int, seq string")).orderBy("k").collect()]
+    assert [(r["fate"], r["trim_start"]) for r in got] == [("assigned", 87), ("assigned", 88), ("assigned", 88), ("assigned", 86), ("short", None), ("unmatched", None), ("assigned", 87), ("short", None), ("unmatched", None)]
+    assert got[0]["barcode"] == cb and got[1]["umi"] == umi and got[5]["barcode"] is None
 
 
 def test_alignment_finds_least_edits():
@@ -152,10 +153,14 @@ def test_cell_calling(spark):
     rng = random.Random(5)
     bc = lambda: "".join(rng.choice("AGT") for _ in range(17))
     rows = [(bc(), max(101, int(rng.gauss(300, 60)))) for _ in range(3000)] + [(bc(), int(rng.gauss(20000, 3000))) for _ in range(400)] + [("C" * 17, 10**6)]
-    called, t = R.call_cells(spark.createDataFrame(rows, "barcode string, count long"))
-    assert 600 < t < 12000 and called.count() == 400
-    assert R.peaks([0, 1, 1, 0, 2, 0], apart=1) == [4, 1] and R.peaks([0, 1, 0, 2, 0], apart=5) == [3]
-    assert R.valley_threshold([], 0, 0) is None and R.call_cells(spark.createDataFrame([("A" * 17, 500)], "barcode string, count long"))[1] is None
+    called, limit = R.call_cells(spark.createDataFrame(rows, "barcode string, count long"))
+    assert 600 < limit.first().threshold < 12000 and called.count() == 400
+    smooth = lambda values: spark.createDataFrame([(k, float(v)) for k, v in enumerate(values)], "b long, m double")
+    top = lambda values, apart: [r.b for r in R.peaks(smooth(values), apart).orderBy("place").collect()]
+    assert top([0, 1, 1, 0, 2, 0], 1) == [4, 1] and top([0, 1, 0, 2, 0], 5) == [3] and top([3, 1, 0], 1) == [] and top([0, 2, 2, 2, 1, 2, 0, 2, 0], 4) == [2, 7]
+    for few in ([("A" * 17, 500)], []):
+        called, limit = R.call_cells(spark.createDataFrame(few, "barcode string, count long"))
+        assert limit.first().threshold is None and called.count() == 0
 
 
 def test_error_screen(spark):
@@ -176,7 +181,7 @@ def slow_consensus(groups):
     for u in sorted(n, key=lambda x: (-n[x], x)):
         if u in left:
             v = list(left.pop(u))
-            for w in [w for w in left if n[w] < n[u] and sum(a != b for a, b in zip(u, w)) == 1]:
+            for w in [w for w in left if n[w] < n[u] and len(u) == len(w) and sum(a != b for a, b in zip(u, w)) == 1]:
                 v = [a + b for a, b in zip(v, left.pop(w))]
                 out[2] += 1
             key = (v[0] > v[1]) - (v[0] < v[1]) or (v[2] > v[3]) - (v[2] < v[3])
@@ -184,15 +189,22 @@ def slow_consensus(groups):
     return tuple(out)
 
 
+def consensus(*sites):
+    import numpy as np
+
+    rows = [(k, *g) for k, site in enumerate(sites) for g in site]
+    found = A.consensus(np.array([r[0] for r in rows]), np.array([r[1].encode() for r in rows], "S"), np.array([r[2:] for r in rows]), len(sites))
+    return [tuple(map(int, r)) for r in found]
+
+
 def test_consensus():
-    assert A.consensus([("AAA", 3, 0, 90, 0), ("AAC", 0, 1, 0, 30)]) == (1, 0, 1, 0)
-    assert A.consensus([("AAA", 1, 0, 30, 0), ("AAC", 0, 1, 0, 30)]) == (1, 1, 0, 0)
-    assert A.consensus([("AAA", 1, 1, 30, 40)]) == (0, 1, 0, 0) and A.consensus([("AAA", 1, 1, 30, 30)]) == (0, 0, 0, 1)
+    assert consensus([("AAA", 3, 0, 90, 0), ("AAC", 0, 1, 0, 30)], [("AAA", 1, 0, 30, 0), ("AAC", 0, 1, 0, 30)], [], [("AAA", 1, 1, 30, 40)], [("AAA", 1, 1, 30, 30)]) == [(1, 0, 1, 0), (1, 1, 0, 0), (0, 0, 0, 0), (0, 1, 0, 0), (0, 0, 0, 1)]
     rng = random.Random(7)
-    for _ in range(200):
-        umis = {"".join(rng.choice("ACGTN") for _ in range(3)) for _ in range(rng.randrange(1, 60))}
-        g = [(u, rng.randrange(4), rng.randrange(1, 4), rng.randrange(90), rng.randrange(90)) for u in umis]
-        assert A.consensus(g) == slow_consensus(g)
+    sites = []
+    for _ in range(300):
+        umis = {"".join(rng.choice("ACGTN") for _ in range(rng.choice((3, 3, 3, 4)))) for _ in range(rng.randrange(1, 60))}
+        sites.append([(u, rng.randrange(4), rng.randrange(1, 4), rng.randrange(90), rng.randrange(90)) for u in umis])
+    assert consensus(*sites) == [slow_consensus(g) for g in sites]
 
 
 def test_aligned_bases(spark):
@@ -201,9 +213,39 @@ def test_aligned_bases(spark):
     assert [(r.rpos, r.base, r.qual) for r in A.aligned_bases(a).collect()] == [(10, "A", 40), (11, "C", 40), (12, "G", 40), (13, "A", 40), (16, "C", 40)]
 
 
-def test_insert_model():
-    log = "analyzing insert size distribution for orientation FF\nmean and std.dev: (1.0, 1.0)\nanalyzing insert size distribution for orientation FR...\n low and high boundaries for computing mean and std.dev: (1, 900)\n mean and std.dev: (245.10, 60.50)\n low and high boundaries for proper pairs: (1, 700)\n"
-    assert A.insert_model(log) == {"mean": 245.1, "std": 60.5, "low": 1, "high": 1000} and A.insert_model("") is None
+def test_insert_model(spark):
+    log = "analyzing insert size distribution for orientation FF...\nmean and std.dev: (1.0, 1.0)\nanalyzing insert size distribution for orientation FR...\n low and high boundaries for computing mean and std.dev: (1, 900)\n[M] mean and std.dev: (245.10, 60.50)\n low and high boundaries for proper pairs: (1, 700)\n"
+    logs = [log, "", log.replace("245.10", "inf"), log.replace("60.50", "0"), log.replace("(1, 700)", "(800, 700)"), log.replace("(1, 700)", "(1, 1700)") + "skip orientation RF", None]
+    got = [r.m and tuple(r.m) for r in spark.createDataFrame(list(enumerate(logs)), "k int, log string").orderBy("k").select(A.insert_model(F.col("log")).alias("m")).collect()]
+    assert got == [(245.1, 60.5, 1, 1000), None, None, None, None, (245.1, 60.5, 1, 1700), None]
+
+
+def test_pairs_and_duplicates(spark):
+    rows = [("a", 99, "chr1", 10, 30), ("a", 147, "chr1", 60, 30), ("b", 99, "chr1", 10, 40), ("b", 147, "chr1", 60, 10), ("c", 99, "chr1", 10, 60), ("c", 147, "chr1", 61, 60), ("d", 77, None, 0, 0), ("d", 141, None, 0, 0), ("e", 163, "chr1", 10, 20), ("e", 83, "chr1", 60, 20)]
+    a = spark.createDataFrame([("S", *r) for r in rows], "sample_id string, qname string, flag int, rname string, pos long, mapq int")
+    # a, b and e have the same ends (b's sum of qualities is the least, e is read from the other side); c ends elsewhere
+    assert {r.qname for r in A.mark_duplicates(a).where("duplicate").collect()} == {"b", "e"}
+    # with spans, c's reverse mate starts where theirs do
+    assert {r.qname for r in A.mark_duplicates(a, F.when(F.col("qname") == "c", 49).otherwise(50)).where("duplicate").collect()} == {"a", "b", "e"}
+    p = {r.qname: r for r in A.paired(a).collect()}
+    assert len(p) == 5 and p["e"].first.flag == 83 and p["e"].second.flag == 163
+    for broken in (a.where("flag <> 147"), a.union(a.where("qname = 'a'")), a.withColumn("flag", F.when(F.col("qname") == "c", 99).otherwise(F.col("flag")).cast("int"))):
+        with pytest.raises(Exception, match="no pair of mates"):
+            A.paired(broken).collect()
+
+
+def test_labels_sections_and_places(spark):
+    cut = lambda *x: [r.label for r in M.short_labels(spark.createDataFrame([(v,) for v in x], "v string"), "v").orderBy("v").collect()]
+    assert cut("p_a_x", "p_b_x") == ["a", "b"] and cut("ab", "ab") == ["ab", "ab"] and cut("aa", "aaa") == ["aa", "aaa"] and cut("", "b") == ["", "b"]
+    section = M.report_section(spark.createDataFrame([("b", 1), ("a", 2), ("c", 3)], "sample_id string, n int"), "s", "sample_id", ["n"])
+    kept = M.restrict_section(section, spark.createDataFrame([("a",), ("b",)], "sample_id string"))
+    assert M.section_json(kept, 2).first().data == '{"a":{"n":2},"b":{"n":1}}'
+    with pytest.raises(ValueError, match="at most"):
+        M.section_json(section, 2)
+    rows = spark.createDataFrame([(k * 7919 % 1000, k) for k in range(1000)], "v long, k long")
+    got = M.numbered(rows.repartition(7), F.desc("v")).collect()
+    assert sorted((r.place, r.v) for r in got) == [(k, 999 - k) for k in range(1000)]
+    assert M.numbered(rows.limit(0), "v").count() == 0
 
 
 def test_order_of_cells(spark):
@@ -228,7 +270,8 @@ def test_checks_find_mutations(spark, contigs):
     assert {r.rule for r in K.barcode_map(m).collect()} == {"letters", "length", "repeated_plate", "repeated_order", "too_near"}
     a = spark.createDataFrame([("q", 65), ("q", 129), ("r", 65), ("r", 65)], "qname string, flag int")
     assert [r.key for r in K.mates(a).collect()] == ["r"]
-    assert K.config_errors({"coordinate_base": 2, "protocol": "x"}) and not K.config_errors({})
+    c = spark.createDataFrame([("a", 2, 0.5, "x", 0.1), ("b", None, None, None, None), ("c", 1, 1.0, "taps", 1.0)], "project string, coordinate_base int, tss_fraction double, protocol string, high_cph_threshold double")
+    assert sorted((r.rule, r.key, r.detail) for r in K.config_rows(c).collect()) == [("coordinate_base", "a", "2"), ("protocol", "a", "x")]
 
 
 def test_robust_slopes(spark):

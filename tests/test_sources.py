@@ -5,8 +5,10 @@ import hashlib
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from methlake import schemas
+from methlake.operators import sequences as Q
 from methlake.sources import readers as R
 from methlake.sources import sinks as W
 from methlake.streaming import incremental as T
@@ -61,7 +63,7 @@ def test_genomic_texts(spark, tmp_path):
     with pytest.raises(Exception, match="no whole number"):
         R.bed(spark, put(tmp_path / "b.bed", "chr1\t1\t2.5\n")).collect()
     assert R.fai(spark, put(tmp_path / "a.fai", "chr1\t100\t5\t60\t61\n")).first() == ("chr1", 100)
-    assert sorted(map(tuple, R.fasta(spark, put(tmp_path / "a.fa", ">chr1 x\nacg\ncgt\n>chr2\nTT\n")).collect())) == [("chr1", "ACGCGT"), ("chr2", "TT")]
+    assert sorted(map(tuple, R.fasta(spark, put(tmp_path / "a.fa", ">chr1 x\nacg\ncgt\n>chr2\nTT\n")).collect())) == [("chr1", 0, 0, "ACGCGT"), ("chr2", 0, 0, "TT")]
     g = R.gtf_genes(spark, put(tmp_path / "a.gtf", '#c\nchr1\ts\tgene\t11\t50\t.\t-\t.\tgene_id "G1"; gene_type "protein_coding";\nchr1\ts\texon\t1\t2\t.\t+\t.\tgene_id "G1";\n')).first()
     assert tuple(g) == ("G1", "chr1", 10, 50, "-", "protein_coding")
     v = R.vcf(spark, put(tmp_path / "a.vcf", "##x\n#CHROM\nchr1\t5\t.\tC\tT\t9\tPASS\tCX=CG;DP=3\tGT:SP\t0/1:C3Y2\n")).first()
@@ -82,8 +84,64 @@ def test_reports(spark, tmp_path):
     path = put(tmp_path / "s.tsv", "a\tb\nx\t1\n")
     good = hashlib.sha256((tmp_path / "s.tsv").read_bytes()).hexdigest()
     assert tuple(R.sealed(spark, path, good, "a string, b long").first()) == ("x", 1)
-    with pytest.raises(ValueError):
-        R.sealed(spark, path, "0" * 64, "a string, b long")
+    with pytest.raises(Exception, match="not the sealed file"):
+        R.sealed(spark, path, "0" * 64, "a string, b long").collect()
+
+
+def test_spool_and_delivery_are_checked(spark, tmp_path):
+    rows = spark.createDataFrame([(f"b{k % 40}", k) for k in range(200)], "barcode string, n long")
+    W.write_spool(rows, f"{tmp_path}/s", shards=4)
+    assert sorted((r.barcode, r.n) for r in R.spool(spark, f"{tmp_path}/s").collect()) == sorted((f"b{k % 40}", k) for k in range(200))
+    rows.limit(1).withColumn("shard", F.lit(2)).write.mode("append").partitionBy("shard").parquet(f"{tmp_path}/s/shards")
+    with pytest.raises(Exception, match="not as it was written"):
+        R.spool(spark, f"{tmp_path}/s").collect()
+    rows.write.parquet(f"{tmp_path}/staged")
+    W.publish(spark, f"{tmp_path}/staged", f"{tmp_path}/public")
+    assert R.published(spark, f"{tmp_path}/public").count() == 200
+    file = next((tmp_path / "public").glob("*.parquet"))
+    file.write_bytes(file.read_bytes() + b"x")
+    with pytest.raises(ValueError, match="inventory"):
+        R.published(spark, f"{tmp_path}/public")
+
+
+def test_blocks_of_text_files(spark, tmp_path):
+    """Plain files are read in blocks: places and ordinals don't depend on where they end."""
+    import random
+
+    rng = random.Random(3)
+    contigs = {f"c{k}": "".join(rng.choice("acgtn") for _ in range(n)) for k, n in enumerate((30_000, 1, 8192, 8193, 20_000, 16384))}
+    text = "lost\n"
+    for name, seq in contigs.items():
+        text += f">{name} about it\n"
+        at = 0
+        while at < len(seq):
+            n = rng.choice((1, 60, 61, 700))
+            text += seq[at : at + n] + "\n"
+            at += n
+    reads = [("r%d" % k, "".join(rng.choice("ACGT") for _ in range(rng.randrange(1, 90)))) for k in range(500)]
+    fq = put(tmp_path / "a.fq", "".join(f"@{i}\n{s}\n+\n{'I' * len(s)}\n" for i, s in reads))
+    path = put(tmp_path / "a.fa", text)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in (old, "7000", "513"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "0" if size != old else "4194304")
+            chunks = R.fasta(spark, path)
+            got = {(r.chrom, r.chunk): (r.start, r.seq) for r in chunks.collect()}
+            want = {(c, k): (k * Q.WIDTH, s.upper()[k * Q.WIDTH : (k + 1) * Q.WIDTH + 1]) for c, s in contigs.items() for k in range(-(-len(s) // Q.WIDTH))}
+            assert got == want
+            found = R.fastq(spark, [fq], 1).orderBy("ordinal").collect()
+            assert [(r.ordinal, r.id, r.seq) for r in found] == [(k, i, s) for k, (i, s) in enumerate(reads)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        spark.conf.set("spark.sql.files.openCostInBytes", "4194304")
+    chunks = R.fasta(spark, path)
+    assert {r.chrom: r.len for r in Q.lengths(chunks).collect()} == {c: len(s) for c, s in contigs.items()}
+    with pytest.raises(Exception, match="contig in both"):
+        Q.appended(chunks, chunks.where("chrom = 'c1'")).collect()
+    for broken in ("@a\nAC\n+\nI\n", "@a\nAC\n+\n", "a\nAC\n+\nII\n"):
+        with pytest.raises(Exception, match="malformed FASTQ"):
+            R.fastq(spark, [put(tmp_path / "b.fq", broken)], 1).collect()
 
 
 def test_sinks(spark, tmp_path):
@@ -124,3 +182,19 @@ def test_incremental_counts(spark, tmp_path):
     assert T.cell_totals(spark.read.parquet(f"{tmp_path}/out")).first().rows == 2
     log = spark.createDataFrame([("[1] rule a: started",), ("noise",), ("[2] rule a: done",)], "value string")
     assert tuple(T.latest_states(T.log_events(log)).first()) == ("a", "done", 0)
+
+
+def test_log_tail(spark, tmp_path):
+    log, state = tmp_path / "logs" / "a.log", f"{tmp_path}/state"
+    call = lambda: [r.line for r in T.tail_logs(spark, f"{tmp_path}/logs", state).orderBy("file", "place").collect()]
+    put(log, "one\ntwo é\nthr")
+    assert call() == ["one", "two é"] and call() == []
+    put(log, "one\ntwo é\nthree\r\n\nfive\n")
+    assert call() == ["three", "", "five"]
+    put(log, "new\n")
+    put(tmp_path / "logs" / "b.log", "other\n")
+    assert call() == ["new", "other"] and call() == []
+    put(log, "")
+    assert call() == []
+    put(log, "x\n")
+    assert call() == ["x"]
