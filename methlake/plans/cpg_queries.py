@@ -328,7 +328,27 @@ def _(cpg):
     return rounded(T.pearson(f))
 
 
-@query("E32_pca2", "pairs", None)
+def _pca(columns: list[str]) -> str:
+    """The first two components by squaring the correlation matrix until one direction is left, which is taken out for the second. The largest part of each is positive."""
+    n = len(columns)
+    square = f"list_transform(range({n * n}), lambda x: list_sum(list_transform(range({n}), lambda k: m[cast(floor(x / {n}.0) as bigint) * {n} + k + 1] * m[k * {n} + x % {n} + 1])))"
+    scaled = "list_transform({0}, lambda x: x / list_max(list_transform({0}, lambda y: abs(y))))"
+    row = "cast(floor(x / {0}.0) as bigint) + 1".format(n)
+
+    def direction(k: int) -> str:
+        """The matrix a{k} -> its first direction v{k} and what is left of it, a{k + 1}."""
+        return f"""q{k}(i, m) as (select 0, a from a{k} union all select i + 1, {scaled.format('sq')} from (select i, {square} sq from q{k} where i < 70) x),
+            c{k} as (select list_transform(range({n}), lambda x: m[x * {n} + j]) v from (select m, list_position(list_transform(range({n}), lambda x: m[x * {n} + x + 1]), list_max(list_transform(range({n}), lambda x: m[x * {n} + x + 1]))) j from q{k} order by i desc limit 1) x),
+            u{k} as (select list_transform(v, lambda x: x / sqrt(list_sum(list_transform(v, lambda y: y * y))) * case when list_max(v) >= -list_min(v) then 1 else -1 end) v from c{k}),
+            a{k + 1} as (select list_transform(range({n * n}), lambda x: a[x + 1] - l * v[{row}] * v[x % {n} + 1]) a from (select a, v, list_sum(list_transform(range({n * n}), lambda x: a[x + 1] * v[{row}] * v[x % {n} + 1])) l from a{k}, u{k}) x)"""
+
+    z = ", ".join(f"({c} - avg({c}) over ()) / stddev_pop({c}) over () z{i}" for i, c in enumerate(columns))
+    cells = ", ".join(f"avg(z{i} * z{j})" for i in range(n) for j in range(n))
+    scores = ", ".join(q6(" + ".join(f"z{i} * u{k}.v[{i + 1}]" for i in range(n))) + f" pc{k}" for k in (1, 2))
+    return f"with recursive z as (select sample_id, {z} from pairs where {' and '.join(f'isfinite(cast({c} as double))' for c in columns)}), a1 as (select [{cells}] a from z), {direction(1)}, {direction(2)} select sample_id, {scores} from z, u1, u2"
+
+
+@query("E32_pca2", "pairs", _pca(["input_pairs", "cph_pct", "mapping_pct"]))
 def _(pairs):
     return rounded(T.principal_components(pairs, ["input_pairs", "cph_pct", "mapping_pct"]))
 

@@ -30,7 +30,33 @@ def _(reads, barcodes):
     return R.barcode_lookup(seen, R.barcode_index(barcodes, shifted=False), "o").select("ordinal", "o", "id", "ambiguous")
 
 
-@query("J1_plate_demux", "reads barcode_map", None)
+def _plate() -> str:
+    """The three places of the anchor by Hamming distance; for what they leave open, the edit-distance matrix of the first 60 bases and the anchor, a column for each step."""
+    anchor, n = ANCHOR.replace("G", "A"), len(ANCHOR)
+    near = lambda at: f"length(seq) >= {at + n} and length(seq) >= {R.SHORTEST} and hamming(translate(substr(seq, {at + 1}, {n}), 'Gg', 'AA'), '{anchor}') <= 2"
+    cell = "list_reduce(list_prepend({'c': [0], 's': [j + 1], 'i': 0}, " + f"list_transform(range(1, {n + 1}), lambda x: {{'c': []::int[], 's': []::int[], 'i': x::int}})), lambda a, x: " + f"""{{
+        'c': list_append(a.c, least(cost[x.i] + case when substr(t, j + 1, 1) = substr('{anchor}', x.i, 1) then 0 else 1 end, cost[x.i + 1] + 1, a.c[x.i] + 1)),
+        's': list_append(a.s, case when cost[x.i] + case when substr(t, j + 1, 1) = substr('{anchor}', x.i, 1) then 0 else 1 end <= least(cost[x.i + 1], a.c[x.i]) + 1 then st[x.i] when cost[x.i + 1] <= a.c[x.i] then st[x.i + 1] else a.s[x.i] end), 'i': x.i}})"""
+    index = f"""w as ({NEIGHBOURS} union select distinct barcode, substr(barcode, 2), 0 from barcode_map), wm as (select k, min(d) d from w group by k),
+        ix as (select w.k, case when count(distinct id) = 1 then min(id) end id, count(distinct id) > 1 ambiguous from w join wm on w.k = wm.k and w.d = wm.d group by w.k)"""
+    tries = [(8, 1, 8), (7, 1, 7), (9, 2, 8)]
+    observed = ", ".join(f"case when {near(at)} then substr(seq, {b}, {m}) end o{k}" for k, (at, b, m) in enumerate(tries))
+    joins = " ".join(f"left join ix x{k} on x{k}.k = o{k}" for k in range(3))
+    hits = ", ".join(f"case when x{k}.id is not null and length(seq) > {at + n + R.GAP} then x{k}.id end h{k}, coalesce(x{k}.ambiguous, false) m{k}" for k, (at, _, _) in enumerate(tries))
+    return f"""with recursive {index}, r as (select lane, ordinal, seq, {observed} from reads), e as (select lane, ordinal, seq, {hits} from r {joins}),
+        al as (select lane, ordinal, translate(substr(seq, 1, 60), 'Gg', 'AA') t, 0 j, list_transform(range({n + 1}), lambda x: x::int) cost, list_transform(range({n + 1}), lambda x: 0) st, 4 best, -1 bs, -1 be from e where length(seq) >= {R.SHORTEST} and coalesce(h0, h1, h2) is null
+            union all select lane, ordinal, t, j + 1, z.c, z.s, least(best, z.c[{n + 1}]), case when z.c[{n + 1}] < best then z.s[{n + 1}] else bs end, case when z.c[{n + 1}] < best then j + 1 else be end from (select *, {cell} z from al where j < length(t)) y),
+        last as (select lane, ordinal, bs, be from al where j = length(t) and best <= 3 and bs between 7 and 9),
+        f as (select e.*, last.be + {R.GAP} trim3, substr(seq, case when bs = 9 then 2 else 1 end, case when bs = 7 then 7 else 8 end) o3, last.bs is not null placed from e left join last on last.lane = e.lane and last.ordinal = e.ordinal),
+        g as (select f.*, case when x.id is not null and trim3 < length(seq) then x.id end h3, coalesce(x.ambiguous, false) m3 from f left join ix x on placed and x.k = o3)
+        select lane, ordinal, case when length(seq) < {R.SHORTEST} then 'short' when coalesce(h0, h1, h2, h3) is not null then 'dna_assigned' when m0 or m1 or m2 or m3 then 'ambiguous' else 'unmatched' end fate, coalesce(h0, h1, h2, h3) barcode,
+            cast(case when h0 is not null then 36 when h1 is not null then 35 when h2 is not null then 37 when h3 is not null then trim3 end as int) trim_start from g"""
+
+
+PLATE = _plate()
+
+
+@query("J1_plate_demux", "reads barcode_map", PLATE)
 def _(reads, barcodes):
     return R.plate_demux(reads, barcodes)
 
@@ -45,7 +71,7 @@ def _(reads, barcodes):
     return out.where("trim_start = 36 and barcode is not null").join(reads.where(S.folded_distance(F.substring("seq", 9, 19), F.lit(ANCHOR), True) <= 2).select("lane", "ordinal"), ["lane", "ordinal"]).select("lane", "ordinal", "barcode", "trim_start")
 
 
-@query("E12_fate_counts", "reads barcode_map", None)
+@query("E12_fate_counts", "reads barcode_map", f"select {', '.join(f'count_if(fate = {chr(39)}{x}{chr(39)}) {x}' for x in ('dna_assigned', 'ambiguous', 'unmatched', 'short'))}, count(*) input, count_if(fate <> 'short') usable from ({PLATE}) p")
 def _(reads, barcodes):
     return R.fate_counts(R.plate_demux(reads, barcodes))
 
@@ -55,10 +81,25 @@ def _(reads):
     return reads.where(F.length("seq") < 50).agg(F.count("*").alias("n"))
 
 
-@query("J2_droplet_extract", "reads", None)
+DROPLET_SEQ = "concat(translate(substr(seq, 1, 17), 'N', 'A'), substr(seq, 18, 12), '" + R.DROPLET_ANCHOR + "', substr(seq, 10, 40))"
+#: the anchor at each place and length, both conversions, with one base left out or put in wherever that costs least
+DROPLET = f"""with r as (select ordinal, case ordinal % 6 when 1 then substr(s, 2) when 2 then concat('G', s) when 3 then concat(substr(s, 1, 45), substr(s, 47)) when 4 then concat(substr(s, 1, 50), 'A', substr(s, 51)) else s end s from (select ordinal, {DROPLET_SEQ} s from reads) x),
+    p as (select ordinal, length(s) n, a, l, md, i, case when l = 48 then 48 else 49 end w, substr('{R.DROPLET_ANCHOR}', i + 1, 1) c, substr('{R.DROPLET_ANCHOR}', i + 2, 1) d, substr(s, a + i + 1, 1) o, substr(s, a + i + 2, 1) e
+        from r, (values (28), (29), (30)) t(a), (values (48), (49), (50)) u(l), (values ('CT'), ('GA')) m(md), (select cast(unnest(generate_series(0, 48)) as int) i) x),
+    q as (select *, case when c <> o and c || o <> md then 1 else 0 end same, case when l = 48 then case when d <> o and d || o <> md then 1 else 0 end when l = 50 then case when c <> e and c || e <> md then 1 else 0 end else 99 end moved from p where i < w and a + l <= n),
+    v as (select *, sum(same) over (partition by ordinal, a, l, md order by i) ps, sum(moved) over (partition by ordinal, a, l, md order by i desc) sm from q),
+    g as (select ordinal, a, l, min(case when l = 49 then tot else 1 + least(cut, allmoved) end) score from (select ordinal, a, l, md, sum(same) tot, min(ps + sm - moved) cut, max(case when i = 0 then sm end) allmoved from v group by all) x group by all),
+    k as (select ordinal, min(score) best, count(*) filter (where score = least_) ties, min(a * 100 + l) filter (where score = least_) place from (select *, min(score) over (partition by ordinal) least_ from g) x group by ordinal),
+    f as (select r.ordinal, s, length(s) n, ties > 1 tied, case when best <= 2 then cast(floor(place / 100.0) as int) else -1 end a, case when best <= 2 then cast(floor(place / 100.0) as int) + place % 100 end b from r left join k on k.ordinal = r.ordinal),
+    h as (select *, case when n < 28 + 48 then 'short' when a >= 0 and tied then 'ambiguous' when coalesce(a, -1) < 0 then 'unmatched' when a < 29 or b + 9 >= n then 'short'
+        when not regexp_full_match(substr(s, a - 28, 17), '[ACGT]{{17}}') or not regexp_full_match(substr(s, a - 11, 12), '[ACGTN]{{12}}') then 'unmatched' else 'assigned' end fate from f)
+    select ordinal, fate, case when fate = 'assigned' then substr(s, a - 28, 17) end barcode, case when fate = 'assigned' then substr(s, a - 11, 12) end umi, case when fate = 'assigned' then cast(b + 9 as int) end trim_start from h"""
+
+
+@query("J2_droplet_extract", "reads", DROPLET)
 def _(reads):
-    seq = F.concat(F.translate(F.substring("seq", 1, 17), "N", "A"), F.expr("substr(seq, 18, 12)"), F.lit(R.DROPLET_ANCHOR), F.expr("substr(seq, 10, 40)"))
-    return R.droplet_extract(reads.select("ordinal", seq.alias("seq"))).select("ordinal", "layout.*")
+    spoilt = F.expr("case ordinal % 6 when 1 then substr(s, 2) when 2 then concat('G', s) when 3 then concat(substr(s, 1, 45), substr(s, 47)) when 4 then concat(substr(s, 1, 50), 'A', substr(s, 51)) else s end")
+    return R.droplet_extract(reads.selectExpr("ordinal", f"{DROPLET_SEQ} s").select("ordinal", spoilt.alias("seq"))).select("ordinal", "layout.*")
 
 
 @query("C7_eligible_barcode", "barcode_counts", "select barcode, n count from barcode_counts where barcode not like '%C%' and n > 100")
