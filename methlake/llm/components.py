@@ -2,7 +2,7 @@
 
 Edges stay distributed. Every step is a minimum per node (pre-aggregated before its shuffle) joined
 back to the edges, so a node with very many edges is split by adaptive execution and never lands
-in one task. The edges are written to the shared folder after each round.
+in one task. The edges are written to the shared folder after each round, and those of the round before go.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import discard, written
 
 
 def _star(edges: DataFrame) -> DataFrame:
@@ -42,7 +42,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
         small = down.join(least, "u").select(F.col("v").alias("x"), F.col("m").alias("y"))
         small = small.unionByName(least.select(F.col("u").alias("x"), F.col("m").alias("y")))
         e = small.where(F.col("x") != F.col("y")).select(F.col("y").alias("u"), F.col("x").alias("v")).distinct()
-        e = written(e, "edges")
+        before, e = e, written(e, "edges")
+        discard(before)
         now = e.agg(F.count("*"), F.sum(F.hash("u", "v").cast("long")), F.sum(F.xxhash64("v", "u") % 1000003)).first()
         if now == state:
             break

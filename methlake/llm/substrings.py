@@ -6,7 +6,8 @@ runs of the same anchor. Anchors that occur once in the corpus are dropped; the
 anchor, where a run-length index of all runs there streams their matching statistics (``rindex``). No string of the corpus is in two
 runs, so a match of ``length`` in an index is a repeated string.
 
-An anchor with very many runs (a passage in a large part of all texts) would not fit one task. Its runs are halved instead, level by level, along their offsets
+An anchor with very many runs (a passage in a large part of all texts) would not fit one task. Of its runs with the same bytes one is taken (the others are
+marked already), and what is left is halved, level by level, along their offsets
 from the anchor: the bytes that all strings of a half share must occur elsewhere, or the half is dropped; if all
 bytes it covers occur elsewhere, it is marked; else it is halved again. This needs counts by digest only, which are summed before each shuffle.
 
@@ -16,14 +17,14 @@ Exact copies are one text (marked whole). All byte places are counted from 0.
 from __future__ import annotations
 
 import uuid as uuids
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import new_path, partitions, tidy, written
+from .common import discard, new_path, partitions, tidy, written
 from .rindex import MAX_TEXT, RunIndex
 from .shingles import mix, powers
 
@@ -134,38 +135,50 @@ def _indexed(contexts: DataFrame, length: int, gram: int, crowd: int) -> DataFra
     return contexts.select("text_id", "x", "lo", "bytes").mapInArrow(tidy(run), SPANS)
 
 
-def _halved(contexts: DataFrame, length: int) -> DataFrame:
-    """Spans of repeated strings of the runs (text_id, x, a, lo, hi, bytes) of crowded anchors, by halving. bytes start at lo."""
+def _halved(crowded: DataFrame, contexts: Callable[[DataFrame], DataFrame], length: int) -> DataFrame:
+    """Spans of repeated strings of the runs (text_id, x, a, lo, hi) of crowded anchors. contexts adds the bytes that a run's strings cover.
+
+    Runs with the same bytes at the same place from the anchor are marked whole, and one of them stands for them from here on; the rest is halved.
+    """
+    digests = written(contexts(crowded).select("text_id", "x", "a", "lo", "hi", F.md5("bytes").alias("d")), "digests")
+    key = ["x", "off", "d"]
+    digests = digests.withColumn("off", F.expr("a - lo"))
+    # every count is written: a join with it has an exchange on both sides, and adaptive execution can split what one passage brings
+    groups = written(digests.groupBy(*key).agg(F.count("*").alias("n"), F.min(F.struct("text_id", "a", "lo", "hi")).alias("r")), "alike")
+    same = groups.where("n > 1").select(*key)
+    done = written(digests.join(same, key, "left_semi").select("text_id", F.col("lo").alias("b"), (F.col("hi") + length).alias("e")), "spans")
     size = 1
     while size * 2 <= length // 2:
         size *= 2
     # a half is the strings whose anchor is b .. b+size-1 bytes after their start
     starts = F.expr(f"sequence(((a - hi) div {size}) * {size}, a - lo, {size})")
-    nodes = contexts.withColumn("b", F.explode(starts))
-    done = None
+    nodes = contexts(groups.select("r.text_id", "x", "r.a", "r.lo", "r.hi")).withColumn("b", F.explode(starts))
+    stale = [digests, groups]
     while True:
         first, last = F.expr(f"a - b - {size - 1}"), F.expr("a - b")
         core = F.expr(f"md5(substring(bytes, cast(a - b - lo + 1 as int), {length + 1 - size}))")
         whole = (first >= F.col("lo")) & (last <= F.col("hi"))
         union = F.when(whole, F.expr(f"md5(substring(bytes, cast(a - b - {size - 1} - lo + 1 as int), {length - 1 + size}))"))
         t = written(nodes.withColumn("core", core).withColumn("whole", union), "halves")
-        # the counts are written: a join back with an exchange on both sides can split what one passage brings
+        discard(*stale)
         cores = written(t.groupBy("x", "b", "core").agg(F.count("*").alias("n")).where("n > 1").select("x", "b", "core"), "cores")
         live = t.join(cores, ["x", "b", "core"], "left_semi")
-        unions = t.where("whole is not null").groupBy("x", "b", "whole").agg(F.count("*").alias("n")).where("n > 1").select("x", "b", "whole", F.lit(True).alias("hit"))
-        unions = written(unions, "unions")
-        live = live.join(unions, ["x", "b", "whole"], "left")
-        hit = live.where("hit") if size > 1 else live
-        spans = hit.select("text_id", F.greatest(first, "lo").alias("b"), (F.least(last, "hi") + length).alias("e"))
-        spans = written(spans, "spans")
-        done = spans if done is None else done.unionByName(spans)
+        span = F.struct(F.greatest(first, "lo").alias("b"), (F.least(last, "hi") + length).alias("e"))
         if size == 1:
+            done = done.unionByName(written(live.select("text_id", span.alias("s")).select("text_id", "s.*"), "spans"))
+            discard(t, cores)
             return done
-        # of halves with the same bytes that are marked now, one stays as the other place of what remains
-        left = live.where("hit is null").select("text_id", "x", "a", "lo", "hi", "bytes", "b")
-        stay = live.where("hit").groupBy("x", "b", "whole").agg(F.first(F.struct("text_id", "a", "lo", "hi", "bytes")).alias("r"))
-        left = left.unionByName(stay.select("r.text_id", "x", "r.a", "r.lo", "r.hi", "r.bytes", "b"))
+        # of halves with the same bytes one, the keeper, stays as the other place of what remains
+        least = F.min(F.struct("text_id", "lo")).alias("keeper")
+        unions = written(t.where("whole is not null").groupBy("x", "b", "whole").agg(F.count("*").alias("n"), least).where("n > 1").drop("n"), "unions")
+        live = live.join(unions, ["x", "b", "whole"], "left").withColumn("s", F.when(F.col("keeper").isNotNull(), span))
+        goes_on = F.col("keeper").isNull() | (F.col("keeper") == F.struct("text_id", "lo"))
+        live = written(live.select("text_id", "x", "a", "lo", "hi", "b", "s", F.when(goes_on, F.col("bytes")).alias("bytes")), "live")
+        done = done.unionByName(written(live.where("s is not null").select("text_id", "s.*"), "spans"))
+        left = live.where("bytes is not null")
         nodes = left.select("text_id", "x", "a", "lo", "hi", "bytes", F.explode(F.array(F.col("b"), F.col("b") + size // 2)).alias("b"))
+        discard(t, cores, unions)
+        stale = [live]
         size //= 2
         nodes = nodes.where(F.expr(f"a - b >= lo and a - b - {size - 1} <= hi"))
 
@@ -187,6 +200,7 @@ def repeated_strings(docs: DataFrame, text_col: str = "text", length: int = LENG
     one = rows.groupBy("text_id").agg(F.first("bytes").alias("bytes"), F.count("*").alias("copies"))
     one.repartition(n, "text_id").write.bucketBy(n, "text_id").sortBy("text_id").option("path", path).option("compression", "zstd").saveAsTable(name)
     texts = spark.table(name)
+    spark.sql(f"drop table {name}")  # the entry only: an external table's files stay, and texts knows them
     runs = written(_runs(texts, length, gram), "runs")
     # the counts are written, so that the join has an exchange on both sides and a crowded anchor can be split
     counts = written(runs.groupBy("x").agg(F.count("*").alias("n")).where("n > 1"), "anchors")
@@ -202,7 +216,7 @@ def repeated_strings(docs: DataFrame, text_col: str = "text", length: int = LENG
     common = contexts(shared.where(F.col("n") <= crowd)).select("text_id", "x", "lo", "bytes").repartition(4 * n, "x").sortWithinPartitions("x")
     spans = _indexed(common, length, gram, crowd)
     if not counts.where(F.col("n") > crowd).isEmpty():
-        spans = spans.unionByName(_halved(contexts(shared.where(F.col("n") > crowd)), length))
+        spans = spans.unionByName(_halved(shared.where(F.col("n") > crowd), contexts, length))
     per_text = spans.groupBy("text_id").agg(F.collect_list(F.struct("b", "e")).alias("spans"))
     joined = texts.join(per_text, "text_id", "left")
     return joined.select("text_id", "bytes", "copies", "spans").mapInArrow(tidy(_cutter(length, as_text)), CUT.replace("kept binary", "kept string") if as_text else CUT)
@@ -255,9 +269,9 @@ def text_id(bytes_col):
     return F.unhex(F.substring(F.sha2(bytes_col, 256), 1, 32))
 
 
-def without_repeats(docs: DataFrame, text_col: str = "text", length: int = LENGTH) -> DataFrame:
+def without_repeats(docs: DataFrame, text_col: str = "text", length: int = LENGTH, gram: int = ANCHOR) -> DataFrame:
     """All columns and rows of docs with the repeated strings cut out of the text (a character that loses some of its bytes goes whole); null stays null."""
-    found = repeated_strings(docs, text_col, length, as_text=True).where(F.size("spans") > 0).select(F.col("text_id").alias("__text_id"), F.col("kept").alias("__kept"))
+    found = repeated_strings(docs, text_col, length, gram, as_text=True).where(F.size("spans") > 0).select(F.col("text_id").alias("__text_id"), F.col("kept").alias("__kept"))
     joined = docs.withColumn("__text_id", text_id(text_bytes(text_col))).join(found, "__text_id", "left")
     text = F.when(F.col("__kept").isNotNull(), F.col("__kept")).otherwise(F.col(f"`{text_col}`"))
     return joined.select(*(text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns))
