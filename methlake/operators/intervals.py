@@ -34,9 +34,17 @@ def violations_of_id_sets(left: DataFrame, right: DataFrame, key: str) -> DataFr
     return a.join(b, key, "full_outer").select(key, F.coalesce("left_rows", F.lit(0)).alias("left_rows"), F.coalesce("right_rows", F.lit(0)).alias("right_rows")).where("left_rows <> 1 or right_rows <> 1")
 
 
-def covered_positions_with_max_end(intervals: DataFrame) -> DataFrame:
-    """Intervals with the greatest stop among those that start no later on the contig."""
+def covered_positions_with_max_end(intervals: DataFrame, width: int = 1 << 20) -> DataFrame:
+    """Intervals with the greatest stop among those that start no later on the contig.
+
+    The maximum runs inside stretches of ``width`` bases; the greatest stop of the stretches before comes from one row for each.
+    """
     from pyspark.sql import Window
 
-    w = Window.partitionBy("chrom").orderBy("start", "stop").rowsBetween(Window.unboundedPreceding, 0)
-    return intervals.withColumn("max_stop", F.max("stop").over(w))
+    rows = intervals.withColumn("_bin", F.floor(F.col("start") / width))
+    ends = rows.groupBy("chrom", "_bin").agg(F.max("stop").alias("_end"))
+    before = Window.partitionBy("chrom").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.select("chrom", "_bin", F.max("_end").over(before).alias("_before"))
+    inside = Window.partitionBy("chrom", "_bin").orderBy("start", "stop").rowsBetween(Window.unboundedPreceding, 0)
+    run = rows.withColumn("_run", F.max("stop").over(inside)).join(ends, ["chrom", "_bin"])
+    return run.withColumn("max_stop", F.greatest("_run", "_before")).drop("_run", "_before", "_bin")

@@ -9,8 +9,10 @@ from methlake.functions.text import natural_order
 
 
 def expand_cells(manifest: DataFrame, barcodes: DataFrame) -> DataFrame:
-    """Every project sample with every barcode of its plate map (a map of some hundred rows is broadcast); sample_id is project and plate."""
-    return manifest.crossJoin(F.broadcast(barcodes)).withColumn("sample_id", F.concat_ws("_", "project_sample_id", "plate_id"))
+    """Every project sample with every barcode of its plate map, which is the result's size; a map of bounded size is broadcast. sample_id is project and plate."""
+    from methlake.operators.reads import bounded
+
+    return manifest.crossJoin(bounded(barcodes)).withColumn("sample_id", F.concat_ws("_", "project_sample_id", "plate_id"))
 
 
 def expand_droplet_cells(manifest: DataFrame, called: DataFrame) -> DataFrame:
@@ -191,9 +193,10 @@ def short_labels(rows: DataFrame, column: str) -> DataFrame:
 
 
 def last_by(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The last row of each key."""
-    w = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in order])
-    return rows.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank")
+    """The last row of each key, of rows that are equal in the order the greatest by its other columns: one aggregate, summed up before the shuffle."""
+    rest = [c for c in rows.columns if c not in (*keys, *order)]
+    last = rows.groupBy(*keys).agg(F.max(F.struct(*order, *rest)).alias("__last"))
+    return last.select(*[F.col(c) if c in keys else F.col(f"__last.{c}") for c in rows.columns])
 
 
 def dependency_closure(edges: DataFrame, roots: DataFrame, max_rounds: int = 50) -> DataFrame:

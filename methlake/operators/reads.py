@@ -279,11 +279,16 @@ def higher_neighbours(called: DataFrame, alphabet: str = "AGT") -> DataFrame:
     return near.join(up, "parent").where("parent_count > count").withColumn("place", differing.cast("int")).select("barcode", "count", "parent", "parent_count", "place")
 
 
-def molecules(reads: DataFrame, cap: int = 4096) -> DataFrame:
-    """barcode, key: distinct molecule keys (umi and 32 bases), of a barcode with more than ``cap`` the least by hash."""
+def molecules(reads: DataFrame, cap: int = 4096, parts: int = 64) -> DataFrame:
+    """barcode, key: distinct molecule keys (umi and 32 bases), of a barcode with more than ``cap`` the least by hash.
+
+    The least of each of ``parts`` parts of a barcode are found first, so that a frequent barcode is no one task's work.
+    """
     keys = reads.select("barcode", S.molecule_key("umi", "insert").alias("key")).where("key is not null").distinct()
-    rank = F.row_number().over(Window.partitionBy("barcode").orderBy(F.xxhash64("key"), "key"))
-    return keys.withColumn("rank", rank).where(F.col("rank") <= cap).drop("rank")
+    keys = keys.withColumn("h", F.xxhash64("key")).withColumn("part", F.pmod(F.hash("key"), F.lit(parts)))
+    for by in (["barcode", "part"], ["barcode"]):
+        keys = keys.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy("h", "key"))).where(F.col("rank") <= cap)
+    return keys.select("barcode", "key")
 
 
 def error_candidates(called: DataFrame, qualities: DataFrame, threshold: float) -> DataFrame:

@@ -381,13 +381,12 @@ def _(cpg, contigs):
     return K.cpg_rows(m.unionByName(m.where("pos % 109 = 0")), contigs)
 
 
-@query("F1_order_check", "cpg", "select sample_id, chrom, methyl line, pos, before from (select sample_id, chrom, methyl, pos, lag(pos) over (partition by sample_id, chrom order by methyl, pos desc) before from cpg where chrom in ('lambda', 'pUC19')) x where pos <= before")
+@query("F1_order_check", "cpg", "select sample_id, chrom, methyl line, pos, before from (select sample_id, chrom, methyl, pos, lag(pos) over (partition by sample_id, chrom order by methyl, pos desc) before from cpg) x where pos <= before")
 def _(cpg):
     from pyspark.sql import Window
 
-    rows = cpg.where("chrom in ('lambda', 'pUC19')")
     w = Window.partitionBy("sample_id", "chrom").orderBy("methyl", F.desc("pos"))
-    return rows.withColumn("before", F.lag("pos").over(w)).where("pos <= before").select("sample_id", "chrom", F.col("methyl").alias("line"), "pos", "before")
+    return cpg.withColumn("before", F.lag("pos").over(w)).where("pos <= before").select("sample_id", "chrom", F.col("methyl").alias("line"), "pos", "before")
 
 
 @query("N3_contigs", "contigs", "with m as (select chrom, case when i % 9 = 0 then 0 else len end len from contigs union all select chrom, len from contigs where i % 10 = 3) select 'contig_length' rule, chrom key, '' detail from m where len <= 0 union all select 'repeated_contig', chrom, cast(count(*) as string) from m group by chrom having count(*) > 1")

@@ -101,12 +101,11 @@ def _(cells, pairs):
     return cells.select("sample_id").join(pairs.select("sample_id", "cph_pct"), "sample_id", "left")
 
 
-@query("D21_reindex", "cells", "select sample_id, clone_id from cells where s_suppkey < 10")
+@query("D21_reindex", "cells", "select sample_id, clone_id from cells")
 def _(cells):
     from methlake.operators.intervals import exact_id_join
 
-    want = cells.where("s_suppkey < 10").select("sample_id")
-    return exact_id_join(want, cells.join(want, "sample_id", "left_semi").select("sample_id", "clone_id"), "sample_id")
+    return exact_id_join(cells.select("sample_id").orderBy(F.desc("sample_id")), cells.select("sample_id", "clone_id"), "sample_id")
 
 
 @query("F11_sequence_numbering", "cells", "select sample_id, cast(row_number() over (partition by project_sample_id order by sample_id) as int) cell_order from cells")
@@ -195,9 +194,9 @@ def _(pairs):
     return M.short_labels(pairs.select(F.concat(F.lit("run_"), "sample_id", F.lit("_x")).alias("v")), "v")
 
 
-@query("B13_report_section", "pairs", "select 'funnel' id, sample_id key, cast(to_json({'input_pairs': input_pairs, 'final_pairs': final_pairs}) as varchar) \"value\" from pairs where input_pairs % 2 = 0")
+@query("B13_report_section", "pairs", "select 'funnel' id, sample_id key, cast(to_json({'input_pairs': input_pairs, 'final_pairs': final_pairs}) as varchar) \"value\" from pairs")
 def _(pairs):
-    return M.report_section(pairs.where("input_pairs % 2 = 0"), "funnel", "sample_id", ["input_pairs", "final_pairs"])
+    return M.report_section(pairs, "funnel", "sample_id", ["input_pairs", "final_pairs"])
 
 
 @query("J21_restrict_section", "pairs cells", "select 'funnel' id, '{' || string_agg('\"' || sample_id || '\":' || cast(to_json({'input_pairs': input_pairs}) as varchar), ',' order by sample_id) || '}' \"data\" from pairs where sample_id in (select sample_id from cells order by sha256(sample_id), sample_id limit 15)")

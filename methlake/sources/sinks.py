@@ -12,19 +12,19 @@ from methlake.operators.cpg import canonical
 
 
 def cpg_parquet(sites: DataFrame, path: str, shift: int = 0) -> None:
-    """Counts by cell, sorted by place, zstd."""
-    canonical(sites, shift).repartition("sample_id").sortWithinPartitions("sample_id", "chrom", "pos").write.partitionBy("sample_id").option("compression", "zstd").parquet(path)
+    """Counts by cell, sorted by place, zstd. Tasks take ranges of (cell, contig, place), so a large cell is several files in order and a task many small cells."""
+    canonical(sites, shift).repartitionByRange("sample_id", "chrom", "pos").sortWithinPartitions("sample_id", "chrom", "pos").write.partitionBy("sample_id").option("compression", "zstd").parquet(path)
 
 
 def cpg_text(sites: DataFrame, path: str, shift: int = 0) -> None:
-    """Counts as one folder of TSV per cell."""
-    canonical(sites, shift).repartition("sample_id").sortWithinPartitions("sample_id", "chrom", "pos").write.partitionBy("sample_id").options(sep="\t", header=True, compression="gzip").csv(path)
+    """Counts as one folder of TSV per cell, split as in cpg_parquet."""
+    canonical(sites, shift).repartitionByRange("sample_id", "chrom", "pos").sortWithinPartitions("sample_id", "chrom", "pos").write.partitionBy("sample_id").options(sep="\t", header=True, compression="gzip").csv(path)
 
 
 def reads_by_cell(reads: DataFrame, path: str, key: str = "sample_id") -> None:
-    """Reads as FASTQ text by cell."""
+    """Reads as FASTQ text by cell; a large cell is several files in order."""
     record = F.concat(F.lit("@"), F.col("id"), F.lit("\n"), F.col("seq"), F.lit("\n+\n"), F.col("qual"))
-    reads.repartition(key).sortWithinPartitions(key, "lane", "ordinal").select(key, record.alias("value")).write.partitionBy(key).option("compression", "gzip").text(path)
+    reads.repartitionByRange(key, "lane", "ordinal").sortWithinPartitions(key, "lane", "ordinal").select(key, record.alias("value")).write.partitionBy(key).option("compression", "gzip").text(path)
 
 
 def matrix(means: DataFrame, obs: DataFrame, path: str, base: int = 1) -> None:
