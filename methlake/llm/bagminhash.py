@@ -11,6 +11,7 @@ Signatures are banded; texts that share a band, directly or over others, are can
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,8 +25,8 @@ from .shingles import counted, mix, shingles
 
 #: 24 bands of 4 slots: a pair at similarity 0.8 shares no band with probability (1 - 0.8**4)**24 = 3e-6
 BANDS, ROWS, SIZE, THRESHOLD = 24, 4, 5, 0.8
-#: nodes of a block that is compared with another in one task
-BLOCK = 512
+#: nodes and bytes of text of a block that is compared with another in one task, on average
+BLOCK, BYTES = 512, 4 << 20
 
 
 def signatures(h: np.ndarray, of: np.ndarray, count: np.ndarray, texts: int, m: int) -> tuple[np.ndarray, np.ndarray]:
@@ -65,11 +66,12 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return least / total if total else 0.0
 
 
-SIGNED = "doc_id long, print binary, bands array<long>"
+SIGNED = "doc_id long, print binary, total long, bytes long, bands array<long>"
 
 
 def signed(docs: DataFrame, id_col: str, text_col: str, size: int, bands: int, rows: int) -> DataFrame:
-    """doc_id, a 128-bit print of the whole shingle multiset, and the bands' hashes; null for texts without a word."""
+    """doc_id, a 128-bit print of the whole shingle multiset (null for texts without a word), its size, the text's bytes, and the bands' hashes."""
+    import pyarrow.compute as pc
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -91,7 +93,9 @@ def signed(docs: DataFrame, id_col: str, text_col: str, size: int, bands: int, r
                     prints[some, 1] = np.add.reduceat(mix(w ^ np.uint64(0x2545F4914F6CDD1D)), starts)
                 prints = [p.tobytes() if s else None for p, s in zip(prints, some)]
                 values = pa.ListArray.from_arrays(pa.array(np.arange(0, n * bands + 1, bands), pa.int32()), pa.array(band.view(np.int64).ravel()))
-                yield pa.RecordBatch.from_arrays([ids.slice(at, n), pa.array(prints, pa.binary()), values], ["doc_id", "print", "bands"])
+                total = pa.array(np.bincount(of, count, n).astype(np.int64))
+                size_ = pc.fill_null(pc.binary_length(texts.slice(at, n)), 0).cast(pa.int64())
+                yield pa.RecordBatch.from_arrays([ids.slice(at, n), pa.array(prints, pa.binary()), total, size_, values], ["doc_id", "print", "total", "bytes", "bands"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("t")).mapInArrow(tidy(run), SIGNED)
 
@@ -181,8 +185,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     repeat an id are one document for links and come back each. Other columns of docs are not read.
 
     Documents with one shingle multiset are one node. Nodes that share a band are joined into candidate groups; inside a group every pair is
-    compared exactly, in tiles of two blocks of about ``block`` nodes, and a tile gives back the edges of a spanning forest of its
-    links. So no pair of a group is left out, no task holds more than two blocks, and what leaves the tiles is linear in their blocks.
+    compared exactly, in tiles of two blocks of about ``block`` nodes and BYTES bytes, and a tile gives back the edges of a spanning forest of its
+    links. In a group of more than one block, pairs whose sizes alone rule out a link don't meet. So no link of a group is left out, no task holds more than two blocks, and what
+    leaves the tiles is linear in their blocks.
     """
     spark = docs.sparkSession
     rows_ = written(signed(docs, id_col, text_col, size, bands, rows), "signed")
@@ -197,19 +202,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     hubs = buckets.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub < last").select("bucket", "hub")
     hubs = written(hubs, "hubs")
     groups = components(buckets.join(hubs, "bucket"), "node", "hub").withColumnRenamed("component", "grp")
-    sizes = groups.groupBy("grp").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    groups = groups.join(sizes, "grp").withColumn("b", F.pmod(F.hash("node"), "blocks"))
+    # rows that repeat an id: one of them stands for the node's size
+    weighed = member.groupBy(F.col("doc_id").alias("node")).agg(F.max("total").alias("total"), F.max("bytes").alias("bytes"))
+    groups = written(groups.join(weighed, "node"), "groups")
+    whole = groups.groupBy("grp").agg(F.count("*").alias("n"), F.sum("bytes").alias("all"))
+    # linked multisets differ in size by 1 / threshold at most, i.e. by one class: in a group of many blocks only neighbouring classes meet
+    kind = F.floor(F.log("total") / -math.log(0.999 * threshold)) if threshold > 0 else F.lit(0)
+    groups = groups.join(whole, "grp").withColumn("kind", F.when((F.col("n") > block) | (F.col("all") > BYTES), kind).otherwise(0).cast("int")).drop("n", "all")
+    sizes = written(groups.groupBy("grp", "kind").agg(F.ceil(F.greatest(F.count("*") / block, F.sum("bytes") / BYTES, F.lit(1.0))).cast("int").alias("blocks")), "blocksizes")
+    groups = groups.join(sizes, ["grp", "kind"]).withColumn("b", F.pmod(F.hash("node"), "blocks"))
     texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).cast("string").alias("text"))
     # the groups grow with the corpus: no size at which they would be broadcast
-    blocked = texts.join(groups.hint("merge"), "node").groupBy("grp", "blocks", "b").agg(F.collect_list(F.struct("node", "text")).alias("m"))
+    blocked = texts.join(groups.select("node", "grp", "kind", "blocks", "b").hint("merge"), "node").groupBy("grp", "kind", "blocks", "b").agg(F.collect_list(F.struct("node", "text")).alias("m"))
     blocked = written(blocked, "blocks")
-    # block b meets itself and the half of the ring after it: each pair of blocks once, every block as often
-    own = blocked.select(F.col("m").alias("x"), F.lit(None).cast(blocked.schema["m"].dataType).alias("y"))
-    many = blocked.where("blocks > 1")
+    right = blocked.select("grp", "kind", "b", F.col("m").alias("y"))
+    own = blocked.where("size(m) > 1").select(F.col("m").alias("x"), F.lit(None).cast(blocked.schema["m"].dataType).alias("y"))
+    # block b meets itself and the half of its class's ring after it: each pair of blocks once, every block as often
     reach = F.floor(F.col("blocks") / 2).cast("int")
-    left = many.withColumn("step", F.explode(F.sequence(F.lit(1), reach))).where(~((F.col("step") * 2 == F.col("blocks")) & (F.col("b") * 2 >= F.col("blocks"))))
-    left = left.select("grp", F.pmod(F.col("b") + F.col("step"), "blocks").alias("b"), F.col("m").alias("x"))
-    tiles = own.unionByName(left.join(many.select("grp", "b", F.col("m").alias("y")), ["grp", "b"]).select("x", "y"))
+    left = blocked.where("blocks > 1").withColumn("step", F.explode(F.sequence(F.lit(1), reach))).where(~((F.col("step") * 2 == F.col("blocks")) & (F.col("b") * 2 >= F.col("blocks"))))
+    left = left.select("grp", "kind", F.pmod(F.col("b") + F.col("step"), "blocks").alias("b"), F.col("m").alias("x"))
+    # and all blocks of the next class
+    after = sizes.select("grp", (F.col("kind") - 1).alias("kind"), F.col("blocks").alias("next"))
+    up = blocked.join(after, ["grp", "kind"]).select("grp", (F.col("kind") + 1).alias("kind"), F.explode(F.sequence(F.lit(0), F.col("next") - 1)).alias("b"), F.col("m").alias("x"))
+    tiles = own.unionByName(left.unionByName(up).join(right, ["grp", "kind", "b"]).select("x", "y"))
     tiles = tiles.repartition(4 * partitions(spark))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

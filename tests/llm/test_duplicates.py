@@ -120,6 +120,28 @@ def test_near_duplicates_of_nothing(spark, texts):
     assert bagminhash.near_duplicates(frame(spark, [(1, None), (2, "")])).where("kept").count() == 2
 
 
+def test_edited_copies(spark):
+    """Of copies with 0.5 to 4 % of their words replaced (2 % is a similarity of 0.8), all that keep a similarity of 0.8 are found, in one block or many; a very long text is one of them."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randrange(3, 8)))
+    rows, base = [], {}
+    for k in range(60):
+        n = 30_000 if k == 0 else rng.randrange(60, 400)
+        t = " ".join(word() for _ in range(n))
+        rows.append((10 * k, t))
+        for j in range(1, 4):
+            copy = edited(t, rng, max(1, round(n * rng.uniform(0.005, 0.04))) if k else 400 * j)
+            rows.append((10 * k + j, copy))
+            base[10 * k + j] = jaccard(brute_shingles(copy), brute_shingles(t))
+    for block in (512, 5):
+        got = {r.doc_id: r.class_id for r in bagminhash.near_duplicates(frame(spark, rows), block=block).collect()}
+        close = [i for i, s in base.items() if s >= 0.8]
+        assert len(close) > 60 and all(got[i] == i // 10 * 10 for i in close)
+        # copies of copies may be nearer to each other than to the first; different texts never meet
+        assert all(c // 10 == i // 10 for i, c in got.items())
+        assert got == brute_classes(rows)
+
+
 def test_links_of_block_is_exact():
     rng = random.Random(3)
     base = " ".join(str(rng.randrange(50)) for _ in range(60))
@@ -168,6 +190,8 @@ def test_repeated_strings(spark, crowd):
     rows = [rand(200) + passage + rand(100) for _ in range(12)] + [rand(90) + passage[:130] + rand(20) for _ in range(6)]
     rows += [period * 9, "x" * 500, rand(50), rand(50) + period * 4, rand(300), None, "", "short"]
     rows += [rows[3], rows[3], rows[0][:260]]
+    near = rand(700)
+    rows += [near[:k] + "#" + near[k + 1 :] for k in range(5, 700, 90)]  # most runs have the same bytes in all of these
     d = spark.createDataFrame([(k, t, "q", b"z") for k, t in enumerate(rows)], "doc_id long, text string, spans string, bytes binary")
     got = substrings.repeated_strings(d, length=120, gram=40, crowd=crowd).collect()
     by = {bytes(r.text_id): r for r in got}
@@ -177,6 +201,20 @@ def test_repeated_strings(spark, crowd):
     cut = {r.doc_id: r.text for r in substrings.without_repeats(d, length=120).collect()}
     assert len(cut) == len(rows) and cut[rows.index(None)] is None
     assert substrings.repeated_strings(d.limit(0), length=120).count() == 0
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("texts_")]
+
+
+def test_anchor_runs_of_a_text_beyond_the_slab(monkeypatch):
+    data = np.random.default_rng(8).integers(97, 100, 5000).astype("u1")
+    length, gram = 60, 20
+    monkeypatch.setattr(substrings, "SLAB", 700)
+    x, a, lo, hi = substrings.anchor_runs(data, length, gram)
+    starts = np.concatenate([np.arange(f, t + 1) for f, t in zip(lo, hi)])
+    assert starts.tolist() == list(range(len(data) - length + 1))
+    monkeypatch.undo()
+    whole = {int(s): (int(h), int(p)) for h, p, f, t in zip(*substrings.anchor_runs(data, length, gram)) for s in range(f, t + 1)}
+    # ties between equal grams go to the leftmost of the window in either way
+    assert {int(s): (int(h), int(p)) for h, p, f, t in zip(x, a, lo, hi) for s in range(f, t + 1)} == whole
 
 
 def test_run_length_query(spark):
@@ -227,3 +265,16 @@ def test_quantisation_bound():
     about = (q.astype(float) @ r.astype(float).T) * s[:, None] * t
     assert (np.abs(about - x @ y.T) <= err[:, None] + norm[:, None] * err_y + 1e-12).all()
     assert embeddings.tile(x, x, 0.98)[2] < 400
+
+
+def test_vectors_of_many_dimensions_and_extreme_sizes(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(12, 5000))
+    x[1], x[2], x[3] = x[0] * 1e-30, x[0] * 1e30, x[0] + 0.05 * rng.normal(size=5000)
+    x[5] = x[4] * -1e-20
+    d = spark.createDataFrame([(k, [float(v) for v in x[k]], 1) for k in range(12)], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_vectors(d).collect()}
+    assert {k: got[k] for k in range(4)} == {k: (3, 0) for k in range(4)} and all(got[k] == (0, k) for k in range(4, 12))
+    u = embeddings.unit(np.array([[1e-300, 1e300, 0.0], [0.0, 1.0, 1e-200], [3e-320, 0.0, 0.0]]))
+    q, s, norm, err = embeddings.quantised(u)
+    assert np.isfinite(u).all() and np.isfinite(s).all() and (np.abs(q.astype(float) * s[:, None] - u) <= err[:, None] + 1e-12).all()
