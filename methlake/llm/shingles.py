@@ -6,6 +6,8 @@ a text with fewer words (but one at least) has one shingle, all its words. Null
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 
 _B = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -35,8 +37,8 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0][:n], _powers[1][:n]
 
 
-def words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, text's index) of every word, in order."""
+def word_places(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, Callable[[np.ndarray, np.ndarray], np.ndarray]]:
+    """(first byte, end, text's index) of every word of the joined texts, in order, and a function that hashes stretches of bytes inside words."""
     raw = [(t or "").lower().encode() + b" " for t in texts]
     data = np.frombuffer(b"".join(raw), "u1")
     ends = np.cumsum([len(r) for r in raw])
@@ -46,7 +48,13 @@ def words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     up, down = powers(len(data) + 1)
     run = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:-1], out=run[1:])
-    return mix((run[b] - run[a]) * down[a] + (b - a).astype(np.uint64)), np.searchsorted(ends, a, "right")
+    return a, b, np.searchsorted(ends, a, "right"), lambda x, y: mix((run[y] - run[x]) * down[x] + (y - x).astype(np.uint64))
+
+
+def words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, text's index) of every word, in order."""
+    a, b, of, hashed = word_places(texts)
+    return hashed(a, b), of
 
 
 def shingles(texts: list[str | None], size: int = 5) -> tuple[np.ndarray, np.ndarray]:

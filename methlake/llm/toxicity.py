@@ -1,20 +1,18 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
-Terms are words and word beginnings of 4 to 6 letters; those kept are tied to one of the two labels beyond doubt (log-likelihood ratio over distinct
-examples). Examples are a bounded sample of labelled texts. Their vectors are stored in an inverted index whose posting lists are cut into blocks of examples, each with
-its greatest weight per term: a query goes through the blocks in the order of their upper bounds and stops when no block can
-beat the k-th best example, so the neighbours are exact. Their distance-weighted vote is calibrated on the examples themselves, each judged
-by the others.
+Terms are words and word beginnings of 4 to 6 bytes, as hashes. Examples are a bounded sample of labelled texts; all their terms count. A term's weight is its inverse document frequency
+times the square root of its likelihood ratio between the labels, so a word that toxic and clean examples share alike says little, and none is cut.
+
+The examples' unit vectors form an inverted index in blocks of examples. The lists of rare and of strong terms are added up for a query first; the lists of common, weak terms are kept
+with their greatest weight per block, and only blocks whose bound can reach the k-th best example so far are completed. So the neighbours are exact. Their
+distance-weighted vote is calibrated on the examples themselves, each judged by the others.
 """
 
 from __future__ import annotations
 
-import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -22,122 +20,192 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from .common import id_bucket, released, tidy, written
-from .shingles import mix, shingles
-
-#: labelled texts of each label, at most about, that the terms and the examples come from
-SAMPLE = 3000
-TERMS, NEIGHBOURS, BLOCK, BEGINNINGS = 1024, 15, 64, (4, 5, 6)
-#: log-likelihood ratio (twice the log) and fewest examples of a term
-STRENGTH, LEAST = 24.0, 5
+from .langid import HashArray
+from .shingles import counted, mix, shingles, word_places
 
-_words = re.compile(r"[^\W\d_]+").findall
+#: labelled texts of each label, at most about, that the examples come from
+SAMPLE = 1000
+NEIGHBOURS, BLOCK, BEGINNINGS = 15, 64, (4, 5, 6)
+#: a term is common in this share of the examples, and weak under this share of the greatest weight (both only order the work)
+COMMON, WEAK = 1 / 16, 1 / 3
+#: weights have 32 bits: cosines are told apart at five digits, and bounds leave room for their rounding
+SLACK = 2e-5
 
 
-def terms(text: str | None) -> Counter:
-    """Terms of a text: its words, in lower case, and ``^`` with their beginnings."""
-    out: Counter = Counter()
-    for w, n in Counter(_words((text or "").lower())).items():
-        out[w] += n
-        for k in BEGINNINGS:
-            if len(w) >= k:
-                out["^" + w[:k]] += n
-    return out
+def terms(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, text's index) of every term of texts."""
+    a, b, of, hashed = word_places(texts)
+    h, owner = [hashed(a, b)], [of]
+    for k in BEGINNINGS:
+        w = b - a >= k
+        h.append(mix(hashed(a[w], a[w] + k) + np.uint64(k)))
+        owner.append(of[w])
+    return np.concatenate(h), np.concatenate(owner)
 
 
 class BlockMaxIndex:
-    """Unit vectors of examples as posting lists (example, weight) per term, in blocks of BLOCK examples with their greatest weight."""
-
-    def __init__(self, vectors: list[dict[int, float]], width: int):
-        self.size, self.width = len(vectors), width
-        entries = sorted((t, e, w) for e, v in enumerate(vectors) for t, w in v.items())
-        self.example = np.array([e for _, e, _ in entries], np.int32)
-        self.weight = np.array([w for _, _, w in entries], float)
-        term = np.array([t for t, _, _ in entries], np.int64)
-        self.blocks = (self.size + BLOCK - 1) // BLOCK
-        cell = term * max(1, self.blocks) + self.example // BLOCK
-        self.start = np.searchsorted(cell, np.arange(width * max(1, self.blocks) + 1))
-        self.most = np.zeros(width * max(1, self.blocks))
-        np.maximum.at(self.most, cell, self.weight)
-        self.most = self.most.reshape(width, -1)
-
-    def nearest(self, query: dict[int, float], k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """(examples, cosines) of the k nearest, best first, ties by example; those with cosine 0 are none. query: a unit vector."""
-        if not query or not self.size:
-            return np.empty(0, np.int64), np.empty(0)
-        t, q = np.array(list(query)), np.array(list(query.values()))
-        bound = q @ self.most[t]
-        best_e, best_c = np.empty(0, np.int64), np.empty(0)
-        for b in np.argsort(-bound, kind="stable").tolist():
-            if bound[b] <= 0 or len(best_c) == k and bound[b] < best_c[-1] - 1e-12:
-                break
-            acc = np.zeros(BLOCK)
-            for term, w in zip(t.tolist(), q.tolist()):
-                i, j = self.start[term * self.blocks + b], self.start[term * self.blocks + b + 1]
-                if i < j:
-                    acc[self.example[i:j] - b * BLOCK] += w * self.weight[i:j]
-            e = np.flatnonzero(acc > 0)
-            c, e = acc[e], e + b * BLOCK
-            if without >= 0:
-                c, e = c[e != without], e[e != without]
-            best_e, best_c = np.concatenate([best_e, e]), np.round(np.concatenate([best_c, c]), 12)
-            order = np.lexsort((best_e, -best_c))[:k]
-            best_e, best_c = best_e[order], best_c[order]
-        return best_e, best_c
+    """Unit vectors of ``size`` examples, given as (term, example, weight) arrays over ``width`` terms.
+
+    Posting lists of the terms but the common weak ones; these as columns of blocks of BLOCK examples, with the greatest weight of each block.
+    """
+
+    def __init__(self, term: np.ndarray, example: np.ndarray, weight: np.ndarray, size: int, width: int, worth: np.ndarray):
+        self.size, self.width, self.blocks = size, width, -(-size // BLOCK)
+        often = np.bincount(term, minlength=width) > max(BLOCK // 8, COMMON * size)
+        weak = often & (worth < WEAK * worth.max(initial=0.0))
+        self.column = np.where(weak, np.cumsum(weak) - 1, -1).astype(np.int32)
+        dense = np.zeros((self.blocks * BLOCK, int(weak.sum())), np.float32)
+        w = weak[term]
+        dense[example[w], self.column[term[w]]] = weight[w]
+        self.dense = dense.reshape(self.blocks, BLOCK, dense.shape[1])
+        self.most = self.dense.max(1) if size else np.zeros((0, dense.shape[1]), np.float32)
+        term, example, weight = term[~w], example[~w], weight[~w]
+        order = np.lexsort((example, term))
+        self.example, self.weight = example[order].astype(np.int32), weight[order].astype(np.float32)
+        self.start = np.searchsorted(term[order], np.arange(width + 1)).astype(np.int32)
+
+    def nearest(self, term: np.ndarray, of: np.ndarray, weight: np.ndarray, n: int, k: int, without: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(examples [n, k], cosines [n, k]) of the k nearest of n queries (unit vectors), best first, ties by example; where there are fewer with a cosine over 0, the rest has cosine 0."""
+        wide = self.blocks * BLOCK
+        if not wide:
+            return np.zeros((n, 0), np.int64), np.zeros((n, 0))
+        column = self.column[term]
+        tail = column >= 0
+        q = np.zeros((n, self.dense.shape[2]), np.float32)
+        q[of[tail], column[tail]] = weight[tail]
+        t, o, w = term[~tail], of[~tail], weight[~tail]
+        length = self.start[t + 1] - self.start[t]
+        ends = np.cumsum(length)
+        at = np.repeat(self.start[t] - (ends - length), length) + np.arange(ends[-1] if len(ends) else 0)
+        score = np.bincount(np.repeat(o * wide, length) + self.example[at], self.weight[at] * np.repeat(w, length), n * wide).astype(float).reshape(n, wide)
+        if without is not None:
+            score[np.arange(n), without] = -2
+        k = min(k, self.size)
+        floor = np.partition(score, wide - k, axis=1)[:, wide - k]
+        bound = score.reshape(n, self.blocks, BLOCK).max(2) + q @ self.most.T
+        visit = (bound >= floor[:, None] - SLACK) & (bound > 0)
+        for b in range(self.blocks):
+            rows = np.flatnonzero(visit[:, b])
+            score[rows, b * BLOCK : (b + 1) * BLOCK] += q[rows] @ self.dense[b].T
+        score.reshape(n, self.blocks, BLOCK)[~visit] = 0
+        score[:, self.size :] = 0
+        score = np.round(np.maximum(score, 0), 5)
+        # the order is by cosine, then by example: both in one number
+        key = -score + np.arange(wide) * 1e-11
+        best = np.argpartition(key, k - 1, axis=1)[:, :k]
+        best = np.take_along_axis(best, np.argsort(np.take_along_axis(key, best, 1), axis=1, kind="stable"), 1)[:, :k]
+        return best, np.take_along_axis(score, best, 1)
 
 
 @dataclass
 class Model:
-    """index: term -> place; idf, examples' ids and labels, the calibration (raw votes -> scores), and the score of texts without a term."""
+    """Terms' hashes and weights, the index, examples' ids and labels, the calibration (raw votes -> scores), and the score of texts without a neighbour."""
 
-    index: dict[str, int]
-    idf: np.ndarray
-    postings: BlockMaxIndex
-    example_ids: list[int]
+    keys: HashArray
+    worth: np.ndarray
+    index: BlockMaxIndex
+    example_ids: np.ndarray
     labels: np.ndarray
     steps: tuple[np.ndarray, np.ndarray]
     blank: float
     k: int
 
-    def __post_init__(self) -> None:
-        self._finder = None
-
-    def __getstate__(self) -> dict:
-        return self.__dict__ | {"_finder": None}
-
-    def vector(self, text: str | None) -> dict[int, float]:
-        """Unit TF-IDF vector over the model's terms, empty if it has none of them."""
-        if not text or not self.index:
-            return {}
-        low = text.lower()
-        if self._finder is None:
-            self._finder = ahocorasick.Automaton()
-            for x in self.index:
-                self._finder.add_word(x.removeprefix("^"), 1)
-            self._finder.make_automaton()
-        if next(self._finder.iter(low), None) is None:
-            return {}
-        return _unit({self.index[x]: n for x, n in terms(text).items() if x in self.index}, self.idf)
-
-    def vote(self, query: dict[int, float], without: int = -1) -> tuple[float, np.ndarray, np.ndarray]:
-        """(distance-weighted share of toxic neighbours, neighbours, cosines); -1 without a neighbour."""
-        e, c = self.postings.nearest(query, self.k, without)
-        if not len(e):
-            return -1.0, e, c
-        w = 1 / (1.05 - np.minimum(c, 1))
-        return float((w * self.labels[e]).sum() / w.sum()), e, c
-
-    def score(self, text: str | None) -> tuple[float, list[int], list[float]]:
-        """(score in 0..1, ids of the nearest examples, their cosines)."""
-        raw, e, c = self.vote(self.vector(text))
-        if raw < 0:
-            return self.blank, [], []
-        return float(np.interp(raw, *self.steps)), [self.example_ids[i] for i in e.tolist()], c.tolist()
-
-
-def _unit(counts: dict[int, int], idf: np.ndarray) -> dict[int, float]:
-    v = {t: (1 + np.log(n)) * idf[t] for t, n in counts.items()}
-    norm = float(np.sqrt(sum(x * x for x in v.values())))
-    return {t: x / norm for t, x in v.items()} if norm else {}
+    def vectors(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(term, text's index, weight) of the texts' unit TF-IDF vectors over the examples' terms; a text without one has no entry."""
+        h, of = terms(texts)
+        at = self.keys.find(h)
+        known = at >= 0
+        key, n = np.unique(of[known] * self.index.width + at[known], return_counts=True)
+        of, at = np.divmod(key, max(1, self.index.width))
+        w = (1 + np.log(n)) * self.worth[at]
+        norm = np.sqrt(np.bincount(of, w * w, len(texts)))
+        good = w > 0
+        return at[good], of[good], w[good] / norm[of[good]]
+
+    def votes(self, texts: list[str | None], without: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(distance-weighted share of toxic neighbours, -1 without a neighbour; neighbours; cosines)."""
+        e, c = self.index.nearest(*self.vectors(texts), len(texts), self.k, without)
+        w = np.where(c > 0, 1 / (1.05 - np.minimum(c, 1)), 0)
+        total = w.sum(1)
+        return np.where(total > 0, (w * self.labels[e]).sum(1) / np.where(total > 0, total, 1), -1.0), e, c
+
+    def scores(self, texts: list[str | None]) -> tuple[np.ndarray, list[list[int]], list[list[float]]]:
+        """(scores in 0..1, ids of the nearest examples, their cosines)."""
+        if not len(self.example_ids):
+            return np.full(len(texts), self.blank), [[]] * len(texts), [[]] * len(texts)
+        raw, e, c = self.votes(texts)
+        ids = self.example_ids[e]
+        seen = (c > 0).sum(1).tolist()
+        return np.where(raw < 0, self.blank, np.interp(raw, *self.steps)), [i[:m] for i, m in zip(ids.tolist(), seen)], [x[:m] for x, m in zip(c.tolist(), seen)]
+
+
+def chunks(texts: list, size: int = 64, room: int = 500_000) -> Iterator[slice]:
+    """Slices of texts of so many texts and about so many characters at most."""
+    at = total = 0
+    for i, t in enumerate(texts):
+        if i > at and (i - at == size or total > room):
+            yield slice(at, i)
+            at, total = i, 0
+        total += len(t or "")
+    if at < len(texts):
+        yield slice(at, len(texts))
+
+
+def build(ids: list[int], labels: np.ndarray, texts: list[str], weight: dict[int, float], k: int) -> Model:
+    """A model of examples. weight: how many labelled texts an example of each label stands for."""
+    # the driver holds some bytes for each term of an example: hashes go part by part
+    parts = []
+    for part in chunks(texts):
+        h, of, n = counted(*terms(texts[part]))
+        parts.append([h, (of + part.start).astype(np.int32), n.astype(np.float32)])
+    found = np.empty(0, np.uint64)
+    for h, _, _ in parts:
+        found = np.union1d(found, h)
+    for p in parts:
+        p[0] = np.searchsorted(found, p[0]).astype(np.int32)
+    term, of, count = (np.concatenate(x) for x in zip(*parts))
+    del parts
+    n, bad, good = len(ids), float(labels.sum()), float((1 - labels).sum())
+    b, g = np.bincount(term, labels[of]), np.bincount(term, 1 - labels[of])
+
+    def part_(cell: np.ndarray, row: np.ndarray, column: float) -> np.ndarray:
+        return cell * np.log(np.where(cell > 0, cell * n / (row * column + (row == 0)), 1))
+
+    ratio = 2 * (part_(b, b + g, bad) + part_(g, b + g, good) + part_(bad - b, n - b - g, bad) + part_(good - g, n - b - g, good))
+    worth = (np.log((n + 1) / (b + g + 1)) + 1) * np.sqrt(np.maximum(ratio, 0))
+    keys = HashArray(found)
+    # terms in the order of the hash array
+    rank = np.empty(len(found), np.int32)
+    rank[keys.order] = np.arange(len(found))
+    term, worth = rank[term], worth[keys.order]
+    w = (1 + np.log(count)) * worth[term].astype(np.float32)
+    del count
+    norm = np.sqrt(np.bincount(of, w * w, n))
+    some = w > 0
+    term, of, w = term[some], of[some], w[some]
+    w /= norm[of].astype(np.float32)
+    # examples of one label with the same strongest term stand together
+    strongest = np.zeros(n, np.int64)
+    by = np.argsort(w, kind="stable").astype(np.int32)
+    strongest[of[by]] = term[by]
+    del by
+    order = np.lexsort((np.array(ids), strongest, labels))
+    place = np.empty(n, np.int32)
+    place[order] = np.arange(n)
+    index = BlockMaxIndex(term, place[of], w, n, len(found), worth)
+    del term, of, w
+    empty = norm == 0
+    none = float((empty * labels).sum()) * weight[1], float((empty * (1 - labels)).sum()) * weight[0]
+    line = np.array([0.0, 1.0])
+    model = Model(keys, worth, index, np.array(ids)[order], labels[order].astype(float), (line, line), none[0] / (sum(none) + 1), k)
+    sorted_texts = [texts[i] for i in order.tolist()]
+    raw = np.concatenate([model.votes(sorted_texts[p], np.arange(p.start, p.stop))[0] for p in chunks(sorted_texts)])
+    seen = raw >= 0
+    if seen.any():
+        y = model.labels[seen]
+        model.steps = _isotonic(raw[seen], y, np.where(y > 0, weight[1], weight[0]))
+    released()
+    return model
 
 
 def fit(docs: DataFrame, labels: DataFrame, train, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE, k: int = NEIGHBOURS) -> Model:
@@ -158,51 +226,13 @@ def fit(docs: DataFrame, labels: DataFrame, train, id_col: str = "doc_id", text_
     rows = docs.select(F.col(id_col).alias("i"), F.col(text_col).cast("string").alias("t")).join(F.broadcast(known), "i")
     rows = written(rows.mapInArrow(tidy(_least_shingle), "i long, y int, t string, s long"), "toxsample")
     rows = rows.join(rows.groupBy("s", "y").agg(F.min("i").alias("i")), ["i", "s", "y"], "left_semi")
-    rows = written(rows.dropDuplicates(["i"]).select("i", "y", "t"), "toxexamples")
-    total = {r["y"]: r["count"] for r in rows.groupBy("y").count().collect()}
-    bad, good = total.get(1, 0), total.get(0, 0)
-    if not bad or not good:
-        empty = BlockMaxIndex([], 1)
-        return Model({}, np.empty(0), empty, [], np.empty(0), (np.zeros(2), np.zeros(2)), float(bad > 0), k)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 250):
-                part = batch.slice(at, 250)
-                seen: dict[str, list[int]] = {}
-                for y, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    for x in terms(t):
-                        seen.setdefault(x, [0, 0])[y > 0] += 1
-                yield pa.RecordBatch.from_arrays([pa.array(seen, pa.string()), pa.array([v[0] for v in seen.values()], pa.int64()), pa.array([v[1] for v in seen.values()], pa.int64())], ["term", "good", "bad"])
-
-    found = rows.select("y", "t").mapInArrow(tidy(count), "term string, good long, bad long").groupBy("term").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).where(F.col("good") + F.col("bad") >= LEAST)
-    share = F.col("bad") / F.lit(bad)
-    other = F.col("good") / F.lit(good)
-    n = F.lit(bad + good)
-
-    def part(cell, row, column):
-        return F.when(cell > 0, cell * F.log(cell * n / (row * column))).otherwise(0.0)
-
-    b, g = F.col("bad").cast("double"), F.col("good").cast("double")
-    ratio = 2 * (part(b, b + g, F.lit(bad)) + part(g, b + g, F.lit(good)) + part(bad - b, n - b - g, F.lit(bad)) + part(good - g, n - b - g, F.lit(good)))
-    # the sides of a kept term differ at least fourfold: weaker ties are topics, not tone
-    found = found.withColumn("g2", ratio).where((F.col("g2") >= STRENGTH) & ((share >= 4 * other) | (other >= 4 * share)))
-    kept = found.orderBy(F.desc("g2"), "term").limit(TERMS).collect()
-    index = {r["term"]: i for i, r in enumerate(kept)}
-    idf = np.array([np.log((bad + good + 1) / (r["bad"] + r["good"] + 1)) + 1 for r in kept])
+    rows = written(rows.groupBy("i").agg(F.min(F.struct("t", "y")).alias("r")).select("i", "r.y", "r.t"), "toxexamples")
     data = rows.orderBy("i").collect()  # the bounded sample
-    weight = {y: sizes[y] / total[y] for y in total}
-    blank_model = Model(index, idf, BlockMaxIndex([], max(1, len(index))), [], np.empty(0), (np.zeros(2), np.zeros(2)), 0.0, k)
-    vectors = [(r["i"], r["y"], blank_model.vector(r["t"])) for r in data]
-    with_terms = sorted((max(v, key=v.get), i, y, v) for i, y, v in vectors if v)
-    none = Counter(y for _, y, v in vectors if not v)
-    blank = none[1] * weight[1] / max(1e-9, none[1] * weight[1] + none[0] * weight[0] + 1)
-    model = Model(index, idf, BlockMaxIndex([v for *_, v in with_terms], max(1, len(index))), [i for _, i, _, _ in with_terms], np.array([y for _, _, y, _ in with_terms], float), (np.array([0.0, 1.0]), np.array([0.0, 1.0])), float(blank), k)
-    raw = np.array([model.vote(v, e)[0] for e, (*_, v) in enumerate(with_terms)])
-    if len(raw):
-        y = model.labels[raw >= 0]
-        model.steps = _isotonic(raw[raw >= 0], y, np.where(y > 0, weight[1], weight[0]))
-    return model
+    total = {y: sum(r["y"] == y for r in data) for y in (0, 1)}
+    if not total[0] or not total[1]:
+        zero = np.zeros(2)
+        return Model(HashArray(np.empty(0, np.uint64)), np.empty(0), BlockMaxIndex(*[np.empty(0, np.int64)] * 2, np.empty(0), 0, 0, np.empty(0)), np.empty(0, np.int64), np.empty(0), (zero, zero), float(total[1] > 0), k)
+    return build([r["i"] for r in data], np.array([r["y"] for r in data]), [r["t"] or "" for r in data], {y: sizes[y] / total[y] for y in total}, k)
 
 
 def _least_shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,16 +265,21 @@ JUDGED = "score double, examples array<long>, cosines array<double>"
 def judge(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None, name: str = "toxicity") -> DataFrame:
     """The columns ``keep`` of docs (all by default) with the struct ``name``: score, and as evidence the nearest examples' ids and cosines.
 
-    Null and empty texts and texts without a term of the model get the model's score for such texts and no evidence.
+    Null and empty texts and texts that share no term with an example get the model's score for such texts and no evidence.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @arrow_udf(JUDGED)
     def run(texts: pa.Array) -> pa.Array:
-        out = [shared.value.score(t) for at in range(0, len(texts), 500) for t in texts.slice(at, 500).to_pylist()]
+        score, ids, cosines = [], [], []
+        found = texts.to_pylist()
+        for part in chunks(found):
+            x, i, c = shared.value.scores(found[part])
+            score.append(x)
+            ids += i
+            cosines += c
         released()
-        score, ids, cosines = zip(*out) if out else ((), (), ())
-        return pa.StructArray.from_arrays([pa.array(score, pa.float64()), pa.array(ids, pa.list_(pa.int64())), pa.array(cosines, pa.list_(pa.float64()))], ["score", "examples", "cosines"])
+        return pa.StructArray.from_arrays([pa.array(np.concatenate(score) if score else [], pa.float64()), pa.array(ids, pa.list_(pa.int64())), pa.array(cosines, pa.list_(pa.float64()))], ["score", "examples", "cosines"])
 
     columns = [docs[f"`{c}`"] for c in (keep if keep is not None else docs.columns)]
     return docs.select(*columns, run(docs[f"`{text_col}`"].cast("string")).alias(name))
@@ -255,4 +290,4 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     model = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), id_bucket("doc_id", 5) != 0)
     judged = judge(docs, model, keep=["doc_id"])
-    return judged.select("doc_id", (id_bucket("doc_id", 5) == 0).alias("held_out"), "toxicity.score", (F.col("toxicity.score") >= 0.5).cast("int").alias("predicted"), F.col("toxicity.examples").alias("nearest_examples"))
+    return judged.select("doc_id", (id_bucket("doc_id", 5) == 0).alias("held_out"), "toxicity.score", (F.col("toxicity.score") >= 0.5).cast("int").alias("predicted"), F.col("toxicity.examples").alias("nearest_examples"), F.col("toxicity.cosines").alias("nearest_cosines"))
