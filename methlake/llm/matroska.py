@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import tidy
+from .common import tidy, written
 
 # fixed values: element ids
 EBML, VERSION, READ_VERSION, MAX_ID, MAX_SIZE, DOC_TYPE, DOC_VERSION, DOC_READ = 0x1A45DFA3, 0x4286, 0x42F7, 0x42F2, 0x42F3, 0x4282, 0x4287, 0x4285
@@ -311,5 +311,5 @@ def media_digests(media: DataFrame) -> DataFrame:
 
 
 def op5_matroska(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """documents -> Matroska files -> digests of what is read back from them."""
-    return media_digests(media_column(spark.read.parquet(f"{sf_dir}/documents.parquet")))
+    """documents -> a stored column of Matroska files -> digests of what is read back from it."""
+    return media_digests(written(media_column(spark.read.parquet(f"{sf_dir}/documents.parquet")), "media"))
