@@ -2,6 +2,7 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -145,7 +146,9 @@ def test_droplet_layouts(spark):
 
 
 def test_alignment_finds_least_edits():
-    r = R.align(["ACGTACGT" + ANCHOR[:8] + "C" + ANCHOR[8:], "ACGTACGT" + ANCHOR[:8] + ANCHOR[9:], "T" * 50, None], bisulfite=False)
+    texts = ["ACGTACGT" + ANCHOR[:8] + "C" + ANCHOR[8:], "ACGTACGT" + ANCHOR[:8] + ANCHOR[9:], "T" * 50, None]
+    r = R.align(pa.array(texts), bisulfite=False).to_pylist()
+    assert R.align(pa.array(["x", *texts]).slice(1), bisulfite=False).to_pylist() == r and len(R.align(pa.array([], pa.string()))) == 0
     assert r == [{"start": 8, "stop": 28, "edits": 1}, {"start": 8, "stop": 26, "edits": 1}, None, None]
 
 

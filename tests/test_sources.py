@@ -100,6 +100,7 @@ def test_spool_and_delivery_are_checked(spark, tmp_path):
     assert R.published(spark, f"{tmp_path}/public").count() == 200
     file = next((tmp_path / "public").glob("*.parquet"))
     file.write_bytes(file.read_bytes() + b"x")
+    (file.parent / f".{file.name}.crc").unlink()
     with pytest.raises(ValueError, match="inventory"):
         R.published(spark, f"{tmp_path}/public")
 
