@@ -1,6 +1,6 @@
 """Byte-level BPE by merge replay over a corpus of distinct pieces.
 
-A worker cuts its texts into the pattern's matches and replays the merges once over all pieces it has not met before, laid out in
+A worker cuts its texts into pieces of one or more of the pattern's matches (see wordcache) and replays the merges once over all matches of the pieces it has not met before, laid out in
 flat arrays. An inverted index from a merge's rank to the places of its pairs gives, rank after rank, the places to change; only the neighbours of a
 changed place are looked up again. The index is a heap of ranks, since a new pair can rank lower than the merge that made it.
 
@@ -22,8 +22,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import tidy
+from .wordcache import PieceEncoder
 
 NONE = np.int32(2**31 - 1)
+# fixed value: the pattern of the byte-level vocabularies, none of whose matches goes on after a letter with what is none, or begins before a blank
+BLANKS_AND_LETTERS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -55,8 +58,8 @@ class Merges:
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[at] == key, self.values[at], NONE)
 
-    def replay(self, pieces: list[bytes]) -> list[list[int]]:
-        """The ids of each piece (no piece is empty)."""
+    def replay(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(the ids of all pieces one after another, how many each has); no piece is empty."""
         lengths = np.array([len(p) for p in pieces], np.int64)
         symbol = self.byte[np.frombuffer(b"".join(pieces), "u1")]
         n = len(symbol)
@@ -134,48 +137,82 @@ class Merges:
             if len(touched):
                 rank[touched] = self.rank(symbol[touched], symbol[after[touched]])
                 enter(touched)
-        ids = symbol[alive].tolist()
-        counts = np.bincount(piece[alive], minlength=len(pieces))
-        stops = np.cumsum(counts).tolist()
-        return [ids[b - c : b] for b, c in zip(stops, counts.tolist())]
+        return symbol[alive], np.bincount(piece[alive], minlength=len(pieces))
 
 
-class Codec:
-    """Texts <-> ids with a cache of pieces: each has its ids as text and its bytes as decoded from the ids."""
+class Strings:
+    """Byte strings by number, laid out in one array."""
 
-    LIMIT = 400_000
+    def __init__(self, strings: list[bytes]):
+        self.length = np.array([len(x) for x in strings], np.int64)
+        self.start = np.cumsum(self.length) - self.length
+        self.data = np.frombuffer(b"".join(strings), "u1")
 
-    def __init__(self, path: str, pattern: str):
+    def joined(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(the strings of the numbers one after another, the end of each)."""
+        n = self.length[numbers]
+        ends = np.cumsum(n)
+        return self.data[np.repeat(self.start[numbers] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)], ends
+
+
+class Codec(PieceEncoder):
+    """Texts <-> ids. The texts of one call are a corpus whose new pieces are replayed together."""
+
+    def __init__(self, path: str, pattern: str, limit: int = 800_000):
+        super().__init__(False, "<u2", limit)
         self.merges = Merges(load_ranks(path))
         self.find = regex.compile(pattern).findall
-        self.ids: dict[str, str] = {}
-        self.raw: dict[str, bytes] = {}
-
-    def learn(self, cut: list[list[str]]) -> None:
-        new = list({w for p in cut for w in p if w not in self.ids})
-        if len(new) + len(self.ids) > self.LIMIT:
-            self.ids.clear()
-            self.raw.clear()
-            new = list({w for p in cut for w in p})
-        if not new:
-            return
-        pieces = [w.encode() for w in new]
-        whole = self.merges.whole
-        known = [whole.get(p) for p in pieces]
-        rest = [p for p, k in zip(pieces, known) if k is None]
-        replayed = iter(self.merges.replay(rest) if rest else ())
-        token = self.merges.token
-        for w, k in zip(new, known):
-            ids = [k] if k is not None else next(replayed)
-            self.ids[w] = ",".join(map(str, ids))
-            self.raw[w] = b"".join([token[i] for i in ids])
-
-    def texts(self, texts: list[str | None]) -> Iterator[tuple[str, bytes]]:
-        """(ids as decimal text joined by commas, bytes decoded from the ids) of each text; null is the empty text."""
-        cut = [self.find(t) if t else [] for t in texts]
-        self.learn(cut)
-        for p in cut:
-            yield ",".join(map(self.ids.__getitem__, p)), b"".join(map(self.raw.__getitem__, p))
+        # pieces may be cut at blanks and after letters only where the pattern's matches end there
+        self.cuttable = pattern == BLANKS_AND_LETTERS
+        self.decimals = Strings([b"%d," % i for i in range(len(self.merges.token))])
+        self.tokens = Strings(self.merges.token)
+
+    def _match_ids(self, matches: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(the ids of all matches one after another, how many each has). A match that is a token is that token; the others are replayed."""
+        raw = [m.encode() for m in matches]
+        known = np.array([self.merges.whole.get(x, -1) for x in raw], np.int32)
+        rest = np.flatnonzero(known < 0)
+        counts = np.ones(len(raw), np.int64)
+        if not len(rest):
+            return known, counts
+        ids, counts[rest] = self.merges.replay([raw[i] for i in rest.tolist()])
+        first = np.cumsum(counts) - counts
+        out = np.empty(int(counts.sum()), np.int32)
+        out[first[known >= 0]] = known[known >= 0]
+        n = counts[rest]
+        out[np.repeat(first[rest] - (np.cumsum(n) - n), n) + np.arange(len(ids))] = ids
+        return out, counts
+
+    def _learn(self, h: np.ndarray, new: list[str]) -> None:
+        matches = [self.find(w) for w in new]
+        ids, counts = self._match_ids([m for p in matches for m in p])
+        of = np.repeat(np.arange(len(new)), [len(p) for p in matches])
+        self.table.add(h, np.bincount(of, counts, len(new)).astype(np.int64), ids.astype(self.dtype))
+
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [self._match_ids(m)[0].astype(self.dtype) if (m := self.find(t)) else np.empty(0, self.dtype) for t in texts]
+
+    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+        return super().encode(texts) if self.cuttable else [self._whole([t or ""])[0] for t in texts]
+
+    def texts(self, texts: list[str | None]) -> Iterator[tuple[int, bytes, bytes]]:
+        """(number of ids, the ids as decimal text joined by commas, the bytes decoded from them) of each text; null is the empty text."""
+        found = self.encode(texts)
+        at = 0
+        while at < len(found):
+            # a few megabytes at a time
+            stop, size = at, 0
+            while stop < len(found) and (stop == at or size + len(found[stop]) <= 500_000):
+                size += len(found[stop])
+                stop += 1
+            ids = np.concatenate(found[at:stop])
+            ends = np.cumsum([len(x) for x in found[at:stop]])
+            (ten, ten_ends), (raw, raw_ends) = self.decimals.joined(ids), self.tokens.joined(ids)
+            ten, raw = ten.tobytes(), raw.tobytes()
+            cuts = [np.concatenate([[0], np.concatenate([[0], e])[ends]]).tolist() for e in (ten_ends, raw_ends)]
+            for k, x in enumerate(found[at:stop]):
+                yield len(x), ten[cuts[0][k] : max(cuts[0][k], cuts[0][k + 1] - 1)], raw[cuts[1][k] : cuts[1][k + 1]]
+            at = stop
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join([self.merges.token[i] for i in ids])
@@ -211,7 +248,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for doc_ids, texts in _groups(batch, 3_000_000):
-                found = [np.array(t.split(","), np.int32) if t else np.empty(0, np.int32) for t, _ in codec(path, pattern).texts(texts)]
+                found = [x.astype(np.int32) for x in codec(path, pattern).encode(texts)]
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in found])])
                 ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(found)))
                 yield pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), ids], ["doc_id", "ids"])
@@ -239,7 +276,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for doc_ids, texts in _groups(batch):
-                out = [(ids.count(",") + 1 if ids else 0, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(raw).hexdigest()) for ids, raw in codec(path, pattern).texts(texts)]
+                out = [(n, hashlib.sha256(ids).hexdigest(), hashlib.sha256(raw).hexdigest()) for n, ids, raw in codec(path, pattern).texts(texts)]
                 n, a, b = zip(*out)
                 yield pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), pa.array(n, pa.int64()), pa.array(a), pa.array(b)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 

@@ -112,85 +112,54 @@ def _grown(a: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
-class Encoder:
-    """Encodes texts to ids of the given dtype ('<u2' or '<u4'), as the library does with add_special_tokens=False.
+class PieceEncoder:
+    """Encodes texts to ids of the given dtype through a table of pieces. A subclass encodes what is new: ``_learn`` pieces, ``_whole`` texts.
 
     words: the vocabulary drops white space and marks word ends (else it is byte-level and keeps a space with the word after it).
     limit: pieces kept; beyond that the table is emptied, so memory is bounded.
     """
 
-    def __init__(self, path: str, words: bool, dtype: str = "<u2", limit: int = 800_000):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+    #: finds the string of an added token in a lower-case text
+    special = None
 
-        self.tok = Tokenizer.from_file(path)
+    def __init__(self, words: bool, dtype: str, limit: int):
         self.words, self.dtype, self.limit = words, dtype, limit
-        size = self.tok.get_vocab_size()
-        if dtype == "<u2" and size > 65536:
-            raise ValueError("the vocabulary needs 32-bit ids")
-        self.added = [re.escape(x["content"].lower()) for x in json.loads(self.tok.to_str())["added_tokens"]]
-        self.special = re.compile("|".join(self.added)).search if self.added else None
-        # in a text of many new words: the ids that end a word, or the id that stands between two
-        self.stop = np.array([words and (self.tok.id_to_token(i) or "").endswith("</w>") for i in range(size)])
-        if not words:
-            (line,) = self.tok.encode("\n", add_special_tokens=False).ids
-            self.stop[line] = True
         self.table = WordTable(dtype)
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(x.ids, self.dtype) for x in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+        raise NotImplementedError
 
     def _learn(self, h: np.ndarray, new: list[str]) -> None:
-        """Encodes new pieces. Plain words are one pre-token each and go to the library's model; other words go to the library many in one
-        text, where their ids can be told apart; the rest goes to it piece by piece."""
-        plain, many, alone = [], [], []
-        for i, w in enumerate(new):
-            if _PLAIN(w):
-                plain.append(i)
-            elif not w.isalpha() if self.words else "\n" in w or w.isspace():
-                alone.append(i)
-            else:
-                many.append(i)
-        if plain:
-            model = self.tok.model.tokenize
-            # the byte-level form of a space
-            found = [[x.id for x in model(w if self.words else w.replace(" ", "Ġ"))] for w in (new[i] for i in plain)]
-            self.table.add(h[plain], np.array([len(x) for x in found]), np.array([x for f in found for x in f], self.dtype))
-        for at in range(0, len(many), 200):
-            part = many[at : at + 200]
-            text = (" " if self.words else "\n").join([new[i] for i in part]) + ("" if self.words else "\n")
-            ids = np.array(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
-            ends = np.flatnonzero(self.stop[ids])
-            if len(ends) != len(part):
-                raise ValueError("the vocabulary does not tell words apart")
-            if self.words:
-                self.table.add(h[part], np.diff(ends, prepend=-1), ids)
-            else:
-                self.table.add(h[part], np.diff(ends, prepend=-1) - 1, np.delete(ids, ends))
-        if alone:
-            found = self._whole([new[i] for i in alone])
-            self.table.add(h[alone], np.array([len(x) for x in found]), np.concatenate(found))
+        raise NotImplementedError
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        """The ids of each text; null is the empty text."""
+        """The ids of each text; null is the empty text. New pieces of all texts are learnt together."""
         out: list = [np.empty(0, self.dtype)] * len(texts)
         if len(self.table) > self.limit:
             self.table.clear()
+        cut: list[tuple] = []
         group: list[tuple[int, str, bytes]] = []
         size = 0
         for i, t in enumerate(texts):
             if not t:
                 continue
-            low = t.lower()
+            low = t.lower() if self.words or self.special else t
             if not SAFE(t) or self.special and self.special(low):
                 out[i] = self._whole([t])[0]
                 continue
             group.append((i, t, (low if self.words else t).encode()))
             size += len(group[-1][2])
             if size > GROUP:
-                self._group(group, out)
+                self._cut(group, cut, out)
                 group, size = [], 0
-        self._group(group, out)
+        self._cut(group, cut, out)
+        self._learn_new(cut)
+        for of, bounds, a, h, _ in cut:
+            ids, n = self.table.gather(self.table.find(h))
+            after = np.concatenate([[0], np.cumsum(n)])
+            places = after[np.searchsorted(a, bounds)].tolist()
+            for i, x, y in zip(of, places, places[1:]):
+                out[i] = ids[x:y]
         return out
 
     def _cuts(self, data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -211,7 +180,8 @@ class Encoder:
             a, b = a[keep], b[keep]
         return a, b
 
-    def _group(self, group: list[tuple[int, str, bytes]], out: list) -> None:
+    def _cut(self, group: list[tuple[int, str, bytes]], cut: list[tuple], out: list) -> None:
+        """Appends the texts' places, bounds, pieces' first bytes and hashes, and new pieces (by hash) of a group of texts."""
         if not group:
             return
         raw = b"".join([r for _, _, r in group])
@@ -225,24 +195,80 @@ class Encoder:
             far = set((np.searchsorted(ends, a[b - a > LONG], "right")).tolist())
             for k in far:
                 out[group[k][0]] = self._whole([group[k][1]])[0]
-            self._group([g for k, g in enumerate(group) if k not in far], out)
+            self._cut([g for k, g in enumerate(group) if k not in far], cut, out)
             return
         up, down = powers(len(data) + 1)
         run = np.zeros(len(data) + 1, np.uint64)
         np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:-1], out=run[1:])
         h = np.maximum(mix((run[b] - run[a]) * down[a] + (b - a).astype(np.uint64)), np.uint64(1))
-        entries = self.table.find(h)
-        absent = np.flatnonzero(entries < 0)
-        if len(absent):
-            keys, place = np.unique(h[absent], return_index=True)
-            place = absent[place]
-            self._learn(keys, [raw[x:y].decode() for x, y in zip(a[place].tolist(), b[place].tolist())])
-            entries[absent] = self.table.find(h[absent])
-        ids, n = self.table.gather(entries)
-        after = np.concatenate([[0], np.cumsum(n)])
-        cut = after[np.searchsorted(a, np.concatenate([begins, ends[-1:]]))].tolist()
-        for (i, _, _), x, y in zip(group, cut, cut[1:]):
-            out[i] = ids[x:y]
+        absent = np.flatnonzero(self.table.find(h) < 0)
+        keys, place = np.unique(h[absent], return_index=True)
+        place = absent[place]
+        new = [raw[x:y].decode() for x, y in zip(a[place].tolist(), b[place].tolist())]
+        cut.append(([i for i, _, _ in group], np.concatenate([begins, ends[-1:]]), a, h, (keys, new)))
+
+    def _learn_new(self, cut: list[tuple]) -> None:
+        keys = [c[4][0] for c in cut]
+        if not sum(map(len, keys)):
+            return
+        found, place = np.unique(np.concatenate(keys), return_index=True)
+        new = [w for c in cut for w in c[4][1]]
+        self._learn(found, [new[i] for i in place.tolist()])
+
+
+class Encoder(PieceEncoder):
+    """Encodes as the tokenizers library does with add_special_tokens=False."""
+
+    def __init__(self, path: str, words: bool, dtype: str = "<u2", limit: int = 800_000):
+        super().__init__(words, dtype, limit)
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tok = Tokenizer.from_file(path)
+        size = self.tok.get_vocab_size()
+        if dtype == "<u2" and size > 65536:
+            raise ValueError("the vocabulary needs 32-bit ids")
+        added = [re.escape(x["content"].lower()) for x in json.loads(self.tok.to_str())["added_tokens"]]
+        self.special = re.compile("|".join(added)).search if added else None
+        # in a text of many new words: the ids that end a word, or the id that stands between two
+        self.stop = np.array([words and (self.tok.id_to_token(i) or "").endswith("</w>") for i in range(size)])
+        if not words:
+            (line,) = self.tok.encode("\n", add_special_tokens=False).ids
+            self.stop[line] = True
+
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(x.ids, self.dtype) for x in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, h: np.ndarray, new: list[str]) -> None:
+        """Encodes new pieces. Plain words are one pre-token each and go to the library's model; other words go to the library many in one
+        text, where their ids can be told apart; the rest goes to it piece by piece."""
+        plain, many, alone = [], [], []
+        for i, w in enumerate(new):
+            if _PLAIN(w):
+                plain.append(i)
+            elif not w.isalpha() if self.words else "\n" in w or w.isspace():
+                alone.append(i)
+            else:
+                many.append(i)
+        if plain:
+            model = self.tok.model.tokenize
+            # the byte-level form of a space
+            found = [[x.id for x in model(w if self.words else w.replace(" ", "Ġ"))] for w in (new[i] for i in plain)]
+            self.table.add(h[plain], np.array([len(x) for x in found]), np.array([x for f in found for x in f], self.dtype))
+        for at in range(0, len(many), 200):
+            part = many[at : at + 200]
+            text = (" " if self.words else "\n").join([new[i] for i in part]) + ("" if self.words else "\n")
+            ids = np.array(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
+            ends = np.flatnonzero(self.stop[ids])
+            if len(ends) != len(part):
+                raise ValueError("the vocabulary does not tell words apart")
+            if self.words:
+                self.table.add(h[part], np.diff(ends, prepend=-1), ids)
+            else:
+                self.table.add(h[part], np.diff(ends, prepend=-1) - 1, np.delete(ids, ends))
+        if alone:
+            found = self._whole([new[i] for i in alone])
+            self.table.add(h[alone], np.array([len(x) for x in found]), np.concatenate(found))
 
 
 _encoders: dict[tuple[str, bool, str], Encoder] = {}

@@ -143,12 +143,18 @@ def test_replay_equals_library(tik):
     @settings(max_examples=150, deadline=None)
     @given(st.lists(st.text(st.sampled_from("abcethrn %\n漢é😀'"), max_size=120), max_size=6))
     def check(texts):
-        for t, (ids, raw) in zip(texts, codec.texts(texts)):
-            assert ids == ",".join(map(str, tik.encode_ordinary(t))) and raw == t.encode()
+        for t, (n, ids, raw) in zip(texts, codec.texts(texts)):
+            want = tik.encode_ordinary(t)
+            assert n == len(want) and ids.decode() == ",".join(map(str, want)) and raw == t.encode()
 
     check()
-    for t in ("a" * 999, "ab" * 300, "%" * 50 + "=" * 33, " " * 300 + "x"):
-        assert next(codec.texts([t]))[0] == ",".join(map(str, tik.encode_ordinary(t)))
+    hard = ["a" * 999, "ab" * 300, "%" * 50 + "=" * 33, " " * 300 + "x", "don't 'tis\t\nx  \n", "café, 1st ²×÷ª."]
+    assert [x[1].decode() for x in codec.texts(hard)] == [",".join(map(str, tik.encode_ordinary(t))) for t in hard]
+    # another pattern, which says nothing about where texts may be cut: whole texts
+    other = r"\w+ \w+|\s+|."
+    lib = tiktoken.Encoding("o", pat_str=other, mergeable_ranks=bpe.load_ranks(P.path("byte_bpe_multi_50k.tiktoken")), special_tokens={})
+    texts = ["some more words here. and", "", "a b c d"]
+    assert [x.tolist() for x in bpe.Codec(P.path("byte_bpe_multi_50k.tiktoken"), other).encode(texts)] == [lib.encode_ordinary(t) for t in texts]
 
 
 def test_replay_lower_rank_after_merge():
@@ -157,7 +163,7 @@ def test_replay_lower_rank_after_merge():
     m = bpe.Merges(ranks)
     lib = tiktoken.Encoding("x", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
     for t in ("abcab", "ababc", "abab", "aabcabab", "abaabcab"):
-        assert m.replay([t.encode()])[0] == lib.encode_ordinary(t), t
+        assert m.replay([t.encode()])[0].tolist() == lib.encode_ordinary(t), t
 
 
 def test_bpe_edges(spark, edge, tik):
