@@ -193,14 +193,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows_ = written(signed(docs, id_col, text_col, size, bands, rows), "signed")
     member = rows_.where(F.col("print").isNotNull() & F.col("doc_id").isNotNull())
     # what is joined back is written first: with an exchange on both sides a join can split a frequent key
-    nodes = written(member.groupBy("print").agg(F.min("doc_id").alias("node")), "nodes")
+    nodes = written(member.groupBy("print").agg(F.min("doc_id").alias("node")), "nodes", few=True)
     members = written(member.select("doc_id", "print").join(nodes, "print").select("doc_id", "node"), "members")
     # a node stands in for its copies
     heads = members.where("doc_id = node").select("node").distinct()
     banded = member.select(F.col("doc_id").alias("node"), "bands").join(heads, "node", "left_semi")
     buckets = banded.select("node", F.posexplode("bands").alias("k", "v")).select("node", F.xxhash64("k", "v").alias("bucket"))
     hubs = buckets.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub < last").select("bucket", "hub")
-    hubs = written(hubs, "hubs")
+    hubs = written(hubs, "hubs", few=True)
     groups = components(buckets.join(hubs, "bucket"), "node", "hub").withColumnRenamed("component", "grp")
     # rows that repeat an id: one of them stands for the node's size
     weighed = member.groupBy(F.col("doc_id").alias("node")).agg(F.max("total").alias("total"), F.max("bytes").alias("bytes"))
@@ -209,7 +209,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # linked multisets differ in size by 1 / threshold at most, i.e. by one class: in a group of many blocks only neighbouring classes meet
     kind = F.floor(F.log("total") / -math.log(0.999 * threshold)) if threshold > 0 else F.lit(0)
     groups = groups.join(whole, "grp").withColumn("kind", F.when((F.col("n") > block) | (F.col("all") > BYTES), kind).otherwise(0).cast("int")).drop("n", "all")
-    sizes = written(groups.groupBy("grp", "kind").agg(F.ceil(F.greatest(F.count("*") / block, F.sum("bytes") / BYTES, F.lit(1.0))).cast("int").alias("blocks")), "blocksizes")
+    sizes = written(groups.groupBy("grp", "kind").agg(F.ceil(F.greatest(F.count("*") / block, F.sum("bytes") / BYTES, F.lit(1.0))).cast("int").alias("blocks")), "blocksizes", few=True)
     groups = groups.join(sizes, ["grp", "kind"]).withColumn("b", F.pmod(F.hash("node"), "blocks"))
     texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).cast("string").alias("text"))
     # the groups grow with the corpus: no size at which they would be broadcast
@@ -239,7 +239,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     classes = components(tiles.mapInArrow(tidy(run), "a long, b long"))
     placed = members.join(classes, "node", "left").select("doc_id", "node", F.coalesce("component", "node").alias("class_id"))
-    sizes = written(placed.groupBy("class_id").agg(F.countDistinct("node").alias("n_distinct")), "sizes")
+    sizes = written(placed.groupBy("class_id").agg(F.countDistinct("node").alias("n_distinct")), "sizes", few=True)
     placed = placed.join(sizes, "class_id").select("doc_id", "class_id", "n_distinct")
     alone = rows_.where(F.col("print").isNull() | F.col("doc_id").isNull()).select("doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("n_distinct"))
     return placed.unionByName(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)))

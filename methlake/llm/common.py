@@ -31,9 +31,14 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df, written as Parquet in the shared folder and reread: lineage ends here and survives lost executors."""
+def written(df: DataFrame, name: str, few: bool = False) -> DataFrame:
+    """df, written as Parquet in the shared folder and reread: lineage ends here and survives lost executors.
+
+    few: for counts and edges, which are small beside what they are made of: a quarter as many files as the shuffles have partitions.
+    """
     spark = df.sparkSession
+    if few:
+        df = df.coalesce(max(48, partitions(spark) // 4))
     path = new_path(spark, name)
     schema = df.schema
     df.write.option("compression", "zstd").parquet(path)

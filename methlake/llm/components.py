@@ -30,7 +30,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
         .where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("u") != F.col("v")))
         .distinct()
     )
-    e = written(e, "edges")  # u < v
+    e = written(e, "edges", few=True)  # u < v
     state = None
     for _ in range(max_rounds):
         both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -42,7 +42,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
         small = down.join(least, "u").select(F.col("v").alias("x"), F.col("m").alias("y"))
         small = small.unionByName(least.select(F.col("u").alias("x"), F.col("m").alias("y")))
         e = small.where(F.col("x") != F.col("y")).select(F.col("y").alias("u"), F.col("x").alias("v")).distinct()
-        before, e = e, written(e, "edges")
+        before, e = e, written(e, "edges", few=True)
         discard(before)
         now = e.agg(F.count("*"), F.sum(F.hash("u", "v").cast("long")), F.sum(F.xxhash64("v", "u") % 1000003)).first()
         if now == state:

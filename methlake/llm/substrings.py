@@ -144,7 +144,7 @@ def _halved(crowded: DataFrame, contexts: Callable[[DataFrame], DataFrame], leng
     key = ["x", "off", "d"]
     digests = digests.withColumn("off", F.expr("a - lo"))
     # every count is written: a join with it has an exchange on both sides, and adaptive execution can split what one passage brings
-    groups = written(digests.groupBy(*key).agg(F.count("*").alias("n"), F.min(F.struct("text_id", "a", "lo", "hi")).alias("r")), "alike")
+    groups = written(digests.groupBy(*key).agg(F.count("*").alias("n"), F.min(F.struct("text_id", "a", "lo", "hi")).alias("r")), "alike", few=True)
     same = groups.where("n > 1").select(*key)
     done = written(digests.join(same, key, "left_semi").select("text_id", F.col("lo").alias("b"), (F.col("hi") + length).alias("e")), "spans")
     size = 1
@@ -161,24 +161,26 @@ def _halved(crowded: DataFrame, contexts: Callable[[DataFrame], DataFrame], leng
         union = F.when(whole, F.expr(f"md5(substring(bytes, cast(a - b - {size - 1} - lo + 1 as int), {length - 1 + size}))"))
         t = written(nodes.withColumn("core", core).withColumn("whole", union), "halves")
         discard(*stale)
-        cores = written(t.groupBy("x", "b", "core").agg(F.count("*").alias("n")).where("n > 1").select("x", "b", "core"), "cores")
+        # counts of the bytes that all strings of a half share, and of all that it covers; of halves with one whole the keeper stays as the other place of what remains
+        both = F.array(F.struct(F.lit(0).alias("kind"), F.col("core").alias("d")), F.struct(F.lit(1).alias("kind"), F.col("whole").alias("d")))
+        counts = t.select("x", "b", "text_id", "lo", F.explode(both).alias("k")).where("k.d is not null").groupBy("x", "b", "k.kind", "k.d")
+        counts = written(counts.agg(F.count("*").alias("n"), F.min(F.struct("text_id", "lo")).alias("keeper")).where("n > 1").drop("n"), "counts", few=True)
+        cores = counts.where("kind = 0").select("x", "b", F.col("d").alias("core"))
+        wholes = counts.where("kind = 1").select("x", "b", F.col("d").alias("whole"), "keeper")
         live = t.join(cores, ["x", "b", "core"], "left_semi")
         span = F.struct(F.greatest(first, "lo").alias("b"), (F.least(last, "hi") + length).alias("e"))
         if size == 1:
             done = done.unionByName(written(live.select("text_id", span.alias("s")).select("text_id", "s.*"), "spans"))
-            discard(t, cores)
+            discard(t, counts)
             return done
-        # of halves with the same bytes one, the keeper, stays as the other place of what remains
-        least = F.min(F.struct("text_id", "lo")).alias("keeper")
-        unions = written(t.where("whole is not null").groupBy("x", "b", "whole").agg(F.count("*").alias("n"), least).where("n > 1").drop("n"), "unions")
-        live = live.join(unions, ["x", "b", "whole"], "left").withColumn("s", F.when(F.col("keeper").isNotNull(), span))
+        live = live.join(wholes, ["x", "b", "whole"], "left").withColumn("s", F.when(F.col("keeper").isNotNull(), span))
         goes_on = F.col("keeper").isNull() | (F.col("keeper") == F.struct("text_id", "lo"))
         live = written(live.select("text_id", "x", "a", "lo", "hi", "b", "s", F.when(goes_on, F.col("bytes")).alias("bytes")), "live")
-        done = done.unionByName(written(live.where("s is not null").select("text_id", "s.*"), "spans"))
+        done = done.unionByName(live.where("s is not null").select("text_id", "s.*"))
         left = live.where("bytes is not null")
         nodes = left.select("text_id", "x", "a", "lo", "hi", "bytes", F.explode(F.array(F.col("b"), F.col("b") + size // 2)).alias("b"))
-        discard(t, cores, unions)
-        stale = [live]
+        discard(t, counts)
+        stale = []
         size //= 2
         nodes = nodes.where(F.expr(f"a - b >= lo and a - b - {size - 1} <= hi"))
 
@@ -203,7 +205,7 @@ def repeated_strings(docs: DataFrame, text_col: str = "text", length: int = LENG
     spark.sql(f"drop table {name}")  # the entry only: an external table's files stay, and texts knows them
     runs = written(_runs(texts, length, gram), "runs")
     # the counts are written, so that the join has an exchange on both sides and a crowded anchor can be split
-    counts = written(runs.groupBy("x").agg(F.count("*").alias("n")).where("n > 1"), "anchors")
+    counts = written(runs.groupBy("x").agg(F.count("*").alias("n")).where("n > 1"), "anchors", few=True)
     shared = written(runs.join(counts, "x"), "shared")
 
     def contexts(chosen: DataFrame) -> DataFrame:
