@@ -38,12 +38,12 @@ def lengths(chunks: DataFrame, width: int = WIDTH) -> DataFrame:
     return chunks.groupBy("chrom").agg(F.max(F.col("start") + own).alias("len"))
 
 
-def cpg_intervals(chunks: DataFrame, width: int = WIDTH) -> DataFrame:
-    """Every CG as [start, start+2)."""
-    raw = F.col("seq").cast("binary")
-    places = F.filter(F.sequence(F.lit(1), F.greatest(F.least(F.length("seq") - 1, F.lit(width)), F.lit(1))), lambda i: F.substring(raw, i, F.lit(2)) == F.lit(b"CG"))
-    found = chunks.select("chrom", "start", F.explode(places).alias("i"))
-    return found.select("chrom", (F.col("start") + F.col("i") - 1).alias("start"), (F.col("start") + F.col("i") + 1).alias("stop"))
+def cpg_intervals(chunks: DataFrame) -> DataFrame:
+    """Every CG as [start, start+2): the prefix sums of the lengths between them, chunk by chunk."""
+    places = F.expr("""aggregate(slice(gaps, 1, size(gaps) - 1), named_struct('at', start, 'out', cast(array() as array<bigint>)),
+        (s, n) -> named_struct('at', s.at + n + 2, 'out', concat(s.out, array(s.at + n))), s -> s.out)""")
+    found = chunks.select("chrom", "start", F.transform(F.split("seq", "CG"), F.length).alias("gaps")).select("chrom", F.explode(places).alias("start"))
+    return found.withColumn("stop", F.col("start") + 2)
 
 
 def reference_base(sites: DataFrame, chunks: DataFrame, width: int = WIDTH) -> DataFrame:
