@@ -16,7 +16,6 @@ from methlake.operators import cpg as C
 from methlake.operators import intervals as I
 from methlake.operators import manifest as M
 from methlake.operators import qc as Q
-from methlake.operators import reads as R
 from methlake.operators import stats as T
 from methlake.plans.cpg_queries import CHROM, FRAC, FUNNEL, HOST, MAD, MEANS, QC, SUMMARY, q6, rounded
 from methlake.plans.registry import query
@@ -26,7 +25,12 @@ from methlake.sources import sinks as OUT
 
 def place(spark: SparkSession) -> str:
     """A fresh path in the session's checkpoint folder, or in a temporary one of a local session without it."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.mkdtemp(prefix="methlake-")
+    sc = spark.sparkContext
+    base = sc.getConf().get("spark.checkpoint.dir")
+    if base is None:
+        if not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="methlake-")
     return f"{base}/io-{uuid.uuid4().hex}"
 
 
