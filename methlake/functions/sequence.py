@@ -40,13 +40,6 @@ def folded_distance(a, b, bisulfite: bool) -> Column:
     return F.coalesce(hamming(F.substring(x, F.lit(1), n), F.substring(y, F.lit(1), n)), F.lit(0)) + F.abs(F.length(x) - F.length(y))
 
 
-def anchor_distance(x, start: int, anchor: str, bisulfite: bool) -> Column:
-    """Mismatches of a fixed anchor with the bases from a 0-based start on after folding, null where x is too short. One comparison per base, in generated code."""
-    s = folded(F.substring(_c(x), start + 1, len(anchor)), bisulfite)
-    want = anchor.replace("G", "A") if bisulfite else anchor
-    return F.when(F.length(s) == len(anchor), reduce(lambda a, b: a + b, [(F.substring(s, i + 1, 1) != w).cast("int") for i, w in enumerate(want)]))
-
-
 def reverse_complement(x) -> Column:
     return F.translate(F.reverse(_c(x)), "ACGTacgt", "TGCAtgca")
 

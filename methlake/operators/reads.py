@@ -62,7 +62,7 @@ def plate_demux(reads: DataFrame, barcodes: DataFrame, bisulfite: bool = True, l
 
     The anchor is looked for behind the barcode at its place, one before and one after (two mismatches at most after folding); the first of these whose barcode is
     unique and which leaves bases after the gap decides. Other reads get the nearest alignment of the anchor (three edits at most) in their
-    first 60 bases. An ambiguous barcode in any attempt makes an unassigned read ambiguous.
+    first 60 bases. An ambiguous barcode in any attempt makes an unassigned read ambiguous; a null read is unmatched.
     """
     n = len(PLATE_ANCHOR)
     tries = [(length, 0, length), (length - 1, 0, length - 1), (length + 1, 1, length + 1)]
@@ -77,8 +77,9 @@ def plate_demux(reads: DataFrame, barcodes: DataFrame, bisulfite: bool = True, l
         return j.select(*df.columns, hit.alias(f"hit{k}"), F.coalesce("__amb", F.lit(False)).alias(f"amb{k}"))
 
     long = F.length("seq") >= SHORTEST
+    out = out.withColumn("d", anchor_distances(F.col("seq"), [at for at, _, _ in tries], PLATE_ANCHOR, bisulfite))
     for k, (at, b, e) in enumerate(tries):
-        near = long & (S.anchor_distance("seq", at, PLATE_ANCHOR, bisulfite) <= 2)
+        near = long & (F.col(f"d.p{k}") <= 2)
         out = looked_up(out, k, F.when(near, F.substring("seq", b + 1, e - b)), F.lit(at + n + GAP))
     # the alignment sees only what is still undecided: it gets null for the rest
     out = out.withColumn("al", anchor_alignment(F.when(long & F.coalesce("hit0", "hit1", "hit2").isNull(), F.substring("seq", 1, 60)), bisulfite))
@@ -100,6 +101,26 @@ def _padded(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     return np.where(at < offsets[1:, None], data[np.minimum(at, len(data) - 1)] if len(data) else 0, 0).astype("u1"), np.diff(offsets)
 
 
+def anchor_distances(column: Column, places: list[int], anchor: str, bisulfite: bool) -> Column:
+    """p0, p1, ...: mismatches of a fixed anchor with the bases from each 0-based place on after folding, null where the read is too short. All places of a batch are compared as one array."""
+    n = len(anchor)
+    want = np.frombuffer(anchor.replace("G", "A").encode() if bisulfite else anchor.encode(), "u1")
+    fold = np.arange(256, dtype=np.uint8)
+    if bisulfite:
+        fold[[ord("G"), ord("g")]] = ord("A")
+    else:
+        fold[ord("a") : ord("z") + 1] -= 32
+
+    @arrow_udf(", ".join(f"p{k} int" for k in range(len(places))))
+    def run(texts: pa.Array) -> pa.Array:
+        data, length = _padded(texts, max(places) + n)
+        data = fold[data]
+        found = [pa.array((data[:, p : p + n] != want).sum(1).astype(np.int32), mask=length < p + n) for p in places]
+        return pa.StructArray.from_arrays(found, [f"p{k}" for k in range(len(places))])
+
+    return run(column)
+
+
 def align(texts: pa.Array, anchor: str = PLATE_ANCHOR, bisulfite: bool = True, most: int = 3, width: int = 60) -> pa.StructArray:
     """Best alignment (start, stop, edits) of anchor anywhere in each text, the earliest end among equals; null beyond ``most`` edits.
 

@@ -124,6 +124,7 @@ def test_plate_layouts(spark):
     ])
     assert got == [("dna_assigned", b, 36), ("dna_assigned", b, 35), ("dna_assigned", b, 37), ("dna_assigned", b, 36), ("unmatched", None, None), ("dna_assigned", b, 39), ("unmatched", None, None), ("dna_assigned", b, 36), ("short", None, None), ("unmatched", None, None), ("unmatched", None, None), ("dna_assigned", b, 36)]
     assert plate(spark, [b + "AGATATATATAAAAAACAA" + tail], bisulfite=False)[0][0] == "unmatched"
+    assert plate(spark, [b + ANCHOR.lower() + tail, None, ""], bisulfite=False) == [("dna_assigned", b, 36), ("unmatched", None, None), ("short", None, None)]
 
 
 def test_ambiguous_barcodes(spark):
