@@ -41,7 +41,8 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     kept = bagminhash.near_duplicates(docs).where("kept and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("__rows"))
     kept = written(kept, "kept")
-    rows = docs.join(kept, "doc_id")
+    # the ids grow with the corpus: no size at which they would be broadcast
+    rows = docs.join(kept.hint("merge"), "doc_id")
     found = _columns(rows, docs)
     if not kept.where("__rows > 1").isEmpty():
         row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
