@@ -235,6 +235,13 @@ def _(cpg, pairs):
     return Q.filter_reasons(rounded(Q.qc_table(cpg, pairs)), mapping_min=98.0, **LIMITS)
 
 
+#: the report of all cells that jobs make
+CELL_REPORT = f"""with r as ({_reasons(True).replace('with q as', 'with rq as').replace('from q', 'from rq')}), q as ({QC}),
+    j as (select q.*, r.failed_criteria, r.reasons, r.hq, c.protocol, c.project_sample_id from q join r on q.sample_id = r.sample_id join cells c on c.sample_id = q.sample_id)
+    select sample_id, clone_id, plate_id, cast(unique_cpg_sites as bigint) unique_cpg_sites, {', '.join(q6(c) + f' {c}' for c in ('cpg_rate_pct', 'lambda_rate_pct', 'puc19_rate_pct', 'gini', 'native_mapping_pct', 'final_yield_pct'))},
+    failed_criteria, reasons, hq, count(*) over (partition by clone_id) clone_cells, count(case when hq then 1 end) over (partition by clone_id) clone_passing, protocol, project_sample_id from j"""
+
+
 @query("F4_stratified_rank", "cells", """select sample_id, clone_id, rank from (select sample_id, clone_id, cast(row_number() over (partition by clone_id order by sha256('[7, "' || sample_id || '"]'), sample_id) as int) rank, count(*) over (partition by clone_id) n from cells) x
     where rank <= case when n < 3 then n else least(100, ceil(n * 0.5)) end""")
 def _(cells):
