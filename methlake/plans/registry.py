@@ -24,4 +24,4 @@ def query(name: str, shims: str, sql: str | None):
     return register
 
 
-from methlake.plans import cpg_queries, io_queries, manifest_queries, read_queries, scalar_queries, sequence_queries  # noqa: E402, F401
+from methlake.plans import container_queries, cpg_queries, io_queries, manifest_queries, read_queries, scalar_queries, sequence_queries  # noqa: E402, F401
