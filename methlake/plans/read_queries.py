@@ -489,28 +489,53 @@ def _streams():
     ORACLE_SQL["K2_log_states"] = ORACLE_SQL["K1_log_events"]
 
     def tailed(spark, sf_dir):
-        """A log that grows by thirds (the second ends inside a line), is then replaced by a shorter one, and grows again."""
+        """Log files of half of the events are followed, then those of the others come."""
+        from methlake.sources import logs
+
         folder = place(spark)
-        fs, _ = T._fs(spark, folder)
-
-        def put(text: str) -> None:
-            out = fs.create(T._fs(spark, f"{folder}/logs/a.log")[1], True)
-            out.write(bytearray(text.encode()))
-            out.close()
-
-        rows = [r.value for r in spark.read.parquet(f"{sf_dir}/region.parquet").crossJoin(spark.read.parquet(f"{sf_dir}/nation.parquet")).orderBy("r_regionkey", "n_nationkey").selectExpr("concat(r_name, ' é ', n_name) value").collect()]
-        text, found = "".join(x + "\n" for x in rows), []
-        a, b = len(text) // 3, text.index("\n", 2 * len(text) // 3) + 1
-        for call, part in enumerate((text[:a], text[:b], text, text, "new\nstart", "new\nstart here\n")):
-            put(part)
-            found.append(T.tail_logs(spark, f"{folder}/logs", f"{folder}/state").select(F.lit(call).alias("call"), "place", "line"))
-        out = found[0]
-        for x in found[1:]:
-            out = out.unionByName(x)
-        return out.groupBy("line").agg(F.count("*").alias("times"))
+        for half in range(2):
+            spark.read.parquet(f"{sf_dir}/events.parquet").where(f"event_id % 2 = {half}").selectExpr(f"{LOG} value").write.mode("append").text(f"{folder}/logs")
+            lines = logs.follow(spark, f"{folder}/logs", "*.txt").writeStream.format("parquet").option("path", f"{folder}/lines").option("checkpointLocation", f"{folder}/checkpoint")
+            lines.trigger(availableNow=True).start().awaitTermination()
+        return spark.read.parquet(f"{folder}/lines").groupBy("line").agg(F.count("*").alias("times"))
 
     QUERIES["K1_log_tail"] = tailed
-    ORACLE_SQL["K1_log_tail"] = "select r_name || ' é ' || n_name line, 1::bigint times from region, nation union all values ('new', 1), ('start here', 1)"
+    ORACLE_SQL["K1_log_tail"] = f"select {LOG} line, count(*) times from events group by 1"
+
+    #: a run's log with all forms of events
+    STEP = "cast(cast(floor(event_id / 8.0) as bigint) % 5 + 1 as string)"
+    FORMS = [
+        f"concat('Step ', {STEP}, '/5 START: phase ', cast(event_id as string))", f"concat('[t] INFO Step ', {STEP}, '/5 OK: fine (', cast(event_id % 90 as string), 's)')", "concat('[x route] r', cast(event_id % 3 as string), ' passed')",
+        "concat('Job ', cast(event_id % 20 as string), ' has been submitted with SLURM jobid ', cast(event_id as string))", "concat('Finished jobid: ', cast(event_id % 20 as string))",
+        "concat('[t] WARNING disk ', cast(event_id % 130 as string))", "concat(cast(event_id as string), ' of 1000000 steps (1%)')", "concat('ERROR: bad ', cast(event_id as string))"]
+    LINE = "case event_id % 8 " + " ".join(f"when {k} then {f}" for k, f in enumerate(FORMS)) + " end"
+
+    def viewed(spark, sf_dir):
+        """The runs' logs come in two parts; the second call goes on from the first one's state."""
+        from methlake.streaming import views as V
+
+        folder = place(spark)
+        rows = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr("concat('r', cast(user_id % 10 as string)) run", "event_id place", f"{LINE} line")
+        for half in range(2):
+            rows.where(f"place % 2 = {half}").write.mode("append").parquet(f"{folder}/in")
+            found = V.views_so_far(V.view_events(stream(spark, f"{folder}/in", "run string, place long, line string", per_trigger=1000)), f"{folder}/views", f"{folder}/checkpoint")
+        return found.drop("stalled")
+
+    from methlake.streaming.incremental import stream
+
+    QUERIES["K2_run_views"] = viewed
+    ORACLE_SQL["K2_run_views"] = f"""
+        with e as (select 'r' || cast(user_id % 10 as string) run, event_id w, event_id % 8 k, {STEP} step, {LINE} line from events),
+        t as (select *, case when k in (1, 5) then regexp_replace(line, '^.t. (INFO|WARNING) ', '') else line end text from e),
+        heads as (select run, count(*) lines, max(w) last, coalesce(max_by(cast(step as int), case when k = 0 then w end), 0) stage, case when count(case when k = 0 then 1 end) > 0 then 5 else 0 end total,
+            coalesce(max_by('phase ' || cast(w as string), case when k = 0 then w end), '') phase, coalesce(max_by(cast(w as string) || '/1000000', case when k = 6 then w end), '') progress, coalesce(max_by(text, case when k = 7 then w end), '') failure from t group by run),
+        stages as (select run, count(*) stages_done, cast(sum(w % 90) as bigint) sec from (select run, step, max(w) w, max_by(k, w) k from t where k < 2 group by run, step) x where k = 1 group by run),
+        routes as (select run, string_agg(r || '=passed', ',' order by r) routes from (select distinct run, 'r' || cast(w % 3 as string) r from t where k = 2) x group by run),
+        jobs as (select run, count(*) open_jobs from (select run, w % 20 job, max_by(k, w) k from t where k in (3, 4) group by 1, 2) x where k = 3 group by run),
+        warned as (select run, count(*) warning_kinds, cast(sum(n) as bigint) warnings from (select run, text, count(*) n, row_number() over (partition by run order by min(w)) r from t where k = 5 group by run, text) x where r <= 100 group by run),
+        recent as (select run, string_agg(text, chr(10) order by w) recent from (select run, text, w from t qualify row_number() over (partition by run order by w desc) <= 100) x group by run)
+        select h.*, cast(coalesce(stages_done, 0) as int) stages_done, coalesce(sec, 0) as seconds, coalesce(routes, '') routes, cast(coalesce(open_jobs, 0) as int) open_jobs, cast(coalesce(warning_kinds, 0) as int) warning_kinds, coalesce(warnings, 0) warnings, coalesce(recent, '') recent
+        from heads h left join stages using (run) left join routes using (run) left join jobs using (run) left join warned using (run) left join recent using (run)"""
     QUERIES["K_windowed_events"] = windows
     ORACLE_SQL["K_windowed_events"] = "select date_trunc('hour', ts) \"start\", event_type, count(*) n, cast(count(*) as double) \"value\" from events group by 1, 2"
 

@@ -1,4 +1,4 @@
-"""Incremental processing: counts of new sequencing batches, an event log, and (beyond the reference's scope) windowed events."""
+"""Incremental processing: counts of new sequencing batches, an event log (log files themselves are followed by ``sources.logs``, and runs viewed by ``views``), and (beyond the reference's scope) windowed events."""
 
 from __future__ import annotations
 
@@ -36,44 +36,6 @@ def totals_so_far(cpg: DataFrame, path: str, checkpoint: str) -> DataFrame:
     return parts.groupBy("sample_id", "chrom").agg(*[F.sum(c).alias(c) for c in ("rows", "methyl", "unmethyl")])
 
 
-def tail_logs(spark: SparkSession, folder: str, state: str, pattern: str = "*.log") -> DataFrame:
-    """file, line of what has been appended to the log files of a folder since the last call with the same state folder.
-
-    A file's offset is the end of its last whole line: a line that breaks off waits for its end. A file that is shorter than its offset was cut or replaced and is read from
-    its start. Offsets and lines of a call are written together under one number, and count once they are there.
-    """
-    import uuid
-
-    fs, root = _fs(spark, state)
-    done = sorted(int(f.getPath().getName().split("-")[1]) for f in fs.listStatus(root) if f.getPath().getName().startswith("call-")) if fs.exists(root) else []
-    files = spark.read.format("binaryFile").options(pathGlobFilter=pattern, recursiveFileLookup=True).load(folder).select(F.col("path").alias("file"), "content", "length")
-    if done:
-        known = spark.read.schema("file string, offset long").parquet(f"{state}/call-{done[-1]}/offsets")
-        files = files.join(known, "file", "left")
-    else:
-        files = files.withColumn("offset", F.lit(0).cast("long"))
-    start = F.when(F.col("offset") <= F.col("length"), F.col("offset")).otherwise(0)
-    rest = F.expr("substring(content, cast(start + 1 as int), cast(length - start as int))")
-    # the bytes up to and with the last line feed
-    grown = files.withColumn("start", F.coalesce(start, F.lit(0))).withColumn("rest", F.decode(rest, "ISO-8859-1"))
-    grown = grown.withColumn("whole", F.length("rest") - F.coalesce(F.nullif(F.locate("\n", F.reverse("rest")), F.lit(0)) - 1, F.length("rest")))
-    number = done[-1] + 1 if done else 0
-    staged = f"{state}/staged-{uuid.uuid4().hex}"
-    text = F.decode(F.encode(F.substring("rest", F.lit(1), F.col("whole").cast("int")), "ISO-8859-1"), "UTF-8")
-    lines = grown.where("whole > 0").select("file", F.posexplode(F.split(text, "\n")).alias("place", "line"), F.size(F.split(text, "\n")).alias("n")).where("place < n - 1")
-    lines.select("file", "place", F.regexp_replace("line", "\r$", "").alias("line")).write.parquet(f"{staged}/lines")
-    grown.select("file", (F.col("start") + F.col("whole")).cast("long").alias("offset")).write.parquet(f"{staged}/offsets")
-    target = f"{state}/call-{number}"
-    if not fs.rename(_fs(spark, staged)[1], _fs(spark, target)[1]):
-        raise OSError(f"could not keep {target}")
-    return spark.read.schema("file string, place int, line string").parquet(f"{target}/lines").select("file", "place", "line")
-
-
-def _fs(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
-
-
 def states_so_far(lines: DataFrame, path: str, checkpoint: str) -> DataFrame:
     """Latest state and number of warnings by job of a stream of log lines: each batch's states are written in a partition of their own, the latest of them is the state."""
 

@@ -183,19 +183,3 @@ def test_incremental_counts(spark, tmp_path):
     assert T.cell_totals(spark.read.parquet(f"{tmp_path}/out")).first().rows == 2
     log = spark.createDataFrame([("[1] rule a: started",), ("noise",), ("[2] rule a: done",)], "value string")
     assert tuple(T.latest_states(T.log_events(log)).first()) == ("a", "done", 0)
-
-
-def test_log_tail(spark, tmp_path):
-    log, state = tmp_path / "logs" / "a.log", f"{tmp_path}/state"
-    call = lambda: [r.line for r in T.tail_logs(spark, f"{tmp_path}/logs", state).orderBy("file", "place").collect()]
-    put(log, "one\ntwo é\nthr")
-    assert call() == ["one", "two é"] and call() == []
-    put(log, "one\ntwo é\nthree\r\n\nfive\n")
-    assert call() == ["three", "", "five"]
-    put(log, "new\n")
-    put(tmp_path / "logs" / "b.log", "other\n")
-    assert call() == ["new", "other"] and call() == []
-    put(log, "")
-    assert call() == []
-    put(log, "x\n")
-    assert call() == ["x"]
