@@ -87,15 +87,61 @@ def gaussian_smooth(counts: DataFrame, group: str, bins: int = 100, sigma: float
     return every.groupBy(group, F.col("to").cast("int").alias("bin")).agg(F.sum(F.col("n") * F.col("w")).alias("smooth"))
 
 
-def pearson(values: DataFrame, names: DataFrame | None = None, least: int = 2) -> DataFrame:
+def pearson(values: DataFrame, least: int = 2, rows: int = 256, columns: int = 1024) -> DataFrame:
     """a, b, n, r of every pair of samples over the contigs both have (sample_id, chrom, value); null under ``least`` or without variance.
 
-    An equi-join on the contig: samples squared times contigs, so names (sample_id) restricts it to a chosen set.
+    By Gram matrices: samples are dealt into blocks of ``rows`` and contigs (or any features) into chunks of ``columns``; a task takes one chunk of two blocks as dense matrices of
+    values, squares and presence, whose products are the sums of all its pairs. What leaves the tasks is one row for each pair of samples (and chunk), and no join has a contig for its key.
+
+    Values are centred by their sample's mean first, so that sums don't cancel. A variance under 1e-12 of the mean square is none.
     """
-    v = values.where("value is not null") if names is None else values.where("value is not null").join(names, "sample_id", "left_semi")
-    j = v.select("chrom", F.col("sample_id").alias("a"), F.col("value").alias("x")).join(v.select("chrom", F.col("sample_id").alias("b"), F.col("value").alias("y")), "chrom").where("a <= b")
-    s = j.groupBy("a", "b").agg(F.count("*").alias("n"), F.corr("x", "y").alias("r"), F.var_pop("x").alias("vx"), F.var_pop("y").alias("vy"))
-    return s.select("a", "b", "n", F.when((F.col("n") >= least) & (F.col("vx") > 0) & (F.col("vy") > 0), F.col("r")).alias("r"))
+    import numpy as np
+    import pyarrow as pa
+
+    from methlake.operators.manifest import _cut, numbered
+
+    # read once: a value a sample and contig, whatever they were made from
+    v = _cut(values.where("value is not null").select("sample_id", "chrom", F.col("value").cast("double").alias("value")))
+    means = v.groupBy("sample_id").agg(F.avg("value").alias("mean"))
+    samples = numbered(means, "sample_id", name="s")
+    features = numbered(v.select("chrom").distinct(), "chrom", name="f")
+    placed = v.join(samples, "sample_id").join(features, "chrom").select("s", "f", (F.col("value") - F.col("mean")).alias("x"))
+    cell = F.struct((F.col("s") % rows).cast("int").alias("s"), (F.col("f") % columns).cast("int").alias("f"), "x")
+    # rows * columns entries at most
+    blocks = placed.groupBy(F.floor(F.col("s") / rows).alias("p"), F.floor(F.col("f") / columns).alias("c")).agg(F.collect_list(cell).alias("m"))
+    count = samples.count()
+    last = max(0, -(-count // rows) - 1)
+    left = blocks.select(F.col("p").alias("p"), "c", F.col("m").alias("x"), F.explode(F.sequence(F.col("p"), F.lit(last).cast("long"))).alias("q"))
+    tiles = left.join(blocks.select(F.col("p").alias("q"), "c", F.col("m").alias("y")), ["q", "c"]).select("p", "q", "x", "y")
+
+    def dense(column, k):
+        m = column[k].values
+        s, f, x = (m.field(n).to_numpy() for n in ("s", "f", "x"))
+        full, there = np.zeros((rows, columns)), np.zeros((rows, columns))
+        full[s, f], there[s, f] = x, 1.0
+        return full[:, : f.max() + 1], there[:, : f.max() + 1]
+
+    def run(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                (x, a), (y, b) = dense(batch.column(2), k), dense(batch.column(3), k)
+                width = min(x.shape[1], y.shape[1])
+                x, a, y, b = x[:, :width], a[:, :width], y[:, :width], b[:, :width]
+                n, sums = a @ b.T, [x @ b.T, a @ y.T, (x * x) @ b.T, a @ (y * y).T, x @ y.T]
+                p, q = batch.column(0)[k].as_py(), batch.column(1)[k].as_py()
+                i, j = np.nonzero(n if p < q else np.triu(n))
+                columns_ = [pa.array(p * rows + i), pa.array(q * rows + j), pa.array(n[i, j].astype(np.int64)), *[pa.array(s[i, j]) for s in sums]]
+                yield pa.RecordBatch.from_arrays(columns_, ["i", "j", "n", "x", "y", "xx", "yy", "xy"])
+
+    sums = tiles.mapInArrow(run, "i long, j long, n long, x double, y double, xx double, yy double, xy double")
+    if features.count() > columns:
+        sums = sums.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "x", "y", "xx", "yy", "xy")])
+    vx, vy = F.col("xx") - F.col("x") * F.col("x") / F.col("n"), F.col("yy") - F.col("y") * F.col("y") / F.col("n")
+    r = (F.col("xy") - F.col("x") * F.col("y") / F.col("n")) / F.sqrt(vx * vy)
+    fine = (F.col("n") >= least) & (vx > 1e-12 * F.col("xx")) & (vy > 1e-12 * F.col("yy"))
+    names = samples.select("s", "sample_id")
+    named = sums.join(names.select(F.col("s").alias("i"), F.col("sample_id").alias("a")), "i").join(names.select(F.col("s").alias("j"), F.col("sample_id").alias("b")), "j")
+    return named.select("a", "b", "n", F.when(fine, r).alias("r"))
 
 
 def principal_components(rows: DataFrame, columns: list[str], key: str = "sample_id") -> DataFrame:

@@ -21,6 +21,7 @@ from methlake.plans.cpg_queries import CHROM, FRAC, FUNNEL, HOST, MAD, MEANS, QC
 from methlake.plans.registry import query
 from methlake.sources import readers as IN
 from methlake.sources import sinks as OUT
+from methlake.sources import zstd as Z
 
 
 def place(spark: SparkSession) -> str:
@@ -61,6 +62,13 @@ def _(cpg):
     return IN._csv(cpg.sparkSession, path, schemas.CPG).groupBy("sample_id").agg(F.count("*").alias("n"))
 
 
+@query("A3_zstd_counts", "cpg", "select sample_id, chrom, pos, methyl, unmethyl from cpg")
+def _(cpg):
+    path = place(cpg.sparkSession)
+    OUT.cpg_zst(cpg, path)
+    return Z.cpg_zst(cpg.sparkSession, path)
+
+
 def fastq_file(reads: DataFrame, ident: str = "id", compressed: bool = True) -> str:
     """reads in order of their ordinal as one FASTQ file."""
     path = place(reads.sparkSession)

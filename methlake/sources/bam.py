@@ -381,7 +381,7 @@ class BamWriter(DataSourceWriter):
             if out is None:
                 name = f"{uuid.uuid4().hex}.bam"
                 fs.create_dir(f"{path}/_staged-{self.batch}", recursive=True)
-                out = fs.open_output_stream(f"{path}/_staged-{self.batch}/{name}")
+                out = fs.open_output_stream(f"{path}/_staged-{self.batch}/{name}", compression=None)
                 held += b"BAM\1" + struct.pack("<i", len(text)) + text + struct.pack("<i", len(self.refs))
                 for n, size in self.refs:
                     held += struct.pack("<i", len(n) + 1) + n.encode() + b"\0" + struct.pack("<i", size)

@@ -18,7 +18,7 @@ def cpg_tables(spark: SparkSession, path) -> DataFrame:
     """Per-cell count tables (chrom, pos, methyl, unmethyl; plain, gzip or zstd), with the cell's id from a folder ``sample_id=..`` or else from the file name."""
     rows = spark.read.options(sep="\t", header=True, mode="FAILFAST", enforceSchema=False, recursiveFileLookup=True).schema("chrom string, pos long, methyl long, unmethyl long").csv(path)
     name = F.url_decode(F.input_file_name())
-    file = F.regexp_extract(F.element_at(F.split(name, "/"), -1), r"^(.*?)\.(?:cpg\.)?(?:tsv|csv|txt)", 1)
+    file = F.regexp_extract(F.element_at(F.split(name, "/"), -1), r"^(.*?)(?:\.\d{5})?\.(?:cpg\.)?(?:tsv|csv|txt)", 1)
     return rows.withColumn("sample_id", F.coalesce(F.nullif(F.regexp_extract(name, "/sample_id=([^/]+)/", 1), F.lit("")), file)).select("sample_id", "chrom", "pos", "methyl", "unmethyl")
 
 

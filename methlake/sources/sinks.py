@@ -21,6 +21,55 @@ def cpg_text(sites: DataFrame, path: str, shift: int = 0) -> None:
     canonical(sites, shift).repartitionByRange("sample_id", "chrom", "pos").sortWithinPartitions("sample_id", "chrom", "pos").write.partitionBy("sample_id").options(sep="\t", header=True, compression="gzip").csv(path)
 
 
+def cpg_zst(sites: DataFrame, path: str, shift: int = 0) -> DataFrame:
+    """Counts as one checksummed zstd text ``<cell>.<range>.cpg.tsv.zst`` for each cell and range of (cell, contig, place) that has some of it; gives back the files written: sample_id, file, rows.
+
+    A cell without a site has no file. A file gets its name when it is whole, and a task that runs again writes the same files.
+    """
+    import pyarrow as pa
+    import zstandard
+    from pyspark import TaskContext
+
+    from methlake.sources.files import filesystem
+
+    def run(batches):
+        fs, root = filesystem(path)
+        fs.create_dir(root, recursive=True)
+        part, now, name, out, rows = TaskContext.get().partitionId(), None, None, None, 0
+
+        def close():
+            out.close()
+            fs.move(f"{root}/_{name}.{attempt}", f"{root}/{name}")
+            return pa.RecordBatch.from_pydict({"sample_id": [now], "file": [name], "rows": [rows]})
+
+        attempt = uuid.uuid4().hex
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            cells = table.column(0).to_pylist()
+            text = [f"{c}\t{p}\t{m}\t{u}\n" for c, p, m, u in zip(*(table.column(k).to_pylist() for k in range(1, 5)))]
+            at = 0
+            while at < len(cells):
+                if cells[at] != now:
+                    if out is not None:
+                        yield close()
+                    now, rows = cells[at], 0
+                    name = f"{now}.{part:05d}.cpg.tsv.zst"
+                    out = zstandard.ZstdCompressor(write_checksum=True).stream_writer(fs.open_output_stream(f"{root}/_{name}.{attempt}", compression=None), closefd=True)
+                    out.write(b"chrom\tpos\tmethyl\tunmethyl\n")
+                end = at
+                while end < len(cells) and cells[end] == now:
+                    end += 1
+                out.write("".join(text[at:end]).encode())
+                rows, at = rows + end - at, end
+        if out is not None:
+            yield close()
+
+    ranged = canonical(sites, shift).select("sample_id", "chrom", "pos", "methyl", "unmethyl").repartitionByRange("sample_id", "chrom", "pos").sortWithinPartitions("sample_id", "chrom", "pos")
+    files = ranged.mapInArrow(run, "sample_id string, file string, rows long")
+    files.write.parquet(f"{path}/_files")
+    return sites.sparkSession.read.parquet(f"{path}/_files")
+
+
 def reads_by_cell(reads: DataFrame, path: str, key: str = "sample_id") -> None:
     """Reads as FASTQ text by cell; a large cell is several files in order."""
     record = F.concat(F.lit("@"), F.col("id"), F.lit("\n"), F.col("seq"), F.lit("\n+\n"), F.col("qual"))

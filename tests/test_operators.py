@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -309,3 +310,24 @@ def test_components_of_metrics(spark):
 def test_closure(spark):
     e = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("x", "y")], "source string, target string")
     assert {r.name for r in M.dependency_closure(e, spark.createDataFrame([("a",)], "name string")).collect()} == {"a", "b", "c"}
+
+
+def test_correlation_in_blocks(spark):
+    rng = random.Random(9)
+    rows = [(f"S{s}", f"c{c}", 0.5 if s == 3 else rng.random()) for s in range(23) for c in range(17) if rng.random() < 0.7]
+    v = spark.createDataFrame([*rows, ("S1", "x", None), ("lone", "y", 0.1)], "sample_id string, chrom string, value double")
+    of = {s: {c: x for t, c, x in [*rows, ("lone", "y", 0.1)] if t == s} for s in {r[0] for r in rows} | {"lone"}}
+    plain = {}
+    for a in of:
+        for b in of:
+            both = sorted(set(of[a]) & set(of[b]))
+            if a <= b and both:
+                x, y = (np.array([of[s][c] for c in both]) for s in (a, b))
+                plain[a, b] = (len(both), np.corrcoef(x, y)[0, 1] if len(both) > 1 and np.ptp(x) > 0 and np.ptp(y) > 0 else None)
+    for block, chunk in ((256, 1024), (4, 1024), (5, 3)):
+        found = {tuple(sorted((r.a, r.b))): (r.n, r.r) for r in T.pearson(v, rows=block, columns=chunk).collect()}
+        assert set(found) == set(plain)
+        for k, (n, r) in plain.items():
+            assert found[k][0] == n and (found[k][1] is None) == (r is None), k
+            assert r is None or abs(found[k][1] - r) < 1e-9
+    assert T.pearson(v.where("false")).count() == 0

@@ -11,6 +11,7 @@ from methlake import schemas
 from methlake.operators import sequences as Q
 from methlake.sources import readers as R
 from methlake.sources import sinks as W
+from methlake.sources import zstd as Z
 from methlake.streaming import incremental as T
 
 
@@ -183,3 +184,31 @@ def test_incremental_counts(spark, tmp_path):
     assert T.cell_totals(spark.read.parquet(f"{tmp_path}/out")).first().rows == 2
     log = spark.createDataFrame([("[1] rule a: started",), ("noise",), ("[2] rule a: done",)], "value string")
     assert tuple(T.latest_states(T.log_events(log)).first()) == ("a", "done", 0)
+
+
+def test_zstd_counts(spark, tmp_path):
+    import os
+
+    import zstandard
+
+    rows = [(f"S{k % 5}", f"chr{k % 3}", k, k % 7 + 1, 3) for k in range(4000)]
+    files = W.cpg_zst(spark.createDataFrame(rows, "sample_id string, chrom string, pos long, methyl long, unmethyl long"), f"file://{tmp_path}/z").collect()
+    assert sum(f.rows for f in files) == 4000 and {f.file for f in files} == {f for f in os.listdir(f"{tmp_path}/z") if f.endswith(".zst")}
+    assert sorted(map(tuple, R.cpg_tables(spark, f"{tmp_path}/z/*.zst").collect())) == sorted(rows)
+    assert sorted(map(tuple, Z.cpg_zst(spark, f"file://{tmp_path}/z").collect())) == sorted(rows)
+    # several frames in one file are one text; cut and damaged ones fail, at any frame
+    whole = open(f"{tmp_path}/z/{files[0].file}", "rb").read()
+    packed = lambda text: zstandard.ZstdCompressor(write_checksum=True).compress(text)
+    more = packed(b"chr9\t5\t1\t1\nchr9\t6\t1\t1")
+    os.makedirs(f"{tmp_path}/y")
+
+    def read(data):
+        with open(f"{tmp_path}/y/x.cpg.tsv.zst", "wb") as f:
+            f.write(data)
+        return Z.cpg_zst(spark, f"{tmp_path}/y").select("sample_id", "pos").collect()
+
+    assert len(read(whole + more)) == files[0].rows + 2 and read(whole + more)[0].sample_id == "x"
+    half = len(whole) // 2
+    for data in (whole[:-1], whole[:half], whole[:half] + bytes([whole[half] ^ 4]) + whole[half + 1 :], whole + more[:-3], whole + more[:3], whole + b"xx", more, packed(b"chrom\tpos\tmethyl\tunmethyl\nchr1\t1\t-1\t2\n")):
+        with pytest.raises(Exception, match="cut off|zst|invalid line|frame"):
+            read(data)
