@@ -52,6 +52,10 @@ def composition(summary: DataFrame) -> DataFrame:
 def chromosome_stats(cpg: DataFrame, cells: DataFrame, contigs: DataFrame) -> DataFrame:
     """Per cell and contig: sites, sums and mean rate; zero rows for host, control and mitochondrial contigs, none for auxiliary ones without a site."""
     seen = cpg.groupBy("sample_id", "chrom").agg(F.count("*").alias("sites"), F.sum("methyl").cast("long").alias("methyl"), F.sum("unmethyl").cast("long").alias("unmethyl"), F.avg(fraction()).alias("mean_fraction"))
+    return _all_contigs(seen, cells, contigs)
+
+
+def _all_contigs(seen: DataFrame, cells: DataFrame, contigs: DataFrame) -> DataFrame:
     grid = cells.select("sample_id").distinct().crossJoin(F.broadcast(contigs.select("chrom", contig_class("chrom").alias("kind"))))
     out = grid.join(seen, ["sample_id", "chrom"], "left").where("sites is not null or kind <> 'auxiliary'")
     return out.select("sample_id", "chrom", "kind", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("sites", "methyl", "unmethyl")], "mean_fraction")
@@ -74,6 +78,10 @@ def gini(bins: DataFrame) -> DataFrame:
 def windows_1mb(cpg: DataFrame, cells: DataFrame, contigs: DataFrame, width: int = WINDOW, base: int = 1) -> DataFrame:
     """Methylated and total counts of every autosomal window of every cell, zeros included."""
     seen = cpg.where(is_autosome("chrom")).groupBy("sample_id", "chrom", F.floor((F.col("pos") - base) / width).alias("win")).agg(F.sum("methyl").cast("long").alias("mc"), F.sum(coverage()).cast("long").alias("cov"))
+    return _all_windows(seen, cells, contigs, width)
+
+
+def _all_windows(seen: DataFrame, cells: DataFrame, contigs: DataFrame, width: int) -> DataFrame:
     grid = contigs.where(is_autosome("chrom")).select("chrom", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("len") - 1) / width))).alias("win"))
     grid = cells.select("sample_id").distinct().crossJoin(F.broadcast(grid))
     return grid.join(seen, ["sample_id", "chrom", "win"], "left").fillna(0, ["mc", "cov"])
@@ -101,19 +109,84 @@ def tss_regions(bins: DataFrame, contigs: DataFrame) -> DataFrame:
 def tss_profile(cpg: DataFrame, regions: DataFrame, base: int = 1) -> DataFrame:
     """Per cell and offset: mean of the regions' mean fractions over all memberships, and methylated counts. Regions that several genes share are measured once."""
     means = interval_means(cpg, regions, base, width=256)
+    return _profile(means, regions)
+
+
+def _profile(means: DataFrame, regions: DataFrame) -> DataFrame:
     joined = means.join(regions, ["chrom", "start", "stop"])
     return joined.groupBy("sample_id", "offset").agg(F.avg(F.col("mean_fraction").cast("double")).alias("meth_frac"), F.sum("methyl").cast("long").alias("methyl"), F.count("*").alias("members"))
 
 
-def single_pass(cpg: DataFrame, cells: DataFrame, contigs: DataFrame, intervals: DataFrame) -> dict[str, DataFrame]:
-    """All products of one table of counts; persist cpg to read it once."""
-    return {
-        "summary": cpg_summary(cpg, cells),
-        "chromosomes": chromosome_stats(cpg, cells, contigs),
-        "gini": gini(coverage_bins(cpg)),
-        "windows": windows_1mb(cpg, cells, contigs),
-        "intervals": interval_means(cpg, intervals),
+def tagged_sums(cpg: DataFrame, sets: dict[str, tuple[DataFrame, int]], base: int = 1, width: int = BIN, window: int = WINDOW) -> DataFrame:
+    """sample_id, product, chrom, a, b, sites, methyl, unmethyl, fractions: sums of all products from one scan of the counts.
+
+    A site counts for its contig (``contig``), its bin (``bin``, a; host contigs), its window (``window``, a; autosomes), and each interval [a, b) that holds it of the named sets, given with the
+    width of the bins that they are looked up in. The sums are folded in the scan's tasks before they are exchanged. A site meets its bin's intervals as one array, which overlapping intervals alone make long.
+    """
+    rows = cpg.select("sample_id", "chrom", "pos", "methyl", "unmethyl").withColumn("p0", F.col("pos") - base)
+    nothing = F.lit(None).cast("long")
+
+    def tag(product: str, a, b=nothing):
+        return F.struct(F.lit(product).alias("product"), a.alias("a"), b.alias("b"))
+
+    tags = [
+        F.array(tag("contig", nothing)),
+        F.when(is_host("chrom"), F.array(tag("bin", F.floor(F.col("p0") / width)))),
+        F.when(is_autosome("chrom"), F.array(tag("window", F.floor(F.col("p0") / window)))),
+    ]
+    for name, (intervals, step) in sets.items():
+        spans = intervals.where(is_host("chrom") & (F.col("stop") > F.col("start"))).select("chrom", F.col("start").cast("long").alias("start"), F.col("stop").cast("long").alias("stop")).distinct()
+        listed = spans.withColumn(f"__{name}_bin", F.explode(F.sequence(F.floor(F.col("start") / step), F.floor((F.col("stop") - 1) / step))))
+        listed = listed.groupBy("chrom", f"__{name}_bin").agg(F.collect_list(F.struct("start", "stop")).alias(f"__{name}"))
+        rows = rows.withColumn(f"__{name}_bin", F.floor(F.col("p0") / step)).join(listed, ["chrom", f"__{name}_bin"], "left")
+        holds = F.filter(f"__{name}", lambda i: (F.col("p0") >= i["start"]) & (F.col("p0") < i["stop"]))
+        tags.append(F.arrays_zip(F.transform(holds, lambda _: F.lit(name)).alias("product"), holds["start"].alias("a"), holds["stop"].alias("b")))
+    kind = "array<struct<product: string, a: long, b: long>>"
+    found = F.explode(F.concat(*[F.coalesce(t.cast(kind), F.array().cast(kind)) for t in tags])).alias("t")
+    one = rows.select("sample_id", "chrom", "methyl", "unmethyl", fraction().alias("f"), found)
+    sums = [F.count("*").alias("sites"), F.sum("methyl").cast("long").alias("methyl"), F.sum("unmethyl").cast("long").alias("unmethyl"), F.sum("f").alias("fractions")]
+    return one.groupBy("sample_id", F.col("t.product").alias("product"), "chrom", F.col("t.a").alias("a"), F.col("t.b").alias("b")).agg(*sums)
+
+
+def summary_of(sums: DataFrame, cells: DataFrame) -> DataFrame:
+    """cpg_summary from the sums by contig."""
+    kind = contig_class("chrom")
+    signals = F.col("methyl") + F.col("unmethyl")
+    columns = [c for k in CLASSES for c in (
+        F.coalesce(F.sum(F.when(kind == k, F.col("sites"))), F.lit(0)).alias(f"{k.lower()}_sites"),
+        F.coalesce(F.sum(F.when(kind == k, signals)), F.lit(0)).alias(f"{k.lower()}_signals"),
+        (100 * F.sum(F.when(kind == k, F.col("fractions"))) / F.sum(F.when(kind == k, F.col("sites")))).alias(f"{k.lower()}_rate_pct"),
+    )]
+    out = sums.groupBy("sample_id").agg(F.sum("sites").alias("total_sites"), F.sum(signals).alias("total_signals"), *columns)
+    out = cells.select("sample_id").distinct().join(out, "sample_id", "left")
+    return out.fillna(0, [c for c in out.columns if c.endswith(("_sites", "_signals"))])
+
+
+def single_pass(cpg: DataFrame, cells: DataFrame, contigs: DataFrame, intervals: DataFrame, regions: DataFrame | None = None, base: int = 1) -> dict[str, DataFrame]:
+    """All products of one table of counts from one scan of it: ``summary``, ``chromosomes``, ``gini``, ``windows``, ``intervals``, and with TSS regions ``profile``.
+
+    The tagged sums are written once; each product is made from its part of them.
+    """
+    from methlake.operators.manifest import _cut
+
+    sets = {"interval": (intervals, 8192)} | ({} if regions is None else {"region": (regions, 256)})
+    sums = _cut(tagged_sums(cpg, sets, base))
+
+    def part(product: str) -> DataFrame:
+        return sums.where(F.col("product") == product)
+
+    def means(product: str) -> DataFrame:
+        return part(product).select("sample_id", "chrom", F.col("a").alias("start"), F.col("b").alias("stop"), (F.col("fractions") / F.col("sites")).cast("float").alias("mean_fraction"), "methyl", (F.col("methyl") + F.col("unmethyl")).alias("cov"), "sites")
+
+    contig = part("contig").select("sample_id", "chrom", "sites", "methyl", "unmethyl", "fractions")
+    products = {
+        "summary": summary_of(contig, cells),
+        "chromosomes": _all_contigs(contig.select("sample_id", "chrom", "sites", "methyl", "unmethyl", (F.col("fractions") / F.col("sites")).alias("mean_fraction")), cells, contigs),
+        "gini": gini(part("bin").select("sample_id", "chrom", F.col("a").alias("bin"), (F.col("methyl") + F.col("unmethyl")).alias("cov"))),
+        "windows": _all_windows(part("window").select("sample_id", "chrom", F.col("a").alias("win"), F.col("methyl").alias("mc"), (F.col("methyl") + F.col("unmethyl")).alias("cov")), cells, contigs, WINDOW),
+        "intervals": means("interval"),
     }
+    return products if regions is None else products | {"profile": _profile(means("region"), regions)}
 
 
 def pooled_controls(cpg: DataFrame) -> DataFrame:

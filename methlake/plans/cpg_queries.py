@@ -29,6 +29,7 @@ def rounded(df, *columns: str):
 
 
 FRAC = "cast(methyl as double) / (methyl + unmethyl)"
+SUMMARY_COLUMNS = ["total_sites", "total_signals"] + [f"{k.lower()}_{x}" for k in C.CLASSES for x in ("sites", "signals", "rate_pct")]
 SUMMARY = f"""select sample_id, count(*) total_sites, cast(sum(methyl + unmethyl) as bigint) total_signals, {', '.join(
     f"count_if(kind = '{k}') {k.lower()}_sites, cast(coalesce(sum(case when kind = '{k}' then methyl + unmethyl end), 0) as bigint) {k.lower()}_signals, {q6(f"avg(case when kind = '{k}' then {FRAC} end) * 100")} {k.lower()}_rate_pct" for k in C.CLASSES)}
     from (select *, {KIND} kind from cpg) k group by sample_id"""
@@ -116,9 +117,12 @@ def _(cpg):
     return C.coverage_bins(cpg).withColumn("running", F.sum("cov").over(w))
 
 
-@query("E6_windows_1mb", "cpg cells contigs", f"""with w as (select chrom, unnest(generate_series(0, cast(floor((len - 1) / 1000000.0) as bigint))) win from contigs where chrom in {AUTO}),
+WINDOWS = f"""with w as (select chrom, unnest(generate_series(0, cast(floor((len - 1) / 1000000.0) as bigint))) win from contigs where chrom in {AUTO}),
     s as (select sample_id, chrom, cast(floor((pos - 1) / 1000000.0) as bigint) win, sum(methyl) mc, sum(methyl + unmethyl) cov from cpg where chrom in {AUTO} group by 1, 2, 3)
-    select c.sample_id, w.chrom, cast(w.win as bigint) win, cast(coalesce(s.mc, 0) as bigint) mc, cast(coalesce(s.cov, 0) as bigint) cov from cells c cross join w left join s on s.sample_id = c.sample_id and s.chrom = w.chrom and s.win = w.win""")
+    select c.sample_id, w.chrom, cast(w.win as bigint) win, cast(coalesce(s.mc, 0) as bigint) mc, cast(coalesce(s.cov, 0) as bigint) cov from cells c cross join w left join s on s.sample_id = c.sample_id and s.chrom = w.chrom and s.win = w.win"""
+
+
+@query("E6_windows_1mb", "cpg cells contigs", WINDOWS)
 def _(cpg, cells, contigs):
     return C.windows_1mb(cpg, cells, contigs)
 

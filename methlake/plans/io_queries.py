@@ -17,7 +17,7 @@ from methlake.operators import intervals as I
 from methlake.operators import manifest as M
 from methlake.operators import qc as Q
 from methlake.operators import stats as T
-from methlake.plans.cpg_queries import CHROM, FRAC, FUNNEL, HOST, MAD, MEANS, QC, SUMMARY, q6, rounded
+from methlake.plans.cpg_queries import CHROM, FRAC, FUNNEL, GINI, HOST, MAD, MEANS, QC, SUMMARY, SUMMARY_COLUMNS, TSS_PROFILE, WINDOWS, q6, rounded
 from methlake.plans.registry import query
 from methlake.sources import readers as IN
 from methlake.sources import sinks as OUT
@@ -370,6 +370,23 @@ def _(cpg, cells, contigs, intervals):
     return sites.join(features, "sample_id", "left").fillna(0, ["features"])
 
 
+def _one_scan(name: str, shims: str, sql: str, product: str) -> None:
+    """A product of the single pass, against the oracle of the operator that makes it alone."""
+
+    @query(name, shims, sql)
+    def _(cpg, cells, contigs, intervals, genes):
+        return rounded(C.single_pass(cpg, cells, contigs, intervals, C.tss_regions(C.tss_bins(genes), contigs))[product])
+
+
+_ALL = "cpg cells contigs intervals genes"
+_one_scan("J17_summary", _ALL, f"with s as ({SUMMARY}) select c.sample_id, {', '.join(f'coalesce({x}, 0) {x}' if x.endswith(('_sites', '_signals')) else x for x in SUMMARY_COLUMNS)} from cells c left join s on s.sample_id = c.sample_id", "summary")
+_one_scan("J17_chromosomes", _ALL, CHROM, "chromosomes")
+_one_scan("J17_gini", _ALL, GINI, "gini")
+_one_scan("J17_windows", _ALL, WINDOWS, "windows")
+_one_scan("J17_intervals", _ALL, f"select sample_id, chrom, start, stop, {q6('cast(f as double)')} mean_fraction, methyl, cov, sites from ({MEANS}) x", "intervals")
+_one_scan("J17_profile", _ALL, TSS_PROFILE, "profile")
+
+
 @query("C22_protocol_medians", "cells", MAD.replace("with m as", "with t as (select sample_id, protocol clone_id, s_acctbal from cells), m as").format(v="s_acctbal"))
 def _(cells):
     return T.mad_inliers(cells.selectExpr("sample_id", "protocol clone_id", "s_acctbal"), "clone_id", "s_acctbal").select("sample_id", "clone_id", "inlier")

@@ -331,3 +331,19 @@ def test_correlation_in_blocks(spark):
             assert found[k][0] == n and (found[k][1] is None) == (r is None), k
             assert r is None or abs(found[k][1] - r) < 1e-9
     assert T.pearson(v.where("false")).count() == 0
+
+
+def test_one_scan_makes_all_products(spark, tmp_path, cells, contigs):
+    rng = random.Random(3)
+    rows = [(f"S{rng.randrange(3)}", rng.choice(["chr1", "chr2", "chrX", "chrM", "lambda"]), p, rng.randrange(4), rng.randrange(4)) for p in rng.sample(range(1, 3000), 900)]
+    spark.createDataFrame(rows, schemas.CPG).where("methyl + unmethyl > 0").write.parquet(f"{tmp_path}/cpg")
+    cpg = spark.read.parquet(f"{tmp_path}/cpg")
+    spans = spark.createDataFrame([("chr1", 0, 500), ("chr1", 400, 401), ("chr1", 400, 2900), ("chr2", 5, 5), ("chr2", 10, 3000), ("lambda", 0, 3000)], "chrom string, start long, stop long")
+    sums = C.tagged_sums(cpg, {"interval": (spans, 8192), "region": (spans, 16)})
+    plan = sums._jdf.queryExecution().executedPlan().toString()
+    assert plan.count(f"{tmp_path}/cpg") == 1
+    want = {(r.sample_id, r.chrom, r.start, r.stop): (r.sites, r.methyl, r.cov) for r in C.interval_means(cpg, spans).collect()}
+    assert want
+    for product in ("interval", "region"):
+        got = {(r.sample_id, r.chrom, r.a, r.b): (r.sites, r.methyl, r.methyl + r.unmethyl) for r in sums.where(F.col("product") == product).collect()}
+        assert got == want
