@@ -117,7 +117,7 @@ def _profile(means: DataFrame, regions: DataFrame) -> DataFrame:
     return joined.groupBy("sample_id", "offset").agg(F.avg(F.col("mean_fraction").cast("double")).alias("meth_frac"), F.sum("methyl").cast("long").alias("methyl"), F.count("*").alias("members"))
 
 
-def tagged_sums(cpg: DataFrame, sets: dict[str, tuple[DataFrame, int]], base: int = 1, width: int = BIN, window: int = WINDOW) -> DataFrame:
+def tagged_sums(cpg: DataFrame, sets: dict[str, tuple[DataFrame, int]], base: int = 1, width: int = BIN, window: int = WINDOW, windows: bool = True) -> DataFrame:
     """sample_id, product, chrom, a, b, sites, methyl, unmethyl, fractions: sums of all products from one scan of the counts.
 
     A site counts for its contig (``contig``), its bin (``bin``, a; host contigs), its window (``window``, a; autosomes), and each interval [a, b) that holds it of the named sets, given with the
@@ -132,7 +132,7 @@ def tagged_sums(cpg: DataFrame, sets: dict[str, tuple[DataFrame, int]], base: in
     tags = [
         F.array(tag("contig", nothing)),
         F.when(is_host("chrom"), F.array(tag("bin", F.floor(F.col("p0") / width)))),
-        F.when(is_autosome("chrom"), F.array(tag("window", F.floor(F.col("p0") / window)))),
+        F.when(is_autosome("chrom") & F.lit(windows), F.array(tag("window", F.floor(F.col("p0") / window)))),
     ]
     for name, (intervals, step) in sets.items():
         spans = intervals.where(is_host("chrom") & (F.col("stop") > F.col("start"))).select("chrom", F.col("start").cast("long").alias("start"), F.col("stop").cast("long").alias("stop")).distinct()
@@ -162,6 +162,11 @@ def summary_of(sums: DataFrame, cells: DataFrame) -> DataFrame:
     return out.fillna(0, [c for c in out.columns if c.endswith(("_sites", "_signals"))])
 
 
+def bins_of(sums: DataFrame) -> DataFrame:
+    """coverage_bins from the sums by bin."""
+    return sums.select("sample_id", "chrom", F.col("a").alias("bin"), (F.col("methyl") + F.col("unmethyl")).alias("cov"))
+
+
 def single_pass(cpg: DataFrame, cells: DataFrame, contigs: DataFrame, intervals: DataFrame, regions: DataFrame | None = None, base: int = 1) -> dict[str, DataFrame]:
     """All products of one table of counts from one scan of it: ``summary``, ``chromosomes``, ``gini``, ``windows``, ``intervals``, and with TSS regions ``profile``.
 
@@ -178,11 +183,11 @@ def single_pass(cpg: DataFrame, cells: DataFrame, contigs: DataFrame, intervals:
     def means(product: str) -> DataFrame:
         return part(product).select("sample_id", "chrom", F.col("a").alias("start"), F.col("b").alias("stop"), (F.col("fractions") / F.col("sites")).cast("float").alias("mean_fraction"), "methyl", (F.col("methyl") + F.col("unmethyl")).alias("cov"), "sites")
 
-    contig = part("contig").select("sample_id", "chrom", "sites", "methyl", "unmethyl", "fractions")
+    contig = part("contig")
     products = {
         "summary": summary_of(contig, cells),
         "chromosomes": _all_contigs(contig.select("sample_id", "chrom", "sites", "methyl", "unmethyl", (F.col("fractions") / F.col("sites")).alias("mean_fraction")), cells, contigs),
-        "gini": gini(part("bin").select("sample_id", "chrom", F.col("a").alias("bin"), (F.col("methyl") + F.col("unmethyl")).alias("cov"))),
+        "gini": gini(bins_of(part("bin"))),
         "windows": _all_windows(part("window").select("sample_id", "chrom", F.col("a").alias("win"), F.col("methyl").alias("mc"), (F.col("methyl") + F.col("unmethyl")).alias("cov")), cells, contigs, WINDOW),
         "intervals": means("interval"),
     }

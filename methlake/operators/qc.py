@@ -30,11 +30,14 @@ def funnel(pairs: DataFrame) -> DataFrame:
 
 
 def qc_table(cpg: DataFrame, pairs: DataFrame) -> DataFrame:
-    """One row per cell of pairs with the 20 QC columns."""
-    summary = C.cpg_summary(cpg, pairs)
+    """One row per cell of pairs with the 20 QC columns. The counts are read once: sums by contig and bin are written, and give both the summary and the Gini index."""
+    from methlake.operators.manifest import _cut
+
+    sums = _cut(C.tagged_sums(cpg, {}, windows=False))
+    summary = C.summary_of(sums.where("product = 'contig'"), pairs)
     rates = summary.select("sample_id", F.col("host_sites").alias("unique_cpg_sites"), F.col("host_rate_pct").alias("cpg_rate_pct"), "lambda_sites", "lambda_rate_pct", "puc19_sites", "puc19_rate_pct")
     shares = C.composition(summary).drop("total_signals")
-    gini = C.gini(C.coverage_bins(cpg))
+    gini = C.gini(C.bins_of(sums.where("product = 'bin'")))
     out = funnel(pairs).join(rates, "sample_id", "left").join(shares, "sample_id", "left").join(gini, "sample_id", "left")
     return out.select(*schemas.QC_COLUMNS)
 

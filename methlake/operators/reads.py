@@ -300,16 +300,89 @@ def higher_neighbours(called: DataFrame, alphabet: str = "AGT") -> DataFrame:
     return near.join(up, "parent").where("parent_count > count").withColumn("place", differing.cast("int")).select("barcode", "count", "parent", "parent_count", "place")
 
 
-def molecules(reads: DataFrame, cap: int = 4096, parts: int = 64) -> DataFrame:
-    """barcode, key: distinct molecule keys (umi and 32 bases), of a barcode with more than ``cap`` the least by hash.
-
-    The least of each of ``parts`` parts of a barcode are found first, so that a frequent barcode is no one task's work.
+#: multipliers and shifts of the rank of a molecule key (fixed values: they say which molecules a sample keeps)
+RANK_SHIFTS, RANK_FACTORS = (30, 27, 31), (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
+MOLECULE_CAP = 4096
+
+
+def molecule_ranks(keys: list[str]) -> np.ndarray:
+    """64-bit ranks of molecule keys (44 bases of ACGT, two bits each, mixed)."""
+    bases = np.frombuffer("".join(keys).encode(), np.uint8).reshape(len(keys), -1)
+    digit = np.zeros(256, np.uint64)
+    digit[[ord(b) for b in "ACGT"]] = range(4)
+    high, low = np.zeros(len(keys), np.uint64), np.zeros(len(keys), np.uint64)
+    for k in range(bases.shape[1]):
+        high = (high << np.uint64(2)) | (low >> np.uint64(62))
+        low = (low << np.uint64(2)) | digit[bases[:, k]]
+
+    def mix(x: np.ndarray) -> np.ndarray:
+        for shift, factor in zip(RANK_SHIFTS, RANK_FACTORS):
+            x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+        return x ^ (x >> np.uint64(RANK_SHIFTS[2]))
+
+    return mix(low ^ mix(high))
+
+
+def _sketches(cap: int, held: int = 1 << 18):
+    """Rows (barcode, key) -> rows (barcode, rank, key, reads): the cap + 1 least distinct keys of each barcode among at most ``held`` rows and what was kept before; reads is on a barcode's first row."""
+    import pyarrow as pa
+
+    def least(barcode: np.ndarray, rank: np.ndarray, key: np.ndarray, reads: np.ndarray):
+        o = np.lexsort((key, rank, barcode))
+        barcode, rank, key, reads = barcode[o], rank[o], key[o], reads[o]
+        new = np.ones(len(o), bool)
+        new[1:] = barcode[1:] != barcode[:-1]
+        first = np.flatnonzero(new)
+        if len(first):
+            total = np.add.reduceat(reads, first)
+            reads = np.zeros(len(o), np.int64)
+            reads[first] = total
+        once = new.copy()
+        once[1:] |= key[1:] != key[:-1]
+        n = np.cumsum(once)
+        keep = once & (n - np.repeat(n[first], np.diff(np.append(first, len(o)))) <= cap)
+        return barcode[keep], rank[keep], key[keep], reads[keep]
+
+    def table(now):
+        # ranks order as unsigned, the column is signed
+        return pa.RecordBatch.from_arrays([pa.array(now[0], pa.string()), pa.array((now[1] ^ np.uint64(1 << 63)).view(np.int64)), pa.array(now[2], pa.string()), pa.array(now[3])], ["barcode", "rank", "key", "reads"])
+
+    def run(batches):
+        now = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = batch.column(1).to_pylist()
+            new = (np.array(batch.column(0).to_pylist(), object), molecule_ranks(keys), np.array(keys, object), np.ones(len(keys), np.int64))
+            now = least(*(new if now is None else (np.concatenate(x) for x in zip(now, new))))
+            if len(now[0]) > held:
+                yield table(now)
+                now = None
+        if now is not None:
+            yield table(now)
+
+    return run
+
+
+def molecule_samples(reads: DataFrame, cap: int = MOLECULE_CAP) -> DataFrame:
+    """barcode, key, reads, saturated: of each barcode the cap molecule keys (umi and 32 bases) of least rank, with its reads that have a key (12 and 32 plain bases) and whether it has more than cap different keys.
+
+    A mergeable sketch: each task keeps the cap + 1 least keys of its barcodes (a bounded number of rows, given out when there are more), and only these are exchanged. The last of a barcode's
+    keys are found by a rank whose limit is applied before the exchange as well.
     """
-    keys = reads.select("barcode", S.molecule_key("umi", "insert").alias("key")).where("key is not null").distinct()
-    keys = keys.withColumn("h", F.xxhash64("key")).withColumn("part", F.pmod(F.hash("key"), F.lit(parts)))
-    for by in (["barcode", "part"], ["barcode"]):
-        keys = keys.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy("h", "key"))).where(F.col("rank") <= cap)
-    return keys.select("barcode", "key")
+    keys = reads.select("barcode", S.molecule_key("umi", "insert").alias("key")).where("barcode is not null and length(key) = 44")
+    parts = keys.mapInArrow(_sketches(cap), "barcode string, rank long, key string, reads long")
+    ranked = parts.withColumn("place", F.dense_rank().over(Window.partitionBy("barcode").orderBy("rank", "key"))).where(F.col("place") <= cap + 1)
+    once = ranked.groupBy("barcode", "place", "key").agg(F.lit(1).alias("one")).drop("one")
+    totals = parts.groupBy("barcode").agg(F.sum("reads").alias("reads"))
+    full = once.where(F.col("place") == cap + 1).select("barcode", F.lit(True).alias("saturated"))
+    out = once.where(F.col("place") <= cap).join(totals, "barcode").join(full, "barcode", "left")
+    return out.select("barcode", "key", "reads", F.coalesce("saturated", F.lit(False)).alias("saturated"))
+
+
+def molecules(reads: DataFrame, cap: int = MOLECULE_CAP) -> DataFrame:
+    """barcode, key of molecule_samples."""
+    return molecule_samples(reads, cap).select("barcode", "key")
 
 
 def error_candidates(called: DataFrame, qualities: DataFrame, threshold: float) -> DataFrame:

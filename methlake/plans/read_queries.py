@@ -198,6 +198,26 @@ def _(reads):
     return R.molecules(reads.select(F.substring("seq", 1, 2).alias("barcode"), F.substring("seq", 1, 12).alias("umi"), F.substring("seq", 13, 32).alias("insert")))
 
 
+MIX = "(xor({0}, {0} // 1073741824) * 13787848793156543929::uhugeint) % 18446744073709551616::uhugeint"
+MIX2 = "(xor({0}, {0} // 134217728) * 10723151780598845931::uhugeint) % 18446744073709551616::uhugeint"
+MIX3 = "xor({0}, {0} // 2147483648::uhugeint)"
+DIGITS = "list_reduce(list_prepend(0::uhugeint, list_transform(string_split({0}, ''), lambda c: (strpos('ACGT', c) - 1)::uhugeint)), lambda h, d: h * 4 + d)"
+
+
+def _mixed(start: str, source: str, out: str, keep: str) -> str:
+    """Subqueries that mix a column in three steps."""
+    return f"select {keep}, {MIX3.format('m2')} {out} from (select {keep}, {MIX2.format('m1')} m2 from (select {keep}, {MIX.format('m0')} m1 from (select {keep}, {start} m0 from {source}) s0) s1) s2"
+
+
+@query("E34_molecule_totals", "reads", f"""with k as (select substr(seq, 1, 2) barcode, substr(seq, 1, 44) key from reads where length(seq) >= 44 and regexp_full_match(substr(seq, 1, 44), '[ACGT]+')),
+    u as (select barcode, key, count(*) n, {DIGITS.format('substr(key, 1, 12)')} high, {DIGITS.format('substr(key, 13)')} low from k group by barcode, key),
+    h as ({_mixed('high', 'u', 'hm', 'barcode, key, n, low')}), r as ({_mixed('xor(low, hm)', 'h', 'rank', 'barcode, key, n')}),
+    p as (select *, row_number() over (partition by barcode order by rank, key) place, count(*) over (partition by barcode) kinds, sum(n) over (partition by barcode) reads from r)
+    select barcode, key, cast(reads as bigint) reads, kinds > 16 saturated from p where place <= 16""")
+def _(reads):
+    return R.molecule_samples(reads.select(F.substring("seq", 1, 2).alias("barcode"), F.substring("seq", 1, 12).alias("umi"), F.substring("seq", 13, 32).alias("insert")), cap=16)
+
+
 @query("H9_protect_design", "barcode_map", f"select count(*) n from (with n as ({NEIGHBOURS}) select k from n where d = 0 union select k from n where d = 1 and k not in (select barcode from barcode_map)) x")
 def _(barcodes):
     return R.barcode_index(barcodes, protected=barcodes, shifted=False).agg(F.count("*").alias("n"))

@@ -347,3 +347,24 @@ def test_one_scan_makes_all_products(spark, tmp_path, cells, contigs):
     for product in ("interval", "region"):
         got = {(r.sample_id, r.chrom, r.a, r.b): (r.sites, r.methyl, r.methyl + r.unmethyl) for r in sums.where(F.col("product") == product).collect()}
         assert got == want
+
+
+def test_molecule_samples(spark):
+    rng = random.Random(8)
+    key = lambda: "".join(rng.choice("ACGT") for _ in range(44))
+    few, many = [key() for _ in range(5)], [key() for _ in range(300)]
+    rows = [("few", k) for k in few * 40] + [("many", k) for k in many * 3] + [("edge", k) for k in many[:20]] + [("none", "N" * 44), (None, few[0])]
+    rng.shuffle(rows)
+    reads = spark.createDataFrame([(b, k[:12], k[12:]) for b, k in rows], "barcode string, umi string, insert string").repartition(5)
+    rank = dict(zip(many + few, R.molecule_ranks(many + few).tolist()))
+    got = {}
+    for r in R.molecule_samples(reads, cap=20).collect():
+        got.setdefault((r.barcode, r.reads, r.saturated), []).append(r.key)
+    want = {("few", 200, False): few, ("edge", 20, False): many[:20], ("many", 900, True): sorted(many, key=lambda k: (rank[k], k))[:20]}
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
+    # flushed sketches merge to the same
+    small = list(R._sketches(20, held=30)(iter([pa.record_batch({"barcode": [b for b, _ in rows[:500]], "key": [k for _, k in rows[:500]]}).filter(pa.array([b is not None and "N" not in k for b, k in rows[:500]]))] * 2)))
+    assert sum(sum(b.column(3).to_pylist()) for b in small) == 2 * sum(b is not None and "N" not in k for b, k in rows[:500])
+    mix = lambda x: (lambda y: y ^ y >> 31)(((lambda y: y ^ y >> 27)((x ^ x >> 30) * R.RANK_FACTORS[0] % 2**64)) * R.RANK_FACTORS[1] % 2**64)
+    code = sum("ACGT".index(c) << 2 * i for i, c in enumerate(reversed(few[0])))
+    assert rank[few[0]] == mix(code % 2**64 ^ mix(code >> 64))
