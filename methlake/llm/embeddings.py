@@ -22,6 +22,8 @@ from .common import partitions, tidy, written
 from .components import components
 
 THRESHOLD, BLOCK = 0.98, 1024
+#: pairs that are recomputed together
+SLICE = 4096
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -48,7 +50,9 @@ def tile(x: np.ndarray, y: np.ndarray, threshold: float) -> tuple[np.ndarray, np
     kind = np.float32 if x.shape[1] <= 1040 else np.float64
     about = (q.astype(kind) @ r.astype(kind).T) * s[:, None] * t[None, :]
     i, j = np.nonzero(about + err[:, None] + norm[:, None] * err_y[None, :] + 1e-6 >= threshold)
-    exact = np.einsum("ij,ij->i", x[i], y[j]) >= threshold
+    # some pairs at a time: a tile of close vectors has a million of them
+    exact = [np.einsum("ij,ij->i", x[i[k : k + SLICE]], y[j[k : k + SLICE]]) >= threshold for k in range(0, len(i), SLICE)]
+    exact = np.concatenate(exact) if exact else np.zeros(0, bool)
     return i[exact], j[exact], len(i)
 
 

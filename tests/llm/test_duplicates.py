@@ -278,3 +278,17 @@ def test_vectors_of_many_dimensions_and_extreme_sizes(spark):
     u = embeddings.unit(np.array([[1e-300, 1e300, 0.0], [0.0, 1.0, 1e-200], [3e-320, 0.0, 0.0]]))
     q, s, norm, err = embeddings.quantised(u)
     assert np.isfinite(u).all() and np.isfinite(s).all() and (np.abs(q.astype(float) * s[:, None] - u) <= err[:, None] + 1e-12).all()
+
+
+def test_tile_of_close_vectors_in_bounded_memory():
+    import tracemalloc
+
+    rng = np.random.default_rng(2)
+    x = embeddings.unit(1 + 0.01 * rng.normal(size=(1024, 256)))
+    tracemalloc.start()
+    i, j, tried = embeddings.tile(x, x, 0.98)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # all pairs at once would take 2 * 2**20 * 256 * 8 bytes
+    assert len(i) == tried == 1024 * 1024 and peak < 300e6
+    assert (x @ x.T >= 0.98).sum() == len(i)
