@@ -19,6 +19,7 @@ from methlake.operators import qc as Q
 from methlake.operators import stats as T
 from methlake.plans.cpg_queries import CHROM, FRAC, FUNNEL, GINI, HOST, MAD, MEANS, QC, SUMMARY, SUMMARY_COLUMNS, TSS_PROFILE, WINDOWS, q6, rounded
 from methlake.plans.registry import query
+from methlake.sources import csr as Y
 from methlake.sources import readers as IN
 from methlake.sources import sinks as OUT
 from methlake.sources import zstd as Z
@@ -282,6 +283,22 @@ def _(cpg, intervals):
     return cpg.sparkSession.read.parquet(f"{b}/x").select("sample_id", "feature")
 
 
+@query("B7_write_csr", "cpg intervals cells", f"select sample_id, c.chrom || ':' || cast(start + 1 as string) || '-' || cast(stop as string) feature, {q6('cast(f as double)')} mean_fraction from ({MEANS}) c where sample_id in (select sample_id from cells)")
+def _(cpg, intervals, cells):
+    path = place(cpg.sparkSession)
+    Y.write_csr(C.interval_means(cpg, intervals), cells, path)
+    return rounded(Y.read_csr(cpg.sparkSession, path).select("sample_id", "feature", "mean_fraction"))
+
+
+@query("B14_csr_blocks", "cpg intervals cells", f"select sample_id, c.chrom || ':' || cast(start + 1 as string) || '-' || cast(stop as string) feature, {q6('cast(f as double)')} mean_fraction from ({MEANS}) c where sample_id in (select sample_id from cells where protocol = 'taps') and c.chrom = 'chr3'")
+def _(cpg, intervals, cells):
+    """A part of a part: the cells of a protocol, and of these one contig's intervals."""
+    spark, a, b = cpg.sparkSession, place(cpg.sparkSession), place(cpg.sparkSession)
+    Y.write_csr(C.interval_means(cpg, intervals), cells, a, rows=16, cols=64)
+    Y.subset_csr(spark, a, b, cells.where("protocol = 'taps'"))
+    return rounded(Y.read_csr(spark, b, features=spark.read.parquet(f"{b}/var").where("chrom = 'chr3'")).select("sample_id", "feature", "mean_fraction"))
+
+
 @query("B15_publish", "cells", "select sample_id, project_sample_id, plate_id from cells")
 def _(cells):
     staged, public = place(cells.sparkSession), place(cells.sparkSession)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from methlake import schemas
 from methlake.operators import sequences as Q
+from methlake.sources import csr as Y
 from methlake.sources import readers as R
 from methlake.sources import sinks as W
 from methlake.sources import zstd as Z
@@ -212,3 +213,47 @@ def test_zstd_counts(spark, tmp_path):
     for data in (whole[:-1], whole[:half], whole[:half] + bytes([whole[half] ^ 4]) + whole[half + 1 :], whole + more[:-3], whole + more[:3], whole + b"xx", more, packed(b"chrom\tpos\tmethyl\tunmethyl\nchr1\t1\t-1\t2\n")):
         with pytest.raises(Exception, match="cut off|zst|invalid line|frame"):
             read(data)
+
+
+def _scanned(df):
+    """Files and rows that the scan of a plan read, once it has run."""
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    scan = next(leaves.apply(k) for k in range(leaves.size()) if "FileScan" in leaves.apply(k).toString())
+    return tuple(int(scan.metrics().apply(k).value()) for k in ("numFiles", "numOutputRows"))
+
+
+def test_csr_blocks(spark, tmp_path):
+    import random
+
+    rng = random.Random(6)
+    cells = spark.createDataFrame([(f"S{k:02d}",) for k in range(40)], "sample_id string")
+    rows = [(f"S{s:02d}", f"chr{i % 3}", 10 * i, 10 * i + 5, rng.choice([0.0, 0.5, 1.0])) for s in range(38) for i in range(90) if rng.random() < 0.3]
+    means = spark.createDataFrame(rows, "sample_id string, chrom string, start long, stop long, mean_fraction float")
+    path = f"{tmp_path}/m"
+    Y.write_csr(means, cells, path, rows=4, cols=16)
+    values = lambda df: sorted((r.sample_id, r.chrom, r.start, r.stop, r.mean_fraction) for r in df.collect())
+    assert values(Y.read_csr(spark, path)) == sorted(rows)
+    for b in spark.read.schema(Y.X).parquet(f"{path}/x").collect():
+        assert len(b.indptr) == 5 and b.indptr[0] == 0 and b.indptr[-1] == len(b.indices) == len(b["values"])
+        assert all(list(b.indices[x:y]) == sorted(set(b.indices[x:y])) for x, y in zip(b.indptr, b.indptr[1:]))
+    # a part reads its blocks only
+    some, feature = cells.where("sample_id in ('S05', 'S06')"), spark.read.parquet(f"{path}/var").where("chrom = 'chr1' and start < 100")
+    want = [r for r in sorted(rows) if r[0] in ("S05", "S06")]
+    assert values(Y.read_csr(spark, path, some)) == want
+    assert values(Y.read_csr(spark, path, some, feature)) == [r for r in want if r[1] == "chr1" and r[2] < 100]
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        whole = _scanned(Y.blocks_of(spark, path))
+        assert whole[1] == spark.read.parquet(f"{path}/x").count() > 50
+        part = _scanned(Y.blocks_of(spark, path, some))
+        assert part[1] <= 6 and part[0] < whole[0]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    Y.subset_csr(spark, path, f"{tmp_path}/n", some.unionByName(cells.where("sample_id = 'S39'")), feature)
+    assert values(Y.read_csr(spark, f"{tmp_path}/n")) == [r for r in want if r[1] == "chr1" and r[2] < 100]
+    assert spark.read.parquet(f"{tmp_path}/n/obs").count() == 3
+    with pytest.raises(Exception, match="two values"):
+        Y.write_csr(means.unionByName(means), cells, f"{tmp_path}/twice")
