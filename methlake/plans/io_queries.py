@@ -20,6 +20,7 @@ from methlake.operators import stats as T
 from methlake.plans.cpg_queries import CHROM, FRAC, FUNNEL, GINI, HOST, MAD, MEANS, QC, SUMMARY, SUMMARY_COLUMNS, TSS_PROFILE, WINDOWS, q6, rounded
 from methlake.plans.registry import query
 from methlake.sources import csr as Y
+from methlake.sources import delivery as D
 from methlake.sources import readers as IN
 from methlake.sources import sinks as OUT
 from methlake.sources import zstd as Z
@@ -190,23 +191,20 @@ def _(counts):
 @query("A26_read_sealed", "cells", "select sample_id, s_suppkey from cells")
 def _(cells):
     spark = cells.sparkSession
-    path = place(spark)
-    OUT.one_file(cells, path, ["sample_id", "s_suppkey"])
+    path = OUT.one_file(cells, place(spark), ["sample_id", "s_suppkey"])
     file = IN.file_digests(spark, path, "*.csv").first()
     return IN.sealed(spark, file["path"], file["sha256"], "sample_id string, s_suppkey long")
 
 
 @query("B6_write_tsv", "cells", "select sample_id, clone_id from cells")
 def _(cells):
-    path = place(cells.sparkSession)
-    OUT.one_file(cells, path, ["sample_id", "clone_id"])
+    path = OUT.one_file(cells, place(cells.sparkSession), ["sample_id", "clone_id"])
     return IN._csv(cells.sparkSession, path, "sample_id string, clone_id string")
 
 
 @query("B10_write_json", "cells", "select sample_id, s_acctbal from cells")
 def _(cells):
-    path = place(cells.sparkSession)
-    OUT.one_file(cells, path, ["sample_id", "s_acctbal"], "json")
+    path = OUT.one_file(cells, place(cells.sparkSession), ["sample_id", "s_acctbal"], "json")
     return cells.sparkSession.read.schema("sample_id string, s_acctbal double").json(path)
 
 
@@ -307,6 +305,23 @@ def _(cells):
     return IN.published(cells.sparkSession, public)
 
 
+@query("B15_generations", "cells", "select sample_id, 'old' version, clone_id from cells union all select sample_id, 'new', upper(clone_id) from cells")
+def _(cells):
+    """A reader that holds the first generation, and one that comes after the second."""
+    spark, public = cells.sparkSession, place(cells.sparkSession)
+
+    def put(rows):
+        staged = place(spark)
+        rows.write.parquet(staged)
+        return D.publish(spark, staged, public)
+
+    first = put(cells.select("sample_id", "clone_id"))
+    held = D.published(spark, public, first)
+    put(cells.select("sample_id", F.upper("clone_id").alias("clone_id")))
+    now = D.published(spark, public)
+    return held.select("sample_id", F.lit("old").alias("version"), "clone_id").unionByName(now.select("sample_id", F.lit("new").alias("version"), "clone_id"))
+
+
 @query("B19_append_batches", "cpg", "select sample_id, 2 * count(*) n from cpg group by 1")
 def _(cpg):
     path = place(cpg.sparkSession)

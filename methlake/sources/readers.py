@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from methlake import schemas
 from methlake.functions import numbers as N
 from methlake.functions import text as X
+from methlake.sources.delivery import file_digests, published  # noqa: F401
 
 
 def _csv(spark: SparkSession, path, schema: str, sep: str = "\t", header: bool = True, **options) -> DataFrame:
@@ -62,10 +63,6 @@ def file_listing(spark: SparkSession, folder: str, pattern: str = "*") -> DataFr
     return spark.read.format("binaryFile").options(pathGlobFilter=pattern, recursiveFileLookup=True).load(folder).select("path", F.col("length").alias("size_bytes"))
 
 
-def file_digests(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
-    return spark.read.format("binaryFile").options(pathGlobFilter=pattern, recursiveFileLookup=True).load(folder).select("path", F.col("length").alias("size_bytes"), F.sha2("content", 256).alias("sha256"))
-
-
 def barcode_map(spark: SparkSession, path: str) -> DataFrame:
     """A CSV with DNA_Barcode, PlateID, Cell_Order in any case and order; other columns are kept. All text."""
     rows = spark.read.options(header=True, mode="FAILFAST", ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True).csv(path)
@@ -205,14 +202,3 @@ def spool(spark: SparkSession, path: str) -> DataFrame:
     bad = have.alias("h").join(want.alias("w"), F.col("h.shard") == F.col("w.shard"), "full_outer").where(~F.coalesce(same, F.lit(False)))
     checked = rows.join(F.broadcast(bad.agg(F.count("*").alias("__broken"))))
     return checked.where(F.when(F.col("__broken") == 0, True).otherwise(F.raise_error(F.lit("a shard of the spool is not as it was written")).cast("boolean"))).drop("__broken")
-
-
-def published(spark: SparkSession, public: str) -> DataFrame:
-    """The rows of a delivery (see sinks.publish): only files that its inventory lists are read, and each must have its size and SHA-256."""
-    listed = spark.read.schema("path string, size_bytes long, sha256 string").json(f"{public}.inventory")
-    found = file_digests(spark, public, "*.parquet").withColumn("name", F.regexp_extract("path", r"([^/]+/[^/]+)$", 1))
-    j = listed.alias("l").join(found.alias("f"), F.col("l.path") == F.col("f.name"), "left")
-    same = (F.col("l.size_bytes") == F.col("f.size_bytes")) & (F.col("l.sha256") == F.col("f.sha256"))
-    if not j.where(~F.coalesce(same, F.lit(False))).isEmpty():
-        raise ValueError("the delivery is not what its inventory says")
-    return spark.read.parquet(public)

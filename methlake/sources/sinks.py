@@ -1,4 +1,4 @@
-"""Sinks. Tables are Parquet; a delivery is staged, and its inventory, written last, commits it."""
+"""Sinks. Tables are Parquet; deliveries are generations (see delivery)."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from methlake.functions import numbers as N
 from methlake.operators.cpg import canonical
+from methlake.sources.delivery import folder, publish
 
 
 def cpg_parquet(sites: DataFrame, path: str, shift: int = 0) -> None:
@@ -100,10 +101,12 @@ def packed_counts(sites: DataFrame, path: str) -> None:
     sites.select("sample_id", "chrom", "pos", N.packed("methyl", "unmethyl").alias("packed")).write.parquet(path)
 
 
-def one_file(rows: DataFrame, path: str, columns: list[str], kind: str = "csv") -> None:
-    """A small table as one sorted file; columns that the table lacks fail, others are left out."""
-    out = rows.select(*columns).orderBy(*columns).coalesce(1).write.mode("overwrite")
-    out.options(sep="\t", header=True).csv(path) if kind == "csv" else out.json(path)
+def one_file(rows: DataFrame, path: str, columns: list[str], kind: str = "csv") -> str:
+    """A small table as one sorted file; columns that the table lacks fail, others are left out. The file is a generation of a delivery: gives back its folder, and a reader at the one before is not disturbed."""
+    staged = f"{path}.staged-{uuid.uuid4().hex}"
+    out = rows.select(*columns).orderBy(*columns).coalesce(1).write
+    out.options(sep="\t", header=True).csv(staged) if kind == "csv" else out.json(staged)
+    return folder(path, publish(rows.sparkSession, staged, path))
 
 
 def shard_seals(rows: DataFrame) -> DataFrame:
@@ -135,20 +138,6 @@ def append_batch(rows: DataFrame, path: str, batch: str) -> bool:
     return True
 
 
-def publish(spark: SparkSession, staged: str, public: str) -> DataFrame:
-    """Moves a staged folder to its public place and writes its inventory (path, size, SHA-256) last; readers trust only what it lists."""
-    fs, target = _fs(spark, public)
-    fs.delete(_fs(spark, f"{public}.inventory")[1], True)
-    fs.delete(target, True)
-    if not fs.rename(_fs(spark, staged)[1], target):
-        raise OSError(f"could not publish {public}")
-    from methlake.sources.readers import file_digests
-
-    files = file_digests(spark, public, "*.parquet").withColumn("path", F.regexp_extract("path", r"([^/]+/[^/]+)$", 1))
-    files.coalesce(1).write.mode("overwrite").json(f"{public}.inventory")
-    return spark.read.schema("path string, size_bytes long, sha256 string").json(f"{public}.inventory")
-
-
 def _fs(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p

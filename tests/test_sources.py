@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from methlake import schemas
 from methlake.operators import sequences as Q
 from methlake.sources import csr as Y
+from methlake.sources import delivery as D
 from methlake.sources import readers as R
 from methlake.sources import sinks as W
 from methlake.sources import zstd as Z
@@ -100,7 +101,7 @@ def test_spool_and_delivery_are_checked(spark, tmp_path):
     rows.write.parquet(f"{tmp_path}/staged")
     W.publish(spark, f"{tmp_path}/staged", f"{tmp_path}/public")
     assert R.published(spark, f"{tmp_path}/public").count() == 200
-    file = next((tmp_path / "public").glob("*.parquet"))
+    file = next((tmp_path / "public").glob("generation-*/*.parquet"))
     file.write_bytes(file.read_bytes() + b"x")
     (file.parent / f".{file.name}.crc").unlink()
     with pytest.raises(ValueError, match="inventory"):
@@ -170,7 +171,8 @@ def test_sinks(spark, tmp_path):
     assert W.append_batch(cpg, f"{tmp_path}/b", "1") and not W.append_batch(cpg, f"{tmp_path}/b", "1") and W.append_batch(cpg, f"{tmp_path}/b", "2")
     assert spark.read.parquet(f"{tmp_path}/b").count() == 6
     cpg.write.parquet(f"{tmp_path}/staged")
-    inv = W.publish(spark, f"{tmp_path}/staged", f"{tmp_path}/public").collect()
+    W.publish(spark, f"{tmp_path}/staged", f"{tmp_path}/public")
+    inv = D.inventory(spark, f"{tmp_path}/public").collect()
     assert inv and all(len(r.sha256) == 64 for r in inv) and not (tmp_path / "staged").exists()
     assert R.file_listing(spark, f"{tmp_path}/public", "*.parquet").count() == len(inv)
 
@@ -257,3 +259,46 @@ def test_csr_blocks(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/n/obs").count() == 3
     with pytest.raises(Exception, match="two values"):
         Y.write_csr(means.unionByName(means), cells, f"{tmp_path}/twice")
+
+
+@pytest.mark.parametrize("step", ["_move", "_list", "_point"])
+@pytest.mark.parametrize("when", ["before", "after"])
+def test_a_publisher_that_breaks_off(spark, tmp_path, monkeypatch, step, when):
+    """Readers have the old delivery or the new one, and the next publisher is not in the way of either."""
+    public = f"{tmp_path}/public"
+
+    def put(n):
+        spark.range(n).coalesce(1).write.parquet(f"{tmp_path}/staged-{n}")
+        return D.publish(spark, f"{tmp_path}/staged-{n}", public)
+
+    put(3)
+    held = D.published(spark, public)
+    real, calls = getattr(D, step), []
+
+    def broken(*args):
+        calls.append(args)
+        if when == "after":
+            real(*args)
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m:
+        m.setattr(D, step, broken)
+        with pytest.raises(KeyboardInterrupt):
+            put(4)
+    assert calls and D.published(spark, public).count() == (4 if (step, when) == ("_point", "after") else 3)
+    put(5)
+    assert D.published(spark, public).count() == 5 and held.count() == 3
+    assert D.retire(spark, public) >= 1
+    assert D.published(spark, public).count() == 5 and len(list((tmp_path / "public").glob("generation-*"))) == 1
+
+
+def test_digest_of_a_large_file(spark, tmp_path):
+    (tmp_path / "f").mkdir()
+    size = (3 << 30) + 5
+    with open(tmp_path / "f" / "large.bin", "wb") as f:
+        f.truncate(size)
+    h, block = hashlib.sha256(), bytes(1 << 24)
+    for _ in range(size >> 24):
+        h.update(block)
+    h.update(bytes(size & (1 << 24) - 1))
+    assert [tuple(r)[1:] for r in R.file_digests(spark, f"{tmp_path}/f").collect()] == [(size, h.hexdigest())]
