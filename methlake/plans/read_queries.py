@@ -311,6 +311,29 @@ def _(a):
     return A.paired(a).select("qname", F.col("first.flag").alias("first_flag"), F.col("second.pos").alias("second_pos"))
 
 
+#: records with clips on either side, mates that are unmapped or missing, and few places, so that many fragments share their ends
+CLIPPED = """select concat('S', cast(k % 5 as string)) sample_id, qname, mate, 1 + case when mate = 0 then 64 else 128 end + case when (k + mate) % 3 = 0 then 16 else 0 end + case when k % 5 = 2 and mate = 1 then 4 else 0 end flag,
+    concat('chr', cast(k % 2 + 1 as string)) rname, (k * 7 + mate * 3) % 4 * 30 + case when (k + 2 * mate) % 4 in (1, 3) and (k + mate) % 3 <> 0 then 4 else 0 end pos, (k + 2 * mate) % 4 kind, 10 + (k * 13 + mate) % 40 q
+    from (select qname, cast(substr(qname, 2) as bigint) k, case when flag % 128 >= 64 then 0 else 1 end mate from alignments) a"""
+
+
+@query("F8_fragment_ends", "alignments", f"""with r as ({CLIPPED}),
+    m as (select *, case when (flag // 16) % 2 = 1 then pos + case kind when 0 then 19 when 1 then 15 when 2 then 19 else 15 end else pos - case when kind in (1, 3) then 4 else 0 end end five, (flag // 16) % 2 = 1 rev, case when q >= 15 then 20 * q else 0 end s from r where (flag // 4) % 2 = 0),
+    p as (select a.sample_id, a.qname, a.s + b.s s, a.rname ra, a.five fa, a.rev va, b.rname rb, b.five fb, b.rev vb from m a join m b on a.sample_id = b.sample_id and a.qname = b.qname and a.mate = 0 and b.mate = 1),
+    o as (select sample_id, qname, s, case when (ra, fa, va) <= (rb, fb, vb) then (ra, fa, va, rb, fb, vb) else (rb, fb, vb, ra, fa, va) end k from p),
+    d2 as (select x.sample_id, x.qname from o x where exists (select 1 from o y where y.sample_id = x.sample_id and y.k = x.k and (y.s > x.s or (y.s = x.s and y.qname < x.qname)))),
+    l as (select * from m where not exists (select 1 from p where p.sample_id = m.sample_id and p.qname = m.qname)),
+    d1 as (select x.sample_id, x.qname from l x where exists (select 1 from p y where y.sample_id = x.sample_id and ((y.ra = x.rname and y.fa = x.five and y.va = x.rev) or (y.rb = x.rname and y.fb = x.five and y.vb = x.rev)))
+        or exists (select 1 from l y where y.sample_id = x.sample_id and y.rname = x.rname and y.five = x.five and y.rev = x.rev and (y.s > x.s or (y.s = x.s and y.qname < x.qname))))
+    select r.sample_id, r.qname, r.flag, (flag // 4) % 2 = 0 and (exists (select 1 from d2 where d2.sample_id = r.sample_id and d2.qname = r.qname) or exists (select 1 from d1 where d1.sample_id = r.sample_id and d1.qname = r.qname)) duplicate from r""")
+def _(alignments):
+    rows = alignments.sparkSession.sql(CLIPPED.replace("from alignments", "from {alignments}"), alignments=alignments)
+    op = lambda *x: "array(" + ", ".join(f"named_struct('op', {o}, 'len', {n})" for o, n in x) + ")"
+    cigar = F.expr(f"case kind when 0 then {op((0, 20))} when 1 then {op((4, 4), (0, 16))} when 2 then {op((0, 16), (4, 4))} else {op((5, 1), (4, 3), (0, 10), (2, 1), (0, 3), (4, 1), (5, 1))} end")
+    rows = rows.withColumn("cigar", cigar).withColumn("qual", F.expr("repeat(chr(33 + q), 20)"))
+    return A.mark_fragments(rows).select("sample_id", "qname", "flag", "duplicate")
+
+
 @query("J12_insert_model", "cells", "select sample_id, cast(200 + s_suppkey % 90 as double) mean, 20.5 std, 1::bigint low, cast(greatest(1000, s_suppkey * 30) as bigint) high from cells where s_suppkey % 4 <> 0 and s_suppkey % 5 <> 0")
 def _(cells):
     log = F.expr("""concat('analyzing insert size distribution for orientation FF...\n mean and std.dev: (9.9, 9.9)\nanalyzing insert size distribution for orientation F', if(s_suppkey % 4 = 0, 'F', 'R'),

@@ -368,3 +368,28 @@ def test_molecule_samples(spark):
     mix = lambda x: (lambda y: y ^ y >> 31)(((lambda y: y ^ y >> 27)((x ^ x >> 30) * R.RANK_FACTORS[0] % 2**64)) * R.RANK_FACTORS[1] % 2**64)
     code = sum("ACGT".index(c) << 2 * i for i, c in enumerate(reversed(few[0])))
     assert rank[few[0]] == mix(code % 2**64 ^ mix(code >> 64))
+
+
+def test_fragment_ends(spark):
+    """By hand: clips on both strands, pairs against single ends, qualities, ties, strands."""
+    M, D, N, S_, H = 0, 2, 3, 4, 5
+    row = lambda q, flag, pos, cigar, qual="I" * 10, rname="chr1", cell="S1": (cell, q, flag, rname, pos, [(o, n) for o, n in cigar], qual)
+    rows = [
+        # one molecule: forward 5' at 100, reverse 5' at 219; clips hide it
+        row("a", 99, 100, [(M, 20)]), row("a", 147, 200, [(M, 20)]),
+        row("b", 99, 105, [(S_, 5), (M, 15)], "5" * 10), row("b", 147, 200, [(M, 17), (H, 1), (S_, 2)]),
+        row("c", 163, 103, [(H, 1), (S_, 2), (M, 15)], "#" * 10), row("c", 83, 190, [(M, 10), (D, 4), (N, 6), (M, 10)], "#" * 10),
+        # the same places on other strands, in another cell
+        row("d", 65, 100, [(M, 20)]), row("d", 129, 219, [(M, 20)]), row("e", 99, 100, [(M, 20)], cell="S2"), row("e", 147, 200, [(M, 20)], cell="S2"),
+        # single ends: at a pair's end, on its other strand, two at one place of their own
+        row("f", 73, 100, [(M, 9)], "~" * 9), row("f", 133, 100, [], None), row("g", 89, 100, [(M, 1)]), row("h", 73, 500, [(M, 9)], "5" * 9), row("i", 73, 502, [(S_, 2), (M, 9)], "6" * 9),
+        # equal scores: the lesser name; other records of a read count for nothing
+        row("k", 99, 700, [(M, 5)]), row("k", 147, 800, [(M, 5)]), row("j", 99, 700, [(M, 5)]), row("j", 147, 800, [(M, 5)]), row("k", 99 + 2048, 5, [(M, 2)]), row("k", 99 + 256, 5, [(M, 2)])]
+    df = spark.createDataFrame(rows, "sample_id string, qname string, flag int, rname string, pos long, cigar array<struct<op: int, len: int>>, qual string")
+    marked = {(r.sample_id, r.qname) for r in A.mark_fragments(df).collect() if r.duplicate}
+    assert marked == {("S1", "b"), ("S1", "c"), ("S1", "f"), ("S1", "h"), ("S1", "k")}
+    assert [r.flag for r in A.mark_fragments(df).where("duplicate and qname in ('f', 'k')").orderBy("flag").collect()] == [73, 99, 147, 2147]
+    assert A.mark_fragments(df, supplementary=False).where("duplicate and qname = 'k'").count() == 2
+    with pytest.raises(Exception, match="more than two"):
+        A.mark_fragments(df.unionByName(df.where("qname = 'a'"))).collect()
+    assert A.mark_fragments(df.where("false")).count() == 0
