@@ -45,9 +45,10 @@ def _(cpg):
     return C.canonical(cpg, -1)
 
 
-@query("C2_contig_class", "contigs", f"select chrom, {KIND} kind from contigs")
-def _(contigs):
-    return contigs.select("chrom", G.contig_class("chrom").alias("kind"))
+@query("C2_contig_class", "cpg", f"select chrom, {KIND} kind, n from (select case when pos % 3 = 0 then upper(chrom) else chrom end chrom, count(*) n from cpg group by 1) c")
+def _(cpg):
+    names = cpg.groupBy(F.expr("case when pos % 3 = 0 then upper(chrom) else chrom end").alias("chrom")).agg(F.count("*").alias("n"))
+    return names.select("chrom", G.contig_class("chrom").alias("kind"), "n")
 
 
 @query("C3_primary_only", "cpg", f"select chrom, count(*) n from cpg where chrom in {HOST} group by chrom")
@@ -400,9 +401,11 @@ def _(cpg):
     return cpg.withColumn("before", F.lag("pos").over(w)).where("pos <= before").select("sample_id", "chrom", F.col("methyl").alias("line"), "pos", "before")
 
 
-@query("N3_contigs", "contigs", "with m as (select chrom, case when i % 9 = 0 then 0 else len end len from contigs union all select chrom, len from contigs where i % 10 = 3) select 'contig_length' rule, chrom key, '' detail from m where len <= 0 union all select 'repeated_contig', chrom, cast(count(*) as string) from m group by chrom having count(*) > 1")
-def _(contigs):
-    return K.contig_rows(contigs.selectExpr("chrom", "case when i % 9 = 0 then 0L else len end len").unionByName(contigs.where("i % 10 = 3").select("chrom", "len")))
+@query("N3_contigs", "cpg", """with c as (select chrom, max(pos) len from cpg group by chrom), m as (select chrom, case when len % 3 = 0 then 0 else len end len from c union all select chrom, len from c where len % 4 = 1)
+    select 'contig_length' rule, chrom key, '' detail from m where len <= 0 union all select 'repeated_contig', chrom, cast(count(*) as string) from m group by chrom having count(*) > 1""")
+def _(cpg):
+    lengths = cpg.groupBy("chrom").agg(F.max("pos").alias("len"))
+    return K.contig_rows(lengths.selectExpr("chrom", "if(len % 3 = 0, 0L, len) len").unionByName(lengths.where("len % 4 = 1")))
 
 
 @query("N9_pair_funnel", "pairs", "select 'closure' rule, sample_id key, '' detail from pairs where accepted_pairs - duplicate_pairs - removed_pairs + input_pairs % 2 <> final_pairs")

@@ -84,6 +84,14 @@ def _(reads):
     return IN.fastq(reads.sparkSession, [fastq_file(reads)], 1).select("ordinal", "id", "seq")
 
 
+@query("A4_scan_lane", "reads", "select row_number() over (order by ordinal) - 1 ordinal, id, seq from reads")
+def _(reads):
+    """A lane of several files, each of whole records, which tasks write by ranges."""
+    path = place(reads.sparkSession)
+    reads.repartitionByRange(5, "ordinal").sortWithinPartitions("ordinal").selectExpr("concat('@', id, '\n', seq, '\n+\n', repeat('I', length(seq))) value").write.option("compression", "gzip").text(path)
+    return IN.fastq(reads.sparkSession, [path], 1).select("ordinal", "id", "seq")
+
+
 @query("A5_fastq_pairs", "reads", "select cast(1 + ordinal % 2 as int) lane, row_number() over (partition by ordinal % 2 order by ordinal) - 1 ordinal, id, seq seq1, seq seq2, case when ordinal % 13 = 0 then 'ids_differ' end problem from reads")
 def _(reads):
     lanes = [reads.where(f"ordinal % 2 = {k}") for k in range(2)]
@@ -146,9 +154,10 @@ def _(intervals):
     return IN.bed(intervals.sparkSession, lines(intervals, "concat_ws('\t', chrom, cast(start as string), concat(cast(stop as string), '.0'))"))
 
 
-@query("A19_scan_fai", "contigs", "select chrom, len from contigs")
-def _(contigs):
-    return IN.fai(contigs.sparkSession, table(contigs.selectExpr("chrom", "len", "0L a", "60L b", "61L c"), header=False))
+@query("A19_scan_fai", "cpg", "select chrom, max(pos) len from cpg group by chrom")
+def _(cpg):
+    lengths = cpg.groupBy("chrom").agg(F.max("pos").alias("len"))
+    return IN.fai(cpg.sparkSession, table(lengths.selectExpr("chrom", "len", "0L a", "60L b", "61L c"), header=False))
 
 
 @query("A20_scan_gtf", "genes", "select gene, chrom, g_start, g_end, strand, 'protein_coding' biotype from genes")

@@ -115,15 +115,15 @@ def _(cells):
     return cells.select("sample_id", F.row_number().over(Window.partitionBy("project_sample_id").orderBy("sample_id")).alias("cell_order"))
 
 
-ORDERS = "(values ('-9223372036854775808'), ('-10'), ('-2'), ('01'), ('1'), ('+2'), ('2'), ('10'), ('9223372036854775807'), ('9223372036854775808'), ('1z'), ('A1'), ('B2')) t(x)"
 
+#: plate places as manifests have them: signed, padded and plain numbers, numbers beyond 64 bits, wells and other names
+PLACES = """select case c_custkey % 7 when 0 then cast(c_custkey as string) when 1 then concat('-', cast(c_custkey as string)) when 2 then concat('00', cast(c_custkey as string)) when 3 then concat('+', cast(c_custkey as string))
+    when 4 then concat('99999999999999', cast(100000 + c_custkey as string)) when 5 then concat(substr('ABCDEFGH', cast(c_custkey % 8 + 1 as int), 1), cast(c_custkey % 12 + 1 as string)) else concat(cast(c_custkey as string), 'z') end x from barcode_counts"""
 
-@query("F12_cell_order", "contigs", f"select x, cast(row_number() over (order by try_cast(x as bigint) is null, try_cast(x as bigint), x) as int) place from {ORDERS}")
-def _(contigs):
-    from pyspark.sql import Window
 
-    rows = contigs.sparkSession.createDataFrame([(x,) for x in "-9223372036854775808 -10 -2 01 1 +2 2 10 9223372036854775807 9223372036854775808 1z A1 B2".split()], "x string")
-    return rows.select("x", F.row_number().over(Window.orderBy(*X.natural_order("x"))).alias("place"))
+@query("F12_cell_order", "barcode_counts", f"select x, row_number() over (order by try_cast(x as bigint) is null, try_cast(x as bigint), x) - 1 place from ({PLACES}) p")
+def _(counts):
+    return M.numbered(counts.sparkSession.sql(PLACES.replace("from barcode_counts", "from {counts}"), counts=counts), *X.natural_order("x"))
 
 
 @query("G1_barcode_order", "barcode_counts", "select barcode, n, row_number() over (order by n desc, barcode, c_custkey) - 1 place from barcode_counts")

@@ -187,6 +187,24 @@ def _(counts):
     return R.droplet_replay(counts.select(F.lit(1).alias("lane"), F.col("c_custkey").alias("ordinal"), "barcode"), called, called)
 
 
+#: of the two barcodes of a number, which differ in their first letter, the even one is called, the odd one in a third of all; all are in the design
+CALLED = "c_custkey % 2 = 0 or c_custkey % 6 = 1"
+
+
+@query("J5_droplet_fates", "barcode_counts", f"""with p as (select a.c_custkey c, a.barcode, a.c_custkey % 2 = 0 or a.c_custkey % 6 = 1 own, case when b.c_custkey % 2 = 0 or b.c_custkey % 6 = 1 then b.barcode end other
+        from barcode_counts a left join barcode_counts b on floor(a.c_custkey / 2.0) = floor(b.c_custkey / 2.0) and a.c_custkey <> b.c_custkey)
+    select 1 lane, c * 4 ordinal, barcode, case when own then barcode end cell_barcode, case when own then 'dna_assigned' else 'unmatched' end fate from p
+    union all select 1, c * 4 + 1, 'T' || substr(barcode, 2), case when own and other is null then barcode when not own then other end, case when own and other is not null then 'ambiguous' when own or other is not null then 'dna_assigned' else 'unmatched' end from p
+    union all select 1, c * 4 + 2, 'T' || substr(barcode, 2, 15) || 'C', null, 'unmatched' from p
+    union all select 1, c * 4 + 3, substr(barcode, 1, 16) || 'C', case when own then barcode end, case when own then 'dna_assigned' else 'unmatched' end from p""")
+def _(counts):
+    """Reads with a design barcode that is not called (which its called neighbour does not take), between two called ones, one substitution and two from a called one."""
+    made = F.array("barcode", F.concat(F.lit("T"), F.substring("barcode", 2, 16)), F.concat(F.lit("T"), F.substring("barcode", 2, 15), F.lit("C")), F.concat(F.substring("barcode", 1, 16), F.lit("C")))
+    reads = counts.select("c_custkey", F.posexplode(made).alias("v", "barcode"))
+    reads = reads.select(F.lit(1).alias("lane"), (F.col("c_custkey") * 4 + F.col("v")).alias("ordinal"), "barcode")
+    return R.droplet_replay(reads, counts.where(CALLED).select("barcode").distinct(), counts.select("barcode").distinct())
+
+
 @query("E11_barcode_counts", "reads", "select barcode, count, string_agg(cast(low as string), ',' order by j) below_q20, string_agg(cast(high as string), ',' order by j) q30 from (select barcode, j, max(c) count, count_if(q < 34) low, count_if(q >= 38) high from (select substr(seq, 1, 4) barcode, j, ascii(substr(seq, j + 4, 1)) - 33 q, count(*) over (partition by substr(seq, 1, 4), j) c from reads, (select cast(unnest(generate_series(1, 5)) as int) j) s) x group by 1, 2) y group by 1, 2".replace("q < 34", "q < 20").replace("q >= 38", "q >= 30"))
 def _(reads):
     out = R.barcode_counts(reads.select(F.substring("seq", 1, 4).alias("barcode"), F.substring("seq", 5, 5).alias("qual")))

@@ -99,12 +99,12 @@ def _(cells):
     return rounded(cells.select("sample_id", N.signed_log("s_acctbal").alias("l")))
 
 
-@query("I24_resolve_contig", "contigs", "select upper(chrom) requested, chrom, len from contigs")
-def _(contigs):
+@query("I24_resolve_contig", "cpg contigs", "select requested, chrom, len, n from (select case when pos % 2 = 0 then upper(chrom) else lower(chrom) end requested, count(*) n from cpg group by 1) r join contigs on lower(requested) = lower(chrom)")
+def _(cpg, contigs):
     from methlake.functions.contigs import resolve_contig
 
-    asked = contigs.select(F.upper("chrom").alias("requested"))
-    return asked.join(F.broadcast(contigs), resolve_contig(F.col("requested"))).select("requested", "chrom", "len")
+    asked = cpg.groupBy(F.expr("case when pos % 2 = 0 then upper(chrom) else lower(chrom) end").alias("requested")).agg(F.count("*").alias("n"))
+    return asked.join(contigs, resolve_contig(F.col("requested"))).select("requested", "chrom", "len", "n")
 
 
 @query("I25_lane", "cells", "select sample_id, lpad(cast(s_suppkey % 12 as string), 2, '0') lane from cells")

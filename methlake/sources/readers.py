@@ -29,7 +29,7 @@ def _lines(spark: SparkSession, path) -> DataFrame:
 
 
 def fastq(spark: SparkSession, paths: list[str], mate: int) -> DataFrame:
-    """lane, ordinal, mate, id, seq, qual of FASTQ files, one lane each in the order given; ordinals count from 0 in file order.
+    """lane, ordinal, mate, id, seq, qual of FASTQ files, one lane each in the order given; ordinals count from 0 in file order. A lane may be a folder or pattern: its files follow each other by name.
 
     A plain file is read in blocks by many tasks, a compressed one by one. The number of a line is its place in its block plus the lines of the blocks before, one row
     each. A record that breaks off, lacks its marks, or whose qualities are of another length fails.
@@ -39,9 +39,9 @@ def fastq(spark: SparkSession, paths: list[str], mate: int) -> DataFrame:
     from pyspark.sql import Window
 
     lines = reduce(DataFrame.unionByName, [_lines(spark, path).withColumn("lane", F.lit(lane)) for lane, path in enumerate(paths, 1)])
-    blocks = lines.groupBy("lane", "block").agg(F.min("n").alias("first"), F.count("*").alias("lines"))
-    before = F.coalesce(F.sum("lines").over(Window.partitionBy("lane").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    at = lines.join(blocks.withColumn("before", before), ["lane", "block"]).withColumn("line", F.col("n") - F.col("first") + F.col("before"))
+    blocks = lines.groupBy("lane", "file", "block").agg(F.min("n").alias("first"), F.count("*").alias("lines"))
+    before = F.coalesce(F.sum("lines").over(Window.partitionBy("lane").orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    at = lines.join(blocks.withColumn("before", before), ["lane", "file", "block"]).withColumn("line", F.col("n") - F.col("first") + F.col("before"))
     part = [F.max(F.when(F.col("line") % 4 == k, F.col("value"))).alias(f"p{k}") for k in range(4)]
     r = at.groupBy("lane", F.floor(F.col("line") / 4).alias("ordinal")).agg(F.count("*").alias("n"), *part)
     whole = (F.col("n") == 4) & F.col("p0").startswith("@") & F.col("p2").startswith("+") & (F.length("p1") == F.length("p3"))
