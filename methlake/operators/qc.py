@@ -34,10 +34,13 @@ def qc_table(cpg: DataFrame, pairs: DataFrame) -> DataFrame:
     from methlake.operators.manifest import _cut
 
     sums = _cut(C.tagged_sums(cpg, {}, windows=False))
-    summary = C.summary_of(sums.where("product = 'contig'"), pairs)
+    return qc_rows(pairs, C.summary_of(sums.where("product = 'contig'"), pairs), C.gini(C.bins_of(sums.where("product = 'bin'"))))
+
+
+def qc_rows(pairs: DataFrame, summary: DataFrame, gini: DataFrame) -> DataFrame:
+    """The QC table from its parts."""
     rates = summary.select("sample_id", F.col("host_sites").alias("unique_cpg_sites"), F.col("host_rate_pct").alias("cpg_rate_pct"), "lambda_sites", "lambda_rate_pct", "puc19_sites", "puc19_rate_pct")
     shares = C.composition(summary).drop("total_signals")
-    gini = C.gini(C.bins_of(sums.where("product = 'bin'")))
     out = funnel(pairs).join(rates, "sample_id", "left").join(shares, "sample_id", "left").join(gini, "sample_id", "left")
     return out.select(*schemas.QC_COLUMNS)
 

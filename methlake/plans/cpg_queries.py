@@ -230,7 +230,10 @@ def _reasons(mapping: bool) -> str:
 LIMITS = {"lambda_max": 50.0, "puc19_min": 40.0, "sites_min": 400.0, "gini_max": 0.3}
 
 
-@query("C14_hq_filter", "cpg pairs", _reasons(False))
+REASONS = _reasons(False)
+
+
+@query("C14_hq_filter", "cpg pairs", REASONS)
 def _(cpg, pairs):
     return Q.filter_reasons(rounded(Q.qc_table(cpg, pairs)), **LIMITS)
 

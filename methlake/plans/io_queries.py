@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from methlake import downstream as L
 from methlake import schemas
 from methlake.functions import numbers as N
 from methlake.functions import sequence as S
@@ -17,7 +18,7 @@ from methlake.operators import intervals as I
 from methlake.operators import manifest as M
 from methlake.operators import qc as Q
 from methlake.operators import stats as T
-from methlake.plans.cpg_queries import CHROM, FRAC, FUNNEL, GINI, HOST, MAD, MEANS, QC, SUMMARY, SUMMARY_COLUMNS, TSS_PROFILE, WINDOWS, q6, rounded
+from methlake.plans.cpg_queries import CHROM, FRAC, FUNNEL, GINI, HOST, LIMITS, MAD, MEANS, QC, REASONS, SUMMARY, SUMMARY_COLUMNS, TSS_PROFILE, WINDOWS, q6, rounded
 from methlake.plans.registry import query
 from methlake.sources import csr as Y
 from methlake.sources import delivery as D
@@ -436,3 +437,22 @@ def _(cells):
 @query("D14_region_membership_means", "cpg", f"select chrom, {q6(f'avg({FRAC})')} f from cpg group by 1")
 def _(cpg):
     return rounded(cpg.groupBy("chrom").agg(F.avg(C.fraction()).alias("f")))
+
+
+def _frames(name: str, shims: str, sql: str, load) -> None:
+    """A frame loaded from a published QC run."""
+
+    @query(name, shims, sql)
+    def _(*tables):
+        cpg, pairs, contigs, intervals, genes = tables[:5]
+        public = place(cpg.sparkSession)
+        generation = L.run_qc_processor(cpg, pairs, contigs, intervals, genes, public, tss_share=0.5, tss_seed=7, tss_small=3, limits=LIMITS)
+        return load(cpg.sparkSession, public, generation)
+
+
+_RUN = "cpg pairs contigs intervals genes"
+_frames("L_qc_frame", _RUN, f"with fq as ({QC}), fr as ({REASONS.replace('with q as', 'with rq as').replace('from q', 'from rq')}) select fq.*, fr.* exclude (sample_id, clone_id, plate_id) from fq join fr on fq.sample_id = fr.sample_id", lambda *a: rounded(L.load_notebook_qc_frame(*a)))
+_frames("L_chromosome_frame", f"{_RUN}", CHROM.replace("from cells, contigs", "from pairs, contigs"), lambda *a: rounded(L.load_chromosome_qc_frame(*a)))
+_frames("L_density_frame", _RUN, f"with q as ({QC}), s as ({SUMMARY}) select q.sample_id, q.clone_id, unique_cpg_sites, final_pairs, coalesce(total_signals, 0) total_signals from q join pairs p on p.sample_id = q.sample_id left join s on s.sample_id = q.sample_id", lambda *a: L.load_cpg_density_frame(*a))
+_frames("L_tss_frame", _RUN, f"""with tp as ({TSS_PROFILE}), ch as (select sample_id, clone_id from (select sample_id, clone_id, row_number() over (partition by clone_id order by sha256('[7, "' || sample_id || '"]'), sample_id) r, count(*) over (partition by clone_id) n from pairs) x
+    where r <= case when n < 3 then n else least(100, ceil(n * 0.5)) end) select tp.*, clone_id from tp join ch on ch.sample_id = tp.sample_id""", lambda *a: rounded(L.load_notebook_tss_frame(*a)))

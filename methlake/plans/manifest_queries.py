@@ -115,7 +115,6 @@ def _(cells):
     return cells.select("sample_id", F.row_number().over(Window.partitionBy("project_sample_id").orderBy("sample_id")).alias("cell_order"))
 
 
-
 #: plate places as manifests have them: signed, padded and plain numbers, numbers beyond 64 bits, wells and other names
 PLACES = """select case c_custkey % 7 when 0 then cast(c_custkey as string) when 1 then concat('-', cast(c_custkey as string)) when 2 then concat('00', cast(c_custkey as string)) when 3 then concat('+', cast(c_custkey as string))
     when 4 then concat('99999999999999', cast(100000 + c_custkey as string)) when 5 then concat(substr('ABCDEFGH', cast(c_custkey % 8 + 1 as int), 1), cast(c_custkey % 12 + 1 as string)) else concat(cast(c_custkey as string), 'z') end x from barcode_counts"""

@@ -97,16 +97,17 @@ def inventory(spark: SparkSession, public: str, generation: str | None = None) -
     return spark.read.schema(INVENTORY).json(f"{public}/_inventory/{generation or current(spark, public)}")
 
 
-def published(spark: SparkSession, public: str, generation: str | None = None) -> DataFrame:
-    """The rows of a generation's Parquet files (None: the current one). Each file must be what its inventory says, and there must be no other."""
+def published(spark: SparkSession, public: str, generation: str | None = None, part: str = "") -> DataFrame:
+    """The rows of a generation's Parquet files (None: the current one), or of one folder of it. Each file read must be what its inventory says, and there must be no other."""
     generation = generation or current(spark, public)
+    below = f"{part}/" if part else ""
     name = F.regexp_extract("path", rf"/generation-{generation}/(.*)$", 1)
-    found = file_digests(spark, folder(public, generation)).withColumn("path", name).where(~F.col("path").rlike(r"(^|/)[_.]"))
-    j = inventory(spark, public, generation).alias("l").join(found.alias("f"), "path", "full_outer")
+    found = file_digests(spark, f"{folder(public, generation)}/{part}").withColumn("path", name).where(~F.col("path").rlike(r"(^|/)[_.]"))
+    j = inventory(spark, public, generation).where(F.col("path").startswith(below)).alias("l").join(found.alias("f"), "path", "full_outer")
     same = (F.col("l.size_bytes") == F.col("f.size_bytes")) & (F.col("l.sha256") == F.col("f.sha256"))
     if not j.where(~F.coalesce(same, F.lit(False))).isEmpty():
         raise ValueError("the delivery is not what its inventory says")
-    return spark.read.parquet(folder(public, generation))
+    return spark.read.parquet(f"{folder(public, generation)}/{part}")
 
 
 def retire(spark: SparkSession, public: str, keep: int = 1) -> int:
