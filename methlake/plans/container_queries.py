@@ -31,7 +31,7 @@ def _written(alignments) -> str:
 def _(alignments):
     found = B.read_bam(alignments.sparkSession, _written(alignments), tags=True, split=1 << 16)
     cigar = F.array_join(F.transform("cigar", lambda c: F.concat(c["len"].cast("string"), F.when(c["op"] == 4, "S").otherwise("M"))), "")
-    return found.select("qname", F.col("flag").cast("long").alias("flag"), "rname", "pos", F.col("mapq").cast("long").alias("mapq"), cigar.alias("cigar"), "seq", "qual", F.col("tags")["RG"].alias("cell"))
+    return found.select("qname", "flag", "rname", "pos", F.col("mapq").cast("long").alias("mapq"), cigar.alias("cigar"), "seq", "qual", F.col("tags")["RG"].alias("cell"))
 
 
 @query("A13_scan_bam_contigs", "alignments", f"select rname, cell, count(*) n, min(pos) first, max(pos) last from ({ROWS}) r where rname in ('chr2', 'chr3') group by 1, 2")
