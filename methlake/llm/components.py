@@ -1,8 +1,8 @@
 """Connected components by alternating large-star and small-star steps (Kiveris et al., 2014).
 
 Edges stay distributed. Every step is a minimum per node (pre-aggregated before its shuffle) joined
-back to the edges, so a node with very many edges is split by adaptive execution and never lands
-in one task. The edges are written to the shared folder after each round, and those of the round before go.
+back to the edges. The minima are exchanged anew for the join, so that both its sides are plain exchanges: then adaptive execution splits
+a node with very many edges, which it does not do beside an aggregate. The edges are written to the shared folder after each round, and those of the round before go.
 """
 
 from __future__ import annotations
@@ -15,8 +15,12 @@ from .common import discard, written
 
 def _star(edges: DataFrame) -> DataFrame:
     """(u, v) in both directions -> (v, least neighbour of u) for v > u."""
-    least = edges.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return edges.join(least, "u")
+    return _joined(edges, edges.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
+
+
+def _joined(edges: DataFrame, least: DataFrame) -> DataFrame:
+    # as a new column the key is not what the aggregate was dealt by
+    return edges.join(least.withColumn("u", F.col("u").bitwiseOR(F.lit(0).cast("long"))), "u")
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
@@ -39,7 +43,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
         # small star: every node and its smaller neighbours go to the least of them
         down = large.select(F.col("x").alias("u"), F.col("y").alias("v"))
         least = down.groupBy("u").agg(F.min("v").alias("m"))
-        small = down.join(least, "u").select(F.col("v").alias("x"), F.col("m").alias("y"))
+        small = _joined(down, least).select(F.col("v").alias("x"), F.col("m").alias("y"))
         small = small.unionByName(least.select(F.col("u").alias("x"), F.col("m").alias("y")))
         e = small.where(F.col("x") != F.col("y")).select(F.col("y").alias("u"), F.col("x").alias("v")).distinct()
         before, e = e, written(e, "edges", few=True)

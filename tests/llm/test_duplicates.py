@@ -292,3 +292,25 @@ def test_tile_of_close_vectors_in_bounded_memory():
     # all pairs at once would take 2 * 2**20 * 256 * 8 bytes
     assert len(i) == tried == 1024 * 1024 and peak < 300e6
     assert (x @ x.T >= 0.98).sum() == len(i)
+
+
+def test_a_node_of_very_many_edges_is_split(spark):
+    from pyspark.sql import functions as F
+
+    from methlake.llm import components as K
+
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k", "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k, None) for k in confs}
+    star = spark.range(1, 100_001).select(F.lit(0).cast("long").alias("u"), F.col("id").alias("v"))
+    few = spark.range(200_000, 200_400).select(F.col("id").alias("u"), (F.col("id") + 1000).alias("v"))
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        df = K._star(star.unionByName(few).repartition(16))
+        assert len(df.collect()) == 100_400
+        assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert components(star.unionByName(few), "u", "v").where("component = 0").count() == 100_001
