@@ -37,17 +37,24 @@ REACH, DEPTH = 400, 3
 #: share of all text of a host's sampled pages that must differ, or they are copies of one another
 ALIKE = 0.2
 
+# attributes of a tag. A value ends with a quote that white space, a slash or the tag's end follows and that does not open another value; a quote without such an end
+# is one nobody closed, and the tag ends at the next ">"
+_ATTRS = r"(?:[^>\"']|\"[^\"]*(?<!=)\"(?=[\s/>]|$)|\"\"|'[^']*(?<!=)'(?=[\s/>]|$)|''|[\"'])*"
 _LEX = re.compile(
     r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)"
-    r"|<(script|style|noscript|template|svg|math|textarea|iframe|object|select|title)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|$)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)",
+    rf"|<(script|style|noscript|template|svg|math|textarea|iframe|object|select|title)\b{_ATTRS}>.*?(?:</\1\s*>|$)"
+    rf"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)({_ATTRS})(?:>|$)",
     re.S | re.I,
 )
 _ATTR = re.compile(r"""\b(class|id|role|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 VOID = {"br", "hr", "img", "input", "meta", "link", "wbr", "area", "base", "col", "embed", "source", "track"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "img", "br"}
 OUTSIDE = {"nav", "header", "footer", "aside", "form", "button", "head", "dialog", "menu", "input", "fieldset"}
+#: text beside an article and inside the main part, in lengths of the article, from which on the article is not the page's own
+TEASER = 3
 _BAD = re.compile(r"^(?:nav(?:bar|igation)?|menu|side-?bar|footer|header|masthead|ads?|advert\w*|banner|promo\w*|sponsor\w*|cookies?|consent|gdpr|notices?|popup|modal|overlay|comments?|disqus|repl(?:y|ies)|respond|shar(?:e|ing)|social|related|recommend\w*|breadcrumbs?|newsletter|subscri\w+|signup|login|search|widget|toolbar|pagination|pager|skip|hidden|sr-only|complementary|contentinfo|alert)$")
+#: compound class names are judged by their last word, if that is a part of a page's layout: related-work or search-history are ordinary sections
+_PART = re.compile(r"[-_](?:nav(?:bar|igation)?|menu|sidebar|footer|header|masthead|banner|breadcrumbs?|ads?|comments?|popup|modal|newsletter)$")
 _GOOD = re.compile(r"^(?:article|content|main|post|entry|story|body)$")
 #: an element that closes the open one of the same kind
 RESTART = {"p", "li", "dt", "dd", "tr", "td", "th", "option"}
@@ -273,7 +280,7 @@ def _name(tag: str) -> str:
 def _kind(tag: str) -> int:
     """-1: no article text inside; 3, 2, 1: an article, the main part, a content box; 0: neither."""
     name, *words = tag[1:].split(".")
-    if name in OUTSIDE or name not in ("body", "html", "article", "main") and any(_BAD.match(p) for w in words for p in {w, *re.split(r"[-_]+", w)}):
+    if name in OUTSIDE or name not in ("body", "html", "article", "main") and any(_BAD.match(w) or _PART.search(w) for w in words):
         return -1
     if name == "article":
         return 3
@@ -291,7 +298,10 @@ def _kept(page: list) -> set[int]:
     """Places of the texts at a page's best level: inside an article, the main part, a content box, or none of these, and nothing that is left out."""
     at = levels(page)
     best = max((x for x, _ in at), default=0)
-    return {j for x, j in at if x == best and x >= 0}
+    size = {x: sum(len(_said(page[j][0])) for y, j in at if y == x) for x in range(1, best + 1)}
+    # an article that is a small part of the main part or content box around it is a teaser there
+    low = next((x for x in range(1, best) if size[x] > TEASER * sum(size[y] for y in range(x + 1, best + 1))), best)
+    return {j for x, j in at if x >= low and x >= 0}
 
 
 def _said(text: str) -> str:

@@ -450,3 +450,18 @@ def test_pipeline_on_planted_documents(spark, tmp_path):
         assert last[i] == (kept.decode("utf-8", "ignore") if removed else t)
     caught = [passage not in last[i] and len(last[i]) < len(third[i]) - 0.9 * len(passage) for i, passage in planted.items() if i in last and i ^ 1 in last]
     assert len(caught) > 40 and all(caught)
+
+
+@pytest.mark.parametrize("html, text", [
+    ('<article><p>a <a href="x>link</a> tail</p><p>b</p></article>', "a link tail\nb"),
+    ("<article><p>a <a href='x>link</a> tail</p><p class=\"c\">b</p></article>", "a link tail\nb"),
+    ('<article><p>a <a title="1 > 0 <b>" href="?q=">link</a> &lt;i&gt;</p><img alt="" src=x><p data-x="">b</p></article>', "a link <i>\nb"),
+    ('<article><p>say "one" and <a href="x>he said "two" again</a></p></article>', 'say "one" and he said "two" again'),
+    ('<script src="a>var x = "<p>no</p>";</script><article><p>yes</p></article>', "yes"),
+    ('<div class="article"><p>one two</p><div class="related-work"><p>Related work section</p></div><div class="share-price"><p>up</p></div><div class="related"><p>no</p></div><div class="site-footer">no</div></div>', "one two\nRelated work section\nup"),
+    ("<main><article><p>Teaser</p></article><div><p>Real long text here</p></div></main>", "Teaser\nReal long text here"),
+    ("<main><article><p>The article is long enough here</p></article><div><p>Short note</p></div></main>", "The article is long enough here"),
+])
+def test_article_of_odd_pages(html, text):
+    """Quotes that nobody closed, class names that only begin like a layout's, and teasers in a main part."""
+    assert wrappers.alone(wrappers.tokens(html)) == text
