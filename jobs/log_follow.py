@@ -2,11 +2,12 @@
 
 Each file holds chunks of logs (run, chunk, text by the configuration's ``columns``). Per run the job keeps its number of lines and characters, its last ``keep`` lines, the last lines that
 match one of ``patterns`` (what must not be in a log that is delivered, or what a reader looks for), and each such message with its count and first
-place. The file stream's checkpoint is the high-water mark: a run of the job takes only files that no run before took. The views are one Parquet table in
-folders ``product=../shard=..``; a batch rewrites the shards that it touches.
+place. The file stream's checkpoint is the high-water mark: a run of the job takes only files that no run before took. A chunk that comes again in another file counts again.
 
-A folder's rows name the batch that wrote them. A batch that broke off while its folders were put in place is repeated by the stream, and folders that have it already are left
-as they are, so nothing counts twice. A checkpoint and its output belong together: output of another checkpoint is refused.
+The views are Parquet folders ``views/batch=../product=../shard=..``. A batch writes the shards that it touches, made from what the batches before it left and from its new lines, into a
+folder of its own; then a row in ``marks`` says that it is whole. The view of a shard is that of its last marked batch. So no folder that counts is ever written over: a batch that breaks off
+anywhere leaves the views as they were, and when the stream repeats it, it makes the same folder again. Every ``history`` batches all shards are written, and what the
+snapshot before that one made superfluous is emptied. A checkpoint and its output belong together: output of another checkpoint is refused.
 
     python -m jobs.log_follow --input /data/documents --output /data/views --checkpoint /data/views-checkpoint [--config my.json]
 """
@@ -22,39 +23,56 @@ from jobs.common import counted, load, log, session
 from methlake.streaming.follow import PRODUCTS, log_lines, merged, products, shard_of
 
 NAME = "log_follow"
-STORED = f"{PRODUCTS}, batch long, stream string"
+STORED = f"{PRODUCTS}, batch long"
+MARKS = "snapshot boolean, stream string, batch long"
 
 
-def stored(spark: SparkSession, target: str) -> DataFrame:
-    """The views as they lie in the target folder."""
-    return spark.read.schema(STORED).parquet(target)
+def marks(spark: SparkSession, target: str) -> list:
+    """(batch, snapshot, stream) of the whole batches; there are twice ``history`` of them at most, and those of the batches since."""
+    return sorted((r["batch"], r["snapshot"], r["stream"]) for r in spark.read.schema(MARKS).parquet(f"{target}/marks").collect())
+
+
+def latest(spark: SparkSession, target: str, batches: list[int]) -> DataFrame:
+    """The rows of each shard from the last of some batches that has it."""
+    rows = spark.read.schema(STORED).parquet(f"{target}/views").where(F.col("batch").isin(batches))
+    # one row for each shard and batch
+    newest: dict[int, int] = {}
+    for r in rows.select("shard", "batch").distinct().collect():
+        newest[r["shard"]] = max(r["batch"], newest.get(r["shard"], -1))
+    own = F.lit(False)
+    for batch in set(newest.values()):
+        own = own | ((F.col("batch") == batch) & F.col("shard").isin([k for k, b in newest.items() if b == batch]))
+    return rows.where(own)
 
 
 def take(chunks: DataFrame, number: int, target: str, config: dict) -> None:
-    """Merges one batch of chunks into the views."""
+    """Makes one batch's folder from the views before it and its chunks."""
     spark = chunks.sparkSession
     stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
-    shards = config["shards"]
-    # at most one row for each shard, and for each product and shard
-    touched = [r[0] for r in chunks.select(shard_of(F.col("run"), shards)).distinct().collect()]
-    if not touched:
-        return
-    old = stored(spark, target).where(F.col("shard").isin(touched))
-    marks = old.select("product", "shard", "batch", "stream").distinct().collect()
-    if any(r["stream"] != stream for r in marks):
+    shards, keep = config["shards"], config["keep"]
+    known = marks(spark, target)
+    if any(m[2] != stream for m in known):
         raise ValueError(f"{target} was written with another checkpoint")
+    before = [m for m in known if m[0] < number]
+    # one row for each shard at most
+    touched = [r[0] for r in chunks.select(shard_of(F.col("run"), shards)).distinct().collect()]
     chunks, seen = counted(chunks, f"read {number}")
-    new = products(log_lines(chunks), config["patterns"], config["keep"], shards)
-    for r in marks:
-        if r["batch"] >= number:
-            new = new.where(~((F.col("product") == r["product"]) & (F.col("shard") == r["shard"])))
-    rows, made = counted(merged(old.drop("batch", "stream"), new, config["keep"]), f"written {number}")
-    rows = rows.select("*", F.lit(number).cast("long").alias("batch"), F.lit(stream).alias("stream"))
+    state = latest(spark, target, [m[0] for m in before]).drop("batch")
+    rows = merged(state.where(F.col("shard").isin(touched)), products(log_lines(chunks), config["patterns"], keep, shards), keep)
+    snapshot = number % config["history"] == 0
+    if snapshot:
+        rows = rows.unionByName(state.where(~F.col("shard").isin(touched)))
+    rows, made = counted(rows, f"written {number}")
     # ranges, so that a shard with a very large run is several files
     order = ["product", "shard", "run", "chunk", "line", "text"]
     rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    rows.write.partitionBy("product", "shard").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(target)
+    rows.write.partitionBy("product", "shard").option("partitionOverwriteMode", "static").mode("overwrite").parquet(f"{target}/views/batch={number}")
+    spark.createDataFrame([(snapshot, stream)], "snapshot boolean, stream string").coalesce(1).write.mode("overwrite").parquet(f"{target}/marks/batch={number}")
     log.info("%s: batch %d, wrote %d rows of %d shards to %s", NAME, number, made.get["rows"], len(touched), target)
+    # the last but one snapshot holds all that batches before it made: a reader may still be at those after it
+    for old in [m[0] for m in before if m[0] < ([0, 0] + [x[0] for x in before if x[1]])[-2]]:
+        spark.createDataFrame([], "snapshot boolean, stream string").write.mode("overwrite").parquet(f"{target}/marks/batch={old}")
+        spark.createDataFrame([], PRODUCTS).write.partitionBy("product", "shard").option("partitionOverwriteMode", "static").mode("overwrite").parquet(f"{target}/views/batch={old}")
 
 
 def watched(source: str) -> str:
@@ -65,8 +83,9 @@ def watched(source: str) -> str:
 
 def run(spark: SparkSession, source: str, target: str, checkpoint: str, config: dict) -> DataFrame:
     """The job on a session: takes all files that are new, waits for the stream to end, and gives back the whole views."""
-    # no rows: the folder is there before the first batch
-    spark.createDataFrame([], STORED).write.partitionBy("product", "shard").mode("append").parquet(target)
+    # no rows: the folders are there before the first batch
+    spark.createDataFrame([], STORED).write.partitionBy("batch", "product", "shard").mode("append").parquet(f"{target}/views")
+    spark.createDataFrame([], MARKS).write.partitionBy("batch").mode("append").parquet(f"{target}/marks")
     files = spark.readStream.schema(config["schema"]).format(config["format"]).option("maxFilesPerTrigger", config["files_per_batch"]).load(watched(source))
     chunks = files.selectExpr(*[f"{config['columns'][c]} {c}" for c in ("run", "chunk", "text")])
     stream = chunks.writeStream.foreachBatch(lambda batch, number: take(batch, number, target, config)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
@@ -76,7 +95,8 @@ def run(spark: SparkSession, source: str, target: str, checkpoint: str, config:
 
 
 def read(spark: SparkSession, target: str) -> DataFrame:
-    return stored(spark, target).select(*[f.split()[0] for f in PRODUCTS.split(", ")])
+    """The views of all shards."""
+    return latest(spark, target, [m[0] for m in marks(spark, target)]).select(*[f.split()[0] for f in PRODUCTS.split(", ")])
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -88,19 +88,26 @@ def test_follow_growing_input(spark, tmp_path):
     assert follow(spark, third, files_per_batch=1) == two
 
 
+def undone(tmp_path, batch):
+    """The stream does not know that a batch ended."""
+    for name in (str(batch), f".{batch}.crc"):
+        if os.path.exists(f"{tmp_path}/mark/commits/{name}"):
+            os.remove(f"{tmp_path}/mark/commits/{name}")
+
+
 def test_follow_repeats_a_broken_batch(spark, tmp_path):
     put(spark, tmp_path, "1", FIRST)
-    follow(spark, tmp_path)
-    shutil.copytree(f"{tmp_path}/out", f"{tmp_path}/before")
+    one = follow(spark, tmp_path)
     put(spark, tmp_path, "2", SECOND)
     two = follow(spark, tmp_path)
-    # as if the second batch had ended after some of its folders: its commit is gone, and the other folders are in the state before it
-    for product in ("product=total", "product=event"):
-        shutil.rmtree(f"{tmp_path}/out/{product}")
-        shutil.copytree(f"{tmp_path}/before/{product}", f"{tmp_path}/out/{product}")
-    for name in ("1", ".1.crc"):
-        if os.path.exists(f"{tmp_path}/mark/commits/{name}"):
-            os.remove(f"{tmp_path}/mark/commits/{name}")
+    # it ended, but the stream did not hear of it
+    undone(tmp_path, 1)
+    assert follow(spark, tmp_path) == two
+    # it broke off while its folder was put in place: readers have the views before it, then it is made again
+    undone(tmp_path, 1)
+    shutil.rmtree(f"{tmp_path}/out/marks/batch=1")
+    shutil.rmtree(f"{tmp_path}/out/views/batch=1/product=total")
+    assert rows(log_follow.read(spark, f"{tmp_path}/out")) == one
     assert follow(spark, tmp_path) == two
     # output without its checkpoint
     shutil.rmtree(f"{tmp_path}/mark")
@@ -108,6 +115,19 @@ def test_follow_repeats_a_broken_batch(spark, tmp_path):
         follow(spark, tmp_path)
 
 
+def test_follow_empties_what_is_superseded(spark, tmp_path):
+    docs = [(k, f"line {k}\ntoken = {k % 3}", f"run{k % 5}") for k in range(24)]
+    for k in range(8):
+        put(spark, tmp_path, str(k), docs[3 * k : 3 * k + 3])
+        last = follow(spark, tmp_path, history=2)
+    left = sorted(int(d.split("=")[1]) for d in os.listdir(f"{tmp_path}/out/views") if any(f.endswith(".parquet") for _, _, fs in os.walk(f"{tmp_path}/out/views/{d}/product=total") for f in fs))
+    assert left == [4, 5, 6, 7]
+    other = tmp_path / "other"
+    other.mkdir()
+    put(spark, other, "all", docs)
+    assert follow(spark, other) == last
+
+
 def test_configuration(tmp_path):
     (tmp_path / "c.json").write_text(json.dumps({"keep": 5}))
     assert load(f"{tmp_path}/c.json", "log_follow")["keep"] == 5
@@ -124,4 +144,4 @@ def test_command_lines(tmp_path):
         assert done.returncode == 0, done.stderr[-2000:]
         assert "wrote" in done.stderr and "read" in done.stderr
     assert duckdb.sql(f"select count(*) from '{tmp_path}/report/*/*/*.parquet'").fetchall()[0][0] > 0
-    assert duckdb.sql(f"select count(*) from '{tmp_path}/views/*/*/*.parquet'").fetchall()[0][0] > 0
+    assert duckdb.sql(f"select count(*) from '{tmp_path}/views/views/*/*/*/*.parquet'").fetchall()[0][0] > 0
