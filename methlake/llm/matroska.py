@@ -140,7 +140,13 @@ def block_frames(data: bytes, a: int, b: int) -> tuple[int, int, bool, list[tupl
     lacing = flags & 0x06
     if not lacing:
         return track, when, bool(flags & 0x80), [(at, b)]
-    n = data[at] + 1
+
+    def byte(at: int) -> int:
+        if at >= b:
+            raise Broken("laced sizes run past the block")
+        return data[at]
+
+    n = byte(at) + 1
     at += 1
     if lacing == 0x04:
         if (b - at) % n:
@@ -151,12 +157,15 @@ def block_frames(data: bytes, a: int, b: int) -> tuple[int, int, bool, list[tupl
         for k in range(n - 1):
             if lacing == 0x02:
                 size = 0
-                while data[at] == 255:
+                while byte(at) == 255:
                     size, at = size + 255, at + 1
-                size, at = size + data[at], at + 1
+                size, at = size + byte(at), at + 1
             else:
                 first = at
+                byte(at)
                 size, at = read_vint(data, at)
+                if size is None or at > b:
+                    raise Broken("laced sizes run past the block")
                 if k:
                     size = sizes[-1] + size - ((1 << 7 * (at - first) - 1) - 1)
             sizes.append(size)
@@ -194,6 +203,8 @@ def parse(data: bytes) -> dict:
                     if i == SCALE:
                         out["scale"] = _uint(data, e, f)
                     elif i == DURATION:
+                        if f - e not in (4, 8):
+                            raise Broken("duration of an odd width")
                         out["duration"] = struct.unpack(">d" if f - e == 8 else ">f", data[e:f])[0]
             elif ident == TRACKS:
                 for i, e, f in elements(data, c, d):

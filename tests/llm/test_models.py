@@ -465,3 +465,24 @@ def test_pipeline_on_planted_documents(spark, tmp_path):
 def test_article_of_odd_pages(html, text):
     """Quotes that nobody closed, class names that only begin like a layout's, and teasers in a main part."""
     assert wrappers.alone(wrappers.tokens(html)) == text
+
+
+@pytest.mark.parametrize("body", ["81000002", "81000006", "8100000201ff", "8100000202ffffffff", "810000060140", "8100000601ff", "8100000605", "81000004", "810000040201020304", "8100", "810000020105", "810000060285bf85"])
+def test_truncated_laces_are_broken(body):
+    data = bytes.fromhex(body) + bytes.fromhex("01" * 40)
+    with pytest.raises(matroska.Broken):
+        matroska.block_frames(data, 0, len(body) // 2)
+
+
+def test_matroska_fails_as_broken_only():
+    """Cut or changed bytes are parsed or Broken, and nothing else."""
+    rng = random.Random(12)
+    whole = matroska.mux(rng.randbytes(3000))
+    for _ in range(400):
+        data = bytearray(whole)
+        for _ in range(rng.randrange(1, 4)):
+            data[rng.randrange(len(data))] = rng.randrange(256)
+        try:
+            matroska.parse(bytes(data[: rng.randrange(1, len(data) + 1)] if rng.random() < 0.5 else data))
+        except matroska.Broken:
+            pass
