@@ -1,11 +1,12 @@
 """Exact duplicates by deterministic block naming.
 
-A normalised text is cut into blocks of BLOCK bytes. All blocks of the corpus are sorted, and a block's name is the rank of its bytes among the
+A normalised text is cut into blocks of BLOCK bytes. All blocks of the corpus are sorted, by a hash and then by their bytes, and a block's name is its rank among the
 different blocks. Then neighbouring names of a document are paired, the pairs are sorted and named in the same way, and so on until a document has one
 name. Texts of one length have as many names at each level, so (length, last name) stands for the whole text: names are ranks, not hashes, and nothing
 collides. A document with a block, or pair, that occurs nowhere else is told apart by it and goes no further.
 
-Sorting is by ranges of (content, row, place), so equal contents may fill many ranges. A range counts the different contents in it and tells its first
+Sorting is by ranges of (content, row, place), so equal contents may fill many ranges. The bounds of the blocks' ranges are of (hash, row, place), which keeps what they are drawn from small; if contents of one
+hash should lie on both sides of a bound, which the ranges tell of, the blocks are sorted by bytes instead. A range counts the different contents in it and tells its first
 and last; a name is its count plus the prefix sum of the ranges before, less one where a content goes on from one range into the next. Levels halve.
 """
 
@@ -28,7 +29,7 @@ BLOCK = 512
 #: what does not count when texts are compared
 SPACE = r"[\x20\x09-\x0D]+"
 
-NAMED = "key long, pos int, name long, single boolean, part int, first binary, last binary, names long"
+NAMED = "key long, pos int, name long, single boolean, part int, first binary, last binary, names long, lead_first long, lead_last long, mixed_first boolean, mixed_last boolean"
 
 
 def _edge(columns: list[pa.Array], at: int) -> bytes:
@@ -36,57 +37,83 @@ def _edge(columns: list[pa.Array], at: int) -> bytes:
     return values[0] if isinstance(values[0], bytes) else struct.pack(f">{len(values)}q", *values)
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A sorted range's rows (key, pos, content columns) -> key, pos, number of the content in the range (from 1), and whether it occurs once for certain; a last row describes the range."""
-    held, count, fresh, first = None, 0, True, None
-    schema = pa.schema([("key", pa.int64()), ("pos", pa.int32()), ("name", pa.int64()), ("single", pa.bool_()), ("part", pa.int32()), ("first", pa.binary()), ("last", pa.binary()), ("names", pa.int64())])
-    part = TaskContext.get().partitionId()
+def _runs(hashed: bool):
+    """A sorted range's rows (key, pos, the hash if hashed, content columns) -> key, pos, number of the content in the range (from 1), and whether it occurs once for certain.
 
-    def rows(keys, places, names, single):
-        n = len(names)
-        blank = pa.nulls(n, pa.binary())
-        return pa.RecordBatch.from_arrays([keys, places, pa.array(names, pa.int64()), pa.array(single, pa.bool_()), pa.array(np.full(n, part, np.int32)), blank, blank, pa.nulls(n, pa.int64())], schema=schema)
-
-    for batch in batches:
-        if not batch.num_rows:
-            continue
+    A last row describes the range: its first and last content and their hashes, how many contents it has, and whether several share its first or its last hash.
+    """
+    kinds = {"long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "binary": pa.binary()}
+    schema = pa.schema([(n, kinds[t]) for n, t in (c.split() for c in NAMED.split(", "))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        held, count, fresh, first, lead_first = None, 0, True, None, None
+        opening, mixed_first, mixed_last = True, False, False
+
+        def rows(keys, places, names, single):
+            n = len(names)
+            own = [keys, places, pa.array(names, pa.int64()), pa.array(single, pa.bool_()), pa.array(np.full(n, part, np.int32))]
+            return pa.RecordBatch.from_arrays([*own, *[pa.nulls(n, f.type) for f in list(schema)[5:]]], schema=schema)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if held is not None:
+                # the last row of the batch before waits for what follows it
+                batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            columns = batch.columns[3 if hashed else 2 :]
+            if first is None:
+                first, count = _edge(columns, 0), 1
+                lead_first = batch.column(2)[0].as_py() if hashed else None
+            n = batch.num_rows
+            new = np.zeros(n, bool)
+            for c in columns:
+                new[1:] |= pc.not_equal(c.slice(1), c.slice(0, n - 1)).to_numpy(zero_copy_only=False)
+            names = count + np.cumsum(new)
+            if hashed:
+                h = batch.column(2).to_numpy()
+                other = h[1:] != h[:-1]
+                mixed = new[1:] & ~other
+                turns = np.flatnonzero(other)
+                if opening:
+                    mixed_first |= bool(mixed[: turns[0]].any()) if len(turns) else bool(mixed.any())
+                    opening = not len(turns)
+                mixed_last = bool(mixed[turns[-1] :].any()) if len(turns) else mixed_last or bool(mixed.any())
+            new[0] = fresh
+            # the range's first content may go on from the range before
+            single = new[:-1] & new[1:] & (names[:-1] > 1)
+            yield rows(batch.column(0).slice(0, n - 1), batch.column(1).slice(0, n - 1), names[:-1], single)
+            held, count, fresh = batch.slice(n - 1), int(names[-1]), bool(new[-1])
         if held is not None:
-            # the last row of the batch before waits for what follows it
-            batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
-        columns = batch.columns[2:]
-        if first is None:
-            first, count = _edge(columns, 0), 1
-        n = batch.num_rows
-        new = np.zeros(n, bool)
-        for c in columns:
-            new[1:] |= pc.not_equal(c.slice(1), c.slice(0, n - 1)).to_numpy(zero_copy_only=False)
-        names = count + np.cumsum(new)
-        new[0] = fresh
-        # the range's first content may go on from the range before
-        single = new[:-1] & new[1:] & (names[:-1] > 1)
-        yield rows(batch.column(0).slice(0, n - 1), batch.column(1).slice(0, n - 1), names[:-1], single)
-        held, count, fresh = batch.slice(n - 1), int(names[-1]), bool(new[-1])
-    if held is not None:
-        # and its last into the next
-        yield rows(held.column(0), held.column(1), [count], [False])
-        edge = {"key": [None], "pos": [None], "name": [None], "single": [None], "part": [part], "first": [first], "last": [_edge(held.columns[2:], 0)], "names": [count]}
-        yield pa.RecordBatch.from_pydict(edge, schema=schema)
-
-
-def named(rows: DataFrame, content: list[str]) -> DataFrame:
-    """key, pos, name, single of rows (key, pos and the content columns): equal contents have one name from 1 on, in order of content. single: it occurs once.
+            # and its last into the next
+            yield rows(held.column(0), held.column(1), [count], [False])
+            lead_last = held.column(2)[0].as_py() if hashed else None
+            edge = {"part": part, "first": first, "last": _edge(held.columns[3 if hashed else 2 :], 0), "names": count, "lead_first": lead_first, "lead_last": lead_last, "mixed_first": mixed_first, "mixed_last": mixed_last}
+            yield pa.RecordBatch.from_pydict({f.name: [edge.get(f.name)] for f in schema}, schema=schema)
+
+    return run
+
+
+def named(rows: DataFrame, content: list[str], hashed: bool = False, lead=F.xxhash64) -> DataFrame:
+    """key, pos, name, single of rows (key, pos and the content columns): equal contents have one name from 1 on, in order of content (hashed: of its hash, lead, and content). single: it occurs once.
 
     Only one row for each range (its first and last content and a count) passes the driver.
     """
     spark = rows.sparkSession
-    order = [*content, "key", "pos"]
-    ranged = rows.select("key", "pos", *content).repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order)
-    found = written(ranged.mapInArrow(tidy(_runs), NAMED), "names")
-    bases, total, last = [], 0, None
-    for r in sorted(found.where("names is not null").select("part", "first", "last", "names").collect()):
-        shared = last is not None and r["first"] == last
+    if hashed:
+        rows = rows.select("key", "pos", lead(*content).alias("h"), *content)
+        ranged = rows.repartitionByRange(partitions(spark), "h", "key", "pos").sortWithinPartitions("h", *content, "key", "pos")
+    else:
+        order = [*content, "key", "pos"]
+        ranged = rows.select("key", "pos", *content).repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order)
+    found = written(ranged.mapInArrow(tidy(_runs(hashed)), NAMED), "names")
+    bases, total, before = [], 0, None
+    for r in sorted(found.where("names is not null").drop("key", "pos", "name", "single").collect()):
+        shared = before is not None and r["first"] == before["last"]
+        if hashed and before is not None and r["lead_first"] == before["lead_last"] and (before["mixed_last"] or r["mixed_first"] or not shared):
+            return named(rows.drop("h"), content)
         bases.append((r["part"], total - shared))
-        total, last = total - shared + r["names"], r["last"]
+        total, before = total - shared + r["names"], r
     base = spark.createDataFrame(bases, "part int, base long")
     return found.where("names is null").join(F.broadcast(base), "part").select("key", "pos", (F.col("name") + F.col("base")).alias("name"), "single")
 
@@ -96,7 +123,7 @@ def identities(texts: DataFrame) -> DataFrame:
     rows = texts.select("key", F.posexplode("blocks").alias("pos", "block"))
     content, done = ["block"], []
     while True:
-        docs = named(rows, content).groupBy("key").agg(F.bool_or("single").alias("alone"), F.array_sort(F.collect_list(F.struct("pos", "name"))).alias("m"))
+        docs = named(rows, content, hashed=content == ["block"]).groupBy("key").agg(F.bool_or("single").alias("alone"), F.array_sort(F.collect_list(F.struct("pos", "name"))).alias("m"))
         docs = written(docs.select("key", "alone", F.col("m.name").alias("m")), "level")
         ended = F.col("alone") | (F.size("m") == 1)
         done.append(docs.where(ended).select("key", F.get("m", F.lit(0)).alias("name"), "alone"))

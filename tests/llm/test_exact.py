@@ -8,6 +8,7 @@ from fractions import Fraction
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from methlake.llm import blocknames, queries, whitening
 
@@ -46,9 +47,17 @@ def test_block_names_of_nothing(spark):
 
 def test_names_span_ranges(spark):
     rows = spark.range(4000).selectExpr("id key", "cast(0 as int) pos", "cast(if(id % 3 = 0, 'm', cast(id % 500 as string)) as binary) block")
-    got = {r.key: r.name for r in blocknames.named(rows, ["block"]).collect()}
     want = {b: i + 1 for i, b in enumerate(sorted({b"m"} | {str(k % 500).encode() for k in range(4000) if k % 3}))}
-    assert got == {k: want[b"m" if k % 3 == 0 else str(k % 500).encode()] for k in range(4000)}
+    content = {k: b"m" if k % 3 == 0 else str(k % 500).encode() for k in range(4000)}
+    assert {r.key: r.name for r in blocknames.named(rows, ["block"]).collect()} == {k: want[c] for k, c in content.items()}
+    # by hash: of every block its own, of few values (so that contents of one hash lie on both sides of a bound), of one
+    for lead in (F.xxhash64, lambda c: F.pmod(F.xxhash64(c), F.lit(7)), lambda c: F.lit(1).cast("long")):
+        got = {r.key: (r.name, r.single) for r in blocknames.named(rows, ["block"], hashed=True, lead=lead).collect()}
+        names = {}
+        for k, (name, single) in got.items():
+            names.setdefault(content[k], set()).add(name)
+            assert not single or sum(c == content[k] for c in content.values()) == 1
+        assert len(got) == 4000 and all(len(v) == 1 for v in names.values()) and {n for v in names.values() for n in v} == set(range(1, len(want) + 1))
 
 
 def test_block_names_query(spark):
