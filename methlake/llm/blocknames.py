@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import partitions, tidy, written
+from .common import tidy, written
 
 #: bytes of a block
 BLOCK = 512
@@ -102,10 +102,10 @@ def named(rows: DataFrame, content: list[str], hashed: bool = False, lead=F.xxha
     spark = rows.sparkSession
     if hashed:
         rows = rows.select("key", "pos", lead(*content).alias("h"), *content)
-        ranged = rows.repartitionByRange(partitions(spark), "h", "key", "pos").sortWithinPartitions("h", *content, "key", "pos")
+        ranged = rows.repartitionByRange("h", "key", "pos").sortWithinPartitions("h", *content, "key", "pos")
     else:
         order = [*content, "key", "pos"]
-        ranged = rows.select("key", "pos", *content).repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order)
+        ranged = rows.select("key", "pos", *content).repartitionByRange(*order).sortWithinPartitions(*order)
     found = written(ranged.mapInArrow(tidy(_runs(hashed)), NAMED), "names")
     bases, total, before = [], 0, None
     for r in sorted(found.where("names is not null").drop("key", "pos", "name", "single").collect()):
