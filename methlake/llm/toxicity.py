@@ -1,7 +1,7 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
 Terms are words and word beginnings of 4 to 6 bytes, as hashes. Examples are a bounded sample of labelled texts; all their terms count. A term's weight is its inverse document frequency
-times the square root of its likelihood ratio between the labels, so a word that toxic and clean examples share alike says little, and none is cut.
+times the square root of its likelihood ratio between the labels, so a word that toxic and clean examples share alike says little (nothing, at the very same rate).
 
 The examples' unit vectors form an inverted index in blocks of examples. The lists of rare and of strong terms are added up for a query first; the lists of common, weak terms are kept
 with their greatest weight per block, and only blocks whose bound can reach the k-th best example so far are completed. So the neighbours are exact. Their
