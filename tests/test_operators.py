@@ -333,6 +333,31 @@ def test_correlation_in_blocks(spark):
     assert T.pearson(v.where("false")).count() == 0
 
 
+def test_pairs_of_sites_and_intervals_are_not_exchanged(spark, tmp_path, cells, contigs):
+    rng = random.Random(5)
+    rows = {(f"S{rng.randrange(3)}", rng.choice(["chr1", "chr2", "chrM"]), rng.randrange(1, 3000)): (rng.randrange(4), rng.randrange(1, 4)) for _ in range(600)}
+    ivs = [(rng.choice(["chr1", "chr2", "chrM"]), a := rng.randrange(3000), a + rng.randrange(0, 900)) for _ in range(300)] + [("chr1", 0, 3000), ("chr1", 0, 3000)]
+    spark.createDataFrame([(*k, *v) for k, v in rows.items()], schemas.CPG).write.parquet(f"{tmp_path}/cpg")
+    cpg, spans = spark.read.parquet(f"{tmp_path}/cpg"), spark.createDataFrame(ivs, schemas.INTERVALS)
+    for width in (7, 256, 8192):
+        got = {(r.sample_id, r.chrom, r.start, r.stop): (r.sites, r.methyl, r.cov, r.mean_fraction) for r in C.interval_means(cpg, spans, width=width).collect()}
+        want = {}
+        for cell in ("S0", "S1", "S2"):
+            for chrom, a, b in set(ivs):
+                own = [v for (s, c, p), v in rows.items() if s == cell and c == chrom != "chrM" and a <= p - 1 < b]
+                if own:
+                    want[cell, chrom, a, b] = (len(own), sum(m for m, _ in own), sum(m + u for m, u in own), pytest.approx(sum(m / (m + u) for m, u in own) / len(own)))
+        assert got == want
+    plan = C.interval_means(cpg, spans)._jdf.queryExecution().optimizedPlan().toString()
+    # what leaves a tile is final: no aggregate follows the list of intervals
+    assert "Aggregate" not in plan[: plan.index("Generate inline")]
+    made = C.single_pass(cpg, cells, contigs, spans, spans.selectExpr("*", "0 offset", "'g' gene"))
+    assert f"{tmp_path}/cpg" not in made["gini"]._jdf.queryExecution().optimizedPlan().toString()
+    sums = made["summary"]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Scan ExistingRDD" in sums or "LogicalRDD" in sums
+    assert {(r.sample_id, r.chrom, r.start, r.stop): (r.sites, r.methyl, r.cov) for r in made["intervals"].collect()} == {k: v[:3] for k, v in want.items()}
+
+
 def test_one_scan_makes_all_products(spark, tmp_path, cells, contigs):
     rng = random.Random(3)
     rows = [(f"S{rng.randrange(3)}", rng.choice(["chr1", "chr2", "chrX", "chrM", "lambda"]), p, rng.randrange(4), rng.randrange(4)) for p in rng.sample(range(1, 3000), 900)]
