@@ -380,8 +380,11 @@ def molecule_samples(reads: DataFrame, cap: int = MOLECULE_CAP) -> DataFrame:
     return out.select("barcode", "key", "reads", F.coalesce("saturated", F.lit(False)).alias("saturated"))
 
 
-def molecules(reads: DataFrame, cap: int = MOLECULE_CAP) -> DataFrame:
-    """barcode, key of molecule_samples."""
+def molecules(reads: DataFrame, cap: int | None = MOLECULE_CAP) -> DataFrame:
+    """barcode, key of molecule_samples; without a cap every different key of each barcode."""
+    if cap is None:
+        keys = reads.select("barcode", S.molecule_key("umi", "insert").alias("key"))
+        return keys.where("barcode is not null and length(key) = 44").distinct()
     return molecule_samples(reads, cap).select("barcode", "key")
 
 

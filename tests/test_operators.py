@@ -374,6 +374,13 @@ def test_one_scan_makes_all_products(spark, tmp_path, cells, contigs):
         assert got == want
 
 
+def test_molecules_without_a_cap(spark):
+    reads = spark.range(5000).select(F.lit("AC").alias("barcode"), F.lit("A" * 12).alias("umi"), F.translate(F.lpad(F.conv(F.col("id").cast("string"), 10, 4), 32, "0"), "0123", "ACGT").alias("insert"))
+    reads = reads.unionByName(reads.limit(10)).unionByName(reads.limit(3).withColumn("umi", F.lit("NAAAAAAAAAAA")))
+    assert R.molecules(reads).count() == R.MOLECULE_CAP
+    assert R.molecules(reads, cap=None).count() == 5000
+
+
 def test_molecule_samples(spark):
     rng = random.Random(8)
     key = lambda: "".join(rng.choice("ACGT") for _ in range(44))
