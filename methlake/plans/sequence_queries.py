@@ -25,8 +25,8 @@ def reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr("concat('c', cast(doc_id % 2 as string)) chrom", "doc_id", LETTERS.format(every="") + " value")
     heads = docs.select("chrom").distinct().select("chrom", F.lit(-1).cast("long").alias("doc_id"), F.concat(F.lit(">"), "chrom", F.lit(" made of texts")).alias("value"))
     path = place(spark)
-    docs.unionByName(heads).repartition("chrom").sortWithinPartitions("chrom", "doc_id").select("value").write.text(path)
-    return IN.fasta(spark, path)
+    docs.unionByName(heads).repartitionByRange("chrom", "doc_id").sortWithinPartitions("chrom", "doc_id").select("value").write.text(path)
+    return IN.fasta(spark, path, one=True)
 
 
 def register(name: str, sql: str):

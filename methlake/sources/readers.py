@@ -140,11 +140,17 @@ def gtf_genes(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(X.gtf_attribute("attributes", "gene_id").alias("gene"), "chrom", (F.col("first") - 1).alias("g_start"), F.col("last").alias("g_end"), "strand", kind.alias("biotype"))
 
 
-def fasta(spark: SparkSession, path: str) -> DataFrame:
-    """Sequences in chunks (see operators.sequences), upper case, whatever the line breaks. A plain file is read in blocks by many tasks, a compressed one by one task."""
+def fasta(spark: SparkSession, path: str, one: bool = False) -> DataFrame:
+    """Sequences in chunks (see operators.sequences), upper case, whatever the line breaks. A plain file is read in blocks by many tasks, a compressed one by one task.
+
+    Each file of a folder stands for itself; with ``one`` they follow each other by name, and a contig goes on in the next.
+    """
     from methlake.operators.sequences import chunked, placed_lines
 
-    return chunked(placed_lines(_lines(spark, path)))
+    lines = _lines(spark, path)
+    if one:
+        lines = lines.withColumn("block", F.struct("file", "block")).withColumn("file", F.lit(path))
+    return chunked(placed_lines(lines))
 
 
 def droplet_counts(spark: SparkSession, path: str) -> DataFrame:

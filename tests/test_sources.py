@@ -3,6 +3,7 @@
 import gzip
 import hashlib
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -302,3 +303,30 @@ def test_digest_of_a_large_file(spark, tmp_path):
         h.update(block)
     h.update(bytes(size & (1 << 24) - 1))
     assert [tuple(r)[1:] for r in R.file_digests(spark, f"{tmp_path}/f").collect()] == [(size, h.hexdigest())]
+
+
+def test_contig_over_several_fasta_files(spark, tmp_path):
+    (tmp_path / "fa").mkdir()
+    for name, text in (("part-0", ">c0 x\nacg\ncg"), ("part-1", "tt\nA\n"), ("part-2", "C\n>c1\nGG\n"), ("part-3", "T\n")):
+        (tmp_path / "fa" / name).write_text(text)
+    got = sorted((r.chrom, r.start, r.seq) for r in R.fasta(spark, f"{tmp_path}/fa", one=True).collect())
+    assert got == [("c0", 0, "ACGCGTTAC"), ("c1", 0, "GGT")]
+
+
+@pytest.mark.parametrize("name", ["A4_scan_fastq", "A3_compressed_text", "A21_scan_fasta"])
+def test_written_inputs_grow_in_files(spark, tmp_path, monkeypatch, name):
+    """More bytes are more files, so that no one task writes or reads them all."""
+    from methlake.plans import registry
+    from methlake.plans import io_queries, sequence_queries
+
+    paths = []
+    for module in (io_queries, sequence_queries):
+        monkeypatch.setattr(module, "place", lambda _: paths.append(f"{tmp_path}/{len(paths)}") or paths[-1])
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "10k")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        registry.QUERIES[name](spark, "/root/testdata/sf0.001")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert len([p for p in os.listdir(paths[0]) if p.startswith("part-")]) > 3
