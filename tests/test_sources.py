@@ -322,11 +322,11 @@ def test_written_inputs_grow_in_files(spark, tmp_path, monkeypatch, name):
     paths = []
     for module in (io_queries, sequence_queries):
         monkeypatch.setattr(module, "place", lambda _: paths.append(f"{tmp_path}/{len(paths)}") or paths[-1])
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "10k")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     try:
         registry.QUERIES[name](spark, "/root/testdata/sf0.001")
     finally:
-        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
         spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert len([p for p in os.listdir(paths[0]) if p.startswith("part-")]) > 3
