@@ -121,8 +121,12 @@ def _means(sums: DataFrame) -> DataFrame:
 
 
 def tss_bins(genes: DataFrame, flank: int = 2000, step: int = 20) -> DataFrame:
-    """Strand-aware bins around transcription starts: gene, chrom, start, stop, offset. Bins that leave the contig are dropped."""
-    b = genes.withColumn("offset", F.explode(F.sequence(F.lit(-flank), F.lit(flank - step), F.lit(step))))
+    """Strand-aware bins around transcription starts: gene, chrom, start, stop, offset. Bins that leave the contig are dropped.
+
+    Genes are dealt out first: a table of genes is a small file, which one task would unfold whole.
+    """
+    n = int(genes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    b = genes.repartition(n, "gene").withColumn("offset", F.explode(F.sequence(F.lit(-flank), F.lit(flank - step), F.lit(step))))
     start = F.when(F.col("strand") == "+", F.col("g_start") + F.col("offset")).otherwise(F.col("g_end") - F.col("offset") - step)
     return b.withColumn("start", start).withColumn("stop", F.col("start") + step).where("start >= 0 and stop <= len").select("gene", "chrom", "start", "stop", F.col("offset").cast("int").alias("offset"))
 

@@ -374,6 +374,13 @@ def test_one_scan_makes_all_products(spark, tmp_path, cells, contigs):
         assert got == want
 
 
+def test_genes_are_dealt_out_before_their_bins(spark):
+    genes = spark.createDataFrame([(f"G{k}", "chr1", 5000 + k, 9000 + k, "+-"[k % 2], 100_000) for k in range(40)], "gene string, chrom string, g_start long, g_end long, strand string, len long").coalesce(1)
+    bins = C.tss_bins(genes)
+    assert bins.count() == 40 * 200
+    assert bins.select(F.spark_partition_id()).distinct().count() > 1
+
+
 def test_molecules_without_a_cap(spark):
     reads = spark.range(5000).select(F.lit("AC").alias("barcode"), F.lit("A" * 12).alias("umi"), F.translate(F.lpad(F.conv(F.col("id").cast("string"), 10, 4), 32, "0"), "0123", "ACGT").alias("insert"))
     reads = reads.unionByName(reads.limit(10)).unionByName(reads.limit(3).withColumn("umi", F.lit("NAAAAAAAAAAA")))
