@@ -18,6 +18,31 @@ def interval_join(points: DataFrame, intervals: DataFrame, pos: str = "pos0", wi
     return points.withColumn("_bin", F.floor(F.col(pos) / width)).join(listed, ["chrom", "_bin"]).where((F.col(pos) >= F.col("start")) & (F.col(pos) < F.col("stop"))).drop("_bin")
 
 
+def interval_counts(points: DataFrame, intervals: DataFrame, pos: str = "pos0", width: int = 8192) -> DataFrame:
+    """chrom, start, stop, n: the pairs of interval_join by interval, counted without making them; an interval that is given twice counts twice, one that holds nothing has no row.
+
+    n is the points before its stop less those before its start. Points before a place are those of the bins before, a prefix sum over one row a bin, and those before it in its own bin, where points
+    and places are sorted together. Points of one place are one row.
+    """
+    from pyspark.sql import Window
+
+    spans = intervals.where("stop > start").groupBy("chrom", "start", "stop").agg(F.count("*").alias("times"))
+    at = points.groupBy("chrom", F.col(pos).cast("long").alias("at")).agg(F.count("*").alias("c"))
+    ends = spans.select("chrom", F.explode(F.array(F.col("start").cast("long"), F.col("stop").cast("long"))).alias("at")).distinct()
+    # at a place the end comes before the point, so that the point counts after it
+    rows = at.select("chrom", "at", "c", F.lit(1).alias("kind")).unionByName(ends.select("chrom", "at", F.lit(0).cast("long").alias("c"), F.lit(0).alias("kind"))).withColumn("_bin", F.floor(F.col("at") / width))
+    inside = Window.partitionBy("chrom", "_bin").orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    bins = at.groupBy("chrom", F.floor(F.col("at") / width).alias("_bin")).agg(F.sum("c").alias("c"), F.lit(1).alias("kind"))
+    places = rows.withColumn("own", F.sum("c").over(inside)).where("kind = 0").select("chrom", "at", "_bin", "own")
+    every = bins.select("chrom", "_bin", "c").unionByName(places.select("chrom", "_bin", F.lit(0).cast("long").alias("c"))).groupBy("chrom", "_bin").agg(F.sum("c").alias("c"))
+    before = Window.partitionBy("chrom").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    every = every.select("chrom", "_bin", F.coalesce(F.sum("c").over(before), F.lit(0)).alias("before"))
+    known = places.join(every, ["chrom", "_bin"]).select("chrom", "at", (F.col("own") + F.col("before")).alias("upto"))
+    low, high = (known.select("chrom", F.col("at").alias(x), F.col("upto").alias(f"_{x}")) for x in ("start", "stop"))
+    n = F.col("times") * (F.col("_stop") - F.col("_start"))
+    return spans.join(low, ["chrom", "start"]).join(high, ["chrom", "stop"]).select("chrom", "start", "stop", n.alias("n")).where("n > 0")
+
+
 def exact_id_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Inner join of two tables whose keys must be unique and the same; anything else fails when the result is computed."""
     counted = [d.groupBy(key).agg(F.count("*").alias(n)) for d, n in ((left, "_l"), (right, "_r"))]

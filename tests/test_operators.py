@@ -333,6 +333,19 @@ def test_correlation_in_blocks(spark):
     assert T.pearson(v.where("false")).count() == 0
 
 
+def test_interval_counts(spark):
+    rng = random.Random(2)
+    pts = [("chr%d" % rng.randrange(2), rng.randrange(3000)) for _ in range(400)]
+    ivs = [("chr%d" % rng.randrange(3), a := rng.randrange(3000), a + rng.randrange(0, 700)) for _ in range(80)] * 2
+    want = {}
+    for c, a, b in ivs:
+        if n := sum(c == d and a <= p < b for d, p in pts):
+            want[c, a, b] = want.get((c, a, b), 0) + n
+    for width in (1, 100, 8192):
+        out = I.interval_counts(spark.createDataFrame(pts, "chrom string, pos0 long"), spark.createDataFrame(ivs, schemas.INTERVALS), width=width)
+        assert {(r.chrom, r.start, r.stop): r.n for r in out.collect()} == want
+
+
 def test_pairs_of_sites_and_intervals_are_not_exchanged(spark, tmp_path, cells, contigs):
     rng = random.Random(5)
     rows = {(f"S{rng.randrange(3)}", rng.choice(["chr1", "chr2", "chrM"]), rng.randrange(1, 3000)): (rng.randrange(4), rng.randrange(1, 4)) for _ in range(600)}
