@@ -371,6 +371,32 @@ def test_pairs_of_sites_and_intervals_are_not_exchanged(spark, tmp_path, cells,
     assert {(r.sample_id, r.chrom, r.start, r.stop): (r.sites, r.methyl, r.cov) for r in made["intervals"].collect()} == {k: v[:3] for k, v in want.items()}
 
 
+def test_tiles_meet_across_batches(spark):
+    """Sites and intervals leave a tile's task as sums, whatever the batches cut; the rows that are exchanged are no more than sites of tiles and intervals."""
+    rng = random.Random(8)
+    rows = {(f"S{rng.randrange(4)}", rng.choice(["chr1", "chr2"]), rng.randrange(1, 400)): (rng.randrange(4), rng.randrange(1, 4)) for _ in range(300)}
+    ivs = {(rng.choice(["chr1", "chr2"]), a := rng.randrange(400), a + rng.randrange(1, 60)) for _ in range(200)} | {("chr1", -5, 3), ("chr2", 0, 1 << 45)}
+    cpg, spans = spark.createDataFrame([(*k, *v) for k, v in rows.items()], schemas.CPG), spark.createDataFrame(list(ivs), "chrom string, start long, stop long")
+    want = {}
+    for (s, c, p), (m, u) in rows.items():
+        for k in ((s, d, a, b) for d, a, b in ivs if c == d and a <= p - 1 < b and b < 1 << 40):
+            n, x, y = want.get(k, (0, 0, 0))
+            want[k] = (n + 1, x + m, y + u)
+    near = spans.where(f"stop < {1 << 40}")
+    assert C.interval_rows(cpg, near.where("start >= 0"), width=1000).count() == len(rows) + len(ivs) - 2
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for size in (1, 3, 50):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+            for width in (20, 1000):
+                assert {(r.sample_id, r.chrom, r.start, r.stop): (r.sites, r.methyl, r.unmethyl) for r in C.interval_sums(cpg, near, width=width).collect()} == want
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    # an interval far beyond the contig
+    wide = C.interval_sums(cpg, spans.where(f"stop >= {1 << 40}"), width=1 << 44).collect()
+    assert {(r.sample_id, r.sites) for r in wide} == {(s, sum(k[:2] == (s, "chr2") for k in rows)) for s in {k[0] for k in rows if k[1] == "chr2"}}
+
+
 def test_one_scan_makes_all_products(spark, tmp_path, cells, contigs):
     rng = random.Random(3)
     rows = [(f"S{rng.randrange(3)}", rng.choice(["chr1", "chr2", "chrX", "chrM", "lambda"]), p, rng.randrange(4), rng.randrange(4)) for p in rng.sample(range(1, 3000), 900)]
