@@ -124,31 +124,34 @@ def anchor_distances(column: Column, places: list[int], anchor: str, bisulfite:
 def align(texts: pa.Array, anchor: str = PLATE_ANCHOR, bisulfite: bool = True, most: int = 3, width: int = 60) -> pa.StructArray:
     """Best alignment (start, stop, edits) of anchor anywhere in each text, the earliest end among equals; null beyond ``most`` edits.
 
-    Semi-global edit distance, one column of all texts at a time; a path keeps its start, and among equal paths the one that pairs letters.
+    Semi-global edit distance, one column of all texts at a time; a path keeps its start, and among equal paths the one that pairs letters, then the one that skips one of the text's.
     """
     some = texts.is_valid().to_numpy(zero_copy_only=False)
     data, n = _padded(texts.filter(pa.array(some)), width)
     if bisulfite:
         data = np.where((data == ord("G")) | (data == ord("g")), ord("A"), data)
         anchor = anchor.replace("G", "A")
-    rows = len(data)
-    cost = np.tile(np.arange(len(anchor) + 1), (rows, 1))
-    start = np.zeros_like(cost)
+    rows, letters = len(data), anchor.encode()
+    # a path is one small number: its cost, two bits for its last step (0 pairs letters), its start; the least of them is the path to keep
+    bits = width.bit_length()
+    one, skips, drops, keep = 4 << bits, 1 << bits, 2 << bits, ~(3 << bits)
+    small = np.int16 if (len(letters) + 2) * one < 1 << 15 else np.int32
+    data = np.ascontiguousarray(data.T)
+    paths = np.repeat((np.arange(len(letters) + 1) * one).astype(small)[:, None], rows, axis=1)
+    miss = {a: (data != a).astype(small) * small(one) for a in set(letters)}
     best = np.full(rows, most + 1)
     found = np.zeros((rows, 2), int)
     for j in range(width):
-        new, begin = np.empty_like(cost), np.empty_like(start)
-        new[:, 0], begin[:, 0] = 0, j + 1
-        for i, a in enumerate(anchor.encode(), 1):
-            pair = cost[:, i - 1] + (data[:, j] != a)
-            skip, drop = cost[:, i] + 1, new[:, i - 1] + 1
-            least = np.minimum(np.minimum(pair, skip), drop)
-            begin[:, i] = np.where(least == pair, start[:, i - 1], np.where(least == skip, start[:, i], begin[:, i - 1]))
-            new[:, i] = least
-        cost, start = new, begin
-        better = (cost[:, -1] < best) & (j < n)
-        best = np.where(better, cost[:, -1], best)
-        found[better, 0], found[better, 1] = start[better, -1], j + 1
+        new = np.empty_like(paths)
+        new[0] = j + 1
+        for i, a in enumerate(letters, 1):
+            least = np.minimum(paths[i - 1] + miss[a][j], paths[i] + small(one + skips))
+            np.bitwise_and(np.minimum(least, new[i - 1] + small(one + drops)), small(keep), out=new[i])
+        paths = new
+        cost = paths[-1] // small(one)
+        better = (cost < best) & (j < n)
+        best[better] = cost[better]
+        found[better, 0], found[better, 1] = paths[-1][better] & small(skips - 1), j + 1
     out = np.full((len(texts), 3), most + 1, np.int32)
     out[some] = np.column_stack([found, best])
     return pa.StructArray.from_arrays([pa.array(c) for c in out.T], ["start", "stop", "edits"], mask=pa.array(out[:, 2] > most))
@@ -159,7 +162,8 @@ def anchor_alignment(column: Column, bisulfite: bool = True) -> Column:
     def run(texts: pa.Array) -> pa.Array:
         return align(texts, bisulfite=bisulfite)
 
-    return run(column)
+    # a filter on the alignment, pushed below it, would align every read twice
+    return run.asNondeterministic()(column)
 
 
 def _droplet_distance(data: np.ndarray, start: int, length: int, ct: bool) -> np.ndarray:

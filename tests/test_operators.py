@@ -371,6 +371,20 @@ def test_pairs_of_sites_and_intervals_are_not_exchanged(spark, tmp_path, cells,
     assert {(r.sample_id, r.chrom, r.start, r.stop): (r.sites, r.methyl, r.cov) for r in made["intervals"].collect()} == {k: v[:3] for k, v in want.items()}
 
 
+def test_a_filter_does_not_align_twice(spark, tmp_path):
+    from methlake.operators import reads as R
+
+    spark.createDataFrame([(k, "ACGT" * 5 + R.PLATE_ANCHOR) for k in range(4)], "ordinal long, seq string").write.parquet(f"{tmp_path}/reads")
+    found = spark.read.parquet(f"{tmp_path}/reads").select("ordinal", R.anchor_alignment(F.col("seq")).alias("a")).where("a is not null").select("ordinal", "a.edits", "a.start", "a.stop")
+    assert found._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert {tuple(r)[1:] for r in found.collect()} == {(0, 20, 20 + len(R.PLATE_ANCHOR))}
+    # texts wider than 63 letters need larger numbers
+    import pyarrow as pa
+
+    far = R.align(pa.array(["C" * 80 + R.PLATE_ANCHOR, None, ""]), width=120).to_pylist()
+    assert far == [{"start": 80, "stop": 80 + len(R.PLATE_ANCHOR), "edits": 0}, None, None]
+
+
 def test_tiles_meet_across_batches(spark):
     """Sites and intervals leave a tile's task as sums, whatever the batches cut; the rows that are exchanged are no more than sites of tiles and intervals."""
     rng = random.Random(8)
