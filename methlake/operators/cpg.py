@@ -255,8 +255,19 @@ def tagged_sums(cpg: DataFrame, sets: dict[str, tuple[DataFrame, int]], base: in
     return one.groupBy("sample_id", F.col("t.product").alias("product"), "chrom", F.col("t.a").alias("a"), F.col("t.b").alias("b")).agg(*sums)
 
 
+def stretch_sums(cpg: DataFrame, base: int = 1, width: int = BIN) -> DataFrame:
+    """sample_id, chrom, a, sites, methyl, unmethyl, fractions of each stretch [a * width, (a + 1) * width) with a site. Contigs and windows that are whole stretches add these up: a site is one row to exchange, whatever it counts for."""
+    sums = [F.count("*").alias("sites"), F.sum("methyl").cast("long").alias("methyl"), F.sum("unmethyl").cast("long").alias("unmethyl"), F.sum(fraction()).alias("fractions")]
+    return cpg.groupBy("sample_id", "chrom", F.floor((F.col("pos") - base) / width).alias("a")).agg(*sums)
+
+
+def added(sums: DataFrame, *keys) -> DataFrame:
+    """sums (see stretch_sums) by cell, contig and further keys."""
+    return sums.groupBy("sample_id", "chrom", *keys).agg(*[F.sum(c).alias(c) for c in ("sites", "methyl", "unmethyl", "fractions")])
+
+
 def summary_of(sums: DataFrame, cells: DataFrame) -> DataFrame:
-    """cpg_summary from the sums by contig."""
+    """cpg_summary from the sums by contig or stretch."""
     kind = contig_class("chrom")
     signals = F.col("methyl") + F.col("unmethyl")
     columns = [c for k in CLASSES for c in (
@@ -270,29 +281,26 @@ def summary_of(sums: DataFrame, cells: DataFrame) -> DataFrame:
 
 
 def bins_of(sums: DataFrame) -> DataFrame:
-    """coverage_bins from the sums by bin."""
+    """coverage_bins from the sums by bin of host contigs."""
     return sums.select("sample_id", "chrom", F.col("a").alias("bin"), (F.col("methyl") + F.col("unmethyl")).alias("cov"))
 
 
 def single_pass(cpg: DataFrame, cells: DataFrame, contigs: DataFrame, intervals: DataFrame, regions: DataFrame | None = None, base: int = 1) -> dict[str, DataFrame]:
     """All products of one table of counts: ``summary``, ``chromosomes``, ``gini``, ``windows``, ``intervals``, and with TSS regions ``profile``.
 
-    The sums of contigs, bins and windows, which a cell has a bounded number of, come from one scan and are written once; each product is made from its part of them. A cell's sums of intervals are as
+    The sums of bins, which a cell has a bounded number of, come from one scan and are written once; contigs and windows add them up. A cell's sums of intervals are as
     many as its pairs of a site and an interval, so they are never written: ``intervals`` and ``profile`` each read the counts when they are computed.
     """
     from methlake.operators.manifest import _cut
 
-    sums = _cut(tagged_sums(cpg, {}, base))
-
-    def part(product: str) -> DataFrame:
-        return sums.where(F.col("product") == product)
-
-    contig = part("contig")
+    sums = _cut(stretch_sums(cpg, base))
+    contig = added(sums)
+    window = added(sums.where(is_autosome("chrom")), F.floor(F.col("a") / (WINDOW // BIN)).alias("win"))
     products = {
-        "summary": summary_of(contig, cells),
+        "summary": summary_of(sums, cells),
         "chromosomes": _all_contigs(contig.select("sample_id", "chrom", "sites", "methyl", "unmethyl", (F.col("fractions") / F.col("sites")).alias("mean_fraction")), cells, contigs),
-        "gini": gini(bins_of(part("bin"))),
-        "windows": _all_windows(part("window").select("sample_id", "chrom", F.col("a").alias("win"), F.col("methyl").alias("mc"), (F.col("methyl") + F.col("unmethyl")).alias("cov")), cells, contigs, WINDOW),
+        "gini": gini(bins_of(sums.where(is_host("chrom")))),
+        "windows": _all_windows(window.select("sample_id", "chrom", "win", F.col("methyl").alias("mc"), (F.col("methyl") + F.col("unmethyl")).alias("cov")), cells, contigs, WINDOW),
         "intervals": interval_means(cpg, intervals, base),
     }
     return products if regions is None else products | {"profile": tss_profile(cpg, regions, base)}

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from methlake import schemas
+from methlake.functions.contigs import is_host
 from methlake.functions.numbers import percentage
 from methlake.functions.text import sampling_digest
 from methlake.operators import cpg as C
@@ -30,11 +31,11 @@ def funnel(pairs: DataFrame) -> DataFrame:
 
 
 def qc_table(cpg: DataFrame, pairs: DataFrame) -> DataFrame:
-    """One row per cell of pairs with the 20 QC columns. The counts are read once: sums by contig and bin are written, and give both the summary and the Gini index."""
+    """One row per cell of pairs with the 20 QC columns. The counts are read once: sums by bin are written, and give both the summary and the Gini index."""
     from methlake.operators.manifest import _cut
 
-    sums = _cut(C.tagged_sums(cpg, {}, windows=False))
-    return qc_rows(pairs, C.summary_of(sums.where("product = 'contig'"), pairs), C.gini(C.bins_of(sums.where("product = 'bin'"))))
+    sums = _cut(C.stretch_sums(cpg))
+    return qc_rows(pairs, C.summary_of(sums, pairs), C.gini(C.bins_of(sums.where(is_host("chrom")))))
 
 
 def qc_rows(pairs: DataFrame, summary: DataFrame, gini: DataFrame) -> DataFrame:

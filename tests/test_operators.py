@@ -485,3 +485,19 @@ def test_fragment_ends(spark):
     with pytest.raises(Exception, match="more than two"):
         A.mark_fragments(df.unionByName(df.where("qname = 'a'"))).collect()
     assert A.mark_fragments(df.where("false")).count() == 0
+
+
+def test_a_site_is_one_row_to_exchange_for_all_products(spark, tmp_path, cells, contigs):
+    rng = random.Random(4)
+    rows = {(f"S{rng.randrange(3)}", rng.choice(["chr1", "chr2", "chrX", "chrM", "lambda"]), rng.choice([1, 500_000, 500_001, 1_000_000, 1_000_001, rng.randrange(1, 2_400_000)])): (rng.randrange(4), rng.randrange(1, 4)) for _ in range(500)}
+    spark.createDataFrame([(*k, *v) for k, v in rows.items()], schemas.CPG).write.parquet(f"{tmp_path}/cpg")
+    cpg = spark.read.parquet(f"{tmp_path}/cpg")
+    assert "Generate" not in C.stretch_sums(cpg)._jdf.queryExecution().executedPlan().toString()
+    spans = spark.createDataFrame([("chr1", 0, 500)], "chrom string, start long, stop long")
+    made = C.single_pass(cpg, cells, contigs, spans)
+    kept = made["gini"]._jdf.queryExecution().optimizedPlan().toString()
+    # what is written has no row of a product, but of a stretch
+    assert "product" not in kept
+    for name, alone in (("chromosomes", C.chromosome_stats(cpg, cells, contigs)), ("windows", C.windows_1mb(cpg, cells, contigs)), ("gini", C.gini(C.coverage_bins(cpg))), ("summary", C.cpg_summary(cpg, cells))):
+        got, want = ({tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in d.select(sorted(d.columns)).collect()} for d in (made[name], alone))
+        assert got == want and want
