@@ -501,3 +501,28 @@ def test_a_site_is_one_row_to_exchange_for_all_products(spark, tmp_path, cells,
     for name, alone in (("chromosomes", C.chromosome_stats(cpg, cells, contigs)), ("windows", C.windows_1mb(cpg, cells, contigs)), ("gini", C.gini(C.coverage_bins(cpg))), ("summary", C.cpg_summary(cpg, cells))):
         got, want = ({tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in d.select(sorted(d.columns)).collect()} for d in (made[name], alone))
         assert got == want and want
+
+
+def test_measured_regions_are_not_exchanged_to_meet_their_offsets(spark, tmp_path):
+    rng = random.Random(6)
+    rows = {(f"S{rng.randrange(3)}", rng.choice(["chr1", "chr2"]), rng.randrange(1, 600)): (rng.randrange(4), rng.randrange(1, 4)) for _ in range(200)}
+    regions = [(rng.choice(["chr1", "chr2"]), a := rng.randrange(600), a + rng.choice([5, 40]), rng.randrange(4), f"g{k}") for k in range(80)]
+    regions += [("chr1", 10, 500, 1, "a"), ("chr1", 10, 500, 1, "b"), ("chr1", 10, 500, 2, "c"), ("chr1", 7, 7, 3, "d")]
+    spark.createDataFrame([(*k, *v) for k, v in rows.items()], schemas.CPG).write.parquet(f"{tmp_path}/cpg")
+    cpg = spark.read.parquet(f"{tmp_path}/cpg")
+    out = C.tss_profile(cpg, spark.createDataFrame(regions, "chrom string, start long, stop long, offset int, gene string"))
+    want = {}
+    for cell in ("S0", "S1", "S2"):
+        for chrom, a, b, offset, _ in regions:
+            own = [v for (s, c, p), v in rows.items() if s == cell and c == chrom and a <= p - 1 < b]
+            if own:
+                want.setdefault((cell, offset), []).append((sum(m / (m + u) for m, u in own) / len(own), sum(m for m, _ in own)))
+    assert {(r.sample_id, r.offset): (r.meth_frac, r.methyl, r.members) for r in out.collect()} == {k: (pytest.approx(sum(x for x, _ in v) / len(v), abs=1e-6), sum(m for _, m in v), len(v)) for k, v in want.items()}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan[: plan.index("MapInArrow")]
+
+
+def test_sites_beyond_a_tile_s_intervals_stay_out_of_it(spark):
+    cpg = spark.createDataFrame([("S1", "chr1", p, 1, 1) for p in (1, 101, 106, 150)], schemas.CPG)
+    rows = C.interval_rows(cpg, spark.createDataFrame([("chr1", 90, 105)], schemas.INTERVALS), width=100)
+    assert sorted((r.tile, r.p) for r in rows.where("site").collect()) == [(0, 0), (0, 100)]
