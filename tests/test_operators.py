@@ -1,5 +1,6 @@
 """Operators on small literal fixtures."""
 
+import math
 import random
 
 import numpy as np
@@ -526,3 +527,27 @@ def test_sites_beyond_a_tile_s_intervals_stay_out_of_it(spark):
     cpg = spark.createDataFrame([("S1", "chr1", p, 1, 1) for p in (1, 101, 106, 150)], schemas.CPG)
     rows = C.interval_rows(cpg, spark.createDataFrame([("chr1", 90, 105)], schemas.INTERVALS), width=100)
     assert sorted((r.tile, r.p) for r in rows.where("site").collect()) == [(0, 0), (0, 100)]
+
+
+def test_pairs_of_samples_leave_their_tile_whole(spark):
+    rng = random.Random(9)
+    rows = [(f"S{k}", f"f{j}", rng.random()) for k in range(23) for j in range(7) if rng.random() < 0.6] + [("flat", f"f{j}", 0.5) for j in range(7)] + [("alone", "f99", 1.0), ("none", "f1", None)]
+    values = spark.createDataFrame(rows, "sample_id string, chrom string, value double")
+    by = {}
+    for k, f, x in rows:
+        if x is not None:
+            by.setdefault(k, {})[f] = x
+    want = {}
+    for a in sorted(by):
+        for b in sorted(by):
+            if a <= b and (both := by[a].keys() & by[b].keys()):
+                x, y, n = [by[a][f] for f in both], [by[b][f] for f in both], len(both)
+                mx, my = sum(x) / n, sum(y) / n
+                vx, vy = sum((i - mx) ** 2 for i in x), sum((i - my) ** 2 for i in y)
+                want[a, b] = (n, pytest.approx(sum((i - mx) * (j - my) for i, j in zip(x, y)) / math.sqrt(vx * vy), abs=1e-6) if n >= 2 and vx > 1e-12 and vy > 1e-12 else None)
+    for size in ({}, {"rows": 4}, {"rows": 4, "columns": 3}, {"rows": 1, "columns": 1}):
+        out = T.pearson(values, **size)
+        assert {(r.a, r.b): (r.n, r.r) for r in out.collect()} == want
+        # the pairs are neither joined with their names nor added up in an exchange
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.startswith("MapInArrow")
