@@ -101,7 +101,7 @@ def interval_rows(cpg: DataFrame, intervals: DataFrame, base: int = 1, width: in
     ends = spans.groupBy("chrom", "tile").agg(F.max("q").alias("end"))
     reach = ends.select("chrom", F.struct("tile", "end").alias("tile"), F.explode(F.sequence("tile", F.floor((F.col("end") - 1) / width))).alias("bin")).groupBy("chrom", "bin").agg(F.collect_list("tile").alias("tiles"))
     points = cpg.where(is_host("chrom")).select("sample_id", "chrom", (F.col("pos") - base).cast("long").alias("p"), F.col("methyl").cast("long").alias("m"), F.col("unmethyl").cast("long").alias("u"))
-    points = points.withColumn("bin", F.floor(F.col("p") / width)).join(reach, ["chrom", "bin"]).withColumn("t", F.explode("tiles")).where("p < t.end").withColumn("tile", F.col("t.tile"))
+    points = points.withColumn("bin", F.floor(F.col("p") / width)).join(reach, ["chrom", "bin"]).withColumn("t", F.explode("tiles")).where("t.tile = bin or p < t.end").withColumn("tile", F.col("t.tile"))
     sites = points.select("chrom", "tile", F.lit(True).alias("site"), "sample_id", "p", F.lit(None).cast("long").alias("q"), "m", "u", *([F.lit(None).cast(spans.schema["kept"].dataType).alias("kept")] if keep else []))
     none = F.lit(None).cast("long")
     return spans.select("chrom", "tile", F.lit(False).alias("site"), F.lit(None).cast("string").alias("sample_id"), "p", "q", none.alias("m"), none.alias("u"), *(["kept"] if keep else [])).unionByName(sites)
