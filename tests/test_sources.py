@@ -262,6 +262,36 @@ def test_csr_blocks(spark, tmp_path):
         Y.write_csr(means.unionByName(means), cells, f"{tmp_path}/twice")
 
 
+def test_csr_of_counts_exchanges_no_value(spark, tmp_path):
+    """Records are made where sites meet intervals, hold all that unfolding them takes, and are cut where they lie."""
+    import random
+
+    from methlake.operators import cpg as C
+
+    rng = random.Random(9)
+    cells = spark.createDataFrame([(f"S{k:02d}",) for k in range(30)], "sample_id string")
+    counts = [(f"S{s:02d}", c, p, rng.randrange(4), rng.randrange(1, 4)) for s in range(32) for c in ("chr1", "chr2", "lambda") for p in sorted(rng.sample(range(1, 70000), 25))]
+    cpg = spark.createDataFrame(counts, "sample_id string, chrom string, pos long, methyl long, unmethyl long")
+    spans = [(c, a, a + rng.choice([0, 1, 900, 40000])) for c in ("chr1", "chr2", "chr3", "lambda") for a in (rng.randrange(69000) for _ in range(60))]
+    intervals = spark.createDataFrame(spans + spans[:20], "chrom string, start long, stop long")
+    path, values = f"{tmp_path}/m", lambda df: sorted((r.sample_id, r.chrom, r.start, r.stop, r.mean_fraction) for r in df.collect())
+    Y.write_counts(cpg, intervals, cells, path, rows=4, cols=8)
+    want = values(C.interval_means(cpg, intervals).join(cells, "sample_id"))
+    got = Y.read_csr(spark, path)
+    assert values(got) == want and len(want) > 500
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    records = spark.read.schema(Y.X).parquet(f"{path}/x").collect()
+    assert max(len(r.starts) for r in records) == 8 and all(list(zip(r.starts, r.stops)) == sorted(zip(r.starts, r.stops)) for r in records)
+    assert all(list(r.indices[x:y]) == sorted(set(r.indices[x:y])) for r in records for x, y in zip(r.indptr, r.indptr[1:]))
+    var = spark.read.parquet(f"{path}/var")
+    assert var.count() == len({s for s in spans if s[0] != "lambda" and s[1] < s[2]})
+    some = cells.where("sample_id in ('S01', 'S02', 'S09', 'S28')")
+    Y.subset_csr(spark, path, f"{tmp_path}/n", some)
+    assert values(Y.read_csr(spark, f"{tmp_path}/n")) == [r for r in want if r[0] in ("S01", "S02", "S09", "S28")]
+    assert values(Y.read_csr(spark, f"{tmp_path}/n", some.where("sample_id = 'S09'"), var.where("chrom = 'chr2'"))) == [r for r in want if r[:2] == ("S09", "chr2")]
+    assert {r.row_block for r in spark.read.schema(Y.X).parquet(f"{tmp_path}/n/x").collect()} == {0}
+
+
 @pytest.mark.parametrize("step", ["_move", "_list", "_point"])
 @pytest.mark.parametrize("when", ["before", "after"])
 def test_a_publisher_that_breaks_off(spark, tmp_path, monkeypatch, step, when):
