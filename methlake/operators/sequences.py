@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 WIDTH, OVERLAP = 1 << 13, 1
+#: lines that are numbered together
+LINES = 1 << 10
 
 
 def _bytes(seq: str | Column, at: Column, n) -> Column:
@@ -91,8 +93,10 @@ def fai_problems(chunks: DataFrame, fai: DataFrame, width: int = WIDTH) -> DataF
 def placed_lines(lines: DataFrame) -> DataFrame:
     """Pieces (chrom, at, seq) of FASTA lines (file, block, n, value), n counting up inside a block of a file.
 
-    Places are prefix sums in two levels: inside each block, and over one row for each block. Lines before the first header of a file belong to no contig and are dropped.
+    Places are prefix sums in two levels: inside each stretch of LINES lines of a block, as a block of a scan may be large, and over one row for each stretch. Lines before the first header of a file
+    belong to no contig and are dropped.
     """
+    lines = lines.withColumn("block", F.struct("block", F.floor(F.col("n") / LINES).alias("stretch")))
     text = F.rtrim("value")
     head = text.startswith(">")
     rows = lines.withColumn("name", F.when(head, F.split(F.substr(text, F.lit(2)), r"\s")[0])).withColumn("seq", F.when(~head, F.regexp_replace(text, r"\s", "")))

@@ -262,6 +262,25 @@ def test_csr_blocks(spark, tmp_path):
         Y.write_csr(means.unionByName(means), cells, f"{tmp_path}/twice")
 
 
+def test_lines_of_one_large_block_are_numbered_by_many_tasks(spark):
+    lines = spark.range(20000).select(F.lit("f").alias("file"), F.lit(0).alias("block"), F.col("id").alias("n"), F.expr("case when id % 9000 = 5 then concat('>c', id) else repeat('A', cast(id % 7 as int)) end").alias("value"))
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = Q.placed_lines(lines).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    want, chrom, at = [], None, 0
+    for k in range(20000):
+        if k % 9000 == 5:
+            chrom, at = f"c{k}", 0
+        elif chrom and k % 7:
+            want.append((chrom, at, "A" * (k % 7)))
+            at += k % 7
+    assert sorted((r.chrom, r.at, r.seq) for r in got) == sorted(want)
+    assert len({r.task for r in got}) > 1
+
+
 def test_csr_of_counts_exchanges_no_value(spark, tmp_path):
     """Records are made where sites meet intervals, hold all that unfolding them takes, and are cut where they lie."""
     import random
