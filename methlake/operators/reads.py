@@ -439,8 +439,41 @@ def in_design(called: DataFrame, design: DataFrame) -> DataFrame:
 
 def droplet_replay(reads: DataFrame, called: DataFrame, design: DataFrame) -> DataFrame:
     """Reads (lane, ordinal, barcode) with the called barcode they belong to: exact, or one substitution away unless that is another design barcode."""
-    index = barcode_index(called, "ACGT", protected=design, shifted=False)
-    return barcode_lookup(reads, index, "barcode").select("lane", "ordinal", "barcode", F.col("id").alias("cell_barcode"), F.when(F.col("id").isNotNull(), "dna_assigned").when(F.col("ambiguous"), "ambiguous").otherwise("unmatched").alias("fate"))
+    own = called.select(F.upper(F.trim("barcode")).alias("id")).distinct()
+    seen = reads.select("barcode").where("barcode is not null").distinct()
+    # an observed barcode that is called or in the design is nobody's neighbour
+    kinds = own.select(F.col("id").alias("barcode"), F.lit(True).alias("own")).unionByName(design.select("barcode", F.lit(False).alias("own"))).groupBy("barcode").agg(F.max("own").alias("own"))
+    known = seen.join(kinds, "barcode", "left")
+    near = nearest(known.where("own is null").select("barcode"), own)
+    found = known.where("own").select("barcode", F.col("barcode").alias("id"), F.lit(False).alias("ambiguous")).unionByName(near)
+    j = reads.join(found, "barcode", "left")
+    return j.select("lane", "ordinal", "barcode", F.col("id").alias("cell_barcode"), F.when(F.col("id").isNotNull(), "dna_assigned").when(F.col("ambiguous"), "ambiguous").otherwise("unmatched").alias("fate"))
+
+
+def nearest(observed: DataFrame, own: DataFrame, alphabet: str = "ACGT") -> DataFrame:
+    """Different observed barcodes (barcode) that are one substitution away from a barcode of own (id): barcode, id (null if there are several), ambiguous.
+
+    Two such barcodes agree in one half, so each is exchanged twice, by length and either half, and the neighbours of an own barcode are made and counted where its half lies: they are not exchanged.
+    """
+    n = int(own.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = own.where("length(id) > 0").select(F.col("id").alias("b"), F.lit(True).alias("own")).unionByName(observed.select(F.col("barcode").alias("b"), F.lit(False).alias("own")))
+    size, first = F.length("b"), F.floor(F.length("b") / 2).cast("int")
+    both = F.array(F.struct(F.lit(0).alias("side"), F.substring("b", F.lit(1), first).alias("half")), F.struct(F.lit(1).alias("side"), F.substring("b", first + 1, size - first).alias("half")))
+    dealt = rows.select("b", "own", size.alias("size"), F.inline(both)).repartition(n, "size", "side", "half")
+    first = F.floor(F.col("size") / 2).cast("int")
+    # the half that agrees is the side's; the other one has the substitution: its place and the own barcode's letter there, as a number
+    none = F.array().cast("array<int>")
+    places = F.when(F.col("side") == 0, F.sequence(first + 1, F.col("size"))).when(first > 0, F.sequence(F.lit(1), first)).otherwise(none)
+
+    def around(i: Column) -> Column:
+        letter = F.substring("b", i, F.lit(1))
+        return F.transform(F.filter(F.array(*[F.lit(x) for x in alphabet]), lambda x: x != letter), lambda x: F.struct(F.overlay("b", x, i, F.lit(1)).alias("barcode"), (i * 256 + F.ascii(letter)).cast("long").alias("code")))
+
+    made = F.when(F.col("own"), F.flatten(F.transform(places, around))).otherwise(F.array(F.struct(F.col("b").alias("barcode"), F.lit(None).cast("long").alias("code"))))
+    met = dealt.select("size", "side", "half", F.inline(made)).groupBy("size", "side", "half", "barcode").agg(F.count("code").alias("k"), F.min("code").alias("code"), F.count("*").alias("rows"))
+    met = met.where("k > 0 and rows > k").groupBy("barcode").agg(F.sum("k").alias("k"), F.min("code").alias("code"))
+    id = F.overlay("barcode", F.char(F.col("code") % 256), F.floor(F.col("code") / 256).cast("int"), F.lit(1))
+    return met.select("barcode", F.when(F.col("k") == 1, id).alias("id"), (F.col("k") > 1).alias("ambiguous"))
 
 
 def sampled_pairs(reads: DataFrame, n: int = 10_000) -> DataFrame:

@@ -551,3 +551,22 @@ def test_pairs_of_samples_leave_their_tile_whole(spark):
         # the pairs are neither joined with their names nor added up in an exchange
         plan = out._jdf.queryExecution().optimizedPlan().toString()
         assert plan.startswith("MapInArrow")
+
+
+def test_neighbours_are_not_exchanged(spark):
+    """droplet_replay against the index of all neighbours; its plan exchanges barcodes, not what is one substitution from them."""
+    import random
+
+    rng = random.Random(3)
+    word = lambda n: "".join(rng.choice("ACGTN"[:4]) for _ in range(n))
+    own = sorted({word(4) for _ in range(40)} | {word(3) for _ in range(5)} | {"A", "ACNGT"})
+    design = sorted({word(4) for _ in range(30)})
+    seen = [word(4) for _ in range(300)] + [word(3) for _ in range(40)] + ["C", "ACAGT", "ACNGA", "NNNN", "", None] + own
+    frame = lambda rows: spark.createDataFrame([(x,) for x in rows], "barcode string")
+    reads = spark.createDataFrame([(1, i, b) for i, b in enumerate(seen)], "lane int, ordinal long, barcode string")
+    index = {r.key: r.id for r in R.barcode_index(frame(own), protected=frame(design), shifted=False).collect()}
+    got = R.droplet_replay(reads, frame(own), frame(design))
+    fates = {True: "ambiguous", False: "unmatched"}
+    assert sorted((r.ordinal, r.cell_barcode, r.fate) for r in got.collect()) == [(i, index.get(b), "dna_assigned" if index.get(b) else fates[b in index]) for i, b in enumerate(seen)]
+    plan = R.nearest(frame(seen), frame(own).toDF("id"))._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and plan.count("Exchange") == 2
