@@ -222,6 +222,12 @@ def tss_bins(genes: DataFrame, flank: int = 2000, step: int = 20) -> DataFrame:
     return b.withColumn("start", start).withColumn("stop", F.col("start") + step).where("start >= 0 and stop <= len").select("gene", "chrom", "start", "stop", F.col("offset").cast("int").alias("offset"))
 
 
+def shared_bins(bins: DataFrame) -> DataFrame:
+    """bins that lie on the same place as another, with n, the bins there. Bins are exchanged once and counted where they lie: a join with the counts would broadcast them, as a plan takes unfolded bins to be as small as the table of genes."""
+    place = Window.partitionBy("chrom", "start", "stop")
+    return bins.withColumn("n", F.count("*").over(place)).where("n > 1")
+
+
 def tss_regions(bins: DataFrame, contigs: DataFrame) -> DataFrame:
     """Bins of host contigs, cut at the contig's end: chrom, start, stop, offset, gene."""
     return bins.where(is_host("chrom")).join(F.broadcast(contigs.select("chrom", "len")), "chrom").withColumn("stop", F.least("stop", "len")).where("stop > start").select("chrom", "start", "stop", "offset", "gene")

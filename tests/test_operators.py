@@ -570,3 +570,17 @@ def test_neighbours_are_not_exchanged(spark):
     assert sorted((r.ordinal, r.cell_barcode, r.fate) for r in got.collect()) == [(i, index.get(b), "dna_assigned" if index.get(b) else fates[b in index]) for i, b in enumerate(seen)]
     plan = R.nearest(frame(seen), frame(own).toDF("id"))._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan and plan.count("Exchange") == 2
+
+
+def test_bins_that_genes_share_are_not_broadcast(spark):
+    from methlake.plans.registry import QUERIES
+
+    out = QUERIES["D13_gene_bin_membership"](spark, "/root/testdata/sf0.01")
+    rows = out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in plan.splitlines() if "Join" in x and "start#" in x]
+    at = {}
+    for r in rows:
+        at.setdefault((r.chrom, r.start), []).append(r.n)
+    # every place is whole: as many bins of it as its n
+    assert rows and all(n == [len(n)] * len(n) and len(n) > 1 for n in at.values())
