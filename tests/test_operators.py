@@ -584,3 +584,24 @@ def test_bins_that_genes_share_are_not_broadcast(spark):
         at.setdefault((r.chrom, r.start), []).append(r.n)
     # every place is whole: as many bins of it as its n
     assert rows and all(n == [len(n)] * len(n) and len(n) > 1 for n in at.values())
+
+
+def test_a_cell_s_intervals_are_counted_without_their_sums(spark, cells, contigs):
+    rng = random.Random(11)
+    rows = {(rng.choice(["S1", "S2", None]), rng.choice(["chr1", "chr2", "lambda"]), rng.randrange(1, 2500)): (1, rng.randrange(3)) for _ in range(500)} | {("S9", "chr3", 77): (1, 0)}
+    cpg = spark.createDataFrame([(*k, *v) for k, v in rows.items()], schemas.CPG)
+    ivs = [(rng.choice(["chr1", "chr2", "lambda"]), a := rng.randrange(2500), a + rng.choice([0, 1, 7, 60, 900, 2600])) for _ in range(250)] * 2 + [("chr3", 0, 76), ("chr3", 77, 90)]
+    spans = spark.createDataFrame(ivs, schemas.INTERVALS)
+    want = {}
+    for s in ("S1", "S2", "S9", None):
+        n = sum(any(d == c and z == s and a <= p - 1 < b for z, d, p in rows) for c, a, b in set(ivs) if c != "lambda")
+        if n:
+            want[s] = n
+    assert len(want) == 3
+    for width in (7, 256, 32768):
+        got = C.features_met(C.interval_rows(cpg, spans, width=width))
+        assert {r.sample_id: r.features for r in got.collect()} == want
+    made = C.single_pass(cpg, cells, contigs, spans)
+    assert {r.sample_id: r.features for r in made["features"].collect()} == want
+    # what is unfolded are the tiles of intervals, and no sums
+    assert "inline" not in made["features"]._jdf.queryExecution().optimizedPlan().toString()
