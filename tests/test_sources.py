@@ -5,6 +5,7 @@ import hashlib
 import json
 import os
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -379,3 +380,55 @@ def test_written_inputs_grow_in_files(spark, tmp_path, monkeypatch, name):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
         spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert len([p for p in os.listdir(paths[0]) if p.startswith("part-")]) > 3
+
+
+@pytest.mark.parametrize("most", [1, 40, 1 << 20])
+def test_records_of_many_blocks_are_made_together(monkeypatch, most):
+    """Values of rows in any order of tiles, in blocks that go on over entries, with and without numbers of the intervals."""
+    import random
+
+    import numpy as np
+    import pyarrow as pa
+
+    monkeypatch.setattr(Y, "MOST", most)
+    rng = random.Random(most)
+    for numbers in (True, False):
+        for far in (1, 1 << 35):
+            spans = [("chr1", far * (5 * i // 2), far * (5 * i // 2) + 3 + i % 2) for i in range(60)] + [("chr2", 7 * i, 7 * i + 9) for i in range(20)]
+            want, entries = {}, []
+            # tiles of the contigs, in each the rows in order
+            for chrom, low, high in (("chr1", 0, 25), ("chr1", 25, 60), ("chr2", 0, 20)):
+                runs = [(row, sorted(rng.sample(range(low, high), rng.randrange(1, 12)))) for row in range(14) if rng.random() < 0.7]
+                at = 0 if chrom == "chr1" else 60
+                while runs:
+                    now, runs = runs[: (k := rng.randrange(1, 5))], runs[k:]
+                    value = np.array([rng.random() for _, js in now for _ in js], "float32")
+                    own = [s for s in spans if s[0] == chrom]
+                    table = (*(np.array([s[k] for s in own], "int64") for k in (1, 2)), np.arange(at, at + len(own)) if numbers else None)
+                    entries.append((pa.array([f"S{row}" if row else None for row, _ in now], pa.string()), pa.array([chrom] * len(now)), np.array([row for row, _ in now]), np.array([len(js) for _, js in now]), value, np.array([j for _, js in now for j in js]), table))
+                    for (row, chrom_, j), v in zip([(row, chrom, j) for row, js in now for j in js], value.tolist()):
+                        want[row, *own[j]] = v
+            got = {}
+            for batch in Y._records(iter(entries), 4, 8, 2):
+                for r in batch.to_pylist():
+                    assert len(r["cells"]) == 4 and len(r["indptr"]) == 5 and 0 < len(r["starts"]) <= 8 and r["part"] == r["row_block"] // 2
+                    assert (r["first"], r["last"]) == (r["starts"][0], r["starts"][-1]) and list(zip(r["starts"], r["stops"])) == sorted(set(zip(r["starts"], r["stops"])))
+                    for k in range(4):
+                        a, b = r["indptr"][k : k + 2]
+                        row = 4 * r["row_block"] + k
+                        assert r["indices"][a:b] == sorted(set(r["indices"][a:b])) and (a == b or r["cells"][k] == (f"S{row}" if row else None))
+                        for i, v in zip(r["indices"][a:b], r["values"][a:b]):
+                            assert (key := (row, r["chrom"], r["starts"][i], r["stops"][i])) not in got
+                            got[key] = v
+            assert got == want
+
+
+def test_matrix_of_counts_keeps_a_cell_without_a_name(spark, tmp_path):
+    cpg = spark.createDataFrame([(None, "chr1", 11, 1, 1), ("", "chr1", 12, 0, 1), ("S1", "chr1", 13, 1, 0)], "sample_id string, chrom string, pos long, methyl long, unmethyl long")
+    intervals = spark.createDataFrame([("chr1", 10, 12), ("chr1", 10, 90)], "chrom string, start long, stop long")
+    Y.write_counts(cpg, intervals, cpg, f"{tmp_path}/m")
+    got = sorted((r.sample_id, r.feature, r.mean_fraction) if r.sample_id is not None else ("~", r.feature, r.mean_fraction) for r in Y.read_csr(spark, f"{tmp_path}/m").collect())
+    assert got == [("", "chr1:11-12", 0.0), ("", "chr1:11-90", 0.0), ("S1", "chr1:11-90", 1.0), ("~", "chr1:11-12", 0.5), ("~", "chr1:11-90", 0.5)]
+    # lists of numbers take one repeated field and so one call for a value
+    file = next((tmp_path / "m" / "x").glob("part=*/*.parquet"))
+    assert not pq.read_schema(file).field("indices").type.value_field.nullable
