@@ -432,3 +432,11 @@ def test_matrix_of_counts_keeps_a_cell_without_a_name(spark, tmp_path):
     # lists of numbers take one repeated field and so one call for a value
     file = next((tmp_path / "m" / "x").glob("part=*/*.parquet"))
     assert not pq.read_schema(file).field("indices").type.value_field.nullable
+
+
+@pytest.mark.parametrize("name", ["B7_write_single_cpg", "B14_csr_subset"])
+def test_means_of_single_cpgs_are_read_from_blocks(spark, name):
+    from methlake.plans.registry import QUERIES
+
+    plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "indptr" in plan and "Exchange" not in plan
